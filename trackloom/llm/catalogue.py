@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trackloom.llm import mixing, packing, quality, secrets, simhash, token_ids, tokens, url_filter
+from trackloom.llm import ann, language_id, mixing, packing, quality, secrets, simhash, token_ids, tokens, toxicity, url_filter
 from trackloom.sources.tables import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.read(*token_ids.write(table(spark, sf_dir, "documents"), tokens.default_path()))
 
@@ -20,6 +24,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.held_out_labels(table(spark, sf_dir, "documents"))
+
+
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))[1]
 
@@ -42,8 +54,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_ids": op2_token_ids,
     "op3_packing": op3_packing,
+    "op4_language_id": op4_language_id,
+    "op5_ann": op5_ann,
     "op6_mixing": op6_mixing,
     "op7_simhash": op7_simhash,
     "op8_secrets": op8_secrets,
