@@ -121,8 +121,10 @@ def _chosen(docs: list[set[str]], y: np.ndarray, max_features: int) -> list[str]
     return [f for _, f in sorted(rated)[:max_features]]
 
 
-def train(texts: list[str], y: np.ndarray, max_features: int = 20_000, rounds: int = 400, rate: float = 0.1, l2: float = 2e-4) -> Model:
-    """Maximum likelihood of the noisy-or by Adam on all documents at once."""
+def train(texts: list[str], y: np.ndarray, max_features: int = 20_000, rounds: int = 600, rate: float = 0.1, l2: float = 1e-6) -> Model:
+    """Maximum likelihood of the noisy-or by Adam on all documents at once. While training it has a leak, one more
+    chance per document whatever its sentences: labels that no sentence explains are laid to it and not to the bias,
+    which would add up over long documents."""
     y = np.asarray(y, float)
     if not len(y) or y.min() == y.max():
         return Model()
@@ -144,20 +146,22 @@ def train(texts: list[str], y: np.ndarray, max_features: int = 20_000, rounds: i
             else:
                 plain[d] += 1
     doc_of, rows, columns = (np.array(x, np.int64) for x in (doc_of, rows, columns))
-    theta = np.zeros(len(index) + 1)
-    theta[-1] = -9.0
+    theta = np.zeros(len(index) + 2)  # weights, bias, leak
+    theta[-2:] = -10.0, -4.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
-        w, b = theta[:-1], theta[-1]
-        z = b + np.bincount(rows, w[columns], len(doc_of)) if len(rows) else np.zeros(0)
-        s = plain * np.logaddexp(0, b) + np.bincount(doc_of, np.logaddexp(0, z), len(y))
-        s = np.maximum(s, 1e-9)
-        blame = (1 - y) - y / np.expm1(np.minimum(s, 50))
+        w, b, leak = theta[:-2], theta[-2], theta[-1]
+        z = b + np.bincount(rows, w[columns], len(doc_of)) if len(rows) else np.full(len(doc_of), b)
+        s = plain * np.logaddexp(0, b) + np.bincount(doc_of, np.logaddexp(0, z), len(y)) + np.logaddexp(0, leak)
+        blame = (1 - y) - y / np.expm1(np.clip(s, 1e-9, 50))
         share = blame[doc_of] / (1 + np.exp(-z))
-        gradient = np.append(np.bincount(columns, share[rows], len(index)) / len(y) + l2 * w, (share.sum() + (blame * plain).sum() / (1 + np.exp(-b))) / len(y))
+        to_words = np.bincount(columns, share[rows], len(index)) if len(rows) else np.zeros(len(index))
+        rest = (share.sum() + (blame * plain).sum() / (1 + np.exp(-b)), blame.sum() / (1 + np.exp(-leak)))
+        gradient = np.concatenate([to_words, rest]) / len(y)
+        gradient[:-2] += l2 * w
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model(float(theta[-1]), {f: float(theta[i]) for f, i in index.items() if abs(theta[i]) > 1e-3})
+    return Model(float(theta[-2]), {f: float(theta[i]) for f, i in index.items() if abs(theta[i]) > 1e-3})
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_labelled: int = 6000) -> Model:
