@@ -96,7 +96,7 @@ def features(of: str = "stats__") -> dict[str, Column]:
         "mean_word": s["word_chars"] / words, "symbol_share": s["n_symbols"] / words, "dup_line_share": s["n_dup_lines"] / lines, "repeat_share": s["n_repeat_words"] / words,
         "words_per_line": s["n_words"] / lines, "unended_lines": s["n_unended"] / lines, "distinct_share": s["distinct_share"], "digit_share": s["digit_share"], "upper_share": s["upper_share"],
     }
-    return {**{n: s[n] for n in BASE}, **more}
+    return {**more, **{n: s[n] for n in BASE}}  # of equal conditions learning takes the first: shares before counts
 
 
 def base_failed(of: str = "stats__") -> Column:
