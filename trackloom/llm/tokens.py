@@ -1,12 +1,15 @@
 """Tokenising whole texts with a byte-level BPE of the tokenizers library, piece by piece.
 
 A space between two characters that are no white space always begins a new pre-token, so the pieces between such spaces
-can be encoded alone and their ids joined: the ids equal those of the whole text. Words repeat, so each task encodes a
-piece once for a slice of documents, and keeps the pieces seen first for later slices (up to CACHED).
+can be encoded apart and their ids joined: the ids equal those of the whole text. Words repeat, so a worker encodes a
+piece once for a slice of documents, and keeps the pieces seen first for later slices (up to CACHED). New pieces are
+encoded many in one string, each behind its space; as a token stands for a fixed number of bytes, running sums of bytes
+say which ids are whose.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 
@@ -14,7 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED = 400_000
+CACHED = 800_000
+JOINED = 512
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[str, Encoder] = {}
 
@@ -35,6 +39,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
         self.end_id = end_id
+        vocabulary = self.tokenizer.get_vocab()
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # one character stands for one byte
+            self.token_bytes[i] = len(token)
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
@@ -50,20 +58,34 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each piece has) of pieces that each stand behind a space."""
+        groups = [pieces[i : i + JOINED] for i in range(0, len(pieces), JOINED)]
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for group, found in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
+            own = np.array(found, np.uint32)
+            ends = np.cumsum([len(p.encode()) + 1 for p in group])
+            sums = np.cumsum(self.token_bytes[own])
+            last = np.searchsorted(sums, ends)
+            if len(last) and (last[-1] != len(own) - 1 or (sums[last] != ends).any()):
+                raise ValueError("the tokenizer does not keep bytes apart at spaces")
+            ids.append(own)
+            counts.append(np.diff(last, prepend=-1))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def _learn(self, pieces: list[str]) -> None:
         """Adds pieces to the cache; each is encoded behind a space."""
         n = len(self.known)
-        ids = self._ids([" " + p for p in pieces])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        ids, sizes = self._pieces(pieces)
         used = int(self.ends[n - 1]) if n else 0
-        total = used + int(sizes.sum())
+        total = used + len(ids)
         if total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
-        if n + len(ids) > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros(max(n + len(ids), len(self.ends)), np.int64)])
-        self.flat[used:total] = np.fromiter((i for x in ids for i in x), np.uint32, total - used)
-        self.ends[n : n + len(ids)] = used + np.cumsum(sizes)
-        self.known.update(zip(pieces, range(n, n + len(ids))))
+        if n + len(pieces) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(max(n + len(pieces), len(self.ends)), np.int64)])
+        self.flat[used:total] = ids
+        self.ends[n : n + len(pieces)] = used + np.cumsum(sizes)
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, where each text's ids end), end ids included; null is empty."""
@@ -76,7 +98,8 @@ class Encoder:
         coded = lists.flatten().dictionary_encode()
         codes, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         # An empty piece, or one that begins or ends with white space, means a space that is no safe boundary.
-        unsafe = np.fromiter((not p or p[0].isspace() or p[-1].isspace() for p in pieces), bool, len(pieces))
+        size = pc.binary_length(coded.dictionary).to_numpy()
+        unsafe = (size == 0) | (pc.binary_length(pc.utf8_trim_whitespace(coded.dictionary)).to_numpy() != size)
         if unsafe.any():
             at = np.flatnonzero(unsafe[codes])
             bad = np.unique(np.searchsorted(ends, at, side="right"))
@@ -99,7 +122,7 @@ class Encoder:
     def _gather(self, codes: np.ndarray, pieces: list[str], firsts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # Dictionary entries that only begin texts are encoded in vain here; they are few.
         known = self.known
-        where = np.fromiter((known.get(p, -1) for p in pieces), np.int64, len(pieces))
+        where = np.fromiter(map(known.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(where < 0)
         room = CACHED - len(known)
         if room > 0 and len(missing):
@@ -108,18 +131,18 @@ class Encoder:
             where[learn] = np.arange(len(known) - len(learn), len(known))
             missing = missing[room:]
         n_known = len(known)
-        rest = self._ids([" " + pieces[i] for i in missing])
+        rest, rest_sizes = self._pieces([pieces[i] for i in missing])
         where[missing] = n_known + np.arange(len(missing))
         opening = self._ids([pieces[i] for i in codes[firsts]])
         piece_of = where[codes]
-        piece_of[firsts] = n_known + len(rest) + np.arange(len(firsts))
+        piece_of[firsts] = n_known + len(missing) + np.arange(len(firsts))
         # The end id is a piece of its own behind each text's last.
-        last = n_known + len(rest) + len(firsts)
+        last = n_known + len(missing) + len(firsts)
         piece_of = np.insert(piece_of, ends, last)
-        extra = rest + opening + [[self.end_id]]
+        extra = [*opening, [self.end_id]]
         used = int(self.ends[n_known - 1]) if n_known else 0
-        sizes = np.fromiter(map(len, extra), np.int64, len(extra))
-        flat = np.concatenate([self.flat[:used], np.fromiter((i for x in extra for i in x), np.uint32, int(sizes.sum()))])
+        sizes = np.concatenate([rest_sizes, np.fromiter(map(len, extra), np.int64, len(extra))])
+        flat = np.concatenate([self.flat[:used], rest, np.array([i for x in extra for i in x], np.uint32)])
         stops = np.concatenate([self.ends[:n_known], used + np.cumsum(sizes)])
         starts = np.concatenate([[0], stops[:-1]])
         lengths = (stops - starts)[piece_of]
