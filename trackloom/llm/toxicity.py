@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import bounded_sample, crc_bucket, slices
+from trackloom.llm.common import bounded_sample, crc_bucket, slices, written
 
 SENTENCE_END = re.compile(r"[.!?]+\s+|\n+")
 WORD = re.compile(r"\w+")
@@ -103,75 +103,97 @@ def _softplus(z: float) -> float:
     return z if z > 30 else math.log1p(math.exp(z)) if z > -700 else 0.0
 
 
-def _chosen(docs: list[set[str]], y: np.ndarray, max_features: int) -> list[str]:
-    """Features that toxic documents hold more often, by the log-likelihood ratio of their document counts."""
-    pos, neg = Counter(), Counter()
-    for held, label in zip(docs, y):
-        (pos if label else neg).update(held)
-    n_pos, n_neg = int(y.sum()), int(len(y) - y.sum())
-    rated = []
-    for f, p in pos.items():
-        n = neg[f]
-        if p < 3 or (p + 0.1) / (n_pos + 1) < 4 * (n + 0.1) / (n_neg + 1):
-            continue
-        share = (p + n) / (n_pos + n_neg)
-        gain = 2 * sum(k * math.log(k / e) for k, e in ((p, share * n_pos), (n, share * n_neg), (n_pos - p, (1 - share) * n_pos), (n_neg - n, (1 - share) * n_neg)) if k > 0)
-        if gain >= 12:
-            rated.append((-gain, f))
-    return [f for _, f in sorted(rated)[:max_features]]
-
-
-def train(texts: list[str], y: np.ndarray, max_features: int = 20_000, rounds: int = 600, rate: float = 0.1, l2: float = 1e-6) -> Model:
+def gain(pos: Column, neg: Column, n_pos: int, n_neg: int) -> Column:
+    """Log-likelihood ratio of a feature's document counts against one share for both kinds."""
+    share = (pos + neg) / (n_pos + n_neg)
+    cells = ((pos, share * n_pos), (neg, share * n_neg), (n_pos - pos, (1 - share) * n_pos), (n_neg - neg, (1 - share) * n_neg))
+    return sum((F.when(k > 0, 2 * k * F.log(k / e)).otherwise(0.0) for k, e in cells), F.lit(0.0))
+
+
+def chosen_features(sample: DataFrame, n_pos: int, n_neg: int, max_features: int) -> list[str]:
+    """Features that toxic documents of the sample (toxic, text) hold clearly more often, the best first. Tasks count
+    documents by feature, Spark adds the counts up, and at most max_features names reach the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = {0: Counter(), 1: Counter()}
+        for b in batches:
+            for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
+                seen[toxic].update({f for w in set(WORD.findall(text.lower())) for f in word_features(w)})
+        names = list(seen[0] | seen[1])
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([seen[k][n] for n in names], pa.int64()) for k in (1, 0))], names=["feature", "pos", "neg"])
+
+    found = sample.mapInArrow(count, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    pos, neg = F.col("pos"), F.col("neg")
+    often = (pos >= 3) & ((pos + 0.1) / (n_pos + 1) >= 4 * (neg + 0.1) / (n_neg + 1))
+    rated = found.filter(often).withColumn("gain", gain(pos, neg, n_pos, n_neg)).filter("gain >= 12").orderBy(F.desc("gain"), "feature").limit(max_features)
+    return [r["feature"] for r in rated.select("feature").collect()]
+
+
+def described(sample: DataFrame, features: list[str]) -> DataFrame:
+    """doc_id, toxic, plain (sentences without a chosen feature), sentences (the others' features by number)."""
+    shared = sample.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(features)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, known = shared.value, {}
+        for b in batches:
+            plain, kept = [], []
+            for text in b.column("text").to_pylist():
+                own, n = [], 0
+                for s in SENTENCE_END.split(text.lower()):
+                    found = []
+                    for w in WORD.findall(s):
+                        if w not in known:
+                            known[w] = [index[f] for f in word_features(w) if f in index]
+                        found += known[w]
+                    own += [found] if found else []
+                    n += bool(s) and not found
+                plain.append(n)
+                kept.append(own)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(plain, pa.int64()), pa.array(kept, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "toxic", "plain", "sentences"])
+
+    return sample.mapInArrow(run, "doc_id long, toxic int, plain long, sentences array<array<int>>")
+
+
+def train(features: list[str], y: np.ndarray, plain: np.ndarray, sentences: list[list[np.ndarray]], rounds: int = 600, rate: float = 0.1, l2: float = 1e-6) -> Model:
     """Maximum likelihood of the noisy-or by Adam on all documents at once. While training it has a leak, one more
     chance per document whatever its sentences: labels that no sentence explains are laid to it and not to the bias,
     which would add up over long documents."""
-    y = np.asarray(y, float)
-    if not len(y) or y.min() == y.max():
-        return Model()
-    split = [[WORD.findall(s) for s in SENTENCE_END.split(t.lower()) if s] for t in texts]
-    index = {f: i for i, f in enumerate(_chosen([{f for s in doc for w in s for f in word_features(w)} for doc in split], y, max_features))}
-    known: dict[str, list[int]] = {}
-    doc_of, plain, rows, columns = [], np.zeros(len(y)), [], []
-    for d, doc in enumerate(split):
-        for s in doc:
-            found: list[int] = []
-            for w in s:
-                if w not in known:
-                    known[w] = [index[f] for f in word_features(w) if f in index]
-                found += known[w]
-            if found:
-                rows += [len(doc_of)] * len(found)
-                columns += found
-                doc_of.append(d)
-            else:
-                plain[d] += 1
-    doc_of, rows, columns = (np.array(x, np.int64) for x in (doc_of, rows, columns))
-    theta = np.zeros(len(index) + 2)  # weights, bias, leak
+    y, plain = np.asarray(y, float), np.asarray(plain, float)
+    flat = [s for doc in sentences for s in doc]
+    doc_of = np.repeat(np.arange(len(y)), [len(doc) for doc in sentences])
+    rows = np.repeat(np.arange(len(flat)), [len(s) for s in flat]) if flat else np.zeros(0, np.int64)
+    columns = np.concatenate(flat).astype(np.int64) if flat else np.zeros(0, np.int64)
+    theta = np.zeros(len(features) + 2)  # weights, bias, leak
     theta[-2:] = -10.0, -4.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         w, b, leak = theta[:-2], theta[-2], theta[-1]
-        z = b + np.bincount(rows, w[columns], len(doc_of)) if len(rows) else np.full(len(doc_of), b)
+        z = b + np.bincount(rows, w[columns], len(doc_of))
         s = plain * np.logaddexp(0, b) + np.bincount(doc_of, np.logaddexp(0, z), len(y)) + np.logaddexp(0, leak)
         blame = (1 - y) - y / np.expm1(np.clip(s, 1e-9, 50))
         share = blame[doc_of] / (1 + np.exp(-z))
-        to_words = np.bincount(columns, share[rows], len(index)) if len(rows) else np.zeros(len(index))
+        to_words = np.bincount(columns, share[rows], len(features))
         rest = (share.sum() + (blame * plain).sum() / (1 + np.exp(-b)), blame.sum() / (1 + np.exp(-leak)))
         gradient = np.concatenate([to_words, rest]) / len(y)
         gradient[:-2] += l2 * w
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return Model(float(theta[-2]), {f: float(theta[i]) for f, i in index.items() if abs(theta[i]) > 1e-3})
+    return Model(float(theta[-2]), {f: float(theta[i]) for i, f in enumerate(features) if abs(theta[i]) > 1e-3})
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_labelled: int = 6000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_labelled: int = 6000, max_features: int = 5000) -> Model:
     """The model of labelled documents; `usable` is a condition on doc_id that says which may be learned from."""
     known = labels.filter("doc_id is not null and toxic is not null")
-    known = (known if usable is None else known.filter(usable)).groupBy("doc_id").agg(F.max("toxic").alias("toxic__"))
+    known = (known if usable is None else known.filter(usable)).groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     picked = F.broadcast(bounded_sample(known, "doc_id", max_labelled).withColumnRenamed("doc_id", "labelled__"))  # at most max_labelled ids
-    rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("labelled__")).select("doc_id", "toxic__", F.coalesce("text", F.lit("")).alias("text")).toPandas()
-    rows = rows.sort_values(["doc_id", "text"])
-    return train(rows["text"].tolist(), rows["toxic__"].to_numpy())
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked, F.col("doc_id") == F.col("labelled__")).drop("labelled__")
+    sample = written(sample, "toxicity-sample")
+    n, n_pos = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < n_pos < n:
+        return Model()
+    features = chosen_features(sample, n_pos, n - n_pos, max_features)
+    rows = described(sample, features).toPandas().sort_values(["doc_id", "plain"])
+    return train(features, rows["toxic"].to_numpy(), rows["plain"].to_numpy(), rows["sentences"].to_list())
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
