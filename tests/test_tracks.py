@@ -78,8 +78,8 @@ def plane(spark, pixels, movie=0, frame=0):
 
 
 def test_touching_labels_erode_towards_the_lower(spark):
-    a = np.zeros((13, 24), int)
-    a[2:11, 2:12], a[2:11, 12:22] = 1, 2
+    a = np.zeros((14, 22), int)
+    a[2:12, 2:11], a[2:12, 11:20] = 1, 2
     out = images.erode(a, images.disk(3))
     got = np.array(images.eroded(plane(spark, a)).first()["pixels"]).reshape(a.shape)
     assert (got == out).all() and (got[a == 2] == 1).sum() == 12 and (got == 1).sum() == 36 and (got == 2).sum() == 12
