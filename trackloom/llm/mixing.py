@@ -35,7 +35,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...], max_repeats: int) -> D
     """(source, source_size) with a row per source -> plus weight, target double.
 
     Sorted by cap over weight, the sources that end at their cap come first. A source is capped if the level that
-    remains when all before it are capped would take it over its cap. Rows are sources, not documents."""
+    remains when all before it are capped would take it over its cap; the first that is not has the level of all the
+    rest. Rows are sources, not documents."""
     order = Window.orderBy(F.col("source").asc_nulls_last())
     by_need = Window.orderBy((F.col("cap") / F.col("weight")), F.col("source").asc_nulls_last())
     everything = Window.partitionBy(F.lit(0))
@@ -48,7 +49,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...], max_repeats: int) -> D
         .withColumn("caps_before", F.coalesce(F.sum("cap").over(by_need.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
         .withColumn("weight_left", F.sum("weight").over(by_need.rowsBetween(0, Window.unboundedFollowing)))
         .withColumn("capped", F.col("cap") <= level * F.col("weight"))
-        .withColumn("level", F.min(F.when(~F.col("capped"), level)).over(everything))
+        .withColumn("level", F.max(F.when(~F.col("capped"), level)).over(everything))
         .withColumn("target", F.when(F.col("capped"), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("weight"))))
         .select("source", "source_size", "weight", "target")
     )
@@ -154,7 +155,7 @@ levels AS (
   FROM weighted),
 goal AS (
   SELECT source, source_size, CASE WHEN cap <= level * weight THEN cap
-         ELSE least(cap, (min(CASE WHEN NOT cap <= level * weight THEN level END) OVER ()) * weight) END AS target
+         ELSE least(cap, (max(CASE WHEN NOT cap <= level * weight THEN level END) OVER ()) * weight) END AS target
   FROM levels),
 queued AS (
   SELECT b.doc_id, b.size, g.source_size, g.target,
