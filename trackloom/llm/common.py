@@ -36,6 +36,11 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ids_and_texts(docs: DataFrame) -> DataFrame:
+    """doc_id long and text string, whatever else docs holds."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def crc_bucket(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo n; null for a null id."""
     return F.crc32(doc_id.cast("string")) % F.lit(n)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import bounded_sample, crc_bucket, slices
+from trackloom.llm.common import bounded_sample, crc_bucket, ids_and_texts, slices
 
 WINDOW = 64
 SIDE_BY_SIDE = 2048
@@ -212,7 +212,7 @@ def label(docs: DataFrame, net: Network | None) -> DataFrame:
                     lang[i] = net.languages[k]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang), pa.array(score), pa.array([len(t) for t in raw], pa.int64()), pa.array(agree)], names=["doc_id", "lang_pred", "score", "n_positions", "n_agreeing"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, n_positions long, n_agreeing long")
+    return ids_and_texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, n_positions long, n_agreeing long")
 
 
 def held_out_labels(docs: DataFrame, folds: int = 5, fold: int = 0, max_labelled: int = 2000) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from trackloom.llm import tokens
-from trackloom.llm.common import slices
+from trackloom.llm.common import ids_and_texts, slices
 
 TIERS = (128, 256, 512, 1024)
 STEP_TOKENS = 16 * 1024
@@ -144,4 +144,4 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, tiers: tuple[int, ...] = T
         yield packer.take(with_ids)
 
     fields = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window int, step_group long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(run, fields)
+    return ids_and_texts(docs).mapInArrow(run, fields)

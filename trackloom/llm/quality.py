@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import bounded_sample, slices
+from trackloom.llm.common import bounded_sample, ids_and_texts, slices
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -154,12 +154,15 @@ def _covers(rule: tuple[Condition, ...], x: pd.DataFrame) -> np.ndarray:
     return held
 
 
-def learn(x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions: int = 4, thresholds: int = 48, precision: float = 0.95, seed: int = 7) -> DecisionList:
-    """Sequential covering over statistics x (a column each) and labels `bad`; columns are tried in their order."""
+def learn(x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions: int = 4, thresholds: int = 48, precision: float = 0.95, support: float = 0.05, seed: int = 7) -> DecisionList:
+    """Sequential covering over statistics x (a column each) and labels `bad`; columns are tried in their order. A rule
+    must reach the precision and cover the share `support` of all rejected documents, in the growing and in the
+    pruning part."""
     rules: list[tuple[Condition, ...]] = []
     order = np.random.default_rng(seed).permutation(len(x))
     grow_rows, prune_rows = order[: len(order) * 2 // 3], order[len(order) * 2 // 3 :]
     names = list(x.columns)
+    least = [max(1.0, support * bad[rows].sum()) for rows in (grow_rows, prune_rows)]
     while len(rules) < max_rules and bad[grow_rows].sum() >= 3:
         gx, gy = x.iloc[grow_rows], bad[grow_rows]
         rule = _grow(gx, gy, names, max_conditions, thresholds)
@@ -167,9 +170,8 @@ def learn(x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions:
         if not rule:
             break
         g, p = _covers(rule, gx), _covers(rule, x.iloc[prune_rows])
-        right, all_ = bad[grow_rows][g].sum() + bad[prune_rows][p].sum(), g.sum() + p.sum()
-        seen_right = not p.any() or bad[prune_rows][p].mean() >= precision - 0.1
-        if right < 3 or right < precision * all_ or not seen_right:
+        right = [bad[rows][c].sum() for rows, c in ((grow_rows, g), (prune_rows, p))]
+        if right[0] < least[0] or right[1] < least[1] or sum(right) < max(3, precision * (g.sum() + p.sum())) or right[1] < (precision - 0.1) * p.sum():
             break
         rules.append(rule)
         grow_rows, prune_rows = grow_rows[~g], prune_rows[~p]
@@ -232,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Decis
 def judge(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:
     """doc_id, the base statistics, base_failed, kept."""
     rules = fit(docs, labels, max_labelled)
-    judged = with_stats(docs, ["doc_id"])
+    judged = with_stats(ids_and_texts(docs), ["doc_id"])
     return judged.select("doc_id", *[F.col(f"stats__.{n}").alias(n) for n in BASE], base_failed().alias("base_failed"), (~base_failed() & rules.kept(features())).alias("kept"))
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import slices
+from trackloom.llm.common import ids_and_texts, slices
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -102,7 +102,7 @@ def scan(docs: DataFrame) -> DataFrame:
             sha = [hashlib.sha256(joined([s for s in spans if s[1] < 3]).encode()).hexdigest() for spans in found]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(count[k], pa.int64()) for k in range(3)), pa.array(sha), pa.array([joined(s) for s in found]), pa.array(count[3], pa.int64())], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")
+    return ids_and_texts(docs).mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")
 
 
 def blanked(text: str | None, mark: str) -> str | None:

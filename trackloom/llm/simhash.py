@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import slices, written
+from trackloom.llm.common import ids_and_texts, slices, written
 
 BITS = 64
 
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return ids_and_texts(docs).mapInArrow(run, "doc_id long, fp long")
 
 
 def _cuts(bits: int, parts: int) -> list[int]:

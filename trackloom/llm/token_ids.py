@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.llm import tokens
-from trackloom.llm.common import slices, written
+from trackloom.llm.common import ids_and_texts, slices, written
 
 MAGIC = b"TLV1"
 HEAD = struct.Struct("<4sIII")
@@ -95,7 +95,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
             raw = [(b"2" if x.itemsize == 2 else b"4") + x.tobytes() for x in own]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) for x in own], pa.int64()), pa.array([squeeze.compress(x) for x in raw], pa.binary()), pa.array([zlib.crc32(x) for x in raw], pa.int64())], names=["doc_id", "n", "ids", "tie"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, ids binary, tie long")
+    return ids_and_texts(docs).mapInArrow(run, "doc_id long, n long, ids binary, tie long")
 
 
 def _raw_ids(column: pa.Array) -> list[np.ndarray]:

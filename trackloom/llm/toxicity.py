@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import bounded_sample, crc_bucket, slices, written
+from trackloom.llm.common import bounded_sample, crc_bucket, ids_and_texts, slices, written
 
 SENTENCE_END = re.compile(r"[.!?]+\s+|\n+")
 WORD = re.compile(r"\w+")
@@ -210,7 +210,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
             spots = [[dict(zip(("start", "end", "p"), x)) for x in model.locate(t, threshold)] if s >= threshold else [] for t, s in zip(texts, scores)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(spots, pa.list_(spot))], names=["doc_id", "score", "predicted", "offending"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int, offending array<struct<start: int, end: int, p: double>>")
+    return ids_and_texts(docs).mapInArrow(run, "doc_id long, score double, predicted int, offending array<struct<start: int, end: int, p: double>>")
 
 
 def held_out_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, max_labelled: int = 6000) -> DataFrame:
