@@ -131,7 +131,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, tiers: tuple[int, ...] = T
         encoder = tokens.Encoder.of(path, end_id)
         packer = Packer(tiers, TaskContext.get().partitionId() << 36, step_tokens)
         waiting = 0
-        for b in slices(batches, "text", 8 << 20):
+        for b in slices(batches, "text", 5 << 20):
             ids, ends = encoder.encode(b.column("text"))
             for doc_id, own in zip(b.column("doc_id").to_pylist(), np.split(ids, ends[:-1])):
                 packer.add(doc_id, own)

@@ -89,7 +89,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, squeeze = tokens.Encoder.of(path, end_id), zstandard.ZstdCompressor(level=1)
-        for b in slices(batches, "text", 8 << 20):
+        for b in slices(batches, "text", 5 << 20):
             ids, ends = encoder.encode(b.column("text"))
             own = [x.astype("<u2" if x.max(initial=0) < 1 << 16 else "<u4") for x in np.split(ids, ends[:-1])]
             raw = [(b"2" if x.itemsize == 2 else b"4") + x.tobytes() for x in own]
