@@ -133,7 +133,7 @@ def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats
     stream, _ = mix(docs, weights, max_repeats, cut=False)
     passes = stream.groupBy(F.col("doc_id").alias("mix_id")).agg(F.count("*").alias("mix_passes"))
     rows = docs.groupBy(F.col("doc_id").alias("mix_key")).agg(F.count("*").alias("mix_rows"))
-    copies = passes.join(rows, _same("mix_id", "mix_key")).select("mix_id", F.ceil(F.col("mix_passes") / F.col("mix_rows")).cast("int").alias("mix_copies"))
+    copies = passes.join(rows, _same("mix_id", "mix_key")).select("mix_id", F.ceil(F.col("mix_passes") / F.col("mix_rows")).cast("int").alias("mix_copies")).hint("shuffle_hash")  # not broadcast: ids grow with the corpus
     kept = docs.alias("d").join(copies.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.mix_id")))
     return kept.select("d.*", F.explode(F.sequence(F.lit(1), F.col("c.mix_copies"))).alias("mix_copy__")).drop("mix_copy__")
 
