@@ -15,9 +15,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays: five-word shingles, and fingerprints
-    within two bits."""
-    return simhash.dedup(docs, shingle=5)
+    """Of each group of near copies, 0.8 similar or more by five-word shingles, the document with the smallest doc_id
+    stays."""
+    return simhash.dedup(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,7 +325,7 @@ def test_trie_links_everything(budget):
     base = r.integers(0, 2**63, 60, dtype=np.uint64)
     flips = base[r.integers(60, size=300)] ^ (np.uint64(1) << r.integers(0, 64, 300, dtype=np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 300, dtype=np.uint64))
     keys = np.unique(np.concatenate([base, flips]))
-    i, j = simhash.trie_links(keys, 0, budget, limit=500)
+    i, j = simhash.trie_links(keys, 0, budget, limit=100)
     joined = brute_components({k: int(v) for k, v in enumerate(keys)}, budget)
     parent = list(range(len(keys)))
     for a, b in zip(i.tolist(), j.tolist()):
@@ -362,14 +362,48 @@ def test_many_close_fingerprints(spark):
     assert {i: got.get(i, i) for i in reps} == want
 
 
+def jaccard(a, b, n=5):
+    grams = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set() for w in (WORDS.findall(t.lower()) for t in (a, b))]
+    return len(grams[0] & grams[1]) / max(1, len(grams[0] | grams[1]))
+
+
+def test_similar_texts_are_linked(spark):
+    r = np.random.default_rng(4)
+    word = lambda: f"w{r.integers(5000)}"
+    texts, of = [], []
+    for g in range(40):
+        base = [word() for _ in range(int(r.integers(60, 600)))]
+        for _ in range(1 + 4 * (g % 2)):
+            copy = list(base)
+            for at in r.integers(0, len(base), max(1, len(base) // 100)):
+                copy[int(at)] = word()
+            texts.append(" ".join(copy))
+            of.append(g)
+    got = {x.doc_id: x.component_id for x in simhash.similar_groups(docs(spark, texts)).collect()}
+    assert all(of[i] == of[c] for i, c in got.items())
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if of[i] == of[j] and jaccard(texts[i], texts[j]) >= 0.8]
+    assert len(pairs) > 100 and sum(got[i] == got[j] for i, j in pairs) > 0.97 * len(pairs)
+
+
+def test_crowd_stays_cheap(monkeypatch):
+    r = np.random.default_rng(1)
+    wide = np.packbits((r.random(768) < 0.5)[None] ^ (r.random((3000, 768)) < 0.07), axis=1)
+    keys = simhash.band_keys(wide)[:, 0]
+    order = np.argsort(keys, kind="stable")
+    words, asked = wide[order].view(np.uint64), []
+    check = lambda i, j: asked.append(len(i)) or np.bitwise_count(words[i] ^ words[j]).sum(1) <= 126
+    i, j = simhash.trie_links(keys[order] << np.uint64(32) | np.arange(3000, dtype=np.uint64), 8, 2, 32, check)
+    assert len(i) < 3000 and sum(asked) < 100 * 3000
+
+
 def test_dedup_keeps_one(spark):
     base = " ".join(f"word{i}" for i in range(300))
     texts = [base, base, base + " tail", "another text altogether of some length", None, ""]
     table = docs(spark, texts, component_id=1)
-    kept = simhash.dedup(table, 5)
+    kept = simhash.dedup(table)
     assert kept.columns == table.columns and sorted(x.doc_id for x in kept.collect()) == [0, 3, 4]
     again = table.union(table).union(table.filter("doc_id = 3").withColumn("doc_id", F.lit(None).cast("long")))
-    assert sorted((x.doc_id is None, x.doc_id) for x in simhash.dedup(again, 5).collect()) == [(False, 0), (False, 3), (False, 4), (True, None)]
+    assert sorted((x.doc_id is None, x.doc_id) for x in simhash.dedup(again).collect()) == [(False, 0), (False, 3), (False, 4), (True, None)]
 
 
 # 8: secrets ------------------------------------------------------------------------------------------------------------

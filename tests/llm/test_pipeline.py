@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 
 import corpus_pipeline
-from tests.llm.test_operators import WORDS, brute_components, brute_fingerprint, brute_stats, check_pieces, mix_targets, whole_ids
+from tests.llm.test_operators import WORDS, brute_stats, check_pieces, jaccard, mix_targets, whole_ids
 from trackloom.llm import secrets
 
 DATA = "/root/testdata/sf0.001"
@@ -29,8 +30,12 @@ def test_stages(spark, tmp_path):
     assert not ids & failed and not ids & bad
     assert len(ids) > 0.9 * len({x.doc_id for x in before} - failed - bad)
 
-    groups = brute_components({x.doc_id: brute_fingerprint(x.text, 5) for x in quality})
-    assert {x.doc_id for x in dedup} == set(groups.values())
+    stay = {x.doc_id for x in dedup}
+    texts = {x.doc_id: x.text for x in quality}
+    close = {(a, b): jaccard(texts[a], texts[b]) for a, b in itertools.combinations(sorted(texts), 2)}
+    assert not [p for p, s in close.items() if s >= 0.85 and set(p) <= stay]
+    assert {i for i in texts if max((s for p, s in close.items() if i in p), default=0) < 0.6} <= stay
+    assert stay <= set(texts)
 
     assert {x.doc_id for x in clean} == {x.doc_id for x in dedup} and not any(secrets.find(x.text or "") for x in clean)
     text = {x.doc_id: x.text for x in dedup}

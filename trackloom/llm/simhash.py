@@ -1,8 +1,9 @@
-"""SimHash near-dedup: 64-bit fingerprints of word shingles, linked within a Hamming budget by a binary trie self-join.
+"""SimHash near-dedup: fingerprints of word shingles, linked within a Hamming budget by a binary trie self-join.
 
-Fingerprints: text lower-cased in A-Z, words by ASCII white space, shingles of `shingle` words joined by a space (the
-whole sequence if there are fewer), XXH64 with seed 42; a bit is set if it is set in over half of the shingles' hashes,
-repeats included. A text without words has fingerprint zero.
+`near_groups` works on 64-bit fingerprints: text lower-cased in A-Z, words by ASCII white space, shingles of `shingle`
+words joined by a space (the whole sequence if there are fewer), XXH64 with seed 42; a bit is set if it is set in over
+half of the shingles' hashes, repeats included. A text without words has fingerprint zero. `similar_groups` and `dedup`
+work by similarity, on wide fingerprints (below).
 
 Linking runs on distinct fingerprints, so exact copies cost one row. The 64 bits are cut into budget + 1 blocks; two
 fingerprints within the budget agree on one block, and, of the other bits cut into budget + 1 parts again, on one part.
@@ -21,7 +22,8 @@ empty table gives an empty result; very long texts are read whole; other columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,54 +89,69 @@ def _reorder(fps: np.ndarray, order: list[int]) -> np.ndarray:
     return out
 
 
-def trie_links(keys: np.ndarray, top: int, budget: int, limit: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def trie_links(keys: np.ndarray, top: int, budget: int, counted: int = BITS, verify: Callable | None = None, limit: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of a spanning forest of the links within `budget` among the sorted distinct keys that agree on their
-    first `top` bits. Node pairs are traversed breadth first; over `limit` of them at once are done in parts."""
-    tops = keys >> np.uint64(BITS - top) if top else np.zeros(len(keys), np.uint64)
-    begin = np.flatnonzero(np.concatenate([[True], tops[1:] != tops[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    end = np.append(begin[1:], len(keys))
+    first `top` bits. Only the first `counted` bits count as differing; `verify` may refuse a pair of index arrays.
+
+    Node pairs are traversed together, a node with itself before nodes with each other, at most `limit` at once. Besides
+    pairs over the budget, pairs of nodes whose leaves are all in one component are dropped: they can add no link. So
+    a crowd of close keys costs little more than its forest."""
+    n = len(keys)
+    tops = keys >> np.uint64(BITS - top) if top else np.zeros(n, np.uint64)
+    begin = np.flatnonzero(np.concatenate([[True], tops[1:] != tops[:-1]])) if n else np.zeros(0, np.int64)
+    end = np.append(begin[1:], n)
     some = end - begin > 1
     begin, end = begin[some], end[some]
-    parent = np.arange(len(keys))
+    parent = np.arange(n)
+    root, changes = parent.copy(), np.arange(n)
     forest: tuple[list, list] = ([], [])
     stack = [(top, begin, end, begin, end, np.zeros(len(begin), np.int8))] if len(begin) else []
     while stack:
         depth, a0, a1, b0, b1, err = stack.pop()
         if len(a0) > limit:
-            half = len(a0) // 2
-            stack += [(depth, *(x[:half] for x in (a0, a1, b0, b1, err))), (depth, *(x[half:] for x in (a0, a1, b0, b1, err)))]
+            for k in range((len(a0) - 1) // limit, -1, -1):
+                stack.append((depth, *(x[k * limit : (k + 1) * limit] for x in (a0, a1, b0, b1, err))))
             continue
-        # Pairs of single leaves, and pairs at the last bit, are compared directly.
-        leaf = (a1 - a0 == 1) & (b1 - b0 == 1)
+        one = (root[a0] == root[b0]) & (changes[a0] == changes[a1 - 1]) & (changes[b0] == changes[b1 - 1])
+        leaf = (a1 - a0 == 1) & (b1 - b0 == 1) & ~one
         if leaf.any():
             i, j = a0[leaf], b0[leaf]
-            near = np.bitwise_count(keys[i] ^ keys[j]) <= budget
-            for x, y in zip(i[near].tolist(), j[near].tolist()):
+            near = np.bitwise_count((keys[i] ^ keys[j]) >> np.uint64(BITS - counted)) <= budget
+            i, j = i[near], j[near]
+            if verify is not None and len(i):
+                near = verify(i, j)
+                i, j = i[near], j[near]
+            for x, y in zip(i.tolist(), j.tolist()):
                 x_root, y_root = _root(parent, x), _root(parent, y)
                 if x_root != y_root:
                     parent[max(x_root, y_root)] = min(x_root, y_root)
                     forest[0].append(x)
                     forest[1].append(y)
-            a0, a1, b0, b1, err = (x[~leaf] for x in (a0, a1, b0, b1, err))
+            if len(i):
+                root = parent
+                while (up := root[root]).tobytes() != root.tobytes():
+                    root = up
+                parent = root.copy()
+                changes = np.concatenate([[0], np.cumsum(root[1:] != root[:-1])])
+        go_on = ~one & ~leaf
+        a0, a1, b0, b1, err = (x[go_on] for x in (a0, a1, b0, b1, err))
         if not len(a0):
             continue
         bit = np.uint64(BITS - 1 - depth)
         a_mid, b_mid = _split(keys, a0, a1, bit), _split(keys, b0, b1, bit)
         own = (a0 == b0) & (a1 == b1)  # a node with itself: its children with themselves and with each other
-        children = [
-            (a0, a_mid, b0, b_mid, err, np.ones(len(a0), bool)),
-            (a_mid, a1, b_mid, b1, err, np.ones(len(a0), bool)),
-            (a0, a_mid, b_mid, b1, err + 1, np.ones(len(a0), bool)),
-            (a_mid, a1, b0, b_mid, err + 1, ~own),
-        ]
-        parts = []
+        more = err + (depth < counted)
+        children = [(a0, a_mid, b0, b_mid, err, True), (a_mid, a1, b_mid, b1, err, True), (a0, a_mid, b_mid, b1, more, True), (a_mid, a1, b0, b_mid, more, ~own)]
+        selves, others = [], []
         for c0, c1, d0, d1, e, ok in children:
             same = (c0 == d0) & (c1 == d1)
-            ok = ok & (c1 > c0) & (d1 > d0) & (e <= budget) & ~(same & (c1 - c0 == 1))
-            parts.append(tuple(x[ok] for x in (c0, c1, d0, d1, e)))
-        joined = [np.concatenate(x) for x in zip(*parts)]
-        if len(joined[0]):
-            stack.append((depth + 1, *joined))
+            ok = ok & (c1 > c0) & (d1 > d0) & (e <= budget)
+            selves.append(tuple(x[ok & same & (c1 - c0 > 1)] for x in (c0, c1, d0, d1, e)))
+            others.append(tuple(x[ok & ~same] for x in (c0, c1, d0, d1, e)))
+        for parts in (others, selves):
+            joined = [np.concatenate(x) for x in zip(*parts)]
+            if len(joined[0]):
+                stack.append((depth + 1, *joined))
     return np.array(forest[0], np.int64), np.array(forest[1], np.int64)
 
 
@@ -229,13 +246,114 @@ def hex16(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def dedup(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
+# Near copies by similarity. Texts whose shingle sets have a Jaccard similarity of 0.8 differ in about 15 % of SimHash
+# bits: far beyond a budget that a trie can prune by on one 64-bit fingerprint. So a fingerprint of many more bits is
+# taken, and many bands of it, each a random choice of bits, are joined as tries of their own: one band in some dozens
+# has near copies within two bits. Links are then checked on all bits, whose share of differing ones tells the angle.
+
+WIDE_WORDS = 12
+BANDS = 64
+BAND_TOP, BAND_BITS, BAND_BUDGET = 8, 32, 2
+
+
+def wide_fingerprint(text: str | None, shingle: int, words_out: int = WIDE_WORDS) -> bytes:
+    """words_out 64-bit SimHashes of the set of shingles, each of hashes mixed from XXH64 by another constant."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return bytes(8 * words_out)
+    if len(words) < shingle:
+        shingles = {b" ".join(words)}
+    else:
+        shingles = set(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array([digest(s, 42) for s in shingles], np.uint64)
+    set_in = np.zeros((words_out, BITS), np.int64)
+    for begin in range(0, len(hashes), 1 << 12):
+        part = hashes[begin : begin + (1 << 12)]
+        for k in range(words_out):
+            mixed = (part ^ (part >> np.uint64(31))) * np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            mixed ^= mixed >> np.uint64(32)
+            set_in[k] += np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(set_in * 2 > len(hashes), axis=1).tobytes()
+
+
+def most_differing(similarity: float, bits: int = WIDE_WORDS * BITS) -> int:
+    """Differing bits to expect at a Jaccard similarity of sets of one size, and a standard deviation more."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(share * bits + math.sqrt(bits * share * (1 - share)))
+
+
+def band_keys(wide: np.ndarray) -> np.ndarray:
+    """(n, BANDS) keys of BAND_BITS bits; wide (n, bytes)."""
+    bits = np.unpackbits(wide, axis=1)
+    r = np.random.default_rng(11)
+    powers = (1 << np.arange(BAND_BITS - 1, -1, -1)).astype(np.uint64)
+    return np.stack([bits[:, r.permutation(bits.shape[1])[:BAND_BITS]].astype(np.uint64) @ powers for _ in range(BANDS)], axis=1)
+
+
+def _wide(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _band_links(classes: DataFrame, most: int | None) -> DataFrame:
+    """(a, b): forests of the links in each band of classes (rep, wide). Without `most` rows travel without their wide
+    fingerprint and links are those of the bands alone; with it they are checked on all bits."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2048):
+                b = whole.slice(at, 2048)
+                keys = band_keys(_wide(b.column("wide"))) if b.num_rows else np.zeros((0, BANDS), np.uint64)
+                for k in range(BANDS):
+                    columns = [pa.array(np.full(b.num_rows, k, np.int32)), pa.array((keys[:, k] >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int32)), pa.array(keys[:, k].astype(np.int64)), b.column("rep")]
+                    yield pa.RecordBatch.from_arrays(columns + [b.column("wide")] * (most is not None), names=["band", "top", "key", "rep"] + ["wide"] * (most is not None))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = list(batches)
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches)
+        band, key, rep = (rows.column(n).to_numpy() for n in ("band", "key", "rep"))
+        wide = None if most is None else _wide(rows.column("wide")).view(np.uint64)
+        order = np.lexsort((rep, key, band))
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(band[order]) != 0]))
+        for mine in np.split(order, starts[1:]):
+            if len(mine) > 1:
+                # Equal keys are told apart by bits that don't count.
+                keys = key[mine].astype(np.uint64) << np.uint64(BITS - BAND_BITS) | np.arange(len(mine), dtype=np.uint64)
+                check = None if most is None else lambda i, j, mine=mine: np.bitwise_count(wide[mine[i]] ^ wide[mine[j]]).sum(1) <= most
+                i, j = trie_links(keys, BAND_TOP, BAND_BUDGET, BAND_BITS, check)
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(rep[mine[i]]), pa.array(rep[mine[j]])], names=["a", "b"])
+
+    sent = classes.select("rep", "wide").mapInArrow(send, "band int, top int, key long, rep long" + ", wide binary" * (most is not None))
+    return sent.repartition("band", "top").mapInArrow(join, "a long, b long").distinct()
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id, component_id: a row per document with the smallest doc_id that it reaches by links of texts whose sets of
+    shingles are about as similar as asked, or more. A first pass over the bands finds the documents that have any
+    neighbour; only these carry their wide fingerprint through the second."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 8 << 20):
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([wide_fingerprint(t, shingle) for t in b.column("text").to_pylist()], pa.binary())], names=["doc_id", "wide"])
+
+    found = written(ids_and_texts(docs).mapInArrow(run, "doc_id long, wide binary"), "simhash-wide")
+    classes = written(found.groupBy("wide").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "simhash-wide-classes")
+    met = written(_band_links(classes, None).select(F.explode(F.array("a", "b")).alias("met")).distinct(), "simhash-met")
+    reached = components(_band_links(classes.join(met, F.col("rep") == F.col("met"), "left_semi"), most_differing(similarity)))
+    named = classes.join(reached, F.col("rep") == F.col("node"), "left").select(F.col("wide").alias("class_wide"), F.coalesce("component", "rep").alias("component_id"))
+    return found.join(named, F.col("wide") == F.col("class_wide"), "left").select("doc_id", "component_id")
+
+
+def dedup(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one document of each group, the one with the smallest doc_id; columns unchanged. Rows that share a
     doc_id are one document, of which one row stays; rows without a doc_id stay."""
-    groups = near_groups(docs.select("doc_id", "text"), shingle, budget)
-    fold = written(groups.select("doc_id", "component_id"), "simhash-groups")
+    fold = written(similar_groups(docs, shingle, similarity), "simhash-groups")
     rows, ids = fold.agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
-    drop = fold.filter("doc_id <> component_id").select(F.col("doc_id").alias("drop_id")).distinct()
+    drop = fold.filter("doc_id <> component_id").select(F.col("doc_id").alias("drop_id")).distinct().hint("shuffle_hash")  # not broadcast: ids grow with the corpus
     kept = docs.join(drop, docs["doc_id"] == F.col("drop_id"), "left_anti")
     if rows == ids:
         return kept
