@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from trackloom import params
+from trackloom import params, schemas
 from trackloom.functions.linker import Options
 from trackloom.operators import linking
 from trackloom.plans import experiment
@@ -84,6 +84,18 @@ def test_movie_from_files(spark, tmp_path):
     want = [(10.0 if f % 2 else 20.0) + f for f in range(4, 9)]
     assert row["GFP"] == pytest.approx(np.mean(want)) and row["GFP_std"] == pytest.approx(np.std(want)) and row["GFP_int_corr"] == 1.0
     assert experiment.display_frames(tracks).count() == 2 * n
+    files = spark.createDataFrame([("a.tif", "b.tif")], "instance string, semantic string")
+    book = tmp_path / "m_A01_s1_inference"
+    book.mkdir()
+    experiment.save_summary(measured, files, p, str(book / "m_A01_s1_summary.xlsx"))
+    experiment.save_analysis(measured, files, p, str(book / "m_A01_s1_analysis.xlsx"))
+    experiment.save_tracks(tracks, str(book / "m_A01_s1_tracks.xlsx"))
+    content = (book / "m_A01_s1_summary.xlsx").read_bytes()
+    assert sheets.rows_of(content, "quality") == [{"Area std.": 0.0, "n_peaks": 0.0, "track number": 0.0}]
+    assert sheets.rows_of(content, "file_data")[0] == {"name": "instance", "value": "a.tif"}
+    back = sheets.read_workbooks(spark, str(book), schemas.SUMMARY + ", GFP double").first()
+    assert (back.folder, back.mito_start, back.mitosis) == ("m_A01_s1_inference", 3, 5.0) and back.GFP == pytest.approx(row["GFP"])
+    assert sheets.read_workbooks(spark, str(book), "particle long, GFP double", "*analysis.xlsx").count() == 2 * n
 
 
 def test_streaming_linker_equals_batch(spark, tmp_path):

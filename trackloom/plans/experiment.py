@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trackloom import params
 from trackloom.functions.names import canonical_channel
 from trackloom.operators import images, linking, measure, regions, smoothing, summarize
 from trackloom.params import CellParams
+from trackloom.sources import sheets
 
 
 def track(labels: DataFrame, states: DataFrame, p: CellParams, mode: str | None = None, radius: float | None = None, memory: int | None = None, scope: str = "global") -> DataFrame:
@@ -39,3 +41,25 @@ def summary(tracks: DataFrame, p: CellParams) -> DataFrame:
 def display_frames(tracks: DataFrame) -> DataFrame:
     """What a viewer needs of tracks: particle, frame, x, y, ordered."""
     return tracks.select("movie_id", "particle", "frame", "x", "y", F.col("semantic_smoothed").alias("state")).orderBy("movie_id", "particle", "frame")
+
+
+def save_tracks(tracks: DataFrame, path: str) -> None:
+    """The tracks sheet; Parquet is for anything larger than a sheet."""
+    sheets.write_workbook(path, {"cell_data": tracks.orderBy("movie_id", "particle", "frame")})
+
+
+def save_analysis(tracks: DataFrame, files: DataFrame, p: CellParams, path: str) -> None:
+    """Measured tracks with the files and parameters they come from."""
+    sheets.write_workbook(path, {"cell_data": tracks.orderBy("movie_id", "particle", "frame"), "file_data": key_values(files), "parameters": params.key_values(tracks.sparkSession, p)})
+
+
+def save_summary(tracks: DataFrame, files: DataFrame, p: CellParams, path: str) -> None:
+    """Summary, files, parameters, and the quality sheet (areas' deviation beside the histogram of events)."""
+    quality = summarize.quality_sheet(*summarize.quality(tracks, p.min_mitotic_frames)).orderBy("row").drop("row")
+    sheets.write_workbook(path, {"Summary": summary(tracks, p).drop("movie_id").orderBy("particle"), "file_data": key_values(files), "parameters": params.key_values(tracks.sparkSession, p), "quality": quality})
+
+
+def key_values(row: DataFrame) -> DataFrame:
+    """A one-row relation as (name, value) rows."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("value")) for c in row.columns])
+    return row.select(F.inline(pairs))
