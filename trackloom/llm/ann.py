@@ -10,7 +10,7 @@ queries at once: one step opens the nearest unopened nodes of all of them.
 The graphs are written to the shared folder as flat arrays, a row per shard. Queries come in blocks of bounded size,
 each block visits each shard, and the nearest of all shards are ranked by exact distances in double precision.
 
-Defined results: vectors that are null, zero, of another length than the first, or that hold a null or a non-finite
+Defined results: vectors that are null, zero, of another length than most, or that hold a null or a non-finite
 component take no part, as queries and as candidates; a null id takes no part; equal distances rank by the smaller id;
 rows with the same id and vector are one, other rows of the same id are candidates each; if there are fewer
 candidates than asked for, all are returned; an empty table gives an empty result; other columns are ignored.
