@@ -325,7 +325,7 @@ def test_trie_links_everything(budget):
     base = r.integers(0, 2**63, 60, dtype=np.uint64)
     flips = base[r.integers(60, size=300)] ^ (np.uint64(1) << r.integers(0, 64, 300, dtype=np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 300, dtype=np.uint64))
     keys = np.unique(np.concatenate([base, flips]))
-    i, j = simhash.trie_links(keys, 0, budget, limit=100)
+    i, j = simhash.trie_links(keys, np.zeros(1, np.int64), 0, budget, limit=100, small=20)
     joined = brute_components({k: int(v) for k, v in enumerate(keys)}, budget)
     parent = list(range(len(keys)))
     for a, b in zip(i.tolist(), j.tolist()):
@@ -392,7 +392,7 @@ def test_crowd_stays_cheap(monkeypatch):
     order = np.argsort(keys, kind="stable")
     words, asked = wide[order].view(np.uint64), []
     check = lambda i, j: asked.append(len(i)) or np.bitwise_count(words[i] ^ words[j]).sum(1) <= 126
-    i, j = simhash.trie_links(keys[order] << np.uint64(32) | np.arange(3000, dtype=np.uint64), 8, 2, 32, check)
+    i, j = simhash.trie_links(keys[order] << np.uint64(32) | np.arange(3000, dtype=np.uint64), simhash.starts(keys[order] >> np.uint64(24)), 8, 2, 32, None, check)
     assert len(i) < 3000 and sum(asked) < 100 * 3000
 
 

@@ -89,28 +89,32 @@ def _reorder(fps: np.ndarray, order: list[int]) -> np.ndarray:
     return out
 
 
-def trie_links(keys: np.ndarray, top: int, budget: int, counted: int = BITS, verify: Callable | None = None, limit: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a spanning forest of the links within `budget` among the sorted distinct keys that agree on their
-    first `top` bits. Only the first `counted` bits count as differing; `verify` may refuse a pair of index arrays.
-
-    Node pairs are traversed together, a node with itself before nodes with each other, at most `limit` at once. Besides
-    pairs over the budget, pairs of nodes whose leaves are all in one component are dropped: they can add no link. So
-    a crowd of close keys costs little more than its forest."""
+def trie_links(keys: np.ndarray, begin: np.ndarray, top: int, budget: int, counted: int = BITS, nodes: np.ndarray | None = None, verify: Callable | None = None, limit: int = 1 << 17, small: int = 1 << 12) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of a spanning forest of the links within `budget` inside each group of rows. Groups start at `begin`;
+    a group's keys are sorted, distinct and agree on their first `top` bits. Only the first `counted` bits count as
+    differing; `verify` may refuse pairs. Rows with one number in `nodes` are one node of the forest.
+
+    Node pairs are traversed together, at most `limit` at once, and while there are more than `small`, trie nodes with
+    themselves go before trie nodes with each other. Besides pairs over the budget, pairs whose leaves are all in one
+    component are dropped: they can add no link. So a crowd of close keys costs little more than its forest."""
     n = len(keys)
-    tops = keys >> np.uint64(BITS - top) if top else np.zeros(n, np.uint64)
-    begin = np.flatnonzero(np.concatenate([[True], tops[1:] != tops[:-1]])) if n else np.zeros(0, np.int64)
-    end = np.append(begin[1:], n)
+    nodes = np.arange(n) if nodes is None else nodes
+    end = np.append(begin[1:], n)[: len(begin)]
     some = end - begin > 1
     begin, end = begin[some], end[some]
-    parent = np.arange(n)
-    root, changes = parent.copy(), np.arange(n)
+    parent = np.arange(int(nodes.max(initial=-1)) + 1)
+
+    def components() -> tuple[np.ndarray, np.ndarray]:
+        root = parent[nodes]
+        return root, np.concatenate([[0], np.cumsum(root[1:] != root[:-1])])
+
+    root, changes = components()
     forest: tuple[list, list] = ([], [])
-    stack = [(top, begin, end, begin, end, np.zeros(len(begin), np.int8))] if len(begin) else []
+    stack = [(np.full(len(begin), top, np.int64), begin, end, begin, end, np.zeros(len(begin), np.int8))] if len(begin) else []
     while stack:
-        depth, a0, a1, b0, b1, err = stack.pop()
+        depth, a0, a1, b0, b1, err = pairs = stack.pop()
         if len(a0) > limit:
-            for k in range((len(a0) - 1) // limit, -1, -1):
-                stack.append((depth, *(x[k * limit : (k + 1) * limit] for x in (a0, a1, b0, b1, err))))
+            stack += [tuple(x[k : k + limit] for x in pairs) for k in range((len(a0) - 1) // limit * limit, -1, -limit)]
             continue
         one = (root[a0] == root[b0]) & (changes[a0] == changes[a1 - 1]) & (changes[b0] == changes[b1 - 1])
         leaf = (a1 - a0 == 1) & (b1 - b0 == 1) & ~one
@@ -122,39 +126,41 @@ def trie_links(keys: np.ndarray, top: int, budget: int, counted: int = BITS, ver
                 near = verify(i, j)
                 i, j = i[near], j[near]
             for x, y in zip(i.tolist(), j.tolist()):
-                x_root, y_root = _root(parent, x), _root(parent, y)
+                x_root, y_root = _root(parent, nodes[x]), _root(parent, nodes[y])
                 if x_root != y_root:
                     parent[max(x_root, y_root)] = min(x_root, y_root)
                     forest[0].append(x)
                     forest[1].append(y)
             if len(i):
-                root = parent
-                while (up := root[root]).tobytes() != root.tobytes():
-                    root = up
-                parent = root.copy()
-                changes = np.concatenate([[0], np.cumsum(root[1:] != root[:-1])])
-        go_on = ~one & ~leaf
-        a0, a1, b0, b1, err = (x[go_on] for x in (a0, a1, b0, b1, err))
+                while not np.array_equal(up := parent[parent], parent):
+                    parent = up
+                root, changes = components()
+        depth, a0, a1, b0, b1, err = (x[~one & ~leaf] for x in pairs)
         if not len(a0):
             continue
-        bit = np.uint64(BITS - 1 - depth)
+        bit = (BITS - 1 - depth).astype(np.uint64)
         a_mid, b_mid = _split(keys, a0, a1, bit), _split(keys, b0, b1, bit)
         own = (a0 == b0) & (a1 == b1)  # a node with itself: its children with themselves and with each other
         more = err + (depth < counted)
-        children = [(a0, a_mid, b0, b_mid, err, True), (a_mid, a1, b_mid, b1, err, True), (a0, a_mid, b_mid, b1, more, True), (a_mid, a1, b0, b_mid, more, ~own)]
         selves, others = [], []
-        for c0, c1, d0, d1, e, ok in children:
+        for c0, c1, d0, d1, e, ok in ((a0, a_mid, b0, b_mid, err, True), (a_mid, a1, b_mid, b1, err, True), (a0, a_mid, b_mid, b1, more, True), (a_mid, a1, b0, b_mid, more, ~own)):
             same = (c0 == d0) & (c1 == d1)
             ok = ok & (c1 > c0) & (d1 > d0) & (e <= budget)
-            selves.append(tuple(x[ok & same & (c1 - c0 > 1)] for x in (c0, c1, d0, d1, e)))
-            others.append(tuple(x[ok & ~same] for x in (c0, c1, d0, d1, e)))
-        for parts in (others, selves):
-            joined = [np.concatenate(x) for x in zip(*parts)]
+            selves.append(tuple(x[ok & same & (c1 - c0 > 1)] for x in (depth + 1, c0, c1, d0, d1, e)))
+            others.append(tuple(x[ok & ~same] for x in (depth + 1, c0, c1, d0, d1, e)))
+        few = sum(len(x[0]) for x in selves + others) <= small
+        for parts in (others + selves,) if few else (others, selves):
+            joined = tuple(np.concatenate(x) for x in zip(*parts))
             if len(joined[0]):
-                stack.append((depth + 1, *joined))
+                stack.append(joined)
     return np.array(forest[0], np.int64), np.array(forest[1], np.int64)
 
 
+def starts(groups: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]])) if len(groups) else np.zeros(0, np.int64)
+
+
 def _root(parent: np.ndarray, x: int) -> int:
     while parent[x] != x:
         parent[x] = parent[parent[x]]
@@ -162,13 +168,13 @@ def _root(parent: np.ndarray, x: int) -> int:
     return x
 
 
-def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64) -> np.ndarray:
+def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray) -> np.ndarray:
     """The first index of each sorted range whose key has `bit` set, all ranges bisected together."""
     lo, hi = lo.copy(), hi.copy()
     while (open_ := lo < hi).any():
         mid = (lo + hi) >> 1
         is_set = np.zeros(len(lo), bool)
-        is_set[open_] = (keys[mid[open_]] >> bit) & np.uint64(1) == 1
+        is_set[open_] = (keys[mid[open_]] >> bit[open_]) & np.uint64(1) == 1
         hi = np.where(open_ & is_set, mid, hi)
         lo = np.where(open_ & ~is_set, mid + 1, lo)
     return lo
@@ -198,7 +204,7 @@ def links(classes: DataFrame, budget: int = 2) -> DataFrame:
                 continue
             keys = key[mine].view(np.uint64)
             order = np.argsort(keys, kind="stable")
-            i, j = trie_links(keys[order], made[k][0], budget)
+            i, j = trie_links(keys[order], starts(keys[order] >> np.uint64(BITS - made[k][0])), made[k][0], budget)
             if len(i):
                 a, b = rep[mine[order[i]]], rep[mine[order[j]]]
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -267,14 +273,16 @@ def wide_fingerprint(text: str | None, shingle: int, words_out: int = WIDE_WORDS
         shingles = set(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(s, 42) for s in shingles], np.uint64)
+    odd = np.array([(2 * k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1) for k in range(words_out)], np.uint64)[:, None]
     set_in = np.zeros((words_out, BITS), np.int64)
-    for begin in range(0, len(hashes), 1 << 12):
-        part = hashes[begin : begin + (1 << 12)]
-        for k in range(words_out):
-            mixed = (part ^ (part >> np.uint64(31))) * np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1))
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            mixed ^= mixed >> np.uint64(32)
-            set_in[k] += np.unpackbits(mixed.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    for begin in range(0, len(hashes), 8 * 255):
+        part = hashes[begin : begin + 8 * 255]
+        mixed = (part ^ (part >> np.uint64(31)))[None] * odd
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(32)
+        bits = np.unpackbits(mixed.view(np.uint8), axis=1).reshape(words_out, len(part), BITS)
+        for at in range(0, len(part), 255):  # so many ones fit a byte
+            set_in += np.add.reduce(bits[:, at : at + 255], axis=1, dtype=np.uint8)
     return np.packbits(set_in * 2 > len(hashes), axis=1).tobytes()
 
 
@@ -315,17 +323,17 @@ def _band_links(classes: DataFrame, most: int | None) -> DataFrame:
             return
         rows = pa.Table.from_batches(batches)
         band, key, rep = (rows.column(n).to_numpy() for n in ("band", "key", "rep"))
-        wide = None if most is None else _wide(rows.column("wide")).view(np.uint64)
         order = np.lexsort((rep, key, band))
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(band[order]) != 0]))
-        for mine in np.split(order, starts[1:]):
-            if len(mine) > 1:
-                # Equal keys are told apart by bits that don't count.
-                keys = key[mine].astype(np.uint64) << np.uint64(BITS - BAND_BITS) | np.arange(len(mine), dtype=np.uint64)
-                check = None if most is None else lambda i, j, mine=mine: np.bitwise_count(wide[mine[i]] ^ wide[mine[j]]).sum(1) <= most
-                i, j = trie_links(keys, BAND_TOP, BAND_BUDGET, BAND_BITS, check)
-                if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(rep[mine[i]]), pa.array(rep[mine[j]])], names=["a", "b"])
+        key, rep = key[order].astype(np.uint64), rep[order]
+        groups = band[order].astype(np.int64) << BAND_TOP | (key >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int64)
+        # Equal keys of a group are told apart by bits that don't count.
+        keys = key << np.uint64(BITS - BAND_BITS) | np.arange(len(key), dtype=np.uint64)
+        check = None
+        if most is not None:
+            wide = _wide(rows.column("wide")).view(np.uint64)[order]
+            check = lambda i, j: np.bitwise_count(wide[i] ^ wide[j]).sum(1) <= most
+        i, j = trie_links(keys, starts(groups), BAND_TOP, BAND_BUDGET, BAND_BITS, np.unique(rep, return_inverse=True)[1], check)
+        yield pa.RecordBatch.from_arrays([pa.array(rep[i]), pa.array(rep[j])], names=["a", "b"])
 
     sent = classes.select("rep", "wide").mapInArrow(send, "band int, top int, key long, rep long" + ", wide binary" * (most is not None))
     return sent.repartition("band", "top").mapInArrow(join, "a long, b long").distinct()
