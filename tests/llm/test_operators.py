@@ -569,3 +569,17 @@ def test_bounded_sample(spark):
     picked = sorted(x.doc_id for x in common.bounded_sample(rows, "doc_id", 50).collect())
     assert picked == sorted(sorted(range(5000), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:50])
     assert common.bounded_sample(rows, "doc_id", 9000).count() == 5000
+
+
+@pytest.mark.parametrize("most", [1, 10, 10_000])
+def test_slices_keep_rows(most):
+    import pyarrow as pa
+
+    r = np.random.default_rng(0)
+    texts = [None if i % 7 == 0 else "x" * int(r.integers(0, 30)) for i in range(100)]
+    batches = pa.table({"t": texts}).to_batches(max_chunksize=9)
+    got = list(common.slices(iter([batches[0].slice(0, 0), *batches]), "t", most))
+    assert [t for b in got for t in b.column(0).to_pylist()] == texts
+    sizes = [[len(t) for t in b.column(0).to_pylist() if t] for b in got]
+    assert all(len(own) <= 1 or sum(own) <= most for own in sizes)
+    assert most < 10_000 or len(got) == 1

@@ -36,9 +36,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def texts_in_small_batches(docs: DataFrame) -> DataFrame:
+    """docs, whose session sends rows to Python a thousand at a time unless it names another number: Spark's default of
+    ten thousand would hold as many whole texts at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if docs.sparkSession.conf.get(name) == "10000":
+        docs.sparkSession.conf.set(name, "1000")
+    return docs
+
+
 def ids_and_texts(docs: DataFrame) -> DataFrame:
     """doc_id long and text string, whatever else docs holds."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts_in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def crc_bucket(doc_id: Column, n: int) -> Column:
@@ -56,16 +65,26 @@ def bounded_sample(df: DataFrame, key: str, n: int) -> DataFrame:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that `column` holds about max_bytes at most, a single larger row aside."""
+    """The rows in batches of about max_bytes of `column` each, a single larger row aside: large batches are cut and
+    small ones joined."""
+    held: list[pa.RecordBatch] = []
+    total = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        at = batch.schema.get_field_index(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-        begin, held = 0, 0
-        for i, size in enumerate(sizes):
-            if held and held + size > max_bytes:
-                yield batch.slice(begin, i - begin)
-                begin, held = i, 0
-            held += int(size)
-        yield batch.slice(begin)
+        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+        begin = 0
+        for i, size in enumerate(sizes.tolist()):
+            if total and total + size > max_bytes:
+                held.append(batch.slice(begin, i - begin))
+                yield _joined(held)
+                begin, held, total = i, [], 0
+            total += size
+        held.append(batch.slice(begin))
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    parts = [p for p in parts if p.num_rows] or parts[:1]
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)

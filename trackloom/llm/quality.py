@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import bounded_sample, ids_and_texts, slices
+from trackloom.llm.common import bounded_sample, ids_and_texts, slices, texts_in_small_batches
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -77,7 +77,7 @@ def _stat_names() -> list[str]:
 def with_stats(docs: DataFrame, carry: list[str], into: str = "stats__") -> DataFrame:
     """The columns in `carry` and a struct of statistics of text: no shuffle."""
     schema = docs.select(*carry, F.lit(None).cast("struct<" + ", ".join(x.replace(" ", ":") for x in STATS.split(", ")) + ">").alias(into)).schema
-    source = docs if "text" in carry else docs.select(*carry, "text")
+    source = texts_in_small_batches(docs if "text" in carry else docs.select(*carry, "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 8 << 20):

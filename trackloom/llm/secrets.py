@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ids_and_texts, slices
+from trackloom.llm.common import ids_and_texts, slices, texts_in_small_batches
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -131,5 +131,5 @@ def redact(docs: DataFrame, mark: str = "[{kind}]") -> DataFrame:
             new = pa.array([blanked(t, mark) for t in b.column("text").to_pylist()], pa.string())
             yield b.set_column(names.index("text"), "text", new)
 
-    changed = docs.mapInArrow(run, docs.schema)
+    changed = texts_in_small_batches(docs).mapInArrow(run, docs.schema)
     return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else changed
