@@ -34,10 +34,11 @@ def peaks_per_track(rows: DataFrame, min_width: int = 3) -> DataFrame:
 
 
 def peak_histogram(peaks: DataFrame, bins: int = 14) -> DataFrame:
-    """n_peaks 0..13 and `track number`; the last bin is closed, so 14 falls into it, and more than 14 are left out."""
-    edges = peaks.sparkSession.range(bins).select(F.col("id").alias("n_peaks"))
-    counts = peaks.filter(F.col("n_peaks") <= bins).groupBy(F.least("n_peaks", F.lit(bins - 1)).alias("n_peaks")).agg(F.count("*").alias("n"))
-    return edges.join(F.broadcast(counts), "n_peaks", "left").select("n_peaks", F.coalesce("n", F.lit(0)).cast("long").alias("track number"))
+    """movie_id, n_peaks 0..13 and `track number` of each movie; the last bin is closed, so 14 falls into it, and more
+    than 14 are left out."""
+    edges = peaks.select("movie_id").distinct().select("movie_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("n_peaks"))
+    counts = peaks.filter(F.col("n_peaks") <= bins).groupBy("movie_id", F.least("n_peaks", F.lit(bins - 1)).cast("long").alias("n_peaks")).agg(F.count("*").alias("n"))
+    return edges.join(counts, ["movie_id", "n_peaks"], "left").select("movie_id", "n_peaks", F.coalesce("n", F.lit(0)).cast("long").alias("track number"))
 
 
 def displacement(rows: DataFrame) -> DataFrame:

@@ -54,7 +54,9 @@ def quality(rows: DataFrame, min_width: int = 3) -> tuple[DataFrame, DataFrame]:
 
 
 def quality_sheet(histogram: DataFrame, area_std: DataFrame) -> DataFrame:
-    """The sheet's left join by row number: the histogram is cut to as many rows as there are tracks. `row` numbers the
-    tracks by (movie, particle); only the first rows can meet the histogram, the rest need no partner."""
-    numbered = area_std.withColumn("row", F.row_number().over(Window.orderBy(*TRACK)) - 1)
-    return numbered.join(F.broadcast(histogram), F.col("row") == F.col("n_peaks"), "left").select(F.col("row").cast("long").alias("row"), F.col("`Area std.`"), "n_peaks", F.col("`track number`"))
+    """Each movie's sheet, a left join by row number: the histogram is cut to as many rows as there are tracks, and the
+    tracks beyond it have none. `row` numbers a movie's tracks."""
+    numbered = area_std.withColumn("row", (F.row_number().over(Window.partitionBy("movie_id").orderBy("particle")) - 1).cast("long"))
+    bins = histogram.withColumnRenamed("movie_id", "of_movie")
+    joined = numbered.join(bins, (F.col("movie_id") == F.col("of_movie")) & (F.col("row") == F.col("n_peaks")), "left")
+    return joined.select("movie_id", "row", F.col("`Area std.`"), "n_peaks", F.col("`track number`"))

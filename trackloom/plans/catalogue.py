@@ -92,7 +92,8 @@ def peaks_per_track(spark: SparkSession, d: str) -> DataFrame:
     return events.peaks_per_track(_smoothed(spark, d))
 
 
-HISTOGRAM = f"{views.RUNS}, histogram AS (SELECT b.n_peaks, count(p.n_peaks) AS \"track number\" FROM range(14) b(n_peaks) LEFT JOIN peaks p ON p.n_peaks <= 14 AND least(p.n_peaks, 13) = b.n_peaks GROUP BY b.n_peaks)"
+HISTOGRAM_SQL = """histogram AS (SELECT b.movie_id, b.n_peaks, count(p.n_peaks) AS "track number" FROM (SELECT * FROM (SELECT DISTINCT movie_id FROM peaks), range(14) r(n_peaks)) b LEFT JOIN peaks p ON p.movie_id = b.movie_id AND p.n_peaks <= 14 AND least(p.n_peaks, 13) = b.n_peaks GROUP BY ALL)"""
+HISTOGRAM = f"{views.RUNS}, {HISTOGRAM_SQL}"
 
 
 @query(f"WITH {HISTOGRAM} SELECT * FROM histogram")
@@ -145,7 +146,7 @@ def mitotic_summary(spark: SparkSession, d: str) -> DataFrame:
     return _summary(spark, d)
 
 
-@query(f'WITH {STATS}, {HISTOGRAM.split("GROUP BY t.movie_id, t.particle), ")[1]} SELECT a.row, "Area std.", CAST(n_peaks AS DOUBLE) AS n_peaks, CAST("track number" AS DOUBLE) AS "track number" FROM (SELECT row_number() OVER (ORDER BY movie_id, particle) - 1 AS row, area_std AS "Area std." FROM stats) a LEFT JOIN histogram h ON a.row = h.n_peaks')
+@query(f'WITH {STATS}, {HISTOGRAM_SQL} SELECT a.movie_id, a.row, "Area std.", CAST(n_peaks AS DOUBLE) AS n_peaks, CAST("track number" AS DOUBLE) AS "track number" FROM (SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY particle) - 1 AS row, area_std AS "Area std." FROM stats) a LEFT JOIN histogram h ON a.movie_id = h.movie_id AND a.row = h.n_peaks')
 def quality_sheet(spark: SparkSession, d: str) -> DataFrame:
     sheet = summarize.quality_sheet(*summarize.quality(_smoothed(spark, d)))
     return rounded(sheet.withColumns({c: F.col(f"`{c}`").cast("double") for c in ("n_peaks", "track number")}), "Area std.")

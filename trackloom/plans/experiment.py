@@ -55,7 +55,7 @@ def save_analysis(tracks: DataFrame, files: DataFrame, p: CellParams, path: str)
 
 def save_summary(tracks: DataFrame, files: DataFrame, p: CellParams, path: str) -> None:
     """Summary, files, parameters, and the quality sheet (areas' deviation beside the histogram of events)."""
-    quality = summarize.quality_sheet(*summarize.quality(tracks, p.min_mitotic_frames)).orderBy("row").drop("row")
+    quality = summarize.quality_sheet(*summarize.quality(tracks, p.min_mitotic_frames)).orderBy("movie_id", "row").drop("movie_id", "row")
     sheets.write_workbook(path, {"Summary": summary(tracks, p).drop("movie_id").orderBy("particle"), "file_data": key_values(files), "parameters": params.key_values(tracks.sparkSession, p), "quality": quality})
 
 
