@@ -17,28 +17,36 @@ def with_position(rows: DataFrame) -> DataFrame:
     return rows.withColumn("pos", (F.row_number().over(Window.partitionBy(*TRACK).orderBy("frame")) - 1).cast("long"))
 
 
+def with_runs(rows: DataFrame, min_width: int = 3) -> DataFrame:
+    """Adds pos, width (rows of the run) and counted: true at the first row of each run that counts. All windows are
+    within tracks, so one partitioning serves them."""
+    placed = with_position(rows)
+    same = Window.partitionBy(*TRACK, "semantic_smoothed").orderBy("frame")
+    placed = placed.withColumn("island", F.col("pos") - F.row_number().over(same))
+    placed = placed.withColumn("width", F.count("*").over(Window.partitionBy(*TRACK, "semantic_smoothed", "island")))
+    before = F.lag("semantic_smoothed").over(Window.partitionBy(*TRACK).orderBy("frame"))
+    return placed.withColumn("counted", F.coalesce((F.col("semantic_smoothed") > 0) & (before == 0), F.lit(False)) & (F.col("width") >= min_width)).drop("island")
+
+
 def runs(rows: DataFrame, min_width: int = 3) -> DataFrame:
     """movie_id, particle, mito_start, mitosis: a row per counted run of mitotic tracks."""
-    placed = with_position(rows.filter("mitotic = 1").select(*TRACK, "frame", "semantic_smoothed"))
-    same = Window.partitionBy(*TRACK, "semantic_smoothed").orderBy("frame")
-    islands = placed.withColumn("island", F.col("pos") - F.row_number().over(same)).filter("semantic_smoothed > 0")
-    found = islands.groupBy(*TRACK, "island").agg(F.min("pos").alias("begin"), F.count("*").alias("width"))
-    return found.filter((F.col("begin") > 0) & (F.col("width") >= min_width)).select(*TRACK, (F.col("begin") - 1).alias("mito_start"), F.col("width").cast("double").alias("mitosis"))
+    found = with_runs(rows.filter("mitotic = 1").select(*TRACK, "frame", "semantic_smoothed"), min_width).filter("counted")
+    return found.select(*TRACK, (F.col("pos") - 1).alias("mito_start"), F.col("width").cast("double").alias("mitosis"))
 
 
 def peaks_per_track(rows: DataFrame, min_width: int = 3) -> DataFrame:
     """n_peaks of every mitotic track, 0 included."""
-    counted = runs(rows, min_width).groupBy(*TRACK).agg(F.count("*").alias("n"))
-    tracks = rows.filter("mitotic = 1").select(*TRACK).distinct()
-    return tracks.join(counted, TRACK, "left").select(*TRACK, F.coalesce("n", F.lit(0)).cast("long").alias("n_peaks"))
+    found = with_runs(rows.filter("mitotic = 1").select(*TRACK, "frame", "semantic_smoothed"), min_width)
+    return found.groupBy(*TRACK).agg(F.count(F.when(F.col("counted"), 1)).alias("n_peaks"))
 
 
 def peak_histogram(peaks: DataFrame, bins: int = 14) -> DataFrame:
     """movie_id, n_peaks 0..13 and `track number` of each movie; the last bin is closed, so 14 falls into it, and more
-    than 14 are left out."""
-    edges = peaks.select("movie_id").distinct().select("movie_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("n_peaks"))
-    counts = peaks.filter(F.col("n_peaks") <= bins).groupBy("movie_id", F.least("n_peaks", F.lit(bins - 1)).cast("long").alias("n_peaks")).agg(F.count("*").alias("n"))
-    return edges.join(counts, ["movie_id", "n_peaks"], "left").select("movie_id", "n_peaks", F.coalesce("n", F.lit(0)).cast("long").alias("track number"))
+    than 14 are left out. One aggregation: a count per bin, then a row per count."""
+    n = F.when(F.col("n_peaks") <= bins, F.least("n_peaks", F.lit(bins - 1)))
+    counts = peaks.groupBy("movie_id").agg(*[F.count(F.when(n == i, 1)).alias(f"n{i}") for i in range(bins)])
+    rows = F.array(*[F.struct(F.lit(i).cast("long").alias("n_peaks"), F.col(f"n{i}").alias("track number")) for i in range(bins)])
+    return counts.select("movie_id", F.inline(rows))
 
 
 def displacement(rows: DataFrame) -> DataFrame:

@@ -66,7 +66,9 @@ def smooth(tracks: DataFrame, scope: str = "global", min_track_length: int = 10)
     elif min_track_length < 3:
         found = _filtered(rows, ["movie_id"], ["particle", "frame"])
     else:
-        found = _filtered(_halo(rows, 3), ["movie_id", "track"], ["side", "frame"]).filter("side = 0").drop("track", "side")
+        # The rows that stay have track = particle; under that name their partitioning serves what follows.
+        found = _filtered(_halo(rows, 3), ["movie_id", "track"], ["side", "frame"]).filter("side = 0")
+        found = found.drop("particle", "side").withColumnRenamed("track", "particle").select(*[F.col(f"`{c}`") for c in rows.columns], "semantic", "semantic_smoothed")
     return flag(found.drop("recoded", "dilated"))
 
 

@@ -34,18 +34,23 @@ def channel_stats(rows: DataFrame) -> list[Column]:
     return out
 
 
+def _stats_of(rows: DataFrame) -> list[Column]:
+    return [F.count("*").alias("track_length"), F.max("displacement").alias("max_displacement"), F.avg("area").alias("cell_area"), F.stddev_samp("area").alias("area_std"), *channel_stats(rows)]
+
+
 def track_stats(rows: DataFrame) -> DataFrame:
     """A row per mitotic track: length, mean and deviation of its area, largest step, channel statistics."""
-    moved = events.displacement(rows.filter("mitotic = 1"))
-    return moved.groupBy(*TRACK).agg(F.count("*").alias("track_length"), F.max("displacement").alias("max_displacement"), F.avg("area").alias("cell_area"), F.stddev_samp("area").alias("area_std"), *channel_stats(rows))
+    return events.displacement(rows.filter("mitotic = 1")).groupBy(*TRACK).agg(*_stats_of(rows))
 
 
 def summary(rows: DataFrame, min_width: int = 3) -> DataFrame:
-    """A row per mitotic track with exactly one event, columns in the order that summary files have."""
-    single = events.runs(rows, min_width).groupBy(*TRACK).agg(F.count("*").alias("n"), F.first("mito_start").alias("mito_start"), F.first("mitosis").alias("mitosis")).filter("n = 1")
-    stats = track_stats(rows)
-    names = [n for n in stats.columns if n not in (*TRACK, "track_length", "max_displacement", "cell_area", "area_std")]
-    return stats.join(single, TRACK).select(*TRACK, "track_length", "max_displacement", "mito_start", "cell_area", "mitosis", *[F.col(f"`{n}`") for n in names])
+    """A row per mitotic track with exactly one event, columns in the order that summary files have. Events and statistics
+    come from one aggregation over the tracks."""
+    found = events.with_runs(events.displacement(rows.filter("mitotic = 1")), min_width)
+    at_event = lambda v: F.max(F.when(F.col("counted"), v))
+    single = found.groupBy(*TRACK).agg(F.count(F.when(F.col("counted"), 1)).alias("n"), at_event(F.col("pos") - 1).alias("mito_start"), at_event(F.col("width").cast("double")).alias("mitosis"), *_stats_of(rows)).filter("n = 1")
+    first = [*TRACK, "track_length", "max_displacement", "mito_start", "cell_area", "mitosis"]
+    return single.select(*first, *[F.col(f"`{n}`") for n in single.columns if n not in (*first, "n", "area_std")])
 
 
 def quality(rows: DataFrame, min_width: int = 3) -> tuple[DataFrame, DataFrame]:
