@@ -286,10 +286,10 @@ def wide_fingerprint(text: str | None, shingle: int, words_out: int = WIDE_WORDS
     return np.packbits(set_in * 2 > len(hashes), axis=1).tobytes()
 
 
-def most_differing(similarity: float, bits: int = WIDE_WORDS * BITS) -> int:
-    """Differing bits to expect at a Jaccard similarity of sets of one size, and a standard deviation more."""
+def most_differing(similarity: float, bits: int, deviations: float) -> int:
+    """Differing bits to expect at a Jaccard similarity of sets of one size, and so many standard deviations more."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(share * bits + math.sqrt(bits * share * (1 - share)))
+    return int(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
 def band_keys(wide: np.ndarray) -> np.ndarray:
@@ -304,18 +304,25 @@ def _wide(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _band_links(classes: DataFrame, most: int | None) -> DataFrame:
-    """(a, b): forests of the links in each band of classes (rep, wide). Without `most` rows travel without their wide
-    fingerprint and links are those of the bands alone; with it they are checked on all bits."""
+def _binary(rows: np.ndarray) -> pa.Array:
+    n, width = rows.shape
+    ends = np.arange(0, (n + 1) * width, width, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _band_links(classes: DataFrame, check_bytes: int, most: int) -> DataFrame:
+    """(a, b): forests of the links of classes (rep, wide) that some band finds and that differ in at most `most` of the
+    first check_bytes * 8 bits; rows travel with those bits."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 b = whole.slice(at, 2048)
-                keys = band_keys(_wide(b.column("wide"))) if b.num_rows else np.zeros((0, BANDS), np.uint64)
+                wide = _wide(b.column("wide"))
+                keys, check = band_keys(wide), _binary(wide[:, :check_bytes])
                 for k in range(BANDS):
-                    columns = [pa.array(np.full(b.num_rows, k, np.int32)), pa.array((keys[:, k] >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int32)), pa.array(keys[:, k].astype(np.int64)), b.column("rep")]
-                    yield pa.RecordBatch.from_arrays(columns + [b.column("wide")] * (most is not None), names=["band", "top", "key", "rep"] + ["wide"] * (most is not None))
+                    columns = [np.full(len(wide), k, np.int32), (keys[:, k] >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int32), keys[:, k].astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), b.column("rep"), check], names=["band", "top", "key", "rep", "bits"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(batches)
@@ -326,23 +333,20 @@ def _band_links(classes: DataFrame, most: int | None) -> DataFrame:
         order = np.lexsort((rep, key, band))
         key, rep = key[order].astype(np.uint64), rep[order]
         groups = band[order].astype(np.int64) << BAND_TOP | (key >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int64)
+        bits = _wide(rows.column("bits")).view(np.uint64)[order]
         # Equal keys of a group are told apart by bits that don't count.
         keys = key << np.uint64(BITS - BAND_BITS) | np.arange(len(key), dtype=np.uint64)
-        check = None
-        if most is not None:
-            wide = _wide(rows.column("wide")).view(np.uint64)[order]
-            check = lambda i, j: np.bitwise_count(wide[i] ^ wide[j]).sum(1) <= most
-        i, j = trie_links(keys, starts(groups), BAND_TOP, BAND_BUDGET, BAND_BITS, np.unique(rep, return_inverse=True)[1], check)
+        i, j = trie_links(keys, starts(groups), BAND_TOP, BAND_BUDGET, BAND_BITS, np.unique(rep, return_inverse=True)[1], lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most)
         yield pa.RecordBatch.from_arrays([pa.array(rep[i]), pa.array(rep[j])], names=["a", "b"])
 
-    sent = classes.select("rep", "wide").mapInArrow(send, "band int, top int, key long, rep long" + ", wide binary" * (most is not None))
+    sent = classes.select("rep", "wide").mapInArrow(send, "band int, top int, key long, rep long, bits binary")
     return sent.repartition("band", "top").mapInArrow(join, "a long, b long").distinct()
 
 
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id: a row per document with the smallest doc_id that it reaches by links of texts whose sets of
-    shingles are about as similar as asked, or more. A first pass over the bands finds the documents that have any
-    neighbour; only these carry their wide fingerprint through the second."""
+    shingles are about as similar as asked, or more. A first pass over the bands, with 64 bits to check, finds the
+    documents that may have a neighbour; only these carry all their bits through the second."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 8 << 20):
@@ -350,8 +354,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
 
     found = written(ids_and_texts(docs).mapInArrow(run, "doc_id long, wide binary"), "simhash-wide")
     classes = written(found.groupBy("wide").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "simhash-wide-classes")
-    met = written(_band_links(classes, None).select(F.explode(F.array("a", "b")).alias("met")).distinct(), "simhash-met")
-    reached = components(_band_links(classes.join(met, F.col("rep") == F.col("met"), "left_semi"), most_differing(similarity)))
+    met = written(_band_links(classes, 8, most_differing(similarity, BITS, 3.5)).select(F.explode(F.array("a", "b")).alias("met")).distinct(), "simhash-met")
+    near = classes.join(met, F.col("rep") == F.col("met"), "left_semi")
+    reached = components(_band_links(near, 8 * WIDE_WORDS, most_differing(similarity, BITS * WIDE_WORDS, 1)))
     named = classes.join(reached, F.col("rep") == F.col("node"), "left").select(F.col("wide").alias("class_wide"), F.coalesce("component", "rep").alias("component_id"))
     return found.join(named, F.col("wide") == F.col("class_wide"), "left").select("doc_id", "component_id")
 
