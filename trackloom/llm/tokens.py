@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED = 700_000
+CACHED = 1_000_000
 JOINED = 512
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[str, Encoder] = {}
