@@ -89,10 +89,11 @@ def _reorder(fps: np.ndarray, order: list[int]) -> np.ndarray:
     return out
 
 
-def trie_links(keys: np.ndarray, begin: np.ndarray, top: int, budget: int, counted: int = BITS, nodes: np.ndarray | None = None, verify: Callable | None = None, limit: int = 1 << 17, small: int = 1 << 12) -> tuple[np.ndarray, np.ndarray]:
+def trie_links(keys: np.ndarray, begin: np.ndarray, top: int, budget: int, counted: int = BITS, nodes: np.ndarray | None = None, verify: Callable | None = None, limit: int = 1 << 17, small: int = 1 << 12, forest_only: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs of a spanning forest of the links within `budget` inside each group of rows. Groups start at `begin`;
     a group's keys are sorted, distinct and agree on their first `top` bits. Only the first `counted` bits count as
-    differing; `verify` may refuse pairs. Rows with one number in `nodes` are one node of the forest.
+    differing; `verify` may refuse pairs. Rows with one number in `nodes` are one node of the forest. Without
+    `forest_only` all links between different nodes are found.
 
     Node pairs are traversed together, at most `limit` at once, and while there are more than `small`, trie nodes with
     themselves go before trie nodes with each other. Besides pairs over the budget, pairs whose leaves are all in one
@@ -125,7 +126,11 @@ def trie_links(keys: np.ndarray, begin: np.ndarray, top: int, budget: int, count
             if verify is not None and len(i):
                 near = verify(i, j)
                 i, j = i[near], j[near]
-            for x, y in zip(i.tolist(), j.tolist()):
+            if not forest_only:
+                forest[0].append(i)
+                forest[1].append(j)
+                i = i[:0]
+            for x, y in zip(i.tolist(), j.tolist()) if forest_only else ():
                 x_root, y_root = _root(parent, nodes[x]), _root(parent, nodes[y])
                 if x_root != y_root:
                     parent[max(x_root, y_root)] = min(x_root, y_root)
@@ -153,6 +158,8 @@ def trie_links(keys: np.ndarray, begin: np.ndarray, top: int, budget: int, count
             joined = tuple(np.concatenate(x) for x in zip(*parts))
             if len(joined[0]):
                 stack.append(joined)
+    if not forest_only:
+        return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in forest)
     return np.array(forest[0], np.int64), np.array(forest[1], np.int64)
 
 
@@ -255,24 +262,33 @@ def hex16(fp: Column) -> Column:
 # Near copies by similarity. Texts whose shingle sets have a Jaccard similarity of 0.8 differ in about 15 % of SimHash
 # bits: far beyond a budget that a trie can prune by on one 64-bit fingerprint. So a fingerprint of many more bits is
 # taken, and many bands of it, each a random choice of bits, are joined as tries of their own: one band in some dozens
-# has near copies within two bits. Links are then checked on all bits, whose share of differing ones tells the angle.
+# has near copies within two bits. All bits, whose share of differing ones tells the angle, choose the candidates with
+# room for chance; a link is a candidate whose sets of shingles are as similar as asked.
 
 WIDE_WORDS = 12
-BANDS = 64
+BANDS = 96
+DEVIATIONS = 3.5
 BAND_TOP, BAND_BITS, BAND_BUDGET = 8, 32, 2
 
 
-def wide_fingerprint(text: str | None, shingle: int, words_out: int = WIDE_WORDS) -> bytes:
-    """words_out 64-bit SimHashes of the set of shingles, each of hashes mixed from XXH64 by another constant."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each of the set of shingles."""
     words = (text or "").encode().lower().split()
     if not words:
-        return bytes(8 * words_out)
+        return np.zeros(0, np.uint64)
     if len(words) < shingle:
         shingles = {b" ".join(words)}
     else:
         shingles = set(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, 42) for s in shingles], np.uint64)
+    return np.array([digest(s, 42) for s in shingles], np.uint64)
+
+
+def wide_fingerprint(text: str | None, shingle: int, words_out: int = WIDE_WORDS) -> bytes:
+    """words_out 64-bit SimHashes of the set of shingles, each of hashes mixed from XXH64 by another constant."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return bytes(8 * words_out)
     odd = np.array([(2 * k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1) for k in range(words_out)], np.uint64)[:, None]
     set_in = np.zeros((words_out, BITS), np.int64)
     for begin in range(0, len(hashes), 8 * 255):
@@ -310,9 +326,9 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def _band_links(classes: DataFrame, check_bytes: int, most: int) -> DataFrame:
-    """(a, b): forests of the links of classes (rep, wide) that some band finds and that differ in at most `most` of the
-    first check_bytes * 8 bits; rows travel with those bits."""
+def _band_links(classes: DataFrame, check_bytes: int, most: int, forest_only: bool = True) -> DataFrame:
+    """(a, b): forests of the links of classes (rep, node, wide) that some band finds and that differ in at most `most`
+    of the first check_bytes * 8 bits, or all such links between different nodes; rows travel with those bits."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -322,42 +338,87 @@ def _band_links(classes: DataFrame, check_bytes: int, most: int) -> DataFrame:
                 keys, check = band_keys(wide), _binary(wide[:, :check_bytes])
                 for k in range(BANDS):
                     columns = [np.full(len(wide), k, np.int32), (keys[:, k] >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int32), keys[:, k].astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), b.column("rep"), check], names=["band", "top", "key", "rep", "bits"])
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), b.column("rep"), b.column("node"), check], names=["band", "top", "key", "rep", "node", "bits"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(batches)
         if not batches:
             return
         rows = pa.Table.from_batches(batches)
-        band, key, rep = (rows.column(n).to_numpy() for n in ("band", "key", "rep"))
+        band, key, rep, node = (rows.column(n).to_numpy() for n in ("band", "key", "rep", "node"))
         order = np.lexsort((rep, key, band))
-        key, rep = key[order].astype(np.uint64), rep[order]
+        key, rep, node = key[order].astype(np.uint64), rep[order], node[order]
         groups = band[order].astype(np.int64) << BAND_TOP | (key >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int64)
         bits = _wide(rows.column("bits")).view(np.uint64)[order]
         # Equal keys of a group are told apart by bits that don't count.
         keys = key << np.uint64(BITS - BAND_BITS) | np.arange(len(key), dtype=np.uint64)
-        i, j = trie_links(keys, starts(groups), BAND_TOP, BAND_BUDGET, BAND_BITS, np.unique(rep, return_inverse=True)[1], lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most)
-        yield pa.RecordBatch.from_arrays([pa.array(rep[i]), pa.array(rep[j])], names=["a", "b"])
+        i, j = trie_links(keys, starts(groups), BAND_TOP, BAND_BUDGET, BAND_BITS, np.unique(node, return_inverse=True)[1], lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most, forest_only=forest_only)
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
 
-    sent = classes.select("rep", "wide").mapInArrow(send, "band int, top int, key long, rep long, bits binary")
+    sent = classes.select("rep", "node", "wide").mapInArrow(send, "band int, top int, key long, rep long, node long, bits binary")
     return sent.repartition("band", "top").mapInArrow(join, "a long, b long").distinct()
 
 
+def _shingle_sets(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
+    """rep, hashes: the sets of shingles of the documents in reps, a row per different text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 4 << 20):
+            sets = [shingle_hashes(t, shingle).view(np.int64) for t in b.column("text").to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["rep", "hashes"])
+
+    texts = ids_and_texts(docs).join(reps.hint("shuffle_hash"), F.col("doc_id") == F.col("met"), "left_semi").distinct()
+    return written(texts.mapInArrow(run, "rep long, hashes array<long>"), "simhash-sets")
+
+
+def _confirmed(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """a, b, near: whether the sets of shingles of the edge's documents are as similar as asked, or more."""
+    one, other = (sets.select(F.col("rep").alias(f"{x}_rep"), F.col("hashes").alias(x)) for x in ("x", "y"))
+    pairs = edges.join(one, F.col("a") == F.col("x_rep")).join(other, F.col("b") == F.col("y_rep"))
+    pairs = pairs.select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("sum"))
+    near = F.coalesce(F.col("both") / F.nullif(F.col("sum") - F.col("both"), F.lit(0)) >= similarity, F.lit(False))
+    return written(pairs.groupBy("a", "b").agg(F.max(near).alias("near")), "simhash-confirmed")
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id: a row per document with the smallest doc_id that it reaches by links of texts whose sets of
-    shingles are about as similar as asked, or more. A first pass over the bands, with 64 bits to check, finds the
-    documents that may have a neighbour; only these carry all their bits through the second."""
+    shingles have the Jaccard similarity asked, or more. A first pass over the bands, with 64 bits to check, finds the
+    documents that may have a neighbour; only these carry all their bits through the second, which gives a forest of
+    candidates in each band. Candidates are confirmed by the sets. A refused one may have hidden others, so all
+    candidates between groups that refused ones lie between are confirmed too. A link is missed only if no band meets it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 8 << 20):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([wide_fingerprint(t, shingle) for t in b.column("text").to_pylist()], pa.binary())], names=["doc_id", "wide"])
 
+    def ends(edges: DataFrame) -> DataFrame:
+        return edges.select(F.explode(F.array("a", "b")).alias("met")).distinct()
+
     found = written(ids_and_texts(docs).mapInArrow(run, "doc_id long, wide binary"), "simhash-wide")
     classes = written(found.groupBy("wide").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "simhash-wide-classes")
-    met = written(_band_links(classes, 8, most_differing(similarity, BITS, 3.5)).select(F.explode(F.array("a", "b")).alias("met")).distinct(), "simhash-met")
+    classes = classes.withColumn("node", F.col("rep"))
+    met = written(ends(_band_links(classes, 8, most_differing(similarity, BITS, DEVIATIONS))), "simhash-met")
     near = classes.join(met, F.col("rep") == F.col("met"), "left_semi")
-    reached = components(_band_links(near, 8 * WIDE_WORDS, most_differing(similarity, BITS * WIDE_WORDS, 1)))
-    named = classes.join(reached, F.col("rep") == F.col("node"), "left").select(F.col("wide").alias("class_wide"), F.coalesce("component", "rep").alias("component_id"))
+    most = most_differing(similarity, BITS * WIDE_WORDS, DEVIATIONS)
+    candidates = written(_band_links(near, 8 * WIDE_WORDS, most).filter("a <> b"), "simhash-candidates")
+    sets = _shingle_sets(docs, ends(candidates), shingle)
+    checked = _confirmed(candidates, sets, similarity)
+    edges = checked.filter("near").select("a", "b")
+    reached = written(components(edges), "simhash-reached")
+
+    of = written(ends(candidates).join(reached, F.col("met") == F.col("node"), "left").select("met", F.coalesce("component", "met").alias("node")), "simhash-of")
+    a, b = (of.select(F.col("met").alias(f"{x}_met"), F.col("node").alias(f"{x}_node")) for x in ("a", "b"))
+    apart = checked.filter("not near").join(a, F.col("a") == F.col("a_met")).join(b, F.col("b") == F.col("b_met")).filter("a_node <> b_node")
+    open_ = written(apart.select(F.explode(F.array("a_node", "b_node")).alias("open")).distinct(), "simhash-open")
+    if not open_.isEmpty():
+        inside = of.join(open_, F.col("node") == F.col("open"), "left_semi")
+        again = classes.drop("node").join(inside, F.col("rep") == F.col("met")).select("rep", "node", "wide")
+        more = _band_links(again, 8 * WIDE_WORDS, most, forest_only=False).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        late = _confirmed(written(more, "simhash-more"), sets, similarity).filter("near").select("a", "b")
+        if not late.isEmpty():
+            reached = components(edges.union(late))
+    named = classes.join(reached.withColumnRenamed("node", "reached"), F.col("rep") == F.col("reached"), "left").select(F.col("wide").alias("class_wide"), F.coalesce("component", "rep").alias("component_id"))
     return found.join(named, F.col("wide") == F.col("class_wide"), "left").select("doc_id", "component_id")
 
 
