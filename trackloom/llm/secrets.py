@@ -6,8 +6,9 @@ Kinds, leftmost and non-overlapping each:
   hex     lower-case hex digits, 24 characters or more
   entropy runs of 20 or more of [A-Za-z0-9+/_=-] in which a window of 20 characters reaches the Shannon entropy its
           character class asks for. Counts are kept from window to window: one character enters, one leaves, and the
-          entropy changes by their two terms. Strings on the allow-list (words of letters only, paths, known
-          placeholders) and strings that touch a span of the other kinds are left out.
+          entropy changes by their two terms. Spans of the other kinds, and segments between '/' or '=' that name a
+          placeholder, are cut out of a run; each part of 20 or more that stays is scanned by itself. Letters only, as
+          in words and paths, must reach a higher entropy.
 
 Offsets count code points, ends are exclusive. Defined results: a null or empty text has no spans (base_sha256 is that
 of the empty string); very long texts are scanned whole; repeated rows are scanned each; other columns pass through
@@ -37,9 +38,13 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: (characters of the class, entropy in bits that a window of 20 must reach); the first class that has them all counts.
 CLASSES = (("hex", frozenset("0123456789abcdefABCDEF"), 3.0), ("base36", frozenset("0123456789abcdefghijklmnopqrstuvwxyz"), 3.4), ("base64", None, 3.7))
-#: Candidates that match any of these are no secrets.
-ALLOWED = (re.compile(r"[A-Za-z_=/+-]+\Z"), re.compile(r"[0-9_=/+-]+\Z"), re.compile(r"(.)\1*\Z"), re.compile(r"(?i).*(example|sample|placeholder|changeme|dummy)"))
-_TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+#: Parts that match any of these are no secrets.
+ALLOWED = (re.compile(r"[0-9_=/+-]+\Z"), re.compile(r"(.)\1*\Z"))
+#: Letters only, of one case and of both: words, names and paths seldom reach this entropy.
+LETTERS, ONE_CASE, BOTH_CASES = re.compile(r"[A-Za-z_=/+-]+\Z"), 3.9, 4.0
+#: Segments with such a word are placeholders.
+SEGMENT, PLACEHOLDER = re.compile(r"[^/=]+"), re.compile(r"example|sample|placeholder|changeme|dummy", re.IGNORECASE)
+_TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]  # one enters before one leaves
 
 
 def peak_entropy(s: str, window: int = WINDOW) -> float:
@@ -63,14 +68,27 @@ def peak_entropy(s: str, window: int = WINDOW) -> float:
 
 
 def is_random(s: str) -> bool:
-    """Whether a candidate is suspicious: not on the allow-list, and a window reaches its class's entropy."""
+    """Whether a part is suspicious: not on the allow-list, and a window reaches its class's entropy."""
     if any(p.match(s) for p in ALLOWED):
         return False
+    if LETTERS.match(s):
+        return peak_entropy(s) >= (ONE_CASE if s in (s.lower(), s.upper()) else BOTH_CASES)
     used = set(s)
     need = next(bits for _, chars, bits in CLASSES if chars is None or used <= chars)
     return peak_entropy(s) >= need
 
 
+def parts(run: str, cuts: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What the cuts (sorted) and the placeholder segments leave of a run, if it fills a window."""
+    if PLACEHOLDER.search(run):
+        cuts = sorted(cuts + [m.span() for m in SEGMENT.finditer(run) if PLACEHOLDER.search(m[0])])
+    begin = 0
+    for s, e in [*cuts, (len(run), len(run))]:
+        if s - begin >= WINDOW:
+            yield begin, s
+        begin = max(begin, e)
+
+
 def find(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of every span, sorted."""
     spans = []
@@ -83,8 +101,8 @@ def find(text: str) -> list[tuple[int, int, int]]:
     if runs:
         base = sorted((s, e) for s, _, e in spans)
         for at, run in runs:
-            if not any(s < at + len(run) and at < e for s, e in base) and is_random(run):
-                spans.append((at, 3, at + len(run)))
+            cuts = [(s - at, e - at) for s, e in base if s < at + len(run) and at < e]
+            spans += [(at + s, 3, at + e) for s, e in parts(run, cuts) if is_random(run[s:e])]
     return sorted(spans)
 
 
