@@ -2,8 +2,8 @@
 
 A movie's traces are filtered as one vector in the order (particle, frame), so the end of one track touches the start
 of the next. A window over whole movies would put each into one task. A row depends on three rows either side only, so
-each track is extended by the last rows of the track before it and the first rows of the next, filtered by itself, and
-the extension is dropped.
+each track is extended by the last rows before it and the first rows after it, of as many tracks as have them, filtered
+by itself, and the extension is dropped.
 """
 
 from __future__ import annotations
@@ -37,26 +37,31 @@ def _filtered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def _halo(rows: DataFrame, size: int) -> DataFrame:
-    """Each row under its own track, and near a track's ends also under the neighbour's; `side` says where it stands."""
-    particles = rows.groupBy("movie_id", "particle").count()
+    """Each row under its own track, and near a track's ends also under those of the `size` tracks before and after whose
+    extension it is in; `side` says how many tracks away it stands. Every track has a row, so no extension is longer."""
+    lengths = rows.groupBy("movie_id", "particle").agg(F.count("*").alias("length"))
     by_id = Window.partitionBy("movie_id").orderBy("particle")
-    particles = particles.select("movie_id", "particle", F.lag("particle").over(by_id).alias("before"), F.lead("particle").over(by_id).alias("after"))
+    # gap: how many rows stand between this track and the one k tracks away.
+    near, steps = [], range(1, size + 1)
+    for away, step in ((F.lag, 1), (F.lead, -1)):
+        gap = F.lit(0)
+        for k in steps:
+            near.append(F.struct(away("particle", k).over(by_id).alias("track"), F.lit(step * k).alias("side"), gap.cast("long").alias("gap")))
+            gap = gap + F.coalesce(away("length", k).over(by_id), F.lit(0))
+    places = lengths.select("movie_id", "particle", F.array(*near).alias("near"))
     own = Window.partitionBy("movie_id", "particle")
     ranked = rows.withColumn("from_start", F.row_number().over(own.orderBy("frame"))).withColumn("from_end", F.row_number().over(own.orderBy(F.desc("frame"))))
-    ranked = ranked.join(particles, ["movie_id", "particle"])
-    places = F.array(
-        F.struct(F.col("particle").alias("track"), F.lit(0).alias("side")),
-        F.struct(F.when(F.col("from_start") <= size, F.col("before")).alias("track"), F.lit(1).alias("side")),
-        F.struct(F.when(F.col("from_end") <= size, F.col("after")).alias("track"), F.lit(-1).alias("side")),
-    )
-    return ranked.select("*", F.inline(F.filter(places, lambda p: p["track"].isNotNull()))).drop("from_start", "from_end", "before", "after", "count")
+    ranked = ranked.join(places, ["movie_id", "particle"])
+    mine = F.array(F.struct(F.col("particle").alias("track"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("gap")))
+    held = F.filter("near", lambda p: p["track"].isNotNull() & (p["gap"] + F.when(p["side"] > 0, F.col("from_start")).otherwise(F.col("from_end")) <= size))
+    return ranked.select("*", F.inline(F.concat(mine, held))).drop("from_start", "from_end", "near", "gap")
 
 
 def smooth(tracks: DataFrame, scope: str = "global", min_track_length: int = 10) -> DataFrame:
     """Adds semantic (median-filtered), semantic_smoothed and mitotic to (movie_id, particle, frame, semantic_raw).
 
-    scope "global": as one vector per movie; "track": each track by itself, zeros beyond its ends. Tracks must have at
-    least three rows for the extension to hold; with a smaller min_track_length movies are filtered whole.
+    scope "global": as one vector per movie; "track": each track by itself, zeros beyond its ends. Tracks may have any
+    number of rows; with a min_track_length under three movies are filtered whole.
     """
     if scope not in ("global", "track"):
         raise ValueError(f"unknown scope {scope!r}")
