@@ -37,7 +37,8 @@ NULL_ID = -(2**63)
 #: Lengths of the four ids of a control byte, two bits each from the low end.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 BLOCK_IDS = 1 << 18
-SHARD_IDS = 1 << 22
+#: About 128 MB of a shard's blocks.
+SHARD_IDS = 1 << 26
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
@@ -111,10 +112,9 @@ def frequency_ranks(ids: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in np.array_split(np.concatenate([np.zeros(0, np.uint32), *_raw_ids(b.column("ids"))]), 1):
-                c = np.bincount(x, minlength=len(total))
-                c[: len(total)] += total
-                total = c
+            c = np.bincount(np.concatenate([np.zeros(0, np.uint32), *_raw_ids(b.column("ids"))]), minlength=len(total))
+            c[: len(total)] += total
+            total = c
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
 
@@ -125,7 +125,7 @@ def frequency_ranks(ids: DataFrame) -> np.ndarray:
 def write(docs: DataFrame, path: str, end_id: int = 0) -> tuple[DataFrame, DataFrame]:
     """(blocks, vocabulary) as read back from the files: blocks shard, block, n_ids, payload; vocabulary rank, id."""
     spark = docs.sparkSession
-    ids = written(tokenised(docs, path, end_id), "token-ids")
+    ids = written(tokenised(docs, path, end_id).withColumn("row", F.monotonically_increasing_id()), "token-ids")
     by_rank = frequency_ranks(ids)
     vocabulary = written(spark.createDataFrame(list(enumerate(by_rank.tolist())), "rank long, id long").coalesce(1), "token-vocabulary")
     ranks = np.zeros(int(by_rank.max(initial=-1)) + 1, np.uint32)
@@ -152,7 +152,7 @@ def write(docs: DataFrame, path: str, end_id: int = 0) -> tuple[DataFrame, DataF
         if own:
             yield done()
 
-    order = ["doc_id", "n", "tie"]
+    order = ["doc_id", "n", "tie", "row"]  # the row keeps ranges even where rows repeat
     ranged = ids.repartitionByRange(1 + total // SHARD_IDS, *order).sortWithinPartitions(*order).select("doc_id", "ids", F.spark_partition_id().alias("shard"))
     return written(ranged.mapInArrow(code, "shard int, block int, n_ids long, payload binary"), "token-blocks"), vocabulary
 

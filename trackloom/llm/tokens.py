@@ -2,9 +2,12 @@
 
 A space between two characters that are no white space always begins a new pre-token, so the pieces between such spaces
 can be encoded apart and their ids joined: the ids equal those of the whole text. Words repeat, so a worker encodes a
-piece once for a slice of documents, and keeps the pieces seen first for later slices (up to CACHED). New pieces are
-encoded many in one string, each behind its space; as a token stands for a fixed number of bytes, running sums of bytes
-say which ids are whose.
+piece once for a slice of documents, and keeps the pieces seen first for later slices (up to CACHE_BYTES). New pieces
+are encoded many in one string, each behind its space; as a token stands for a fixed number of bytes, running sums of
+bytes say which ids are whose.
+
+The library cuts texts at the tokenizer's added tokens (such as its end-of-text mark) before anything else. A text that
+holds one is left to the library whole, so it gives the ids that the library gives.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED = 1_000_000
+#: Bytes that a worker's known pieces may take, and what a piece takes besides its characters and ids.
+CACHE_BYTES, PIECE_BYTES = 64 << 20, 160
 JOINED = 512
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[str, Encoder] = {}
@@ -37,13 +41,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+        self.added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         self.end_id = end_id
         vocabulary = self.tokenizer.get_vocab()
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():  # one character stands for one byte
             self.token_bytes[i] = len(token)
         self.known: dict[str, int] = {}
+        self.known_bytes = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
 
@@ -92,6 +97,13 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        whole = np.zeros(len(texts), bool)
+        for content in self.added:
+            # Pieces are joined by spaces, so a content with one could arise between texts.
+            whole |= True if " " in content else pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if whole.any():
+            at, rest = np.flatnonzero(whole), np.flatnonzero(~whole)
+            return self._merge(len(texts), (at, self._encode_whole(texts.take(pa.array(at)).to_pylist())), (rest, self.encode(texts.take(pa.array(rest)))))
         lists = pc.split_pattern(texts, " ")
         ends = np.cumsum(lists.value_lengths().to_numpy())
         firsts = np.concatenate([[0], ends[:-1]])
@@ -107,6 +119,10 @@ class Encoder:
             return self._merge(len(texts), (good, self.encode(texts.take(pa.array(good)))), (bad, self._encode_lists([_SAFE.split(t) for t in texts.take(pa.array(bad)).to_pylist()])))
         return self._gather(codes, pieces, firsts, ends)
 
+    def _encode_whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        own = [np.array([*self._ids([t])[0], self.end_id], np.uint32) for t in texts]
+        return np.concatenate(own), np.cumsum([len(x) for x in own])
+
     def _encode_lists(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         ends = np.cumsum([len(x) for x in lists])
         coded = pa.array([p for x in lists for p in x], pa.string()).dictionary_encode()
@@ -124,12 +140,13 @@ class Encoder:
         known = self.known
         where = np.fromiter(map(known.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(where < 0)
-        room = CACHED - len(known)
-        if room > 0 and len(missing):
-            learn = missing[:room]
+        room = max(0, CACHE_BYTES - self.known_bytes)
+        sizes = np.cumsum([PIECE_BYTES + 2 * len(pieces[i]) for i in missing]) if room else np.zeros(0)
+        if fit := int(np.searchsorted(sizes, room, "right")):
+            learn, missing = missing[:fit], missing[fit:]
             self._learn([pieces[i] for i in learn])
+            self.known_bytes += int(sizes[fit - 1])
             where[learn] = np.arange(len(known) - len(learn), len(known))
-            missing = missing[room:]
         n_known = len(known)
         rest, rest_sizes = self._pieces([pieces[i] for i in missing])
         where[missing] = n_known + np.arange(len(missing))
