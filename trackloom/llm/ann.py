@@ -3,17 +3,20 @@
 Equal vectors are one node (their smallest ids are kept, as many as a result can show), so copies, however many, don't
 crowd a neighbourhood. Nodes are dealt to shards of bounded size by hash; a task builds its shard's graph. Nodes stand
 in order of their level, highest first, so each layer is a prefix and its links are one flat array of fixed width, -1
-where there is none. Layers are built from the top; nodes enter in batches that search the layer so far, see each
-other directly, and keep neighbours by the diversity rule, as do nodes that get links back. Searches run for many
-queries at once: one step opens the nearest unopened nodes of all of them.
+where there is none. Nodes enter a layer in batches. The nearest that are there, or enter with them, are found by one
+matrix product a batch, which for shards of this size costs less than searching the graph and finds better ones; of
+these a node keeps neighbours by the diversity rule, as do nodes that get links back. Searches go down the layers for
+many queries at once: one step opens the nearest unopened nodes of all of them.
 
-The graphs are written to the shared folder as flat arrays, a row per shard. Queries come in blocks of bounded size,
-each block visits each shard, and the nearest of all shards are ranked by exact distances in double precision.
+A shard has up to SHARD_NODES nodes, so that the number of visits, queries times shards, stays far below queries times
+vectors. The graphs are written to the shared folder as flat arrays, a row per shard. Queries come in blocks of bounded
+size, each block visits each shard, and the nearest of all shards are ranked by exact distances in double precision.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold a null or a non-finite
-component take no part, as queries and as candidates; a null id takes no part; equal distances rank by the smaller id;
-rows with the same id and vector are one, other rows of the same id are candidates each; if there are fewer
-candidates than asked for, all are returned; an empty table gives an empty result; other columns are ignored.
+component take no part, as queries and as candidates; a null id takes no part; of all nodes found, equal distances rank
+by the smaller id; rows with the same id and vector are one, other rows of the same id are candidates each, and a list
+of their own each as queries; if there are fewer candidates than asked for, all are returned; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,11 +33,13 @@ from pyspark.sql import functions as F
 
 from trackloom.llm.common import written
 
-SHARD_NODES = 4096
-QUERY_BLOCK = 16_384
+SHARD_NODES = 1 << 15
+QUERY_BLOCK = 1 << 16
 LINKS = 16
-BUILD_WIDTH = 80
-SEARCH_WIDTH = 128
+BUILD_WIDTH = 48
+#: Nodes that enter together.
+ENTERING = 512
+SEARCH_WIDTH = 96
 OPENED = 4
 SIDE_BY_SIDE = 256
 
@@ -47,7 +52,13 @@ class Graph:
     layers: list[np.ndarray]
 
     def search(self, queries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(nodes, squared distances), (q, width) each, nearest first; -1 and inf where there is none."""
+        """(nodes, squared distances), (q, width) each, nearest first; -1 and inf where there is none. A graph of no more
+        nodes than that is looked at whole."""
+        n = len(self.vectors)
+        if n <= width:
+            far = ((queries[:, None] - self.vectors[None]) ** 2).sum(2)
+            order = np.argsort(far, axis=1, kind="stable").astype(np.int32)
+            return order, np.take_along_axis(far, order, 1)
         found = [self._descend(queries[i : i + SIDE_BY_SIDE], width, 0) for i in range(0, len(queries), SIDE_BY_SIDE)]
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
@@ -143,38 +154,36 @@ def build(vectors: np.ndarray, links: int = LINKS, width: int = BUILD_WIDTH, see
     graph = Graph(vectors, [])
     for layer in range(int(level.max(initial=0)), -1, -1):
         size = int((level >= layer).sum())
-        graph.layers.insert(0, _layer(graph, size, 2 * links if layer == 0 else links, links, width))
+        graph.layers.insert(0, _layer(vectors, size, 2 * links if layer == 0 else links, links, width))
     return graph, order
 
 
-def _layer(above: Graph, size: int, places: int, links: int, width: int) -> np.ndarray:
-    """Links among the first `size` nodes; `above` has the layers over this one."""
-    vectors = above.vectors
+def _layer(vectors: np.ndarray, size: int, places: int, links: int, width: int) -> np.ndarray:
+    """Links among the first `size` nodes."""
     out = np.full((size, places), -1, np.int32)
+    squares = (vectors[:size] ** 2).sum(1)
     done = min(1, size)
     while done < size:
-        batch = np.arange(done, min(size, done + min(SIDE_BY_SIDE, max(1, done // 4))))
+        batch = np.arange(done, min(size, done + min(ENTERING, max(1, done // 4))))
+        done += len(batch)
         q = vectors[batch]
-        entry = np.zeros((len(batch), 1), np.int32)
-        for upper in range(len(above.layers) - 1, -1, -1):
-            entry = _beam(q, vectors, above.layers[upper], min(done, len(above.layers[upper])), entry, 8)[0][:, :1]
-        nodes, far = _beam(q, vectors, out, done, entry, min(width, max(8, done)))
-        among = ((q[:, None] - q[None]) ** 2).sum(2, dtype=np.float32)
-        np.fill_diagonal(among, np.inf)
-        nodes = np.concatenate([nodes, np.broadcast_to(batch.astype(np.int32), (len(batch), len(batch)))], axis=1)
-        far = np.concatenate([far, among], axis=1)
-        k = min(48, far.shape[1])
-        best = np.argsort(far, axis=1, kind="stable")[:, :k]
-        nodes, far = np.take_along_axis(nodes, best, 1), np.take_along_axis(far, best, 1)
+        far = q @ vectors[:done].T
+        far *= -2
+        far += squares[:done]
+        far[np.arange(len(batch)), batch] = np.inf
+        k = min(width, done - 1)
+        nodes = np.argpartition(far, k - 1, axis=1)[:, :k].astype(np.int32)
+        far = np.take_along_axis(far, nodes, 1)
+        best = np.argsort(far, axis=1, kind="stable")
+        nodes, far = np.take_along_axis(nodes, best, 1), np.take_along_axis(far, best, 1) + squares[batch][:, None]
         own = _diverse(q, nodes, far, vectors, links)
         out[batch, :links] = own
         _link_back(out, batch, own, vectors, places)
-        done += len(batch)
     return out
 
 
 def _link_back(out: np.ndarray, batch: np.ndarray, own: np.ndarray, vectors: np.ndarray, places: int) -> None:
-    """Links from the chosen neighbours back to the new nodes; a node without room keeps a diverse choice."""
+    """Links from the chosen neighbours back to the new nodes; a node without room keeps its nearest."""
     to, from_ = own.reshape(-1), np.repeat(batch, own.shape[1]).astype(np.int32)
     to, from_ = to[to >= 0], from_[to >= 0]
     order = np.argsort(to, kind="stable")
@@ -192,9 +201,7 @@ def _link_back(out: np.ndarray, batch: np.ndarray, own: np.ndarray, vectors: np.
         node, both = node[full], both[full]
         far = ((vectors[np.where(both >= 0, both, 0)] - vectors[node][:, None]) ** 2).sum(2)
         far[both < 0] = np.inf
-        k = min(2 * places, far.shape[1])
-        best = np.argsort(far, axis=1, kind="stable")[:, :k]
-        out[node] = _diverse(vectors[node], np.take_along_axis(both, best, 1), np.take_along_axis(far, best, 1), vectors, places)
+        out[node] = np.take_along_axis(both, np.argpartition(far, places - 1, axis=1)[:, :places], 1)
 
 
 def usable(vector: Column, size: int) -> Column:
@@ -211,55 +218,65 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, shard_nodes: int =
     # A class of equal vectors keeps its k + 1 smallest ids: a query may be one of them. Ranks are cut before the shuffle.
     ranked = good.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
     nodes = written(ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann-nodes")
-    n_nodes, n_queries = nodes.count(), good.filter(queries).count()
-    shards, blocks = max(1, -(-n_nodes // shard_nodes)), max(1, -(-n_queries // query_block))
+    asked = written(good.filter(queries).select("vec_id", "v", F.xxhash64("vec_id", "v").alias("query")), "ann-queries")
+    shards, blocks = max(1, -(-nodes.count() // shard_nodes)), max(1, -(-asked.count() // query_block))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
-    graphs = written(dealt.groupBy("shard").applyInPandas(_pack_shard, "shard int, dim int, vectors binary, ids binary, id_ends binary, layers array<binary>, widths array<int>"), "ann-graphs")
+    graphs = written(dealt.groupBy("shard").applyInPandas(_pack_shard, "shard int, dim int, kind string, vectors binary, ids binary, id_ends binary, layers array<binary>, widths array<int>"), "ann-graphs")
 
-    asked = good.filter(queries).select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v")
-    visits = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    visits = asked.withColumn("block", F.pmod("query", F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def visit(_: tuple, graph: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         return _search_shard(graph, asked, k, search_width)
 
-    hits = held.groupBy("shard", "block").cogroup(visits.groupBy("shard", "block")).applyInPandas(visit, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    hits = held.groupBy("shard", "block").cogroup(visits.groupBy("shard", "block")).applyInPandas(visit, "query long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "query").orderBy("score", "vec_id")
     return hits.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _pack_shard(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.assign(first=[int(i[0]) for i in rows["ids"]]).sort_values("first")
     exact = np.stack(rows["v"].to_list()).astype(np.float64)
-    graph, order = build(exact.astype(np.float32))
+    single = exact.astype(np.float32)
+    graph, order = build(single)
+    if (single == exact).all():  # the components were floats: half the bytes, nothing lost
+        exact = single
     ids = [np.asarray(rows["ids"].iloc[i], np.int64) for i in order]
     return pd.DataFrame({
-        "shard": rows["shard"].iloc[:1].to_list(), "dim": [exact.shape[1]], "vectors": [exact[order].astype("<f8").tobytes()],
+        "shard": rows["shard"].iloc[:1].to_list(), "dim": [exact.shape[1]], "kind": [exact.dtype.str], "vectors": [exact[order].tobytes()],
         "ids": [np.concatenate(ids).astype("<i8").tobytes()], "id_ends": [np.cumsum([len(i) for i in ids]).astype("<i8").tobytes()],
         "layers": [[x.astype("<i4").tobytes() for x in graph.layers]], "widths": [[x.shape[1] for x in graph.layers]],
     })
 
 
 def _search_shard(row: pd.DataFrame, asked: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
-    none = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+    """query, query_id, vec_id, score: of each query the k nearest found, ids of equal vectors each."""
+    none = pd.DataFrame({"query": np.zeros(0, np.int64), "query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
     if not len(row) or not len(asked):
         return none
     g = row.iloc[0]
-    exact = np.frombuffer(g["vectors"], "<f8").reshape(-1, int(g["dim"]))
+    exact = np.frombuffer(g["vectors"], g["kind"]).reshape(-1, int(g["dim"]))
     ids, ends = np.frombuffer(g["ids"], "<i8"), np.frombuffer(g["id_ends"], "<i8")
-    begins = np.concatenate([[0], ends[:-1]])
-    graph = Graph(exact.astype(np.float32), [np.frombuffer(x, "<i4").reshape(-1, w) for x, w in zip(g["layers"], g["widths"])])
-    q = np.stack(asked["v"].to_list()).astype(np.float64)
-    nodes, _ = graph.search(q.astype(np.float32), max(width, k + 1))
-    out = []
-    for query, v, near in zip(asked["vec_id"].to_list(), q, nodes):
-        near = near[near >= 0]
-        far = np.sqrt(((exact[near] - v) ** 2).sum(1))
-        best = np.argsort(far, kind="stable")[: 2 * k + 2]
-        own = np.concatenate([ids[begins[i] : ends[i]] for i in near[best]])
-        score = np.repeat(far[best], (ends - begins)[near[best]])
-        other = own != query
-        own, score = own[other], score[other]
-        pick = np.lexsort((own, score))[:k]
-        out.append(pd.DataFrame({"query_id": query, "vec_id": own[pick], "score": score[pick]}))
-    return pd.concat(out, ignore_index=True) if out else none
+    sizes = np.diff(ends, prepend=0)
+    graph = Graph(np.ascontiguousarray(exact, np.float32), [np.frombuffer(x, "<i4").reshape(-1, w) for x, w in zip(g["layers"], g["widths"])])
+    out = [none]
+    for at in range(0, len(asked), SIDE_BY_SIDE):
+        part = asked.iloc[at : at + SIDE_BY_SIDE]
+        q, own = np.stack(part["v"].to_list()).astype(np.float64), part["vec_id"].to_numpy(np.int64)
+        nodes, _ = graph.search(q.astype(np.float32), max(width, k + 1))
+        of, column = np.nonzero(nodes >= 0)
+        node = nodes[of, column]
+        far = np.sqrt(((exact[node].astype(np.float64) - q[of]) ** 2).sum(1))
+        same = (far == 0) & (exact[node] == q[of]).all(1)
+        # A row for each id of each node found.
+        count = sizes[node]
+        of, far, same = np.repeat(of, count), np.repeat(far, count), np.repeat(same, count)
+        found = ids[np.repeat(ends[node] - np.cumsum(count), count) + np.arange(count.sum())]
+        kept = ~(same & (found == own[of]))
+        of, far, found = of[kept], far[kept], found[kept]
+        order = np.lexsort((found, far, of))
+        of, far, found = of[order], far[order], found[order]
+        near = np.arange(len(of)) - np.searchsorted(of, of) < k
+        of = of[near]
+        out.append(pd.DataFrame({"query": part["query"].to_numpy()[of], "query_id": own[of], "vec_id": found[near], "score": far[near]}))
+    return pd.concat(out, ignore_index=True)
