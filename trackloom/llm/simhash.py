@@ -7,17 +7,20 @@ work by similarity, on wide fingerprints (below).
 
 Linking runs on distinct fingerprints, so exact copies cost one row. The 64 bits are cut into budget + 1 blocks; two
 fingerprints within the budget agree on one block, and, of the other bits cut into budget + 1 parts again, on one part.
-Each fingerprint is sent once for each choice of block and part, which become the top of its trie. A task's rows form
-one sorted array, a trie by common prefixes: the subtrees under equal tops are joined with themselves, node pairs are
-traversed together, each step adds a bit that differs, and a pair over the budget is dropped with everything below it.
-Of the pairs found a task emits a spanning forest of its links only, never all pairs of a group. Groups hold distinct
-fingerprints that agree on 35 or more bits, so copies, however many, don't fill one.
+Each fingerprint is sent once for each choice of block and part, which become the top of its trie. A task's rows come
+sorted by that choice and top and pass through it some whole groups at a time, as a sorted array, a trie by common
+prefixes: the subtrees under equal tops are joined with themselves, node pairs are traversed together, each step adds a
+bit that differs, and a pair over the budget is dropped with everything below it. Of the pairs found a task emits a
+spanning forest of its links only, never all pairs of a group. Groups hold distinct fingerprints that agree on 35 or
+more bits, so copies, however many, don't fill one. Fingerprints that many documents share are joined back to these by
+a broadcast of at most a thousand rows, so no task gathers their documents.
 
 Links are closed to components by alternating large-star and small-star steps, each written to the shared folder.
 
 Defined results: null text is a text without words; texts without words are linked with each other as any equal
-fingerprints; rows with one doc_id are each fingerprinted, `dedup` counts them as one document; null doc_ids stay; an
-empty table gives an empty result; very long texts are read whole; other columns pass through `dedup`.
+fingerprints; rows with one doc_id are each fingerprinted, `dedup` counts them as one document; rows without a doc_id
+belong to their text's group, represent none, and stay; of a group the smallest doc_id represents it; an empty table gives an empty result; very long
+texts are read whole; other columns, whatever their names, pass through `dedup`.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ids_and_texts, slices, written
+from trackloom.llm.common import ids_and_texts, plain_names, slices, written
 
 BITS = 64
 
@@ -189,7 +192,6 @@ def _split(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray) ->
 
 def links(classes: DataFrame, budget: int = 2) -> DataFrame:
     """(a, b): a spanning forest of the links of each subtrie, by the classes' representatives. classes: fp, rep."""
-    n_layouts = (budget + 1) ** 2
     made = layouts(budget)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,29 +202,44 @@ def links(classes: DataFrame, budget: int = 2) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), k, np.int32)), pa.array((key >> np.uint64(BITS - top)).view(np.int64)), pa.array(key.view(np.int64)), b.column("rep")], names=["layout", "top", "key", "rep"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = list(batches)
-        if not batches:
-            return
-        rows = pa.Table.from_batches(batches)
-        layout, key, rep = (rows.column(n).to_numpy() for n in ("layout", "key", "rep"))
-        for k in range(n_layouts):
-            mine = np.flatnonzero(layout == k)
-            if len(mine) < 2:
-                continue
-            keys = key[mine].view(np.uint64)
-            order = np.argsort(keys, kind="stable")
-            i, j = trie_links(keys[order], starts(keys[order] >> np.uint64(BITS - made[k][0])), made[k][0], budget)
-            if len(i):
-                a, b = rep[mine[order[i]]], rep[mine[order[j]]]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        for rows in whole_groups(batches, ["layout", "top"]):
+            layout, key, rep = (rows.column(n).to_numpy() for n in ("layout", "key", "rep"))
+            for k in np.unique(layout).tolist():
+                mine = np.flatnonzero(layout == k)
+                keys = key[mine].view(np.uint64)
+                order = np.argsort(keys, kind="stable")
+                i, j = trie_links(keys[order], starts(keys[order] >> np.uint64(BITS - made[k][0])), made[k][0], budget)
+                if len(i):
+                    yield pa.RecordBatch.from_arrays([pa.array(rep[mine[order[x]]]) for x in (i, j)], names=["a", "b"])
 
     sent = classes.select("fp", "rep").mapInArrow(send, "layout int, top long, key long, rep long")
-    return sent.repartition("layout", "top").mapInArrow(join, "a long, b long").distinct()
+    return sent.repartition("layout", "top").sortWithinPartitions("layout", "top").mapInArrow(join, "a long, b long").distinct()
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 1 << 18) -> Iterator[pa.Table]:
+    """Rows that come sorted by keys, whole groups of about `most` rows at a time; only a larger group is held whole."""
+    held, n, full = [], 0, most
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n < full:
+            continue
+        rows = pa.Table.from_batches(held)
+        columns = [rows.column(k).to_numpy() for k in keys]
+        new = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))
+        if cut := int(new[-1]) + 1 if len(new) else 0:
+            yield rows.slice(0, cut)
+            held, n, full = rows.slice(cut).to_batches(), n - cut, most
+        else:
+            full = 2 * n
+    if n:
+        yield pa.Table.from_batches(held)
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component): each node of the edges with the smallest node it reaches. Large-star and small-star steps
-    until a round changes nothing; sizes and checksums alone come to the driver."""
+    until a round changes nothing; sizes and checksums alone come to the driver. Rounds grow with the logarithm of the
+    longest chain; more than max_rounds are an error."""
     edges = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "star")
     seen = None
     for _ in range(max_rounds):
@@ -231,6 +248,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
             break
         seen = state
         edges = written(_small_star(_large_star(edges)), "star")
+    else:
+        raise RuntimeError(f"components are not complete after {max_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
@@ -249,10 +268,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def near_groups(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
     """doc_id, fp, component_id: a row per document with the smallest doc_id that it reaches by links."""
     found = written(fingerprints(docs, shingle), "simhash")
-    classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
+    classes = written(found.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "simhash-classes")
     reached = components(links(classes.filter("rep is not null"), budget))
-    named = classes.join(reached, F.col("rep") == F.col("node"), "left").select(F.col("fp").alias("class_fp"), F.coalesce("component", "rep").alias("component_id"))
-    return found.join(named, F.col("fp") == F.col("class_fp")).select("doc_id", "fp", "component_id")
+    return _of_class(found, classes, reached, "fp").select("doc_id", "fp", "component_id")
+
+
+def _of_class(found: DataFrame, classes: DataFrame, reached: DataFrame, key: str) -> DataFrame:
+    """found (doc_id, key) with component_id, by way of classes (key, rep, n) and reached (node, component). Keys with a
+    thousandth of the rows or more, at most a thousand, are broadcast; the others are joined by a shuffle."""
+    named = classes.join(reached, F.col("rep") == F.col("node"), "left").select(F.col(key).alias("of"), "n", F.coalesce("component", "rep").alias("component_id"))
+    rows = classes.agg(F.sum("n")).first()[0] or 0
+    often = F.broadcast(named.filter(F.col("n") >= max(1000, rows / 1000)))
+    match = F.col(key) == F.col("of")
+    rest = found.join(often.select("of"), match, "left_anti").join(named, match)
+    return found.join(often, match).unionByName(rest).drop("of", "n")
 
 
 def hex16(fp: Column) -> Column:
@@ -260,15 +289,21 @@ def hex16(fp: Column) -> Column:
 
 
 # Near copies by similarity. Texts whose shingle sets have a Jaccard similarity of 0.8 differ in about 15 % of SimHash
-# bits: far beyond a budget that a trie can prune by on one 64-bit fingerprint. So a fingerprint of many more bits is
-# taken, and many bands of it, each a random choice of bits, are joined as tries of their own: one band in some dozens
-# has near copies within two bits. All bits, whose share of differing ones tells the angle, choose the candidates with
-# room for chance; a link is a candidate whose sets of shingles are as similar as asked.
+# bits: far beyond a budget that prunes a trie near its root. So a fingerprint of many more bits is taken. In each of a
+# number of layouts, another random choice of its bits is the top under which tries are joined with themselves, and the
+# first bits of the fingerprint, the same in all layouts, are the key below it. The top has about as many bits as rows
+# ask for, so a group has some GROUP_ROWS rows by chance at any size; the fewer layouts hold a pair, the more there are.
+# The bits that travel with a row choose the candidates, with room for chance; a link is a candidate whose sets of
+# shingles are as similar as asked.
 
 WIDE_WORDS = 12
-BANDS = 96
+#: The first words, which are compared; tops are drawn from the others.
+CHECK_WORDS = 2
+GROUP_ROWS = 16
+#: Of pairs at the very limit of similarity, the share that no layout may bring together.
+MISSED = 0.005
 DEVIATIONS = 3.5
-BAND_TOP, BAND_BITS, BAND_BUDGET = 8, 32, 2
+KEY_BITS = 32
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -302,61 +337,67 @@ def wide_fingerprint(text: str | None, shingle: int, words_out: int = WIDE_WORDS
     return np.packbits(set_in * 2 > len(hashes), axis=1).tobytes()
 
 
+def differing(similarity: float) -> float:
+    """The share of bits that differ between sets of one size with this Jaccard similarity."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
 def most_differing(similarity: float, bits: int, deviations: float) -> int:
-    """Differing bits to expect at a Jaccard similarity of sets of one size, and so many standard deviations more."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    """Differing bits to expect, and so many standard deviations more."""
+    share = differing(similarity)
     return int(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
-def band_keys(wide: np.ndarray) -> np.ndarray:
-    """(n, BANDS) keys of BAND_BITS bits; wide (n, bytes)."""
-    bits = np.unpackbits(wide, axis=1)
+def tops(rows: int, similarity: float) -> tuple[int, int]:
+    """(bits that must agree, layouts) for so many rows: groups of GROUP_ROWS by chance, and so many layouts that a pair
+    at the limit shares the top of one but for MISSED."""
+    bits = min(40, max(1, math.ceil(math.log2(max(rows, 2) / GROUP_ROWS))))
+    return bits, math.ceil(math.log(MISSED) / math.log1p(-((1 - differing(similarity)) ** bits)))
+
+
+def layout_tops(wide: np.ndarray, top: int, layouts: int) -> Iterator[np.ndarray]:
+    """For each layout the n tops as whole numbers; wide (n, bytes)."""
+    bits = np.unpackbits(wide[:, 8 * CHECK_WORDS :], axis=1)
     r = np.random.default_rng(11)
-    powers = (1 << np.arange(BAND_BITS - 1, -1, -1)).astype(np.uint64)
-    return np.stack([bits[:, r.permutation(bits.shape[1])[:BAND_BITS]].astype(np.uint64) @ powers for _ in range(BANDS)], axis=1)
+    powers = (1 << np.arange(top - 1, -1, -1)).astype(np.int64)
+    for _ in range(layouts):
+        yield bits[:, r.permutation(bits.shape[1])[:top]].astype(np.int64) @ powers
 
 
 def _wide(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    n, width = rows.shape
-    ends = np.arange(0, (n + 1) * width, width, dtype=np.int32)
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
-
-
-def _band_links(classes: DataFrame, check_bytes: int, most: int, forest_only: bool = True) -> DataFrame:
-    """(a, b): forests of the links of classes (rep, node, wide) that some band finds and that differ in at most `most`
-    of the first check_bytes * 8 bits, or all such links between different nodes; rows travel with those bits."""
+def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only: bool = True) -> DataFrame:
+    """(a, b): forests of the links of classes (rep, node, wide) that some layout brings together and that differ in no
+    more of the first `words` words than the similarity lets expect, or all such links between different nodes. Rows
+    travel with those words."""
+    top, layouts = tops(classes.count(), similarity)
+    most, most_key = (most_differing(similarity, n, DEVIATIONS) for n in (BITS * words, KEY_BITS))
+    columns = [f"w{i}" for i in range(words)]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 b = whole.slice(at, 2048)
                 wide = _wide(b.column("wide"))
-                keys, check = band_keys(wide), _binary(wide[:, :check_bytes])
-                for k in range(BANDS):
-                    columns = [np.full(len(wide), k, np.int32), (keys[:, k] >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int32), keys[:, k].astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), b.column("rep"), b.column("node"), check], names=["band", "top", "key", "rep", "node", "bits"])
+                own = [pa.array(w) for w in np.ascontiguousarray(wide[:, : 8 * words]).view(">u8").astype(np.uint64).view(np.int64).T.copy()]
+                for k, tops_ in enumerate(layout_tops(wide, top, layouts)):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.int64(k) << np.int64(top) | tops_), b.column("rep"), b.column("node"), *own], names=["place", "rep", "node", *columns])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = list(batches)
-        if not batches:
-            return
-        rows = pa.Table.from_batches(batches)
-        band, key, rep, node = (rows.column(n).to_numpy() for n in ("band", "key", "rep", "node"))
-        order = np.lexsort((rep, key, band))
-        key, rep, node = key[order].astype(np.uint64), rep[order], node[order]
-        groups = band[order].astype(np.int64) << BAND_TOP | (key >> np.uint64(BAND_BITS - BAND_TOP)).astype(np.int64)
-        bits = _wide(rows.column("bits")).view(np.uint64)[order]
-        # Equal keys of a group are told apart by bits that don't count.
-        keys = key << np.uint64(BITS - BAND_BITS) | np.arange(len(key), dtype=np.uint64)
-        i, j = trie_links(keys, starts(groups), BAND_TOP, BAND_BUDGET, BAND_BITS, np.unique(node, return_inverse=True)[1], lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most, forest_only=forest_only)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
-
-    sent = classes.select("rep", "node", "wide").mapInArrow(send, "band int, top int, key long, rep long, node long, bits binary")
-    return sent.repartition("band", "top").mapInArrow(join, "a long, b long").distinct()
+        for rows in whole_groups(batches, ["place"]):
+            place, rep, node = (rows.column(n).to_numpy() for n in ("place", "rep", "node"))
+            bits = np.stack([rows.column(n).to_numpy() for n in columns], axis=1).view(np.uint64)
+            order = np.lexsort((rep, bits[:, 0], place))
+            place, rep, node, bits = place[order], rep[order], node[order], bits[order]
+            # Equal keys of a group are told apart by bits that don't count.
+            keys = (bits[:, 0] & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(place), dtype=np.uint64)
+            i, j = trie_links(keys, starts(place), 0, most_key, KEY_BITS, np.unique(node, return_inverse=True)[1], lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most, forest_only=forest_only)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
+
+    sent = classes.select("rep", "node", "wide").mapInArrow(send, "place long, rep long, node long, " + ", ".join(f"{c} long" for c in columns))
+    return sent.repartition("place").sortWithinPartitions("place").mapInArrow(join, "a long, b long").distinct()
 
 
 def _shingle_sets(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
@@ -383,10 +424,10 @@ def _confirmed(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFram
 
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id: a row per document with the smallest doc_id that it reaches by links of texts whose sets of
-    shingles have the Jaccard similarity asked, or more. A first pass over the bands, with 64 bits to check, finds the
-    documents that may have a neighbour; only these carry all their bits through the second, which gives a forest of
-    candidates in each band. Candidates are confirmed by the sets. A refused one may have hidden others, so all
-    candidates between groups that refused ones lie between are confirmed too. A link is missed only if no band meets it."""
+    shingles have the Jaccard similarity asked, or more. A first pass, with few words to check, finds the documents that
+    may have a neighbour; only these carry all their bits through the second, which gives a forest of candidates in each
+    group. Candidates are confirmed by the sets. A refused one may have hidden others, so all candidates between groups
+    that refused ones lie between are confirmed too. A link is missed only if no layout meets it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 8 << 20):
@@ -396,12 +437,11 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
         return edges.select(F.explode(F.array("a", "b")).alias("met")).distinct()
 
     found = written(ids_and_texts(docs).mapInArrow(run, "doc_id long, wide binary"), "simhash-wide")
-    classes = written(found.groupBy("wide").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "simhash-wide-classes")
-    classes = classes.withColumn("node", F.col("rep"))
-    met = written(ends(_band_links(classes, 8, most_differing(similarity, BITS, DEVIATIONS))), "simhash-met")
-    near = classes.join(met, F.col("rep") == F.col("met"), "left_semi")
-    most = most_differing(similarity, BITS * WIDE_WORDS, DEVIATIONS)
-    candidates = written(_band_links(near, 8 * WIDE_WORDS, most).filter("a <> b"), "simhash-candidates")
+    classes = written(found.groupBy("wide").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "simhash-wide-classes")
+    nodes = classes.filter("rep is not null").select("rep", F.col("rep").alias("node"), "wide")
+    met = written(ends(_layout_links(nodes, CHECK_WORDS, similarity)), "simhash-met")
+    near = written(nodes.join(met, F.col("rep") == F.col("met"), "left_semi"), "simhash-near")
+    candidates = written(_layout_links(near, WIDE_WORDS, similarity).filter("a <> b"), "simhash-candidates")
     sets = _shingle_sets(docs, ends(candidates), shingle)
     checked = _confirmed(candidates, sets, similarity)
     edges = checked.filter("near").select("a", "b")
@@ -413,13 +453,12 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     open_ = written(apart.select(F.explode(F.array("a_node", "b_node")).alias("open")).distinct(), "simhash-open")
     if not open_.isEmpty():
         inside = of.join(open_, F.col("node") == F.col("open"), "left_semi")
-        again = classes.drop("node").join(inside, F.col("rep") == F.col("met")).select("rep", "node", "wide")
-        more = _band_links(again, 8 * WIDE_WORDS, most, forest_only=False).join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        again = written(nodes.drop("node").join(inside, F.col("rep") == F.col("met")).select("rep", "node", "wide"), "simhash-again")
+        more = _layout_links(again, WIDE_WORDS, similarity, forest_only=False).join(checked.select("a", "b"), ["a", "b"], "left_anti")
         late = _confirmed(written(more, "simhash-more"), sets, similarity).filter("near").select("a", "b")
         if not late.isEmpty():
             reached = components(edges.union(late))
-    named = classes.join(reached.withColumnRenamed("node", "reached"), F.col("rep") == F.col("reached"), "left").select(F.col("wide").alias("class_wide"), F.coalesce("component", "rep").alias("component_id"))
-    return found.join(named, F.col("wide") == F.col("class_wide"), "left").select("doc_id", "component_id")
+    return _of_class(found, classes, reached, "wide").select("doc_id", "component_id")
 
 
 def dedup(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -427,8 +466,10 @@ def dedup(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFra
     doc_id are one document, of which one row stays; rows without a doc_id stay."""
     fold = written(similar_groups(docs, shingle, similarity), "simhash-groups")
     rows, ids = fold.agg(F.count("doc_id"), F.countDistinct("doc_id")).first()
+    plain, names = plain_names(docs)
+    own = F.col(names["doc_id"])
     drop = fold.filter("doc_id <> component_id").select(F.col("doc_id").alias("drop_id")).distinct().hint("shuffle_hash")  # not broadcast: ids grow with the corpus
-    kept = docs.join(drop, docs["doc_id"] == F.col("drop_id"), "left_anti")
-    if rows == ids:
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    kept = plain.filter(own.isNotNull()).join(drop, own == F.col("drop_id"), "left_anti")
+    if rows != ids:
+        kept = kept.dropDuplicates([names["doc_id"]])
+    return kept.unionByName(plain.filter(own.isNull())).toDF(*docs.columns)
