@@ -11,8 +11,9 @@ Kinds, leftmost and non-overlapping each:
           in words and paths, must reach a higher entropy.
 
 Offsets count code points, ends are exclusive. Defined results: a null or empty text has no spans (base_sha256 is that
-of the empty string); very long texts are scanned whole; repeated rows are scanned each; other columns pass through
-`redact` and are ignored by `scan`.
+of the empty string); very long texts are scanned whole; spans that begin together are ordered as the kinds above; null
+doc_ids stay null; repeated rows are scanned each; an empty table gives an empty result; other columns, whatever their
+names, pass through `redact` and are ignored by `scan`.
 """
 
 from __future__ import annotations
@@ -20,13 +21,14 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ids_and_texts, slices, texts_in_small_batches
+from trackloom.llm.common import ids_and_texts, plain_names, slices
 
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -99,13 +101,28 @@ def find(text: str) -> list[tuple[int, int, int]]:
         spans += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(run) if len(m[0]) >= ACCESS_LENGTH]
         spans += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(run) if len(m[0]) >= HEX_LENGTH]
     if runs:
-        base = sorted((s, e) for s, _, e in spans)
+        base = merged((s, e) for s, _, e in spans)
+        ends = [e for _, e in base]
         for at, run in runs:
-            cuts = [(s - at, e - at) for s, e in base if s < at + len(run) and at < e]
+            first = i = bisect_right(ends, at)
+            while i < len(base) and base[i][0] < at + len(run):
+                i += 1
+            cuts = [(s - at, e - at) for s, e in base[first:i]]
             spans += [(at + s, 3, at + e) for s, e in parts(run, cuts) if is_random(run[s:e])]
     return sorted(spans)
 
 
+def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans sorted, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
@@ -142,12 +159,15 @@ def blanked(text: str | None, mark: str) -> str | None:
 
 def redact(docs: DataFrame, mark: str = "[{kind}]") -> DataFrame:
     """docs with every span in text replaced; documents without spans are unchanged, and n_chars follows the text."""
-    names = docs.columns
+    plain, names = plain_names(docs)
+    text = names["text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 8 << 20):
-            new = pa.array([blanked(t, mark) for t in b.column("text").to_pylist()], pa.string())
-            yield b.set_column(names.index("text"), "text", new)
-
-    changed = texts_in_small_batches(docs).mapInArrow(run, docs.schema)
-    return changed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else changed
+        for b in slices(batches, text, 8 << 20):
+            new = pa.array([blanked(t, mark) for t in b.column(text).to_pylist()], pa.string())
+            yield b.set_column(b.schema.get_field_index(text), text, new)
+
+    changed = plain.mapInArrow(run, plain.schema)
+    if at := names.get("n_chars"):
+        changed = changed.withColumn(at, F.length(text).cast(plain.schema[at].dataType))
+    return changed.toDF(*docs.columns)

@@ -7,12 +7,14 @@ in, and so on until a level has none left. A key is listed if the first level th
 row needs no join.
 
 The universe is every host of the corpus and all its parent domains, distinct. The filters are built by Spark: bit
-positions per key, or-ed into words by groupBy. Their size follows the listed keys that occur in the corpus; up to
-`max_broadcast_bytes` they are broadcast, beyond it keys are split by hash into shards with a cascade of their own, and
-the filters of a shard travel to the shard's keys by a cogroup.
-
-Defined results: a null url, or one without "://", has an empty host and path, fits no rule and is not listed; other
-columns are ignored; an empty table gives an empty result; repeated rows are each judged.
+positions per key, or-ed into words by groupBy. Their size follows the listed keys that occur in the corpus, under two
+bytes each over all levels. Keys are dealt by hash to as many shards as keep a shard's cascade under `shard_bytes`; the
+cascades are built and broadcast one after the other, each in a pass over the rows that asks it for its own keys. So a
+broadcast is bounded, rows are never shuffled, and a host that a third of all rows share is no hot key.
+
+Defined results: a null url, or one without "://", has an empty host and path, fits no rule and is not listed; very long
+urls are read whole; of rules of one length that fit the first given wins; repeated rows are each judged; an empty table
+gives an empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -21,23 +23,27 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.llm.common import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Of a shard's cascade.
+SHARD_BYTES = 64 << 20
 #: (verdict, host, path); a rule's name is its host and path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: The listed hosts: each label below under each domain below.
-LISTED_LABELS = ("casino-win", "cheap-pills", "free-bets", "ads-track", "adult-x", "spam-farm")
-LISTED_DOMAINS = ("example.com", "example.net", "example.org")
+#: Words that name advertising and spam.
+SPAM_WORDS = ("ads", "adult", "bets", "casino", "loans", "pills", "poker", "porn", "spam", "viagra")
+_WORDS = "|".join(SPAM_WORDS)
+#: A label of several words joined by hyphens, one of them such a word.
+SPAM_LABEL = rf"(^|\.)(([a-z0-9]+-)+({_WORDS})(-[a-z0-9]+)*|({_WORDS})(-[a-z0-9]+)+)(\.|$)"
 
 
-def listed_hosts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(f"{a}.{b}",) for a in LISTED_LABELS for b in LISTED_DOMAINS], "host string")
+def listed_hosts(hosts: DataFrame) -> DataFrame:
+    """The default list, made by rule: every host of the corpus with a spam label. It grows with the corpus."""
+    return hosts.select("host").distinct().filter(F.col("host").rlike(SPAM_LABEL))
 
 
 def with_host_path(pages: DataFrame) -> DataFrame:
@@ -113,53 +119,44 @@ def _level_size(n: int, level: int, false_positive_rate: float) -> tuple[int, in
     return m, max(1, round(m / n * math.log(2)))
 
 
-def build_local(h1: np.ndarray, h2: np.ndarray, listed: np.ndarray, false_positive_rate: float = 0.02) -> Cascade:
-    """The cascade over keys that one task holds."""
-    levels: list[tuple[int, int, np.ndarray]] = []
-    left = np.arange(len(h1))
-    while (mine := left[listed[left] == (len(levels) % 2 == 0)]).size:
-        k = len(levels)
-        m, n_hashes = _level_size(len(mine), k, false_positive_rate)
-        words = np.zeros(m // 64, np.uint64)
-        for j in range(n_hashes):
-            at = _position(h1[mine], h2[mine], k, j, m)
-            np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
-        levels.append((m, n_hashes, words))
-        for j in range(n_hashes):
-            at = _position(h1[left], h2[left], k, j, m)
-            left = left[(words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1]
-    return Cascade(levels)
-
-
-def build(keys: DataFrame, false_positive_rate: float = 0.02) -> Cascade:
-    """The cascade over `keys` (key, listed), the distinct keys of the universe. Each level is one pass over the keys
-    that passed all levels before it; only bit words and counts come to the driver, and `judge` checks their size
-    beforehand."""
+def holds(cascades: list[Cascade], h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """Whether keys are listed, each asked of its shard."""
+    answer = np.zeros(len(h1), bool)
+    for i, cascade in enumerate(cascades):
+        own = np.flatnonzero(h1 % np.uint64(len(cascades)) == i)
+        answer[own] = cascade.holds(h1[own], h2[own])
+    return answer
+
+
+def build(keys: DataFrame, shards: int = 1, false_positive_rate: float = 0.02) -> Iterator[Cascade]:
+    """The cascades over `keys` (key, listed), the distinct keys of the universe, shard by shard. Each level is one pass
+    over the shard's keys that passed all levels before it; only its bit words come to the driver."""
     spark = keys.sparkSession
     hashed = written(_hashes(keys).select("h1", "h2", "listed"), "url-keys")
-    levels: list[tuple[int, int, np.ndarray]] = []
-    while True:
-        k = len(levels)
-        so_far = spark.sparkContext.broadcast(list(levels))
-        inside_levels, others = k % 2 == 0, hashed.mapInArrow(lambda b, so_far=so_far: _survivors(b, so_far.value), "h1 long, h2 long, listed boolean")
-        mine = others.filter(F.col("listed") == F.lit(inside_levels))
-        n = mine.count()
-        if not n:
-            break
-        m, n_hashes = _level_size(n, k, false_positive_rate)
-        words = mine.mapInArrow(lambda b, k=k, m=m, c=n_hashes: _bit_words(b, k, c, m), "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
-        bits = np.zeros(m // 64, np.uint64)
-        for row in words.toLocalIterator():
-            bits[row["at"]] = np.uint64(row["word"] & 0xFFFFFFFFFFFFFFFF)
-        levels.append((m, n_hashes, bits))
-    return Cascade(levels)
-
-
-def _survivors(batches: Iterator[pa.RecordBatch], levels: list) -> Iterator[pa.RecordBatch]:
-    """The keys that every level so far takes in."""
+    for shard in range(shards):
+        levels: list[tuple[int, int, np.ndarray]] = []
+        while True:
+            k = len(levels)
+            so_far = spark.sparkContext.broadcast(list(levels))
+            left = hashed.mapInArrow(lambda b, so_far=so_far, shard=shard: _survivors(b, so_far.value, shard, shards), "h1 long, h2 long, listed boolean")
+            mine = left.filter(F.col("listed") == F.lit(k % 2 == 0))
+            n = mine.count()
+            if not n:
+                break
+            m, n_hashes = _level_size(n, k, false_positive_rate)
+            words = mine.mapInArrow(lambda b, k=k, m=m, c=n_hashes: _bit_words(b, k, c, m), "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
+            bits = np.zeros(m // 64, np.uint64)
+            for row in words.toLocalIterator():
+                bits[row["at"]] = np.uint64(row["word"] & 0xFFFFFFFFFFFFFFFF)
+            levels.append((m, n_hashes, bits))
+        yield Cascade(levels)
+
+
+def _survivors(batches: Iterator[pa.RecordBatch], levels: list, shard: int, shards: int) -> Iterator[pa.RecordBatch]:
+    """The shard's keys that every level so far takes in."""
     for b in batches:
         h1, h2 = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-        left = np.arange(len(h1))
+        left = np.flatnonzero(h1 % np.uint64(shards) == shard)
         for k, (m, n_hashes, words) in enumerate(levels):
             for j in range(n_hashes):
                 at = _position(h1[left], h2[left], k, j, m)
@@ -183,53 +180,42 @@ def universe(hosts: DataFrame, listed: DataFrame) -> DataFrame:
     return seen.join(listed.select(F.col("host").alias("key"), F.lit(True).alias("in_list")).distinct(), "key", "left").select("key", F.coalesce("in_list", F.lit(False)).alias("listed"))
 
 
-def judge(pages: DataFrame, listed: DataFrame | None = None, rules: tuple = RULES, max_broadcast_bytes: int = 8 << 20, shard_keys: int = 1 << 20) -> DataFrame:
+def judge(pages: DataFrame, listed: DataFrame | None = None, rules: tuple = RULES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """page_id, host, path, rule, verdict, listed: the rule's verdict, else block for a host on the list or below a
     listed one, else allow."""
     spark = pages.sparkSession
-    listed = listed_hosts(spark) if listed is None else listed
     found = with_host_path(pages)
-    keys = written(universe(found, listed), "url-universe")
-    n_keys, n_listed = keys.agg(F.count("*"), F.count(F.when(F.col("listed"), 1))).first()
-    if n_listed * 2 <= max_broadcast_bytes:  # under two bytes a listed key, over all levels
-        cascade = spark.sparkContext.broadcast(build(keys))
-        hashed = found.select("*", *[F.transform(domains(F.col("host")), h).alias(n) for n, h in zip(("h1", "h2"), HASHES)])
-        judged = hashed.mapInArrow(lambda b: _ask(b, cascade.value), "page_id long, host string, path string, listed boolean")
-    else:
-        judged = _by_shard(found, keys, -(-n_keys // shard_keys))
+    keys = written(universe(found, listed_hosts(found) if listed is None else listed), "url-universe")
+    n_listed = keys.filter("listed").count()
+    shards = max(1, -(-2 * n_listed // shard_bytes))
+    judged = found.withColumn("listed", F.lit(False))
+    for shard, cascade in enumerate(build(keys, shards)):
+        if shard:  # a broadcast at a time
+            judged = written(judged, "url-judged")
+        shared = spark.sparkContext.broadcast(cascade)
+        hashed = judged.select("*", *[F.transform(domains(F.col("host")), h).alias(n) for n, h in zip(("h1", "h2"), HASHES)])
+        judged = hashed.mapInArrow(lambda b, shared=shared, shard=shard: _ask(b, shared.value, shard, shards), "page_id long, host string, path string, listed boolean")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return judged.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")
 
 
-def _ask(batches: Iterator[pa.RecordBatch], cascade: Cascade) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterator[pa.RecordBatch], cascade: Cascade, shard: int, shards: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         h1, h2 = (b.column(n).flatten().to_numpy().view(np.uint64) for n in ("h1", "h2"))
-        hits = np.concatenate([[0], np.cumsum(cascade.holds(h1, h2))])
+        own = np.flatnonzero(h1 % np.uint64(shards) == shard)
+        hit = np.zeros(len(h1), np.int64)
+        hit[own] = cascade.holds(h1[own], h2[own])
+        hits = np.concatenate([[0], np.cumsum(hit)])
         ends = np.cumsum(b.column("h1").value_lengths().to_numpy())
         any_hit = np.diff(hits[np.concatenate([[0], ends])]) > 0
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("host"), b.column("path"), pa.array(any_hit)], names=["page_id", "host", "path", "listed"])
-
-
-def _by_shard(found: DataFrame, keys: DataFrame, shards: int) -> DataFrame:
-    """The same answer where one cascade would be too large to broadcast: the universe's keys are dealt to shards by
-    hash, each task builds its shard's cascade and asks it for the shard's keys, and the answers return by host."""
-    dealt = _hashes(keys).select(F.pmod("h1", F.lit(shards)).alias("shard"), "key", "h1", "h2", "listed")
-    asked = dealt.groupBy("shard").applyInPandas(_answer_shard, "key string, hit boolean")
-    hosts = found.select("host").distinct().select("host", F.explode(domains(F.col("host"))).alias("key"))
-    per_host = hosts.join(asked, "key").groupBy("host").agg(F.bool_or("hit").alias("listed"))
-    return found.join(per_host, "host").select("page_id", "host", "path", "listed")
-
-
-def _answer_shard(keys: pd.DataFrame) -> pd.DataFrame:
-    h1, h2 = (keys[n].to_numpy(np.int64).view(np.uint64) for n in ("h1", "h2"))
-    return pd.DataFrame({"key": keys["key"], "hit": build_local(h1, h2, keys["listed"].to_numpy(bool)).holds(h1, h2)})
+        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("host"), b.column("path"), pa.array(any_hit | b.column("listed").to_numpy(zero_copy_only=False))], names=["page_id", "host", "path", "listed"])
 
 
 def _oracle() -> str:
     fits = [(kind, f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p) for kind, h, p in sorted(RULES, key=lambda r: -len(r[1] + r[2]))]
     rule = " ".join(f"WHEN {test} THEN '{name}'" for _, test, name in fits)
     verdict = " ".join(f"WHEN {test} THEN '{kind}'" for kind, test, _ in fits)
-    hosts = " OR ".join(f"host = '{a}.{b}' OR ends_with(host, '.{a}.{b}')" for a in LISTED_LABELS for b in LISTED_DOMAINS)
+    hosts = f"regexp_matches(host, '{SPAM_LABEL}')"
     return f"""
 WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 split AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS host0 FROM cut),
@@ -239,5 +225,5 @@ FROM parts
 """
 
 
-#: The list is written out in the SQL; the cascade must give the same answer.
+#: The SQL applies the list's rule to every host; the cascade must give the same answer.
 ORACLE_SQL = _oracle()
