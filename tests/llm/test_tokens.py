@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from trackloom.llm import tokens
 
@@ -14,9 +15,12 @@ SPACES = [" ", "  ", "\n", "\t", " \n", "\n\n", " ", " ", "\x1c", "\x85", ""]
 WORDS = ["the", "it's", "don't", "'s", "x's", "Über", "12", "a1", "--", "#$%", "é", "日本", "<|endoftext|>", "🙂", "s", "'", "...", "A"]
 
 
+LIBRARY = Tokenizer.from_file(tokens.default_path())
+
+
 def whole(texts):
-    encoder = tokens.Encoder.of(tokens.default_path())
-    return [[*e.ids, 0] for e in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    """The library's own ids, by a tokenizer that the operators don't touch."""
+    return [[*e.ids, 0] for e in LIBRARY.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def piecewise(texts):
@@ -35,11 +39,17 @@ def test_mixed_spaces(texts):
     assert piecewise(texts) == whole(texts)
 
 
+def test_added_tokens_are_the_library_s():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "<|endof text|>", "plain"]
+    assert piecewise(texts) == whole(texts)
+    assert 50256 in piecewise(texts)[0] and 50256 not in piecewise(texts)[3]
+
+
 def test_full_cache(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHED", 3)
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 3 * tokens.PIECE_BYTES + 2 * len("onetwothree") + 200)
     encoder = tokens.Encoder(tokens.default_path())
     texts = [f"one two three four{i} five {i} six" for i in range(50)]
     for _ in range(2):
         ids, ends = encoder.encode(pa.array(texts))
         assert [x.tolist() for x in np.split(ids, ends[:-1])] == whole(texts)
-    assert len(encoder.known) == 3
+    assert 3 <= len(encoder.known) <= 4 and encoder.known_bytes <= tokens.CACHE_BYTES

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from trackloom.llm import ann, language_id, mixing, packing, quality, secrets, simhash, token_ids, tokens, toxicity, url_filter
 from trackloom.sources.tables import table
 
@@ -64,7 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
-    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_mixing": mixing.ORACLE_SQL,

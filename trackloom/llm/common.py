@@ -2,52 +2,81 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of characters outside ASCII white space; bytes.split() of Python has the same rule.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Folders that this process has set up, and the tables written so far.
+_owned: set[str] = set()
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share. A temporary one is set only where
-    the session names none, which is right for local mode alone."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
+    """The folder in spark.checkpoint.dir, which driver and executors share. Where the session names none, a temporary
+    one is set in local mode; on a cluster executors would write to disks of their own, so that is an error."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="trackloom-"))
-    return sc.getCheckpointDir().rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="trackloom-")
+        sc.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The application's own folder below the shared one. It belongs to the application: its tables can be read for as
+    long as it runs, and Spark's JVM removes the folder when it ends."""
+    sc = spark.sparkContext
+    folder = f"{shared_dir(spark)}/trackloom/{sc.applicationId}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    if folder not in _owned:
+        files = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _owned.add(folder)
+    return folder
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: lineage ends there, and lost executors cost no rework
+    """df as a Parquet table in the run's folder, read again: lineage ends there, and lost executors cost no rework
     before it. Row order is not kept."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/trackloom/{tag}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def texts_in_small_batches(docs: DataFrame) -> DataFrame:
-    """docs, whose session sends rows to Python a thousand at a time unless it names another number: Spark's default of
-    ten thousand would hold as many whole texts at once."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if docs.sparkSession.conf.get(name) == "10000":
-        docs.sparkSession.conf.set(name, "1000")
-    return docs
+def step(spark: SparkSession, make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """What `make` returns, written; the tables written on the way to it are removed."""
+    begun = len(_made)
+    out = written(make(), tag)
+    sc = spark.sparkContext
+    for old in _made[begun:-1]:
+        path = sc._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    del _made[begun:-1]
+    return out
 
 
 def ids_and_texts(docs: DataFrame) -> DataFrame:
     """doc_id long and text string, whatever else docs holds."""
-    return texts_in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def plain_names(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with its columns named c0, c1, ..., so that no name clashes or needs quoting; the new name of each old one."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
 
 
 def crc_bucket(doc_id: Column, n: int) -> Column:
@@ -55,13 +84,31 @@ def crc_bucket(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(n)
 
 
-def bounded_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """At most n rows, those with the smallest hash of `key` (ties by the key itself): the same rows on every run. A
-    count first says which hashes can be among them, so no task meets many more than n rows."""
+def bounded_sample(df: DataFrame, key: str, n: int, by: str | None = None, most_values: int = 256) -> DataFrame:
+    """(key, by): at most n keys with their least `by`, those with the smallest hash of the key (ties by the key
+    itself): the same on every run. With `by`, at most n for each of its most_values most frequent values. Counts say
+    first which hashes can be among them, so no task meets many more than n rows of a value, and only those are grouped."""
     digest = F.md5(F.col(key).cast("string"))
-    share = 1.2 * n / max(1, df.count()) + 1e-6
-    near = df.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") < share * 16.0**8) if share < 1 else df
-    return near.orderBy(digest, F.col(key)).limit(n)
+    hashed = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(16.0**8)
+    if by is None:
+        near = df.filter(hashed < 1.5 * n / max(1, df.count()) + 1e-6).select(key).distinct()
+        return near.orderBy(digest, F.col(key)).limit(n)
+    counts = df.groupBy(by).count().orderBy(F.desc("count"), by).limit(most_values).collect()
+    if not counts:
+        return df.select(key, by).limit(0)
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r[0], 1.5 * n / r[1] + 1e-6)])
+    near = df.filter(hashed < F.element_at(shares, F.col(by))).groupBy(key).agg(F.min(by).alias(by))
+    ranked = near.withColumn("nth__", F.row_number().over(Window.partitionBy(by).orderBy(digest, F.col(key))))
+    return ranked.filter(F.col("nth__") <= n).drop("nth__")
+
+
+def labelled_texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """picked, with the text of each document: a row for each doc_id of picked that docs has, however often it is there
+    (the least text counts). picked has a row for each doc_id and some thousands in all, so it is broadcast."""
+    labels = [c for c in picked.columns if c != "doc_id"]
+    known = F.broadcast(picked.select(F.col("doc_id").alias("picked__"), *labels))
+    rows = ids_and_texts(docs).join(known, F.col("doc_id") == F.col("picked__"))
+    return rows.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in labels], F.min("text").alias("text"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -3,18 +3,20 @@
 A text's UTF-8 bytes are read in windows of WINDOW bytes, forwards and backwards by a gated recurrent unit each; both
 states give a distribution over languages at every position, and a document's probabilities are the mean over all its
 positions. Training is backpropagation through time in numpy, Adam on the cross-entropy of all positions, over windows of
-a bounded sample of labelled documents: at most `max_labelled`, picked by a hash of doc_id, and `max_windows` windows
-spread evenly over them. The number of steps does not depend on the sample. Labelling is one pass without shuffle: a
-task's windows run side by side as one matrix per step.
-
-Defined results: a null text, or one without a letter, is `und` with score 0, and so is every text if there is no
-labelled document; null labels are ignored; repeated rows are labelled each; very long texts are read whole; an empty
-table gives an empty result; other columns are ignored.
+a bounded sample of labelled documents: at most `max_labelled`, shared evenly between the languages and picked by a hash
+of doc_id, so a rare language has as many as a frequent one. Tasks cut `max_windows` windows in all, spread evenly over
+each text; windows alone reach the driver. Languages beyond the 256 most frequent labels are not learned. The number of
+steps does not depend on the sample. Labelling is one pass without shuffle: a task's windows run side by side as one
+matrix per step.
+
+Defined results: a null text, or one without a letter (a character for which str.isalpha holds), is `und` with score 0,
+and so is every text if there is no labelled document; null labels are ignored; a doc_id with several labels or texts is
+learned with its least label and text; languages with equal probabilities rank by name; repeated rows are labelled each;
+very long texts are read whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,11 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import bounded_sample, crc_bucket, ids_and_texts, slices
+from trackloom.llm.common import bounded_sample, crc_bucket, ids_and_texts, labelled_texts, slices, written
 
 WINDOW = 64
 SIDE_BY_SIDE = 2048
-LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
@@ -149,20 +150,26 @@ def gradients(net: Network, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> t
     return loss, g
 
 
-def train(texts: list[bytes], labels: list[str], hidden: int = 8, steps: int = 500, batch: int = 192, rate: float = 0.02, max_windows: int = 16_384, seed: int = 5) -> Network | None:
-    """The network of labelled texts; each step takes as many windows of every language."""
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
+def windows_of(raw: bytes, n: int) -> list[bytes]:
+    """Up to n different windows, spread evenly."""
+    at = np.unique(np.linspace(0, max(0, len(raw) - WINDOW), n).astype(int))
+    return [raw[i : i + WINDOW] for i in at.tolist() if raw]
+
+
+def train(windows: list[bytes], labels: list[str], hidden: int = 8, steps: int = 500, batch: int = 192, rate: float = 0.02, seed: int = 5) -> Network | None:
+    """The network of labelled windows; each step takes as many of every language."""
     languages = sorted(set(labels))
     if not languages:
         return None
     r = np.random.default_rng(seed)
     pools: list[list[bytes]] = [[] for _ in languages]
-    per_text = max(1, max_windows // len(texts))
-    for text, label in zip(texts, labels):
-        at = np.unique(np.linspace(0, max(0, len(text) - WINDOW), per_text).astype(int))
-        pools[languages.index(label)] += [text[i : i + WINDOW] for i in at.tolist() if text]
-    pools_of = [k for k, pool in enumerate(pools) if pool]
-    if not pools_of:
-        return None
+    for window, label in zip(windows, labels):
+        pools[languages.index(label)].append(window)
+    pools_of = list(range(len(languages)))
     net = start(languages, hidden, seed)
     first, second = ({k: np.zeros_like(v) for k, v in net.p.items()} for _ in range(2))
     for step in range(1, steps + 1):
@@ -184,12 +191,19 @@ def train(texts: list[bytes], labels: list[str], hidden: int = 8, steps: int = 5
     return net
 
 
-def fit(docs: DataFrame, usable: Column | None = None, max_labelled: int = 2000, **how) -> Network | None:
-    known = docs.select(F.col("doc_id"), F.col("lang").alias("lang__")).filter("doc_id is not null and lang__ is not null")
-    known = (known if usable is None else known.filter(usable)).groupBy("doc_id").agg(F.min("lang__").alias("lang__"))
-    picked = F.broadcast(bounded_sample(known, "doc_id", max_labelled).withColumnRenamed("doc_id", "labelled__"))  # at most max_labelled ids
-    rows = docs.select("doc_id", "text").filter("text is not null").join(picked, F.col("doc_id") == F.col("labelled__")).toPandas().sort_values(["doc_id", "text"])
-    return train([t.encode() for t in rows["text"]], rows["lang__"].tolist(), **how)
+def fit(docs: DataFrame, usable: Column | None = None, max_labelled: int = 2000, max_windows: int = 16_384, **how) -> Network | None:
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).filter("doc_id is not null and lang is not null")
+    picked = written(bounded_sample(known if usable is None else known.filter(usable), "doc_id", max_labelled, "lang"), "language-sample")
+    per_text = max(1, max_windows // max(1, picked.count()))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [windows_of((t or "").encode(), per_text) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), pa.array(found, pa.list_(pa.binary()))], names=["doc_id", "lang", "windows"])
+
+    rows = labelled_texts(docs, picked).select("doc_id", "lang", "text").mapInArrow(cut, "doc_id long, lang string, windows array<binary>").toPandas().sort_values("doc_id")
+    pairs = [(bytes(w), lang) for lang, own in zip(rows["lang"], rows["windows"]) for w in own]
+    return train([w for w, _ in pairs], [lang for _, lang in pairs], **how)
 
 
 def label(docs: DataFrame, net: Network | None) -> DataFrame:
@@ -201,7 +215,7 @@ def label(docs: DataFrame, net: Network | None) -> DataFrame:
         for b in slices(batches, "text", 4 << 20):
             texts = [t or "" for t in b.column("text").to_pylist()]
             raw = [t.encode() for t in texts]
-            read = np.array([net is not None and LETTER.search(t) is not None for t in texts], bool)
+            read = np.array([net is not None and has_letter(t) for t in texts], bool)
             lang, score, agree = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             at = np.flatnonzero(read)
             if len(at):

@@ -2,20 +2,25 @@
 
 A rule for the rejected class grows by the condition (statistic above or below a threshold) with the best gain in
 information per rejected document that stays covered, until it covers no kept document of the growing part; it is
-pruned from its end while that does not lower (p - n) / (p + n) on the pruning part. Rules are added while they are
-right often enough on the pruning part; documents that a rule covers leave the training set. The list is emitted as
-ordered Spark conditional expressions (first rule that holds decides, else keep), readable as text.
+pruned from its end while that does not lower (p - n) / (p + n) on the pruning part. A rule joins the list if it is
+right often enough on both parts and more often on the pruning part than chance explains; the documents that it covers
+leave the training set. The rejected documents of a rule that fails are set aside and learning goes on, so a rare kind
+of junk is found after a hopeless one. The list is emitted as ordered Spark conditional expressions (first rule that
+holds decides, else keep), readable as text. It has at most `max_rules` rules of at most `max_conditions` conditions;
+what would need more is kept.
 
 Statistics come from whole texts. Words are runs outside ASCII white space. Rules are learned from at most
 `max_labelled` labelled documents, picked by a hash of doc_id; statistics of those alone reach the driver.
 
 Defined results: null text has no words, so fails the base rules; labels that are null or whose document is absent are
-ignored, and a document with several labels counts by its smallest; without labels of both kinds no rule is learned;
-repeated rows are judged each; an empty table gives an empty result; `keep` carries all columns, whatever their names.
+ignored, and a document with several labels counts by its smallest; of rows that share a labelled doc_id the least text
+is learned from; without labels of both kinds no rule is learned; repeated rows are judged each; very long texts are
+read whole; an empty table gives an empty result; `keep` carries all columns, whatever their names.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import bounded_sample, ids_and_texts, slices, texts_in_small_batches
+from trackloom.llm.common import bounded_sample, ids_and_texts, labelled_texts, plain_names, slices
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -74,14 +79,14 @@ def _stat_names() -> list[str]:
     return [x.split()[0] for x in STATS.split(", ")]
 
 
-def with_stats(docs: DataFrame, carry: list[str], into: str = "stats__") -> DataFrame:
-    """The columns in `carry` and a struct of statistics of text: no shuffle."""
+def with_stats(docs: DataFrame, carry: list[str], into: str = "stats__", text: str = "text") -> DataFrame:
+    """The columns in `carry` and a struct of statistics of the text: no shuffle. Names have no dots."""
     schema = docs.select(*carry, F.lit(None).cast("struct<" + ", ".join(x.replace(" ", ":") for x in STATS.split(", ")) + ">").alias(into)).schema
-    source = texts_in_small_batches(docs if "text" in carry else docs.select(*carry, "text"))
+    source = docs if text in carry else docs.select(*carry, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 8 << 20):
-            columns = list(zip(*map(base_stats, b.column("text").to_pylist())))
+        for b in slices(batches, text, 8 << 20):
+            columns = list(zip(*map(base_stats, b.column(text).to_pylist())))
             types = [pa.int64()] * 7 + [pa.float64()] * 3
             stats = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_stat_names())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in carry), stats], names=[*carry, into])
@@ -154,30 +159,41 @@ def _covers(rule: tuple[Condition, ...], x: pd.DataFrame) -> np.ndarray:
     return held
 
 
-def learn(x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions: int = 4, thresholds: int = 48, precision: float = 0.95, support: float = 0.05, seed: int = 7) -> DecisionList:
+def learn(x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions: int = 4, thresholds: int = 48, precision: float = 0.95, chance: float = 1e-3, seed: int = 7) -> DecisionList:
     """Sequential covering over statistics x (a column each) and labels `bad`; columns are tried in their order. A rule
-    must reach the precision and cover the share `support` of all rejected documents, in the growing and in the
-    pruning part."""
+    must reach the precision, and on the pruning part be right so often that documents drawn at random would be with a
+    probability under `chance`."""
     rules: list[tuple[Condition, ...]] = []
     order = np.random.default_rng(seed).permutation(len(x))
     grow_rows, prune_rows = order[: len(order) * 2 // 3], order[len(order) * 2 // 3 :]
     names = list(x.columns)
-    least = [max(1.0, support * bad[rows].sum()) for rows in (grow_rows, prune_rows)]
-    while len(rules) < max_rules and bad[grow_rows].sum() >= 3:
-        gx, gy = x.iloc[grow_rows], bad[grow_rows]
-        rule = _grow(gx, gy, names, max_conditions, thresholds)
-        rule = _prune(rule, x.iloc[prune_rows], bad[prune_rows])
-        if not rule:
+    for _ in range(2 * max_rules):
+        if len(rules) == max_rules or bad[grow_rows].sum() < 3 or bad[grow_rows].all():
             break
-        g, p = _covers(rule, gx), _covers(rule, x.iloc[prune_rows])
-        right = [bad[rows][c].sum() for rows, c in ((grow_rows, g), (prune_rows, p))]
-        if right[0] < least[0] or right[1] < least[1] or sum(right) < max(3, precision * (g.sum() + p.sum())) or right[1] < (precision - 0.1) * p.sum():
+        gx, px = x.iloc[grow_rows], x.iloc[prune_rows]
+        grown = _grow(gx, bad[grow_rows], names, max_conditions, thresholds)
+        rule = _prune(grown, px, bad[prune_rows])
+        if not rule:
             break
-        rules.append(rule)
-        grow_rows, prune_rows = grow_rows[~g], prune_rows[~p]
+        g, p = _covers(rule, gx), _covers(rule, px)
+        right = [int(bad[rows][c].sum()) for rows, c in ((grow_rows, g), (prune_rows, p))]
+        sure = _by_chance(right[1], int(p.sum()), bad[prune_rows].mean() if len(prune_rows) else 1.0) < chance
+        if sure and sum(right) >= precision * (g.sum() + p.sum()) and right[1] >= (precision - 0.1) * p.sum():
+            rules.append(rule)
+            grow_rows, prune_rows = grow_rows[~g], prune_rows[~p]
+        else:
+            failed = _covers(grown, gx) & bad[grow_rows]
+            if not failed.any():
+                break
+            grow_rows = grow_rows[~failed]
     return DecisionList(tuple(rules))
 
 
+def _by_chance(right: int, covered: int, share: float) -> float:
+    """How probably `right` or more of the covered documents are rejected ones if each is with the share's probability."""
+    return sum(math.comb(covered, k) * share**k * (1 - share) ** (covered - k) for k in range(right, covered + 1)) if covered < 1000 else float(right <= share * covered)
+
+
 def _grow(x: pd.DataFrame, y: np.ndarray, names: list[str], max_conditions: int, thresholds: int) -> tuple[Condition, ...]:
     rule: list[Condition] = []
     held = np.ones(len(x), bool)
@@ -222,9 +238,10 @@ def _prune(rule: tuple[Condition, ...], x: pd.DataFrame, y: np.ndarray) -> tuple
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DecisionList:
     """The list learned from labelled documents that pass the base rules."""
-    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality__"))
-    picked = F.broadcast(bounded_sample(known, "doc_id", max_labelled).withColumnRenamed("doc_id", "labelled__"))  # at most max_labelled ids
-    rows = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("labelled__")).select("quality__", "text")
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("quality__")).filter("doc_id is not null and quality__ is not null")
+    ids = F.broadcast(bounded_sample(known, "doc_id", max_labelled))  # at most max_labelled ids
+    picked = known.join(ids, "doc_id").groupBy("doc_id").agg(F.min("quality__").alias("quality__"))
+    rows = labelled_texts(docs, picked).select("quality__", "text")
     rows = with_stats(rows, ["quality__"]).filter(~base_failed())
     found = rows.select("quality__", *[c.alias(n) for n, c in features().items()]).toPandas().sort_values(["quality__", *BASE], kind="stable", ignore_index=True)
     bad = found.pop("quality__").to_numpy() == 0
@@ -241,6 +258,6 @@ def judge(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Dat
 def keep(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:
     """The documents that neither the base rules nor the learned list reject; columns unchanged."""
     rules = fit(docs, labels, max_labelled)
-    into = max(["stats__", *(c + "_" for c in docs.columns if c.startswith("stats__"))], key=len)
-    judged = with_stats(docs, docs.columns, into)
-    return judged.filter(~base_failed(into) & rules.kept(features(into))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain, names = plain_names(docs)
+    judged = with_stats(plain, plain.columns, "stats__", names["text"])
+    return judged.filter(~base_failed() & rules.kept(features())).drop("stats__").toDF(*docs.columns)

@@ -6,11 +6,12 @@ sentence its share of the blame. Features are words and their beginnings of four
 with unknown endings; those that documents labelled 1 hold clearly more often are kept. All other sentences share the
 bias, whose size keeps long clean documents low. The fitted sentence scores then locate the sentences to blame.
 
-Training uses at most `max_labelled` labelled documents, picked by a hash of doc_id; scoring is one pass without shuffle.
+Training uses at most `max_labelled` labelled documents, picked by a hash of doc_id, and the `max_features` features
+that tell most; with more, the least telling ones count as ordinary words. Scoring is one pass without shuffle.
 
 Defined results: null or empty text has no sentence and scores 0; labels that are null or whose document is absent are
-ignored, and a document with several labels counts as toxic if any says so; without labels of both kinds everything
-scores 0; repeated rows are scored each; very long texts are read whole; an empty table gives an empty result; other
+ignored, and a document with several labels counts as toxic if any says so; of rows that share a labelled doc_id the
+least text is learned from; without labels of both kinds everything scores 0; repeated rows are scored each; very long texts are read whole; an empty table gives an empty result; other
 columns are ignored.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import bounded_sample, crc_bucket, ids_and_texts, slices, written
+from trackloom.llm.common import bounded_sample, crc_bucket, ids_and_texts, labelled_texts, slices, written
 
 SENTENCE_END = re.compile(r"[.!?]+\s+|\n+")
 WORD = re.compile(r"\w+")
@@ -183,11 +184,11 @@ def train(features: list[str], y: np.ndarray, plain: np.ndarray, sentences: list
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_labelled: int = 6000, max_features: int = 5000) -> Model:
     """The model of labelled documents; `usable` is a condition on doc_id that says which may be learned from."""
-    known = labels.filter("doc_id is not null and toxic is not null")
-    known = (known if usable is None else known.filter(usable)).groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    picked = F.broadcast(bounded_sample(known, "doc_id", max_labelled).withColumnRenamed("doc_id", "labelled__"))  # at most max_labelled ids
-    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked, F.col("doc_id") == F.col("labelled__")).drop("labelled__")
-    sample = written(sample, "toxicity-sample")
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
+    known = known if usable is None else known.filter(usable)
+    ids = F.broadcast(bounded_sample(known, "doc_id", max_labelled))  # at most max_labelled ids
+    picked = known.join(ids, "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    sample = written(labelled_texts(docs, picked).select("doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text")), "toxicity-sample")
     n, n_pos = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < n_pos < n:
         return Model()
