@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trackloom.llm import mixing, packing, quality, secrets, simhash, tokens
-from trackloom.llm.common import written
+from trackloom.llm.common import step
 from trackloom.sources.tables import table
 
 
@@ -49,5 +49,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        docs = step(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
