@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from trackloom import params
 from trackloom.functions import hill
+from trackloom.functions import linker as linker_module
 from trackloom.functions.linker import Linker, Options, OversizeError
 from trackloom.operators import dose, events, images, linking, measure, regions, smoothing, summarize, wells
 
@@ -149,6 +152,48 @@ def test_linker_memory_and_order():
     assert linker.step(5, [(0, 1)]) == [2]
 
 
+def every_assignment(near, particles, unlinked):
+    """(total, points in order of particles, none last) of each way to link."""
+    dots = sorted({d for own in near.values() for d in own})
+
+    def descend(i, used):
+        if i == len(particles):
+            yield 0.0, ()
+            return
+        own = near[particles[i]]
+        for d in [d for d in dots if d in own and own[d] <= unlinked and d not in used] + [None]:
+            for total, rest in descend(i + 1, used | {d} - {None}):
+                yield total + (unlinked if d is None else own[d]), ((float("inf") if d is None else d), *rest)
+
+    return descend(0, frozenset())
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_assignment_equals_all_permutations(whole):
+    """Totals and tie order, for costs with many ties (whole numbers) and few."""
+    r = np.random.default_rng(int(whole))
+    for _ in range(150):
+        n, m = int(r.integers(1, 7)), int(r.integers(1, 7))
+        cost = r.integers(0, 4, (n, m)).astype(float) if whole else r.random((n, m)) * 4
+        near = {10 - i: {d: float(cost[i, d]) for d in range(m) if r.random() < 0.7} for i in range(n)}
+        particles = sorted(near)
+        total, best = min((round(t, 9), links) for t, links in every_assignment(near, particles, 3.0))
+        got = {p: d for d, p in linker_module._assign(particles, near, 3.0).items()}
+        assert round(sum(near[p][got[p]] if p in got else 3.0 for p in particles), 9) == total
+        assert tuple(got.get(p, float("inf")) for p in particles) == best
+
+
+def test_crowded_parts_are_solved_fast():
+    r = np.random.default_rng(0)
+    for n in (12, 25, 30):
+        points = [tuple(x) for x in r.uniform(0, 6 if n == 12 else 60, (n, 2))]
+        linker = Linker(Options(20 if n < 30 else 90))
+        linker.step(0, points)
+        began = time.perf_counter()
+        linker.step(1, [tuple(x) for x in np.array(points) + r.normal(0, 8, (n, 2))])
+        assert time.perf_counter() - began < 1
+
+
 def test_linker_is_optimal_and_bounded():
     linker = Linker(Options(10))
     linker.step(0, [(0, 0), (4, 0)])

@@ -1,7 +1,7 @@
 """Frame-to-frame linking of points into particles: nearest sum of squared distances within a radius.
 
-Between two frames, live particles and points within the radius form a graph; each connected part is solved exactly by
-branch and bound, an unlinked particle costing the radius squared. A particle may miss `memory` frames. Modes: vanilla
+Between two frames, live particles and points within the radius form a graph; each connected part is solved exactly as
+an assignment, in cubic time, an unlinked particle costing the radius squared. A particle may miss `memory` frames. Modes: vanilla
 stops at a part with too many nodes; adaptive shrinks such a part's radius step by step down to a floor; predictive does
 the same from predicted positions, which carry a particle's recent velocity on (a new particle takes its nearest
 neighbour's). Ids count up in order of appearance, within a frame in order of the points given.
@@ -12,6 +12,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
+
 
 class OversizeError(ValueError):
     """A connected part has more nodes than can be solved."""
@@ -133,29 +135,75 @@ def _parts(near: dict[int, dict[int, float]]) -> list[tuple[list[int], list[int]
 
 
 def _assign(particles: list[int], near: dict[int, dict[int, float]], unlinked: float) -> dict[int, int]:
-    """point -> particle with the least total; particles with few choices first, near choices first."""
-    order = sorted(particles, key=lambda p: (len(near[p]), p))
-    choices = [sorted((c, d) for d, c in near[p].items() if c <= unlinked) for p in order]
-    floor = [min([unlinked, *(c for c, _ in own)]) for own in choices]
-    rest = [0.0] * (len(order) + 1)
-    for i in range(len(order) - 1, -1, -1):
-        rest[i] = rest[i + 1] + floor[i]
-    best: tuple[float, dict[int, int]] = (math.inf, {})
-    used: dict[int, int] = {}
-
-    def descend(i: int, cost: float) -> None:
-        nonlocal best
-        if cost + rest[i] >= best[0] - 1e-12:
-            return
-        if i == len(order):
-            best = (cost, dict(used))
-            return
-        for c, d in choices[i]:
-            if d not in used:
-                used[d] = order[i]
-                descend(i + 1, cost + c)
-                del used[d]
-        descend(i + 1, cost + unlinked)
-
-    descend(0, 0.0)
-    return best[1]
+    """point -> particle with the least total, by shortest augmenting paths with potentials: cubic in the part's size. Of
+    assignments with the same total the one in which, in order of ids, each particle has the first point it can."""
+    order = sorted(particles)
+    dots = sorted({d for p in order for d in near[p]})
+    at = {d: j for j, d in enumerate(dots)}
+    n, m = len(order), len(dots)
+    cost = np.full((n, m + n), np.inf)  # behind the points, a place of its own for each particle: it stays unlinked
+    for i, p in enumerate(order):
+        for d, c in near[p].items():
+            if c <= unlinked:
+                cost[i, at[d]] = c
+        cost[i, m + i] = unlinked
+    u, v, row_of = np.zeros(n), np.zeros(m + n), np.full(m + n, -1)
+    for i in range(n):
+        _augment(cost, u, v, row_of, i)
+    # With a row without costs for each column that stays free, assignments of the least total are the perfect matchings
+    # of tight pairs.
+    slack = 1e-9 * max(1.0, unlinked)
+    tight = np.concatenate([cost - u[:, None] - v[None, :] <= slack, np.repeat(v[None] >= -slack, m, axis=0)])
+    row_of[row_of < 0] = np.arange(n, n + m)
+    column_of = {int(r): j for j, r in enumerate(row_of)}
+    for i in range(n):
+        for j in np.flatnonzero(tight[i]).tolist():
+            if j == column_of[i] or _moved(tight, row_of, column_of, i, j):
+                break
+    return {dots[j]: order[i] for i, j in column_of.items() if i < n and j < m}
+
+
+def _augment(cost: np.ndarray, u: np.ndarray, v: np.ndarray, row_of: np.ndarray, row: int) -> None:
+    """Gives the row a column along the cheapest alternating path; u, v stay potentials of the cost."""
+    n_columns = cost.shape[1]
+    least, before, done = np.full(n_columns, np.inf), np.full(n_columns, -1), np.zeros(n_columns, bool)
+    total, i, j, reached = 0.0, row, -1, []
+    while True:
+        step = total + cost[i] - u[i] - v
+        better = ~done & (step < least)
+        least[better], before[better] = step[better], j
+        j = int(np.argmin(np.where(done, np.inf, least)))
+        total, done[j] = least[j], True
+        if row_of[j] < 0:
+            break
+        i = int(row_of[j])
+        reached.append(j)
+    u[row] += total
+    for k in reached:
+        u[row_of[k]] += total - least[k]
+        v[k] -= total - least[k]
+    while j >= 0:
+        k = int(before[j])
+        row_of[j] = row if k < 0 else row_of[k]
+        j = k
+
+
+def _moved(tight: np.ndarray, row_of: np.ndarray, column_of: dict[int, int], row: int, column: int) -> bool:
+    """Whether the row can have the column in another matching that leaves the rows before it as they are; it has it
+    then."""
+    left, seen = column_of[row], {column} | {column_of[i] for i in range(row)}
+
+    def found_another(i: int) -> bool:
+        for j in np.flatnonzero(tight[i]).tolist():
+            if j not in seen:
+                seen.add(j)
+                if j == left or found_another(int(row_of[j])):
+                    row_of[j], column_of[i] = i, j
+                    return True
+        return False
+
+    holder = int(row_of[column])
+    if holder < row or not found_another(holder):
+        return False
+    row_of[column], column_of[row] = row, column
+    return True

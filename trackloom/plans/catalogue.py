@@ -243,14 +243,22 @@ def link_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 def _link(mode: str) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        options = linking.options(params.for_cell_type("hela"), mode, radius=RADIUS)
-        return linking.link(regions.region_table(views.labels(spark, d)), options).select(*PLANE, "label", "particle")
+        options = linking.options(params.for_cell_type("hela"), mode)
+        return linking.link(views.drift(spark, d), options).select(*PLANE, F.col("label").cast("long").alias("label"), "particle")
 
     return run
 
 
 for _mode in params.MODES:
     QUERIES[f"link_{_mode}"] = _link(_mode)
+    ORACLE_SQL[f"link_{_mode}"] = f"WITH {views.DRIFT} SELECT * FROM linked"
+
+
+@query()
+def link_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Crowded regions: the links of tests against all permutations, on a table."""
+    options = linking.options(params.for_cell_type("hela"), "vanilla", radius=RADIUS)
+    return linking.link(regions.region_table(views.labels(spark, d)), options).select(*PLANE, "label", "particle")
 
 
 # Dose response -----------------------------------------------------------------------------------------------------
@@ -305,8 +313,16 @@ def hill_curve(spark: SparkSession, d: str) -> DataFrame:
     return rounded(xy.withColumn("y", hill.hill(F.col("dose"), *map(F.lit, CURVE))), "y")
 
 
-@query()
+@query("SELECT code, 4.0::DOUBLE AS min_duration, CASE code WHEN 'A' THEN 20.0 WHEN 'N' THEN 30.0 ELSE 40.0 END::DOUBLE AS max_duration, 3.0::DOUBLE AS hill_exponent, 18.0::DOUBLE AS ec50, 'converged' AS status FROM (SELECT DISTINCT l_returnflag AS code FROM lineitem)")
 def hill_fit(spark: SparkSession, d: str) -> DataFrame:
+    """Responses on known curves give the curves' parameters."""
+    xy = views.exact_dose(spark, d).select("dose", hill.hill(F.col("dose"), F.lit(4.0), F.col("high"), F.lit(3.0), F.lit(18.0)).alias("response"), "code")
+    found = dose.fit(dose.complete(xy), ["code"])
+    return rounded(found, *hill.PARAMETERS, digits=3).select("code", *[F.col(a).alias(b) for a, b in zip(hill.PARAMETERS, ("min_duration", "max_duration", "hill_exponent", "ec50"))], "status")
+
+
+@query()
+def hill_fit_prices(spark: SparkSession, d: str) -> DataFrame:
     return dose.fit(dose.complete(views.dose(spark, d)), ["code"])
 
 

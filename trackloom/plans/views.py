@@ -138,3 +138,28 @@ NAMES = r"""names AS (
     concat(dated, '_', well, '_', site, '_inference') AS folder, well
   FROM (SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'exp_20240101' ELSE 'exp' END AS dated, 'ABCDEFGH'[c_custkey % 8 + 1] || lpad(CAST(c_custkey % 14 AS VARCHAR), 2, '0') AS well, 's' || (c_custkey % 120) AS site,
     ['GFP', 'Texas Red', 'Cy5', 'phs', 'GFP_background', 'Cy5_intensity', 'instance', 'other'][(c_custkey // 8) % 8 + 1] AS kind FROM customer))"""
+
+
+def drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six points a plane, 100 apart, that move by a pixel or two from frame to frame and are missing now and then."""
+    e = F.col("embedding")
+    point = lambda j: F.struct(F.lit(j).alias("label"), (100 * j + 4 * e[j]).alias("x"), (4 * e[j + 8]).alias("y"), (e[j + 16] > 0.1).alias("missing"))
+    points = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("movie_id"), (F.col("vec_id") % 10).alias("frame"), F.inline(F.array(*map(point, range(6)))))
+    return points.filter("not missing").drop("missing")
+
+
+#: A point keeps its particle over one missing frame; particles are counted by first frame, then from left to right.
+DRIFT = """points AS (
+  SELECT vec_id // 10 AS movie_id, vec_id % 10 AS frame, j AS label FROM embeddings, range(6) t(j) WHERE embedding[j + 17] <= 0.1),
+gaps AS (SELECT *, frame - lag(frame) OVER w > 2 AS fresh FROM points WINDOW w AS (PARTITION BY movie_id, label ORDER BY frame)),
+runs_ AS (SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY movie_id, label ORDER BY frame) AS run FROM gaps),
+firsts_ AS (SELECT movie_id, label, run, min(frame) AS first FROM runs_ GROUP BY movie_id, label, run),
+born AS (SELECT movie_id, label, run, row_number() OVER (PARTITION BY movie_id ORDER BY first, label) - 1 AS particle FROM firsts_),
+linked AS (SELECT movie_id, frame, CAST(label AS BIGINT) AS label, particle FROM runs_ JOIN born USING (movie_id, label, run))"""
+
+
+def exact_dose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses on a Hill curve for each code, with one dose to a bin: the fit must give its parameters back."""
+    dose_ = 2.5 * (F.floor("l_quantity") % 20 + 1) - 0.5
+    high = F.when(F.col("l_returnflag") == "A", 20.0).when(F.col("l_returnflag") == "N", 30.0).otherwise(40.0)
+    return table(spark, sf_dir, "lineitem").select(dose_.alias("dose"), high.alias("high"), F.col("l_returnflag").alias("code"))
