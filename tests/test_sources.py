@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import numpy as np
 import pandas as pd
@@ -99,19 +100,24 @@ def test_movie_from_files(spark, tmp_path):
 
 
 def test_streaming_linker_equals_batch(spark, tmp_path):
+    """All frames leave, the last one too once nothing more comes; late rows say so."""
     r = np.random.default_rng(0)
     rows = [(m, f, i, float(100 * i + r.uniform(-5, 5)), float(m)) for m in range(3) for f in range(8) for i in range(4)]
     schema = "movie_id long, frame long, label long, x double, y double"
-    batches = [rows[: len(rows) // 2], rows[len(rows) // 2 :], [(m, 99, 0, 0.0, 0.0) for m in range(3)], [(0, 2, 9, 1.0, 1.0)]]
+    batches = [rows[: len(rows) // 2], rows[len(rows) // 2 :], [(0, 2, 9, 1.0, 1.0)]]
     source = tmp_path / "in"
     for i, b in enumerate(batches):
         spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(str(source))
         if i == 0:
             stream = spark.readStream.schema(schema).parquet(str(source))
-            query = linker.link_stream(stream, Options(20)).writeStream.format("memory").queryName("linked").option("checkpointLocation", str(tmp_path / "state")).start()
-        query.processAllAvailable()
+            linked = linker.link_stream(stream, Options(20), idle_ms=8000)
+            query = linked.writeStream.format("memory").queryName("linked").option("checkpointLocation", str(tmp_path / "state")).start()
+        while query.lastProgress is None or query.recentProgress[-1].batchId < 0 or sum(p.numInputRows for p in query.recentProgress) < sum(map(len, batches[: i + 1])):
+            time.sleep(0.2)
+    batch = {(x.movie_id, x.frame, x.label): x.particle for x in linking.link(spark.createDataFrame(rows, schema), Options(20)).collect()}
+    until = time.time() + 60
+    while (n := spark.table("linked").filter("link_error is null").count()) < len(rows) and time.time() < until:
+        time.sleep(0.5)
     query.stop()
-    got = {(x.movie_id, x.frame, x.label): x.particle for x in spark.table("linked").filter("link_error is null").collect()}
-    batch = linking.link(spark.createDataFrame(rows, schema), Options(20))
-    assert got == {(x.movie_id, x.frame, x.label): x.particle for x in batch.collect()}
+    assert n == len(rows) and {(x.movie_id, x.frame, x.label): x.particle for x in spark.table("linked").filter("link_error is null").collect()} == batch
     assert [x.link_error for x in spark.table("linked").filter("link_error is not null").collect()] == ["late"]

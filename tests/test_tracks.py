@@ -14,7 +14,7 @@ from trackloom import params
 from trackloom.functions import hill
 from trackloom.functions import linker as linker_module
 from trackloom.functions.linker import Linker, Options, OversizeError
-from trackloom.operators import dose, events, images, linking, measure, regions, smoothing, summarize, wells
+from trackloom.operators import dose, events, images, linking, measure, quantiles, regions, smoothing, summarize, wells
 
 
 def tracks(spark, traces, movie=0):
@@ -99,7 +99,7 @@ def test_kernels():
 def test_small_stacks(spark):
     stack = plane(spark, [[1, 2], [3, 4]]).withColumn("frame", F.explode(F.sequence(F.lit(0), F.lit(3))))
     assert images.projection(stack, "max").count() == 0
-    assert [r.v for r in images.projection(stack, "average").collect()] == [None] * 4
+    assert [r.pixels for r in images.projection(stack, "average").collect()] == [[None] * 4]
     with pytest.raises(ValueError):
         images.projection(stack, "mean")
     five = stack.union(plane(spark, [[1, 2], [3, 4]], frame=4))
@@ -282,3 +282,31 @@ def test_params():
     with pytest.raises(ValueError):
         params.mode_or_default("fast", params.CellParams())
     assert params.mode_or_default(None, params.for_cell_type("u2os")) == "predictive"
+
+
+@pytest.mark.parametrize("error", [1e-5, 0.005])
+def test_percentiles_equal_numpy(spark, error):
+    """With and without brackets, for groups of many ties, of few rows, and of one."""
+    r = np.random.default_rng(0)
+    rows = [("many", float(v)) for v in r.normal(size=6000)] + [("ties", float(v)) for v in r.integers(0, 5, 5000)] + [("few", 3.0), ("few", 4.0), ("one", 7.0), ("none", None), (None, 1.0)]
+    table = spark.createDataFrame(rows, "g string, x double")
+    fractions = (0.0, 0.025, 0.5, 0.85, 1.0)
+    got = {x.g: x.q for x in quantiles.percentiles(table, ["g"], "x", fractions, error).collect()}
+    for g in ("many", "ties", "few", "one"):
+        assert got[g] == pytest.approx(np.quantile([v for k, v in rows if k == g], fractions), abs=1e-12)
+    (all_,) = quantiles.percentiles(table, [], "x", fractions, error).collect()
+    assert all_.q == pytest.approx(np.quantile([v for _, v in rows if v is not None], fractions), abs=1e-12)
+    assert quantiles.percentiles(table.filter("false"), [], "x", fractions).count() == 0
+
+
+def test_projection_of_many_tasks(spark):
+    r = np.random.default_rng(1)
+    planes = {(m, f): r.integers(0, 100, 6).astype(float) for m in range(12) for f in range(9)}
+    planes[3, 4][2] = np.nan
+    rows = [(m, f, 2, 3, [None if np.isnan(v) else float(v) for v in p]) for (m, f), p in planes.items()]
+    stack = spark.createDataFrame(rows, "movie_id long, frame long, height int, width int, pixels array<double>").repartition(5)
+    for kind, how in (("max", np.nanmax), ("min", np.nanmin), ("average", np.nanmean)):
+        got = {x.movie_id: (x.height, x.width, x.pixels) for x in images.projection(stack, kind).collect()}
+        assert set(got) == set(range(12))
+        for m in got:
+            assert got[m][:2] == (2, 3) and got[m][2] == pytest.approx(how([planes[m, f] for f in range(2, 6)], axis=0))

@@ -51,16 +51,6 @@ def is_inference(name: Column) -> Column:
     return name.contains("_inference")
 
 
-def in_folder(well: Column, folder: Column) -> Column:
-    """Whether a well's results lie in the folder: the well stands between underscores, in a name that ends with
-    _inference."""
-    return folder.endswith("_inference") & folder.contains(F.concat(F.lit("_"), well, F.lit("_")))
-
-
-def last_token(stem: Column) -> Column:
-    return F.substring_index(stem, "_", -1)
-
-
 def canonical_channel(name: str) -> str:
     """Texas_Red is accepted for Texas Red."""
     return name.replace("Texas_Red", "Texas Red")

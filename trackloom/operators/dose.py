@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.functions import hill
+from trackloom.operators.quantiles import percentiles
 
 QUANTILES = (0.025, 0.85)
 BIN_SIZE = 2.5
@@ -23,8 +24,8 @@ def complete(xy: DataFrame) -> DataFrame:
 
 def quantiles(xy: DataFrame, fractions: tuple[float, ...] = QUANTILES) -> tuple[float, ...]:
     """Doses at the fractions, by linear interpolation, rounded half to even: one row of an aggregate."""
-    row = xy.agg(F.transform(F.percentile("dose", F.array(*map(F.lit, fractions))), lambda q: F.bround(q, 0)).alias("q")).first()
-    return tuple(row["q"] or ())
+    row = percentiles(xy, [], "dose", fractions).select(F.transform("q", lambda q: F.bround(q, 0)).alias("q")).first()
+    return tuple(row["q"]) if row else ()
 
 
 def edges(low: float, high: float, size: float = BIN_SIZE) -> list[float]:
@@ -74,7 +75,7 @@ def subtract_minimum(xy: DataFrame, column: str) -> DataFrame:
 def fit(xy: DataFrame, by: list[str], fractions: tuple[float, ...] = QUANTILES, size: float = BIN_SIZE) -> DataFrame:
     """A row per group: the four parameters and a status. Rows are binned and averaged by Spark; a task fits the means of
     one group, some dozens. The bins' bounds are each group's own quantiles."""
-    q = xy.groupBy(*by).agg(F.percentile("dose", F.array(*map(F.lit, fractions))).alias("q"))
+    q = percentiles(xy, by, "dose", fractions)
     q = q.select(*by, F.bround(F.col("q")[0], 0).alias("low"), F.bround(F.element_at("q", -1), 0).alias("high"))
     joined = xy.join(F.broadcast(q) if not by else q, by)
     begin = F.col("low") * 0.5
@@ -96,6 +97,11 @@ def fit(xy: DataFrame, by: list[str], fractions: tuple[float, ...] = QUANTILES,
     return means.groupBy(*by).applyInPandas(one, schema)
 
 
+def plot_limit(xy: DataFrame, fraction: float = 0.99) -> DataFrame:
+    """y_limit: the response's percentile that a plot's axis ends at, rounded half to even."""
+    return percentiles(xy, [], "response", (fraction,)).select(F.bround(F.col("q")[0], 0).alias("y_limit"))
+
+
 def fitted_curve(fits: DataFrame, upper: float, by: list[str]) -> DataFrame:
     """x = 0, 1, ... under `upper` and the fitted curve there, for plots."""
     x = F.explode(F.sequence(F.lit(0), F.lit(max(0, math.ceil(upper) - 1))))

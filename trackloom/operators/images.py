@@ -1,5 +1,5 @@
-"""Operators on image planes: a row per plane, pixels row-major. Kernels run per plane in Arrow batches; where the
-pixels themselves are rows (projections, block maxima) Spark's aggregates do the work."""
+"""Operators on image planes: a row per plane, pixels row-major. Kernels run per plane in Arrow batches; projections add
+up planes where they are read, so that pixels are never rows of a shuffle."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PLANE = ["movie_id", "frame"]
@@ -66,6 +66,7 @@ def _on_planes(planes: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], to
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            rows = []
             for i in range(b.num_rows):
                 row = b.slice(i, 1)
                 h, w = row.column("height")[0].as_py(), row.column("width")[0].as_py()
@@ -74,7 +75,9 @@ def _on_planes(planes: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], to
                     out = kernel(pixels.reshape(h, w))
                     row = row.set_column(names.index("height"), "height", pa.array([out.shape[0]], pa.int32())).set_column(names.index("width"), "width", pa.array([out.shape[1]], pa.int32()))
                     row = row.set_column(names.index("pixels"), "pixels", pa.array([out.reshape(-1).astype(to.to_pandas_dtype())], pa.list_(to)))
-                yield row
+                rows.append(row)
+            if rows:
+                yield pa.concat_batches(rows)
 
     typed = planes.withColumns({"height": F.col("height").cast("int"), "width": F.col("width").cast("int"), "pixels": F.col("pixels").cast(f"array<{spark_type}>")})
     return typed.mapInArrow(run, typed.schema)
@@ -122,24 +125,84 @@ def central_slab(planes: DataFrame) -> DataFrame:
     return planes.join(slab.select("movie_id", F.explode(wanted).alias("frame")), PLANE, "left_semi")
 
 
-#: The projections by name.
-PROJECTIONS: dict[str, Callable[[str], Column]] = {"max": F.max, "min": F.min, "average": F.avg}
+#: The projections by name, and how two planes join in each; pixels that are nan have no value.
+PROJECTIONS: dict[str, np.ufunc] = {"max": np.fmax, "min": np.fmin, "average": np.add}
+
+
+class _Projected:
+    """The planes of one movie so far, as one plane, and how many values each of its pixels has had."""
+
+    def __init__(self, kind: str):
+        self.kind, self.movie, self.shape, self.plane, self.n = kind, None, (0, 0), None, None
+
+    def add(self, plane: np.ndarray, n: np.ndarray) -> None:
+        if self.plane is not None and plane.shape != self.plane.shape:
+            raise ValueError(f"planes of movie {self.movie} differ in size")
+        if self.kind == "average":
+            plane = np.where(n > 0, plane, 0.0)
+        self.plane = plane if self.plane is None else PROJECTIONS[self.kind](self.plane, plane)
+        self.n = n if self.n is None else self.n + n
+
+
+def _projected(planes: DataFrame, kind: str, partial: bool) -> DataFrame:
+    """A plane for each run of rows of one movie; the first step gives each movie one per task, the last one in all."""
+    names = ["movie_id", "height", "width", "pixels", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[object, _Projected] = {}
+
+        def out(x: _Projected) -> pa.RecordBatch:
+            pixels = x.plane
+            if not partial:
+                with np.errstate(all="ignore"):
+                    pixels = np.where(x.n > 0, x.plane / x.n if kind == "average" else x.plane, np.nan)
+            values = pa.array(pixels, from_pandas=True)
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(p)], pa.int32()), p) for p in (values, pa.array(x.n, pa.int64()))]
+            return pa.RecordBatch.from_arrays([pa.array([x.movie], movie), *(pa.array([n], pa.int32()) for n in x.shape), *lists], names=names)
+
+        for b in batches:
+            movie = b.schema.field("movie_id").type
+            for i in range(b.num_rows):
+                row = {n: b.column(n)[i] for n in b.schema.names}
+                key = row["movie_id"].as_py()
+                if not partial and held and key not in held:  # rows come sorted by movie
+                    yield out(held.popitem()[1])
+                pixels = row["pixels"].values.cast(pa.float64()).to_numpy(zero_copy_only=False) if row["pixels"].is_valid else np.zeros(0)
+                n = row["n"].values.to_numpy(zero_copy_only=False) if not partial else (~np.isnan(pixels)).astype(np.int64)
+                x = held.setdefault(key, _Projected(kind))
+                x.movie, x.shape = key, (row["height"].as_py(), row["width"].as_py())
+                x.add(pixels, n)
+                if len(held) > MOVIES_AT_ONCE:  # the movies met first have most of their planes
+                    yield out(held.pop(next(iter(held))))
+        for x in held.values():
+            yield out(x)
+
+    kind_of = dict(planes.dtypes)["movie_id"]
+    return planes.mapInArrow(run, f"movie_id {kind_of}, height int, width int, pixels array<double>, n array<long>")
+
+
+#: Movies of which a task holds the planes so far.
+MOVIES_AT_ONCE = 8
 
 
 def projection(planes: DataFrame, kind: str) -> DataFrame:
-    """movie_id, r, c, v: the projection of each movie's central slab. A movie with under 5 planes has no rows for max
-    and min, and null pixels for average."""
+    """movie_id, height, width, pixels: the projection of each movie's central slab, a plane per movie. A task adds up the
+    planes it reads, so a movie is shuffled as one plane per task. A movie with under 5 planes has no row for max and
+    min, and null pixels for average; null pixels don't count."""
     if kind not in PROJECTIONS:
         raise ValueError(f"unknown projection {kind!r}; known: {', '.join(PROJECTIONS)}")
-    found = pixels(central_slab(planes).select(*PLANE, "width", "pixels")).groupBy("movie_id", "r", "c").agg(PROJECTIONS[kind]("v").alias("v"))
+    slab = central_slab(planes).select("movie_id", "height", "width", F.col("pixels").cast("array<double>").alias("pixels"))
+    found = _projected(_projected(slab, kind, True).repartition("movie_id").sortWithinPartitions("movie_id"), kind, False).drop("n")
     if kind != "average":
         return found
-    everywhere = pixels(planes.withColumn("first", F.row_number().over(Window.partitionBy("movie_id").orderBy("frame"))).filter("first = 1").select("movie_id", "width", "pixels")).drop("v")
-    return everywhere.join(found, ["movie_id", "r", "c"], "left")
+    size = F.col("height_") * F.col("width_")
+    every = planes.groupBy("movie_id").agg(F.max("height").cast("int").alias("height_"), F.max("width").cast("int").alias("width_"))
+    joined = every.join(found, "movie_id", "left")
+    return joined.select("movie_id", F.col("height_").alias("height"), F.col("width_").alias("width"), F.coalesce("pixels", F.array_repeat(F.lit(None).cast("double"), size.cast("int"))).alias("pixels"))
 
 
 def intensity_map(planes: DataFrame, sigma: float = 45.0) -> DataFrame:
-    """Illumination map of each movie: its average projection blurred and divided by its maximum, as one plane."""
-    flat = projection(planes, "average").groupBy("movie_id").agg(F.sort_array(F.collect_list(F.struct("r", "c", "v"))).alias("at"), (F.max("r") + 1).alias("height"), (F.max("c") + 1).alias("width"))
-    plane = flat.select("movie_id", "height", "width", F.transform("at", lambda p: p["v"]).alias("pixels")).filter(~F.exists("pixels", lambda v: v.isNull()))
-    return normalised(blurred(plane, sigma))
+    """Illumination map of each movie: its average projection blurred and divided by its maximum, as one plane. A movie
+    whose projection has null pixels has none."""
+    flat = projection(planes, "average").filter(~F.exists("pixels", lambda v: v.isNull()))
+    return normalised(blurred(flat, sigma))

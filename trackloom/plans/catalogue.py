@@ -192,7 +192,7 @@ def _slab_sql(f: str) -> str:
 
 
 def _slab(kind: str) -> Query:
-    return lambda spark, d: rounded(images.projection(views.planes(spark, d), kind).select("movie_id", *longs("r", "c"), "v"), "v", digits=9)
+    return lambda spark, d: rounded(images.pixels(images.projection(views.planes(spark, d), kind)).select("movie_id", *longs("r", "c"), "v"), "v", digits=9)
 
 
 for _kind, _f in (("max", "max"), ("min", "min"), ("average", "avg")):
@@ -328,7 +328,7 @@ def hill_fit_prices(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {views.DOSE} SELECT round_even(quantile_cont(response, 0.99), 0) AS y_limit FROM dose")
 def plot_limit(spark: SparkSession, d: str) -> DataFrame:
-    return dose.complete(views.dose(spark, d)).agg(F.bround(F.percentile("response", F.lit(0.99)), 0).alias("y_limit"))
+    return dose.plot_limit(dose.complete(views.dose(spark, d)))
 
 
 # Wells and experiments ---------------------------------------------------------------------------------------------

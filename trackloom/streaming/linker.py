@@ -1,7 +1,9 @@
 """Linking as detections arrive: a movie's live particles are the state, frames leave when a later one has come.
 
-A frame may arrive in several batches, so a movie's newest frame waits in the state. Rows of a frame that has left
-already are late: they keep a null particle and say so. State per movie is the live particles and one frame's rows.
+A frame may arrive in several batches, so a movie's newest frame waits in the state. It leaves when a later one comes,
+or when nothing has come for the movie for `idle_ms`: then the movie has ended, its last frame is linked and its state is
+freed. Rows of a frame that has left already are late: they keep a null particle and say so. Rows that come after the
+end begin the movie anew. State per movie is the live particles and one frame's rows.
 """
 
 from __future__ import annotations
@@ -19,15 +21,16 @@ OUT = "movie_id long, frame long, label long, x double, y double, particle long,
 STATE = "held binary"
 
 
-def link_stream(detections: DataFrame, options: Options) -> DataFrame:
+def link_stream(detections: DataFrame, options: Options, idle_ms: int = 3_600_000) -> DataFrame:
     """A stream of (movie_id, frame, label, x, y) -> the same with particle and link_error."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         linker, last, waiting, broken = pickle.loads(state.get[0]) if state.exists else (Linker(options), -1, [], None)
-        rows = waiting + [tuple(r) for b in batches for r in b[["frame", "label", "x", "y"]].itertuples(index=False)]
-        newest = max(r[0] for r in rows)
+        ended = state.hasTimedOut
+        rows = waiting + [tuple(r) for b in ([] if ended else batches) for r in b[["frame", "label", "x", "y"]].itertuples(index=False)]
+        newest = max((r[0] for r in rows), default=last)
         out = [(key[0], *r, None, "late") for r in rows if r[0] <= last]
-        for frame in sorted({r[0] for r in rows if last < r[0] < newest}):
+        for frame in sorted({r[0] for r in rows if last < r[0] and (ended or r[0] < newest)}):
             points = sorted((r for r in rows if r[0] == frame), key=lambda r: (r[2], r[3], r[1]))
             if broken is None:
                 try:
@@ -36,9 +39,13 @@ def link_stream(detections: DataFrame, options: Options) -> DataFrame:
                     broken = str(e)
             out += [(key[0], *r, None if broken else p, broken) for r, p in zip(points, ids if broken is None else [None] * len(points))]
             last = frame
-        state.update((pickle.dumps((linker, last, [r for r in rows if r[0] == newest and r[0] > last], broken)),))
+        if ended:
+            state.remove()
+        else:
+            state.update((pickle.dumps((linker, last, [r for r in rows if r[0] == newest and r[0] > last], broken)),))
+            state.setTimeoutDuration(idle_ms)
         table = pd.DataFrame(out, columns=["movie_id", "frame", "label", "x", "y", "particle", "link_error"])
         yield table.astype({"movie_id": "int64", "frame": "int64", "label": "int64", "x": float, "y": float, "particle": "Int64"})
 
     typed = detections.selectExpr("cast(movie_id as long) movie_id", "cast(frame as long) frame", "cast(label as long) label", "cast(x as double) x", "cast(y as double) y")
-    return typed.groupBy("movie_id").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.NoTimeout)
+    return typed.groupBy("movie_id").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
