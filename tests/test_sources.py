@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import struct
 import time
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from trackloom import params, schemas
 from trackloom.functions.linker import Options
 from trackloom.operators import linking
-from trackloom.plans import experiment
+from trackloom.plans import experiment, folder
 from trackloom.sources import discovery, sheets, tiff
 from trackloom.streaming import linker
 
@@ -34,16 +35,112 @@ def test_tiff_errors(spark, tmp_path):
         tiff.read_stacks(spark, str(tmp_path)).collect()
 
 
+def packbits(raw):
+    return b"".join(bytes([min(128, len(raw) - i) - 1]) + raw[i : i + 128] for i in range(0, len(raw), 128))
+
+
+def lzw(raw):
+    """Codes as they are written: a table that starts anew before it is full."""
+    out, n_bits, table, size = 0, 0, {bytes([i]): i for i in range(256)}, 9
+
+    def put(code):
+        nonlocal out, n_bits
+        out, n_bits = out << size | code, n_bits + size
+
+    put(256)
+    word = b""
+    for i in range(len(raw)):
+        longer = word + raw[i : i + 1]
+        if longer in table:
+            word = longer
+            continue
+        put(table[word])
+        table[longer] = len(table) + 2
+        if len(table) + 2 >= 4094:
+            put(256)
+            table, size = {bytes([k]): k for k in range(256)}, 9
+        else:
+            size = max(9, (len(table) + 2).bit_length())
+        word = raw[i : i + 1]
+    put(table[word])
+    size = min(12, max(9, (len(table) + 3).bit_length()))
+    put(257)
+    return (out << -n_bits % 8).to_bytes(-(-n_bits // 8), "big")
+
+
+def rewritten(plane, compression=1, predictor=1, tile=None, large=False):
+    """A one-plane file in another coding than the library writes."""
+    h, w = plane.shape
+    th, tw = tile or (h, w)
+    blocks = []
+    for top in range(0, h, th):
+        for left in range(0, w, tw):
+            block = np.zeros((th, tw), plane.dtype)
+            part = plane[top : top + th, left : left + tw]
+            block[: part.shape[0], : part.shape[1]] = part
+            if predictor == 2:
+                block = np.diff(block, axis=1, prepend=np.zeros((th, 1), plane.dtype))
+            blocks.append({1: bytes, 5: lzw, 32773: packbits}[compression](block.astype(plane.dtype).tobytes()))
+    head = struct.pack("<2sHHHQ", b"II", 43, 8, 0, 0) if large else b"II*\0" + bytes(4)
+    at = [len(head) + sum(map(len, blocks[:k])) for k in range(len(blocks) + 1)]
+    tags = [(256, [w]), (257, [h]), (258, [plane.dtype.itemsize * 8]), (259, [compression]), (277, [1]), (317, [predictor]), (339, [1])]
+    tags += [(322, [tw]), (323, [th]), (324, at[:-1]), (325, [len(b) for b in blocks])] if tile else [(273, at[:-1]), (278, [h]), (279, [len(b) for b in blocks])]
+    kind, one, many, inline = (16, "Q", "<HHQ", 8) if large else (4, "I", "<HHI", 4)
+    extra, entries = b"", b""
+    for tag, values in sorted(tags):
+        raw = struct.pack(f"<{len(values)}{one}", *values)
+        if len(raw) > inline:
+            raw, extra = struct.pack("<" + one, at[-1] + len(extra)), extra + raw
+        entries += struct.pack(many, tag, kind, len(values)) + raw
+    start = struct.pack("<" + one, at[-1] + len(extra))
+    head = head[:8] + start if large else head[:4] + start
+    return head + b"".join(blocks) + extra + struct.pack("<Q" if large else "<H", len(tags)) + entries + struct.pack("<" + one, 0)
+
+
+@pytest.mark.parametrize("how", [{}, {"compression": 5}, {"compression": 32773}, {"predictor": 2}, {"compression": 5, "predictor": 2}, {"tile": (16, 32)}, {"tile": (16, 16), "compression": 5}, {"large": True}, {"large": True, "tile": (32, 16)}])
+@pytest.mark.parametrize("kind", ["uint8", "uint16"])
+def test_tiff_codings(how, kind):
+    for plane in (np.arange(40 * 50).reshape(40, 50) // 7 % 200, np.random.default_rng(0).integers(0, 200, (120, 90)), np.zeros((30, 30), int)):
+        (back,) = tiff.decode(rewritten(plane.astype(kind), **how))
+        assert back.dtype == kind and (back == plane).all()
+
+
+def test_large_stacks(spark, tmp_path):
+    stacks = {f"s{k}.tif": [(np.arange(12).reshape(3, 4) * 7 + i + k).astype("uint16") for i in range(5)] for k in range(2)}
+    for name, stack in stacks.items():
+        (tmp_path / name).write_bytes(tiff.encode(stack, compress=name == "s0.tif"))
+    (tmp_path / "notes.txt").write_text("x")
+    table = tiff.read_large_stacks(spark, str(tmp_path), planes_per_task=2)
+    assert table.rdd.getNumPartitions() == 6
+    got = {(os.path.basename(r.path), r.frame): np.array(r.pixels).reshape(r.height, r.width) for r in table.collect()}
+    assert len(got) == 10 and all((got[name, i] == p).all() for name, stack in stacks.items() for i, p in enumerate(stack))
+    circle = bytearray(tiff.encode(stacks["s0.tif"][:1]))
+    circle[-4:] = circle[4:8]
+    with pytest.raises(ValueError, match="circle"):
+        list(tiff.decode(bytes(circle)))
+
+
 def test_workbook(spark, tmp_path):
-    df = spark.createDataFrame([(1, "a & <b>", 2.5), (2, None, None)], "particle long, `Area std.` string, mitosis double")
+    df = spark.createDataFrame([("a", 2, None, None), ("a", 1, "a & <b>", 2.5), ("b", 3, "x", float("nan"))], "movie string, particle long, `Area std.` string, mitosis double")
+    name = F.concat(F.lit("exp_A01_s1_inference/"), F.col("movie"), F.lit("_A01_s1_summary.xlsx")).alias("file")
+    notes = params.key_values(spark, params.CellParams()).select(F.lit("exp_A01_s1_inference/a_A01_s1_summary.xlsx").alias("file"), "*")
+    sheets.write_workbooks(str(tmp_path), {"Summary": df.select(name, "particle", "`Area std.`", "mitosis"), "parameters": notes}, {"Summary": ["particle"]})
     folder = tmp_path / "exp_A01_s1_inference"
-    folder.mkdir()
-    sheets.write_workbook(str(folder / "exp_A01_s1_summary.xlsx"), {"Summary": df, "parameters": params.key_values(spark, params.CellParams())})
-    content = (folder / "exp_A01_s1_summary.xlsx").read_bytes()
+    assert sorted(os.listdir(folder)) == ["a_A01_s1_summary.xlsx", "b_A01_s1_summary.xlsx"]
+    content = (folder / "a_A01_s1_summary.xlsx").read_bytes()
     assert sheets.rows_of(content) == [{"particle": 1.0, "Area std.": "a & <b>", "mitosis": 2.5}, {"particle": 2.0, "Area std.": None, "mitosis": None}]
-    assert {"name": "memory", "value": "1"} in sheets.rows_of(content, "parameters")
+    assert {"name": "memory", "value": "1"} in sheets.rows_of(content, "parameters") and sheets.rows_of((folder / "b_A01_s1_summary.xlsx").read_bytes(), "parameters") == []
     got = sheets.read_workbooks(spark, str(tmp_path), "particle long, mitosis double, GFP double").orderBy("particle").collect()
-    assert [tuple(r) for r in got] == [("exp_A01_s1_inference", "exp_A01_s1_summary.xlsx", 1, 2.5, None), ("exp_A01_s1_inference", "exp_A01_s1_summary.xlsx", 2, None, None)]
+    assert [tuple(r) for r in got] == [("exp_A01_s1_inference", f"{m}_A01_s1_summary.xlsx", n, v, None) for m, n, v in (("a", 1, 2.5), ("a", 2, None), ("b", 3, None))]
+
+
+def test_workbook_has_a_limit(monkeypatch):
+    monkeypatch.setattr(sheets, "MAX_ROWS", 2)
+    book = sheets.Workbook([("s", ["a"])])
+    book.add(0, [1])
+    book.add(0, [2])
+    with pytest.raises(ValueError, match="more than 2 rows"):
+        book.add(0, [3])
 
 
 def test_discovery(spark, tmp_path):
@@ -85,13 +182,13 @@ def test_movie_from_files(spark, tmp_path):
     want = [(10.0 if f % 2 else 20.0) + f for f in range(4, 9)]
     assert row["GFP"] == pytest.approx(np.mean(want)) and row["GFP_std"] == pytest.approx(np.std(want)) and row["GFP_int_corr"] == 1.0
     assert experiment.display_frames(tracks).count() == 2 * n
-    files = spark.createDataFrame([("a.tif", "b.tif")], "instance string, semantic string")
+    files = spark.createDataFrame([("A01_s1", "a.tif", "b.tif")], "movie_id string, instance string, semantic string")
     book = tmp_path / "m_A01_s1_inference"
-    book.mkdir()
-    experiment.save_summary(measured, files, p, str(book / "m_A01_s1_summary.xlsx"))
-    experiment.save_analysis(measured, files, p, str(book / "m_A01_s1_analysis.xlsx"))
-    experiment.save_tracks(tracks, str(book / "m_A01_s1_tracks.xlsx"))
-    content = (book / "m_A01_s1_summary.xlsx").read_bytes()
+    experiment.save_summary(measured, files, p, str(book))
+    experiment.save_analysis(measured, files, p, str(book))
+    experiment.save_tracks(tracks, str(book))
+    assert sorted(os.listdir(book)) == ["A01_s1_analysis.xlsx", "A01_s1_summary.xlsx", "A01_s1_tracks.xlsx"]
+    content = (book / "A01_s1_summary.xlsx").read_bytes()
     assert sheets.rows_of(content, "quality") == [{"Area std.": 0.0, "n_peaks": 0.0, "track number": 0.0}]
     assert sheets.rows_of(content, "file_data")[0] == {"name": "instance", "value": "a.tif"}
     back = sheets.read_workbooks(spark, str(book), schemas.SUMMARY + ", GFP double").first()
@@ -99,6 +196,41 @@ def test_movie_from_files(spark, tmp_path):
     assert sheets.read_workbooks(spark, str(book), "particle long, GFP double", "*analysis.xlsx").count() == 2 * n
 
 
+@pytest.mark.parametrize("read", [tiff.read_stacks, None])
+def test_from_a_folder_to_an_experiment_table(spark, tmp_path, read):
+    """Two movies with a channel and maps below a root folder -> workbooks beside the masks -> one labelled table."""
+    n, size = 12, 50
+    for well, shift in (("A01", 0), ("B02", 3)):
+        labels, states = np.zeros((n, size, size), np.int32), np.ones((n, size, size), np.uint8)
+        for f in range(n):
+            labels[f, 4 + f : 22 + f, 4 + shift : 22 + shift] = 1
+            states[f, 4 + f : 22 + f, 4 + shift : 22 + shift] = 101 if 3 <= f <= 7 else 1
+        home = tmp_path / f"exp_{well}_s1_inference"
+        home.mkdir()
+        (home / f"exp_{well}_s1_instance.tif").write_bytes(tiff.encode(list(labels)))
+        (home / f"exp_{well}_s1_semantic.tif").write_bytes(tiff.encode(list(states)))
+        (tmp_path / f"exp_{well}_s1_GFP.tif").write_bytes(tiff.encode([np.full((2 * size, 2 * size), 100.0 + shift, np.float32)] * n))
+    blank = [np.full((2 * size, 2 * size), 8 + i, np.uint16) for i in range(n)]
+    (tmp_path / "blank_GFP.tif").write_bytes(tiff.encode(blank))
+    p = params.for_cell_type("hela")
+    made = folder.create_correction_maps(spark, {"intensity": str(tmp_path / "blank_GFP.tif"), "my background": str(tmp_path / "blank_GFP.tif")}, p)
+    assert [os.path.basename(f) for f in made] == ["blank_GFP_intensity_map.tif", "blank_GFP_background_map.tif"] and all(map(os.path.exists, made))
+    with pytest.raises(ValueError, match="neither"):
+        folder.create_correction_maps(spark, {"other": "x.tif"}, p)
+
+    large = lambda spark, path, pattern: tiff.read_large_stacks(spark, path).filter(F.col("path").rlike(".*" if pattern == "*" else pattern.strip("*").split("*")[0])).withColumn("path", F.concat(F.lit("file:"), "path"))
+    run = folder.analyse(spark, str(tmp_path), read=read or large)
+    assert {(r.movie_id, r.stub) for r in run.movies.collect()} == {("exp_A01_s1", "A01_s1"), ("exp_B02_s1", "B02_s1")}
+    rows = run.tracks.collect()
+    assert len(rows) == 2 * n and all(r["GFP"] == (103.0 if "B02" in r.movie_id else 100.0) and r["GFP_bkg_corr"] == 8.0 + r.frame and r["GFP_int_corr"] == pytest.approx(1.0) for r in rows)
+    run.save(str(tmp_path))
+    assert {f for _, _, names in os.walk(tmp_path) for f in names if f.endswith("xlsx")} == {f"exp_{w}_s1_{k}.xlsx" for w in ("A01", "B02") for k in ("tracks", "analysis", "summary")}
+    wellmap = spark.createDataFrame([(1, "HeLa", "t", "low", "A01"), (2, "HeLa", "t", "high", "B02, C03")], "nth long, celltype string, transfection string, drug string, well_ids string")
+    table = {r.code: r for r in folder.experiment_table(spark, str(tmp_path), wellmap, n, 10, "nth").collect()}
+    assert set(table) == {"HeLa_t_low", "HeLa_t_high"}
+    assert {(r.well, r.mito_start, r.mitosis, r["GFP"], r["Cy5"]) for r in table.values()} == {("A01", 2, 50.0, 100.0, None), ("B02", 2, 50.0, 103.0, None)}
+
+
 def test_streaming_linker_equals_batch(spark, tmp_path):
     """All frames leave, the last one too once nothing more comes; late rows say so."""
     r = np.random.default_rng(0)

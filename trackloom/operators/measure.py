@@ -31,14 +31,16 @@ def signals(labels: DataFrame, channel: DataFrame, background: DataFrame | None
     """movie_id, frame, label, signal, bkg_corr, int_corr: means of a channel under each label.
 
     A channel pixel (R, C) belongs to the label at (R // scale, C // scale); nothing is magnified. background has a
-    plane per frame, intensity one per movie; without a movie's map its factor is 0 or 1. One pass over each plane
-    serves all of its labels."""
+    plane per frame, intensity one per movie; maps without a movie_id are for all movies, so that such an intensity map
+    is one plane. Without a movie's map its factor is 0 or 1. One pass over each plane serves all of its labels."""
     joined = labels.select(*PLANE, F.col("width").alias("label_width"), F.col("pixels").cast("array<int>").alias("labels")).join(channel.select(*PLANE, "width", F.col("pixels").cast("array<double>").alias("values")), PLANE)
     for maps, name, keys in ((background, "background", PLANE), (intensity, "intensity", ["movie_id"])):
         if maps is None:
             joined = joined.withColumn(name, F.lit(None).cast("array<double>"))
-        else:
+        elif keys := [k for k in keys if k in maps.columns]:
             joined = joined.join(maps.select(*keys, F.col("pixels").cast("array<double>").alias(name)), keys, "left")
+        else:
+            joined = joined.join(F.broadcast(maps.select(F.col("pixels").cast("array<double>").alias(name)).limit(1)), how="left")  # one plane
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:

@@ -18,15 +18,15 @@ def parse_wells(wells: Column, is_array: bool = False) -> Column:
     return F.coalesce(F.filter(parts, lambda w: w.isNotNull() & (w != "")), F.array().cast("array<string>"))
 
 
-def wellmap(table: DataFrame, order: str | None = None, wells: str = "well_ids") -> DataFrame:
-    """A row per (celltype, transfection, drug): its distinct wells in the order first met, rows ordered by `order`.
+def wellmap(table: DataFrame, order: str, wells: str = "well_ids") -> DataFrame:
+    """A row per (celltype, transfection, drug): its distinct wells in the order first met, rows ordered by the column
+    `order`, since a table's rows have no order of their own.
     Groups with a null key are left out. A group's wells are a list; first places are found by well before."""
-    missing = [c for c in (*GROUP, wells) if c not in table.columns]
+    missing = [c for c in (*GROUP, wells, order) if c not in table.columns]
     if missing:
         raise KeyError(f"required columns not found: {', '.join(missing)}")
     is_array = dict(table.dtypes)[wells].startswith("array")
-    rank = F.col(order) if order else F.monotonically_increasing_id()
-    parsed = table.dropna(subset=GROUP).select(*GROUP, rank.alias("rank__"), parse_wells(F.col(wells), is_array).alias("w__"))
+    parsed = table.dropna(subset=GROUP).select(*GROUP, F.col(order).alias("rank__"), parse_wells(F.col(wells), is_array).alias("w__"))
     first = parsed.select(*GROUP, "rank__", F.posexplode_outer("w__").alias("at__", "well")).groupBy(*GROUP, "well").agg(F.min(F.struct("rank__", "at__")).alias("first__"))
     listed = first.groupBy(*GROUP).agg(F.sort_array(F.collect_list(F.when(F.col("well").isNotNull(), F.struct("first__", "well")))).alias("l__"))
     return listed.select(*GROUP, F.transform("l__", lambda s: s["well"]).alias("wells"))

@@ -13,7 +13,7 @@ CHANNELS = ("GFP", "Texas Red", "Cy5")
 
 @dataclass(frozen=True)
 class CellParams:
-    """Areas in pixels, distances in pixels, times in minutes unless a name says frames."""
+    """HeLa's, unless a cell type says otherwise. Areas in pixels, distances in pixels, times in minutes unless a name says frames."""
 
     cell_type: str = "hela"
     min_cell_size: int = 250

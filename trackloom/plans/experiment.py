@@ -43,23 +43,36 @@ def display_frames(tracks: DataFrame) -> DataFrame:
     return tracks.select("movie_id", "particle", "frame", "x", "y", F.col("semantic_smoothed").alias("state")).orderBy("movie_id", "particle", "frame")
 
 
-def save_tracks(tracks: DataFrame, path: str) -> None:
-    """The tracks sheet; Parquet is for anything larger than a sheet."""
-    sheets.write_workbook(path, {"cell_data": tracks.orderBy("movie_id", "particle", "frame")})
+def save_tracks(tracks: DataFrame, folder: str) -> None:
+    """`<movie_id>_tracks.xlsx` for each movie; Parquet is for anything larger than a sheet."""
+    sheets.write_workbooks(folder, {"cell_data": _file(tracks, "tracks")}, {"cell_data": ["particle", "frame"]})
 
 
-def save_analysis(tracks: DataFrame, files: DataFrame, p: CellParams, path: str) -> None:
-    """Measured tracks with the files and parameters they come from."""
-    sheets.write_workbook(path, {"cell_data": tracks.orderBy("movie_id", "particle", "frame"), "file_data": key_values(files), "parameters": params.key_values(tracks.sparkSession, p)})
+def save_analysis(tracks: DataFrame, files: DataFrame, p: CellParams, folder: str) -> None:
+    """`<movie_id>_analysis.xlsx` for each movie: measured tracks with the files (a row for each movie_id) and parameters
+    they come from."""
+    parts = {"cell_data": tracks, "file_data": key_values(files), "parameters": _parameters(files, p)}
+    sheets.write_workbooks(folder, {k: _file(v, "analysis") for k, v in parts.items()}, {"cell_data": ["particle", "frame"], "parameters": ["name"]})
 
 
-def save_summary(tracks: DataFrame, files: DataFrame, p: CellParams, path: str) -> None:
-    """Summary, files, parameters, and the quality sheet (areas' deviation beside the histogram of events)."""
-    quality = summarize.quality_sheet(*summarize.quality(tracks, p.min_mitotic_frames)).orderBy("movie_id", "row").drop("movie_id", "row")
-    sheets.write_workbook(path, {"Summary": summary(tracks, p).drop("movie_id").orderBy("particle"), "file_data": key_values(files), "parameters": params.key_values(tracks.sparkSession, p), "quality": quality})
+def save_summary(tracks: DataFrame, files: DataFrame, p: CellParams, folder: str) -> None:
+    """`<movie_id>_summary.xlsx` for each movie: summary, files, parameters, and the quality sheet (areas' deviation
+    beside the histogram of events)."""
+    quality = summarize.quality_sheet(*summarize.quality(tracks, p.min_mitotic_frames))
+    parts = {"Summary": summary(tracks, p), "file_data": key_values(files), "parameters": _parameters(files, p), "quality": quality}
+    sheets.write_workbooks(folder, {k: _file(v, "summary") for k, v in parts.items()}, {"Summary": ["particle"], "parameters": ["name"], "quality": ["row"]})
+
+
+def _file(rows: DataFrame, kind: str) -> DataFrame:
+    """rows with the workbook's name in place of the movie; the place of a row in its sheet is not a column."""
+    return rows.withColumn("file", F.concat(F.col("movie_id").cast("string"), F.lit(f"_{kind}.xlsx"))).drop("movie_id")
+
+
+def _parameters(files: DataFrame, p: CellParams) -> DataFrame:
+    return files.select("movie_id").distinct().join(F.broadcast(params.key_values(files.sparkSession, p)))  # some dozen rows
 
 
 def key_values(row: DataFrame) -> DataFrame:
-    """A one-row relation as (name, value) rows."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("value")) for c in row.columns])
-    return row.select(F.inline(pairs))
+    """Rows of movie_id and other columns as (movie_id, name, value) rows, one for each other column."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").cast("string").alias("value")) for c in row.columns if c != "movie_id"])
+    return row.select("movie_id", F.inline(pairs))

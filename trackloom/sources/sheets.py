@@ -1,18 +1,23 @@
-"""Workbooks for hand-over: small tables to .xlsx files and back. Parquet is the store; a sheet has at most a million
-rows, which bounds what passes through the driver on writing. Reading is done by tasks, a workbook a row."""
+"""Workbooks for hand-over: a file per movie, written and read by tasks. Parquet is the store; a sheet has at most a
+million rows, and more are an error."""
 
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+
+from trackloom.sources.files import FolderWriter
 
 MAX_ROWS = 1_048_575
 #: Fixed values of the format.
@@ -37,21 +42,48 @@ def _cell(value: object, at: str) -> str:
     return f'<c r="{at}"><v>{value!r}</v></c>'
 
 
-def workbook(sheets: dict[str, tuple[list[str], list[tuple]]]) -> bytes:
-    """An .xlsx file of (header, rows) by sheet name."""
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+class Workbook:
+    """An .xlsx file, built sheet by sheet and row by row; sheets: (name, header) in order."""
+
+    def __init__(self, sheets: list[tuple[str, list[str]]]):
+        self.sheets, self.buffer, self.open, self.at, self.row = sheets, io.BytesIO(), None, -1, 0
+        self.zip = zipfile.ZipFile(self.buffer, "w", zipfile.ZIP_DEFLATED)
+        z = self.zip
         kinds = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(sheets) + 1))
         z.writestr("[Content_Types].xml", f'{HEAD}<Types xmlns="{PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{kinds}</Types>')
         z.writestr("_rels/.rels", f'{HEAD}<Relationships xmlns="{PACKAGE}/relationships"><Relationship Id="rId1" Type="{REL}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        names = "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(sheets, 1))
+        names = "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="rId{i}"/>' for i, (n, _) in enumerate(sheets, 1))
         z.writestr("xl/workbook.xml", f'{HEAD}<workbook xmlns="{MAIN}" xmlns:r="{REL}"><sheets>{names}</sheets></workbook>')
         links = "".join(f'<Relationship Id="rId{i}" Type="{REL}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
         z.writestr("xl/_rels/workbook.xml.rels", f'{HEAD}<Relationships xmlns="{PACKAGE}/relationships">{links}</Relationships>')
-        for i, (header, rows) in enumerate(sheets.values(), 1):
-            body = "".join(f'<row r="{r}">{"".join(_cell(v, f"{_column(c)}{r}") for c, v in enumerate(row))}</row>' for r, row in enumerate([header, *rows], 1))
-            z.writestr(f"xl/worksheets/sheet{i}.xml", f'{HEAD}<worksheet xmlns="{MAIN}"><sheetData>{body}</sheetData></worksheet>')
-    return out.getvalue()
+
+    def _next_sheet(self) -> None:
+        if self.open:
+            self.open.write(b"</sheetData></worksheet>")
+            self.open.close()
+        self.at, self.row = self.at + 1, 0
+        if self.at < len(self.sheets):
+            self.open = self.zip.open(f"xl/worksheets/sheet{self.at + 1}.xml", "w")
+            self.open.write(f'{HEAD}<worksheet xmlns="{MAIN}"><sheetData>'.encode())
+            self._write(self.sheets[self.at][1])
+
+    def _write(self, cells: list) -> None:
+        self.row += 1
+        self.open.write(f'<row r="{self.row}">{"".join(_cell(v, f"{_column(c)}{self.row}") for c, v in enumerate(cells))}</row>'.encode())
+
+    def add(self, sheet: int, cells: list) -> None:
+        """Rows come in order of their sheets."""
+        while self.at < sheet:
+            self._next_sheet()
+        if self.row > MAX_ROWS:
+            raise ValueError(f"sheet {self.sheets[sheet][0]} has more than {MAX_ROWS} rows; write Parquet instead")
+        self._write(cells)
+
+    def content(self) -> bytes:
+        while self.at < len(self.sheets):
+            self._next_sheet()
+        self.zip.close()
+        return self.buffer.getvalue()
 
 
 def rows_of(content: bytes, sheet: str | None = None) -> list[dict]:
@@ -82,16 +114,48 @@ def rows_of(content: bytes, sheet: str | None = None) -> list[dict]:
     return [{name: row.get(at) for at, name in table[0].items()} for row in table[1:]]
 
 
-def write_workbook(path: str, sheets: dict[str, DataFrame]) -> None:
-    """One local .xlsx file; a sheet with more rows than the format has is an error."""
-    held = {}
-    for name, df in sheets.items():
-        rows = [tuple(r) for r in df.limit(MAX_ROWS + 1).toLocalIterator()]
-        if len(rows) > MAX_ROWS:
-            raise ValueError(f"sheet {name} has more than {MAX_ROWS} rows; write Parquet instead")
-        held[name] = (df.columns, rows)
-    with open(path, "wb") as f:
-        f.write(workbook(held))
+class Workbooks(DataSource):
+    """df.write.format("workbook") of rows (file, sheet, nth, cells: a JSON object), sorted so, all rows of a file in one
+    partition. Option sheets: names and headers as JSON."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "workbook"
+
+    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
+        return _WorkbookWriter(self.options["path"], json.loads(self.options["sheets"]))
+
+
+class _WorkbookWriter(FolderWriter):
+    def __init__(self, folder: str, sheets: list):
+        super().__init__(folder)
+        self.sheets = sheets
+
+    def write(self, iterator) -> WriterCommitMessage:
+        done, file, book = [], None, None
+        for row in iterator:
+            if row["file"] != file:
+                done += [self.save(file, book.content())] if book else []
+                file, book = row["file"], Workbook(self.sheets)
+            book.add(row["sheet"], list(json.loads(row["cells"]).values()))
+        return self.message(done + ([self.save(file, book.content())] if book else []))
+
+
+def write_workbooks(folder: str, sheets: dict[str, DataFrame], order: dict[str, list[str]]) -> None:
+    """An .xlsx file for each value of the column `file` (a path below the folder, or a whole one), with the rows that
+    each sheet's table has under it, sorted by the columns in `order`; `row` may order a sheet and is no column of it. A
+    file's rows go to one task, which builds it row by row. The folder must be one that all executors share."""
+    parts, heads = [], []
+    for i, (name, df) in enumerate(sheets.items()):
+        columns = [(c, kind) for c, kind in df.dtypes if c not in ("file", "row")]
+        value = lambda c, kind: F.nullif(F.col(f"`{c}`"), F.lit(float("nan")).cast(kind)) if kind in ("double", "float") else F.col(f"`{c}`")
+        cells = F.to_json(F.struct(*[value(c, kind).alias(f"c{j}") for j, (c, kind) in enumerate(columns)]), {"ignoreNullFields": "false"})
+        nth = F.row_number().over(Window.partitionBy("file").orderBy(*[F.col(f"`{c}`") for c in order.get(name, ["file"])]))
+        parts.append(df.select("file", F.lit(i).alias("sheet"), nth.alias("nth"), cells.alias("cells")))
+        heads.append((name, [c for c, _ in columns]))
+    rows = reduce(DataFrame.union, parts)
+    rows.sparkSession.dataSource.register(Workbooks)
+    rows.repartition("file").sortWithinPartitions("file", "sheet", "nth").write.format("workbook").mode("append").option("sheets", json.dumps(heads)).save(folder)
 
 
 def read_workbooks(spark: SparkSession, path: str | list[str], schema: str, pattern: str = "*_summary.xlsx", sheet: str | None = None) -> DataFrame:

@@ -1,68 +1,158 @@
 """TIFF stacks: a row per plane in, a file per stack out.
 
-Reading goes through Spark's binaryFile source, so any store that Spark reads will do; a file is one task's work at a
-time. Baseline files are understood: strips, no compression or deflate, whole numbers of 8 to 32 bits and floats of 16
-to 64, one sample per pixel, any number of planes. Anything else is an error that names what is missing.
+`read_stacks` goes through Spark's binaryFile source, so any store that Spark reads will do; a file is one task's work
+and at most 2 GB. `read_large_stacks` goes through a Python data source for folders that all executors mount: the driver
+follows each file's chain of planes, tasks get some planes each and read only these, so a file may have any size.
+
+Understood are classic and large files, strips and tiles, no compression, deflate, LZW and PackBits, horizontal
+differences, whole numbers of 8 to 64 bits and floats of 16 to 64, one sample per pixel, any number of planes. Anything
+else is an error that names what is missing.
 """
 
 from __future__ import annotations
 
+import glob
 import os
 import struct
-import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+
+from trackloom.sources.files import FolderWriter
 
-#: Fixed values of the format: tag numbers, bytes of field types, and array kinds of sample formats.
-WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, OFFSETS, SAMPLES, ROWS, COUNTS, PREDICTOR, FORMAT = 256, 257, 258, 259, 262, 273, 277, 278, 279, 317, 339
+#: Fixed values of the format: tag numbers, bytes and codes of field types, array kinds of sample formats, compressions.
+WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, OFFSETS, SAMPLES, ROWS, COUNTS, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS, FORMAT = 256, 257, 258, 259, 262, 273, 277, 278, 279, 317, 322, 323, 324, 325, 339
 FIELD_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 16: 8}
+FIELD_CODES = {1: "B", 3: "H", 4: "I", 16: "Q"}
 KINDS = {1: "u", 2: "i", 3: "f"}
-NO_COMPRESSION, DEFLATE = 1, (8, 32946)
+NO_COMPRESSION, LZW, DEFLATE, PACKBITS = 1, 5, (8, 32946), 32773
 
 PLANES = "path string, frame int, height int, width int, pixels array<double>"
+#: Bytes from an offset: (offset, number) -> bytes.
+Read = Callable[[int, int], bytes]
 
 
 def decode(content: bytes) -> Iterator[np.ndarray]:
     """The planes of a file, in order."""
-    order = {b"II": "<", b"MM": ">"}.get(content[:2])
-    if order is None or struct.unpack_from(order + "H", content, 2)[0] != 42:
+    read = lambda at, n: content[at : at + n]
+    order, large, _ = _header(read)
+    for at in directories(read):
+        yield plane(read, at, order, large)
+
+
+def _header(read: Read) -> tuple[str, bool, int]:
+    """(byte order, whether offsets have 8 bytes, where the first plane's fields are)."""
+    order = {b"II": "<", b"MM": ">"}.get(read(0, 2))
+    version = struct.unpack(order + "H", read(2, 2))[0] if order else 0
+    if version not in (42, 43):
         raise ValueError("not a TIFF file")
-    (at,) = struct.unpack_from(order + "I", content, 4)
+    return order, version == 43, struct.unpack(order + "Q", read(8, 8))[0] if version == 43 else struct.unpack(order + "I", read(4, 4))[0]
+
+
+def directories(read: Read) -> Iterator[int]:
+    """Where each plane's fields are."""
+    order, large, at = _header(read)
+    seen: set[int] = set()
     while at:
-        (n,) = struct.unpack_from(order + "H", content, at)
-        tags = dict(_field(content, at + 2 + 12 * i, order) for i in range(n))
-        (at,) = struct.unpack_from(order + "I", content, at + 2 + 12 * n)
-        yield _plane(content, tags, order)
+        if at in seen:
+            raise ValueError("the chain of planes is a circle")
+        seen.add(at)
+        yield at
+        n = struct.unpack(order + ("Q" if large else "H"), read(at, 8 if large else 2))[0]
+        after = at + (8 + 20 * n if large else 2 + 12 * n)
+        at = struct.unpack(order + ("Q" if large else "I"), read(after, 8 if large else 4))[0]
 
 
-def _field(content: bytes, at: int, order: str) -> tuple[int, tuple]:
-    tag, kind, n = struct.unpack_from(order + "HHI", content, at)
-    size = FIELD_BYTES.get(kind, 0) * n
-    if size > 4:
-        (at,) = struct.unpack_from(order + "I", content, at + 8)
-    else:
-        at += 8
-    code = {1: "B", 3: "H", 4: "I", 16: "Q"}.get(kind)
-    return tag, struct.unpack_from(f"{order}{n}{code}", content, at) if code else ()
+def _fields(read: Read, at: int, order: str, large: bool) -> dict[int, tuple]:
+    n = struct.unpack(order + ("Q" if large else "H"), read(at, 8 if large else 2))[0]
+    length, inline, number = (20, 8, "Q") if large else (12, 4, "I")
+    raw, found = read(at + (8 if large else 2), length * n), {}
+    for i in range(n):
+        tag, kind, count = struct.unpack_from(order + "HH" + number, raw, length * i)
+        size, value = FIELD_BYTES.get(kind, 0) * count, raw[length * (i + 1) - inline : length * (i + 1)]
+        if kind in FIELD_CODES:
+            if size > inline:
+                value = read(struct.unpack(order + number, value)[0], size)
+            found[tag] = struct.unpack_from(f"{order}{count}{FIELD_CODES[kind]}", value)
+    return found
 
 
-def _plane(content: bytes, tags: dict, order: str) -> np.ndarray:
+def plane(read: Read, at: int, order: str, large: bool) -> np.ndarray:
+    tags = _fields(read, at, order, large)
     one = lambda tag, default: (tags.get(tag) or (default,))[0]
-    if one(SAMPLES, 1) != 1 or one(PREDICTOR, 1) != 1 or OFFSETS not in tags:
-        raise ValueError("only single-sample strips without a predictor are understood")
-    bits, kind, compression = one(BITS, 1), KINDS.get(one(FORMAT, 1)), one(COMPRESSION, NO_COMPRESSION)
-    if kind is None or bits not in (8, 16, 32, 64) or compression not in (NO_COMPRESSION, *DEFLATE):
+    bits, kind, compression, predictor = one(BITS, 1), KINDS.get(one(FORMAT, 1)), one(COMPRESSION, NO_COMPRESSION), one(PREDICTOR, 1)
+    if one(SAMPLES, 1) != 1 or predictor not in (1, 2) or not {OFFSETS, TILE_OFFSETS} & set(tags):
+        raise ValueError("only single samples, plain or as horizontal differences, are understood")
+    if kind is None or bits not in (8, 16, 32, 64) or (kind == "f" and predictor == 2) or compression not in (NO_COMPRESSION, LZW, *DEFLATE, PACKBITS):
         raise ValueError(f"sample format {one(FORMAT, 1)} of {bits} bits, compression {compression} is not understood")
-    strips = [content[o : o + n] for o, n in zip(tags[OFFSETS], tags[COUNTS])]
-    raw = b"".join(zlib.decompress(s) if compression in DEFLATE else s for s in strips)
-    height, width = one(HEIGHT, 0), one(WIDTH, 0)
-    return np.frombuffer(raw, f"{order}{kind}{bits // 8}", height * width).reshape(height, width)
+    dtype, height, width = np.dtype(f"{order}{kind}{bits // 8}"), one(HEIGHT, 0), one(WIDTH, 0)
+    tiled = TILE_OFFSETS in tags
+    block_h, block_w = (one(TILE_HEIGHT, height), one(TILE_WIDTH, width)) if tiled else (min(one(ROWS, height), height), width)
+    across = -(-width // block_w) if width else 0
+    out = np.zeros((height, width), dtype)
+    for k, (offset, n) in enumerate(zip(tags[TILE_OFFSETS if tiled else OFFSETS], tags[TILE_COUNTS if tiled else COUNTS])):
+        top, left = k // across * block_h, k % across * block_w
+        rows = block_h if tiled else min(block_h, height - top)
+        block = np.frombuffer(_expanded(read(offset, n), compression), dtype, rows * block_w).reshape(rows, block_w)
+        if predictor == 2:
+            block = np.cumsum(block, axis=1, dtype=dtype.newbyteorder("="))
+        part = out[top : top + rows, left : left + block_w]
+        part[:] = block[: part.shape[0], : part.shape[1]]
+    return out
+
+
+def _expanded(raw: bytes, compression: int) -> bytes:
+    if compression in DEFLATE:
+        return zlib.decompress(raw)
+    return _unlzw(raw) if compression == LZW else _unpackbits(raw) if compression == PACKBITS else raw
+
+
+def _unpackbits(raw: bytes) -> bytes:
+    out, at = bytearray(), 0
+    while at < len(raw):
+        n = raw[at]
+        if n < 128:
+            out += raw[at + 1 : at + 2 + n]
+            at += 2 + n
+        elif n > 128:
+            out += raw[at + 1 : at + 2] * (257 - n)
+            at += 2
+        else:
+            at += 1
+    return bytes(out)
+
+
+def _unlzw(raw: bytes) -> bytes:
+    """Codes of 9 to 12 bits, the high bits first; 256 clears the table and 257 ends."""
+    out, table, last = bytearray(), [], b""
+    held = bits = 0
+    size = 9
+    for byte in raw:
+        held, bits = (held << 8 | byte) & 0xFFFFFF, bits + 8
+        if bits < size:
+            continue
+        bits -= size
+        code = held >> bits & ((1 << size) - 1)
+        if code == 257:
+            break
+        if code == 256:
+            table, last, size = [bytes([i]) for i in range(256)] + [b"", b""], b"", 9
+            continue
+        if code > len(table) or (code == len(table) and not last):
+            raise ValueError("broken LZW data")
+        word = table[code] if code < len(table) else last + last[:1]
+        out += word
+        if last:
+            table.append(last + word[:1])
+        last = word
+        size = min(12, max(9, (len(table) + 1).bit_length()))
+    return bytes(out)
 
 
 def encode(planes: list[np.ndarray], compress: bool = True) -> bytes:
@@ -98,57 +188,92 @@ def read_stacks(spark: SparkSession, path: str | list[str], pattern: str = "*.{t
     return files.select("path", "content").mapInPandas(run, PLANES)
 
 
-class TiffSink(DataSource):
-    """df.write.format("tiff_stack").mode("append").save(folder), rows (file, frame, height, width, pixels) with all rows
-    of a file in one partition (see `write_stacks`). The folder must be one that all executors share. Option dtype: the
-    pixels' numpy type."""
+def read_large_stacks(spark: SparkSession, path: str, planes_per_task: int = 16) -> DataFrame:
+    """path, frame, height, width, pixels of the files that `path`, a folder, a file or a glob that all executors see,
+    names; tasks read planes_per_task planes each."""
+    spark.dataSource.register(TiffStacks)
+    return spark.read.format("tiff_stack").option("planes_per_task", planes_per_task).load(path)
+
+
+@dataclass
+class _Planes(InputPartition):
+    path: str
+    first: int
+    offsets: tuple[int, ...]
+
+
+class _TiffReader(DataSourceReader):
+    def __init__(self, path: str, planes_per_task: int):
+        path = path.removeprefix("file:")
+        self.paths = sorted(f for f in glob.glob(os.path.join(path, "**") if os.path.isdir(path) else path, recursive=True) if f.endswith((".tif", ".tiff")))
+        self.planes_per_task = planes_per_task
+
+    def partitions(self) -> list[_Planes]:
+        found = []
+        for path in self.paths:
+            with open(path, "rb") as f:
+                offsets = tuple(directories(_from(f)))
+            found += [_Planes(path, i, offsets[i : i + self.planes_per_task]) for i in range(0, len(offsets), self.planes_per_task)]
+        return found
+
+    def read(self, partition: _Planes) -> Iterator[tuple]:
+        with open(partition.path, "rb") as f:
+            read = _from(f)
+            order, large, _ = _header(read)
+            for i, at in enumerate(partition.offsets):
+                p = plane(read, at, order, large)
+                yield partition.path, partition.first + i, p.shape[0], p.shape[1], p.astype(np.float64).reshape(-1).tolist()
+
+
+def _from(f) -> Read:
+    def read(at: int, n: int) -> bytes:
+        f.seek(at)
+        return f.read(n)
+
+    return read
+
+
+class TiffStacks(DataSource):
+    """spark.read.format("tiff_stack").load(path), and df.write.format("tiff_stack").mode("append").save(folder) of rows
+    (file, frame, height, width, pixels) with all rows of a file in one partition (see `write_stacks`). Folders must be
+    ones that all executors share. Option dtype: the pixels' numpy type."""
 
     @classmethod
     def name(cls) -> str:
         return "tiff_stack"
 
+    def schema(self) -> str:
+        return PLANES
+
+    def reader(self, schema) -> DataSourceReader:
+        return _TiffReader(self.options["path"], int(self.options.get("planes_per_task", 16)))
+
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
         return _TiffWriter(self.options["path"], self.options.get("dtype", "float32"))
 
 
-class _TiffWriter(DataSourceWriter):
-    """Files appear under their names on commit; a task that fails or is repeated leaves only unnamed ones."""
-
+class _TiffWriter(FolderWriter):
     def __init__(self, folder: str, dtype: str):
-        self.folder, self.dtype = folder.removeprefix("file:"), dtype
+        super().__init__(folder)
+        self.dtype = dtype
 
     def write(self, iterator) -> WriterCommitMessage:
         stacks: dict[str, list] = {}
         done = []
         for row in iterator:
             if row["file"] not in stacks:
-                done += [self._save(f, p) for f, p in stacks.items()]
+                done += [self.save(f, self._content(p)) for f, p in stacks.items()]
                 stacks = {row["file"]: []}
             stacks[row["file"]].append((row["frame"], np.array(row["pixels"], self.dtype).reshape(row["height"], row["width"])))
-        message = WriterCommitMessage()
-        message.files = done + [self._save(f, p) for f, p in stacks.items()]
-        return message
-
-    def _save(self, file: str, planes: list) -> tuple[str, str]:
-        os.makedirs(self.folder, exist_ok=True)
-        part = os.path.join(self.folder, f".{file}.{uuid.uuid4().hex}")
-        with open(part, "wb") as f:
-            f.write(encode([p for _, p in sorted(planes, key=lambda x: x[0] or 0)]))
-        return part, os.path.join(self.folder, file)
-
-    def commit(self, messages) -> None:
-        for m in messages:
-            for part, name in m.files if m else ():
-                os.replace(part, name)
+        return self.message(done + [self.save(f, self._content(p)) for f, p in stacks.items()])
 
-    def abort(self, messages) -> None:
-        for m in messages:
-            for part, _ in m.files if m else ():
-                os.unlink(part)
+    @staticmethod
+    def _content(planes: list) -> bytes:
+        return encode([p for _, p in sorted(planes, key=lambda x: x[0] or 0)])
 
 
 def write_stacks(planes: DataFrame, folder: str, dtype: str = "float32") -> None:
     """A file per value of `file`, its planes in order of frame."""
-    planes.sparkSession.dataSource.register(TiffSink)
+    planes.sparkSession.dataSource.register(TiffStacks)
     dealt = planes.select("file", F.col("frame").cast("int").alias("frame"), F.col("height").cast("int").alias("height"), F.col("width").cast("int").alias("width"), F.col("pixels").cast("array<double>").alias("pixels"))
     dealt.repartition("file").sortWithinPartitions("file", "frame").write.format("tiff_stack").mode("append").option("dtype", dtype).save(folder)
