@@ -368,10 +368,10 @@ def _wide(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only: bool = True) -> DataFrame:
+def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only: bool = True, ends_only: bool = False) -> DataFrame:
     """(a, b): forests of the links of classes (rep, node, wide) that some layout brings together and that differ in no
     more of the first `words` words than the similarity lets expect, or all such links between different nodes. Rows
-    travel with those words."""
+    travel with those words. With ends_only, (met): the classes that have such a link."""
     top, layouts = tops(classes.count(), similarity)
     most, most_key = (most_differing(similarity, n, DEVIATIONS) for n in (BITS * words, KEY_BITS))
     columns = [f"w{i}" for i in range(words)]
@@ -394,10 +394,11 @@ def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only
             # Equal keys of a group are told apart by bits that don't count.
             keys = (bits[:, 0] & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(place), dtype=np.uint64)
             i, j = trie_links(keys, starts(place), 0, most_key, KEY_BITS, np.unique(node, return_inverse=True)[1], lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most, forest_only=forest_only)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
+            ends = [np.unique(rep[np.concatenate([i, j])])] if ends_only else [np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, ends)], names=["met"] if ends_only else ["a", "b"])
 
     sent = classes.select("rep", "node", "wide").mapInArrow(send, "place long, rep long, node long, " + ", ".join(f"{c} long" for c in columns))
-    return sent.repartition("place").sortWithinPartitions("place").mapInArrow(join, "a long, b long").distinct()
+    return sent.repartition("place").sortWithinPartitions("place").mapInArrow(join, "met long" if ends_only else "a long, b long").distinct()
 
 
 def _shingle_sets(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
@@ -433,21 +434,19 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
         for b in slices(batches, "text", 8 << 20):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([wide_fingerprint(t, shingle) for t in b.column("text").to_pylist()], pa.binary())], names=["doc_id", "wide"])
 
-    def ends(edges: DataFrame) -> DataFrame:
-        return edges.select(F.explode(F.array("a", "b")).alias("met")).distinct()
-
     found = written(ids_and_texts(docs).mapInArrow(run, "doc_id long, wide binary"), "simhash-wide")
     classes = written(found.groupBy("wide").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "simhash-wide-classes")
     nodes = classes.filter("rep is not null").select("rep", F.col("rep").alias("node"), "wide")
-    met = written(ends(_layout_links(nodes, CHECK_WORDS, similarity)), "simhash-met")
+    met = written(_layout_links(nodes, CHECK_WORDS, similarity, ends_only=True), "simhash-met")
     near = written(nodes.join(met, F.col("rep") == F.col("met"), "left_semi"), "simhash-near")
     candidates = written(_layout_links(near, WIDE_WORDS, similarity).filter("a <> b"), "simhash-candidates")
-    sets = _shingle_sets(docs, ends(candidates), shingle)
+    ends = written(candidates.select(F.explode(F.array("a", "b")).alias("met")).distinct(), "simhash-ends")
+    sets = _shingle_sets(docs, ends, shingle)
     checked = _confirmed(candidates, sets, similarity)
     edges = checked.filter("near").select("a", "b")
     reached = written(components(edges), "simhash-reached")
 
-    of = written(ends(candidates).join(reached, F.col("met") == F.col("node"), "left").select("met", F.coalesce("component", "met").alias("node")), "simhash-of")
+    of = written(ends.join(reached, F.col("met") == F.col("node"), "left").select("met", F.coalesce("component", "met").alias("node")), "simhash-of")
     a, b = (of.select(F.col("met").alias(f"{x}_met"), F.col("node").alias(f"{x}_node")) for x in ("a", "b"))
     apart = checked.filter("not near").join(a, F.col("a") == F.col("a_met")).join(b, F.col("b") == F.col("b_met")).filter("a_node <> b_node")
     open_ = written(apart.select(F.explode(F.array("a_node", "b_node")).alias("open")).distinct(), "simhash-open")
