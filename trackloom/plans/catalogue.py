@@ -51,12 +51,23 @@ def area_filter(spark: SparkSession, d: str) -> DataFrame:
     return regions.area_filter(views.tracks(spark, d), 250, 4000).select(*TRACK, "frame", "area")
 
 
-@query(f"WITH {views.TRACKS}, kept AS (SELECT * FROM tracks WHERE area < 4000 AND area > 250) SELECT movie_id, particle, frame FROM kept QUALIFY count(*) OVER (PARTITION BY movie_id, particle) >= 60")
+@query(
+    f"""
+WITH {views.TRACKS}, kept AS (SELECT * FROM tracks WHERE area < 4000 AND area > 250) SELECT movie_id, particle, frame FROM kept
+QUALIFY count(*) OVER (PARTITION BY movie_id, particle) >= 60
+"""
+)
 def stub_filter(spark: SparkSession, d: str) -> DataFrame:
     return linking.stub_filter(regions.area_filter(views.tracks(spark, d), 250, 4000), 60).select(*TRACK, "frame")
 
 
-@query(f"WITH {views.TRACKS} SELECT movie_id, particle, frame, CAST(CASE WHEN semantic_raw < 100 THEN 1 ELSE semantic_raw END AS BIGINT) AS recoded, CAST(floor((CASE WHEN semantic_raw < 100 THEN 1 ELSE semantic_raw END - 1) / 99) AS BIGINT) AS lvl FROM tracks")
+@query(
+    f"""
+WITH {views.TRACKS} SELECT movie_id, particle, frame, CAST(CASE WHEN semantic_raw < 100 THEN 1
+ELSE semantic_raw END AS BIGINT) AS recoded, CAST(floor((CASE WHEN semantic_raw < 100 THEN 1
+ELSE semantic_raw END - 1) / 99) AS BIGINT) AS lvl FROM tracks
+"""
+)
 def semantic_recode(spark: SparkSession, d: str) -> DataFrame:
     recoded = smoothing.recode(F.col("semantic_raw"))
     return views.tracks(spark, d).select(*TRACK, "frame", recoded.alias("recoded"), smoothing.level(recoded).alias("lvl"))
@@ -101,13 +112,20 @@ def peak_histogram(spark: SparkSession, d: str) -> DataFrame:
     return events.peak_histogram(events.peaks_per_track(_smoothed(spark, d)))
 
 
-@query(f"WITH {views.SMOOTH} SELECT movie_id, particle, count(*) AS track_length, round(avg(area), 6) AS mean_area, round(stddev_samp(area), 6) AS area_std FROM smooth WHERE mitotic = 1 GROUP BY ALL")
+@query(
+    f"""
+WITH {views.SMOOTH}
+SELECT movie_id, particle, count(*) AS track_length, round(avg(area), 6) AS mean_area, round(stddev_samp(area), 6) AS area_std FROM smooth
+WHERE mitotic = 1 GROUP BY ALL
+"""
+)
 def track_areas(spark: SparkSession, d: str) -> DataFrame:
     found = summarize.track_stats(_smoothed(spark, d)).select(*TRACK, "track_length", F.col("cell_area").alias("mean_area"), "area_std")
     return rounded(found, "mean_area", "area_std")
 
 
-STEPS = f"{views.TRACKS}, steps AS (SELECT movie_id, particle, frame, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS displacement FROM tracks WHERE area < 4000 AND area > 250 WINDOW w AS (PARTITION BY movie_id, particle ORDER BY frame))"
+STEPS = f"""{views.TRACKS}, steps AS (SELECT movie_id, particle, frame, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS displacement
+FROM tracks WHERE area < 4000 AND area > 250 WINDOW w AS (PARTITION BY movie_id, particle ORDER BY frame))"""
 
 
 @query(f"WITH {STEPS} SELECT movie_id, particle, frame, round(displacement, 6) AS displacement FROM steps")
@@ -129,7 +147,13 @@ def _stat_sql(source: str, name: str, std: str, fallback: int) -> str:
 
 CHANNEL_SQL = ", ".join(_stat_sql(*x) for c in params.CHANNELS for x in ((c, c, f"{c}_std", 0), (f"{c}_bkg_corr", f"{c}_bkg_corr", f"{c}_bkg_corr_std", 0), (f"{c}_int_corr", f"{c}_int_corr", f"{c}_int_corr_std", 1), ("area", f"{c}_area_mean", f"{c}_area_std", 1)))
 CHANNEL_NAMES = [f"{c}{s}" for c in params.CHANNELS for s in ("", "_std", "_bkg_corr", "_bkg_corr_std", "_int_corr", "_int_corr_std", "_area_mean", "_area_std")]
-STATS = f"{views.RUNS}, moved AS (SELECT *, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS step FROM smooth WHERE mitotic = 1 WINDOW w AS (PARTITION BY movie_id, particle ORDER BY frame)), stats AS (SELECT movie_id, particle, count(*) AS track_length, round(max(step), 6) AS max_displacement, round(avg(area), 6) AS cell_area, round(stddev_samp(area), 6) AS area_std, {CHANNEL_SQL} FROM moved GROUP BY movie_id, particle), single AS (SELECT movie_id, particle, min(mito_start) AS mito_start, min(mitosis) AS mitosis FROM runs GROUP BY ALL HAVING count(*) = 1), summary AS (SELECT movie_id, particle, track_length, max_displacement, mito_start, cell_area, mitosis, {', '.join(f'"{n}"' for n in CHANNEL_NAMES)} FROM stats JOIN single USING (movie_id, particle))"
+STATS = f"""{views.RUNS}, moved AS (SELECT *, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS step FROM smooth WHERE mitotic = 1 WINDOW
+w AS (PARTITION BY movie_id, particle ORDER BY frame)),
+stats AS (SELECT movie_id, particle, count(*) AS track_length, round(max(step), 6) AS max_displacement, round(avg(area), 6) AS cell_area, round(stddev_samp(area), 6) AS area_std, {CHANNEL_SQL}
+FROM moved GROUP BY movie_id, particle), single AS (SELECT movie_id, particle, min(mito_start) AS mito_start, min(mitosis) AS mitosis
+FROM runs GROUP BY ALL HAVING count(*) = 1),
+summary AS (SELECT movie_id, particle, track_length, max_displacement, mito_start, cell_area, mitosis, {', '.join(f'"{n}"' for n in CHANNEL_NAMES)}
+FROM stats JOIN single USING (movie_id, particle))"""
 
 
 @query(f"WITH {STATS} SELECT movie_id, particle, {', '.join(f'"{n}"' for n in CHANNEL_NAMES)} FROM stats")
@@ -146,7 +170,14 @@ def mitotic_summary(spark: SparkSession, d: str) -> DataFrame:
     return _summary(spark, d)
 
 
-@query(f'WITH {STATS}, {HISTOGRAM_SQL} SELECT a.movie_id, a.row, "Area std.", CAST(n_peaks AS DOUBLE) AS n_peaks, CAST("track number" AS DOUBLE) AS "track number" FROM (SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY particle) - 1 AS row, area_std AS "Area std." FROM stats) a LEFT JOIN histogram h ON a.movie_id = h.movie_id AND a.row = h.n_peaks')
+@query(
+    f"""
+WITH {STATS}, {HISTOGRAM_SQL}
+SELECT a.movie_id, a.row, "Area std.", CAST(n_peaks AS DOUBLE) AS n_peaks, CAST("track number" AS DOUBLE) AS "track number"
+FROM (SELECT movie_id, row_number() OVER (PARTITION BY movie_id ORDER BY particle) - 1 AS row, area_std AS "Area std." FROM stats) a LEFT
+JOIN histogram h ON a.movie_id = h.movie_id AND a.row = h.n_peaks
+"""
+)
 def quality_sheet(spark: SparkSession, d: str) -> DataFrame:
     sheet = summarize.quality_sheet(*summarize.quality(_smoothed(spark, d)))
     return rounded(sheet.withColumns({c: F.col(f"`{c}`").cast("double") for c in ("n_peaks", "track number")}), "Area std.")
@@ -157,7 +188,12 @@ def quality_sheet(spark: SparkSession, d: str) -> DataFrame:
 PLANE = images.PLANE
 
 
-@query(f'WITH {views.REGIONS} SELECT movie_id, frame, label, x, y, area, round(eccentricity, 6) AS eccentricity, "bbox-0", "bbox-1", "bbox-2", "bbox-3" FROM regions')
+@query(
+    f"""
+WITH {views.REGIONS}
+SELECT movie_id, frame, label, x, y, area, round(eccentricity, 6) AS eccentricity, "bbox-0", "bbox-1", "bbox-2", "bbox-3" FROM regions
+"""
+)
 def region_props(spark: SparkSession, d: str) -> DataFrame:
     found = regions.region_table(views.labels(spark, d))
     return rounded(found, "eccentricity").select(*PLANE, "label", *longs("x", "y"), "area", "eccentricity", *[F.col(f"`bbox-{i}`").cast("long").alias(f"bbox-{i}") for i in range(4)])
@@ -167,12 +203,22 @@ def _pixel_rows(df: DataFrame, name: str, kind: str = "double") -> DataFrame:
     return images.pixels(df, name).select(*PLANE, *longs("r", "c"), F.col(name).cast(kind).alias(name))
 
 
-@query(f"WITH {views.PIXELS} SELECT a.movie_id, a.frame, a.r, a.c, CAST(min(b.label) AS BIGINT) AS label FROM pixels a JOIN pixels b ON a.movie_id = b.movie_id AND a.frame = b.frame AND (a.r - b.r) ** 2 + (a.c - b.c) ** 2 <= 9 GROUP BY ALL")
+@query(
+    f"""
+WITH {views.PIXELS} SELECT a.movie_id, a.frame, a.r, a.c, CAST(min(b.label) AS BIGINT) AS label FROM pixels a JOIN pixels b
+ON a.movie_id = b.movie_id AND a.frame = b.frame AND (a.r - b.r) ** 2 + (a.c - b.c) ** 2 <= 9 GROUP BY ALL
+"""
+)
 def erode_labels(spark: SparkSession, d: str) -> DataFrame:
     return _pixel_rows(images.eroded(views.labels(spark, d)), "label", "long")
 
 
-@query(f"WITH {views.PIXELS} SELECT movie_id, frame, 2 * r + p AS r, 2 * c + q AS c, CAST(label AS BIGINT) AS label FROM pixels, range(2) i(p), range(2) j(q)")
+@query(
+    f"""
+WITH {views.PIXELS} SELECT movie_id, frame, 2 * r + p AS r, 2 * c + q AS c, CAST(label AS BIGINT) AS label
+FROM pixels, range(2) i(p), range(2) j(q)
+"""
+)
 def zoom_lookup(spark: SparkSession, d: str) -> DataFrame:
     return _pixel_rows(images.zoomed(views.labels(spark, d)), "label", "long")
 
@@ -182,13 +228,21 @@ def block_max(spark: SparkSession, d: str) -> DataFrame:
     return _pixel_rows(images.shrunk(views.planes(spark, d)), "v")
 
 
-@query(f"WITH {views.PIXELS}, near AS (SELECT movie_id, frame, r, c, greatest(least(r + p - 1, 7), 0) AS r2, greatest(least(c + q - 1, 7), 0) AS c2 FROM pixels, range(3) i(p), range(3) j(q)) SELECT n.movie_id, n.frame, n.r, n.c, trunc(list_sort(list(b.v * 100))[5]) AS v FROM near n JOIN pixels b ON n.movie_id = b.movie_id AND n.frame = b.frame AND n.r2 = b.r AND n.c2 = b.c GROUP BY ALL")
+@query(
+    f"""
+WITH {views.PIXELS}, near AS (SELECT movie_id, frame, r, c, greatest(least(r + p - 1, 7), 0) AS r2, greatest(least(c + q - 1, 7), 0) AS c2
+FROM pixels, range(3) i(p), range(3) j(q)) SELECT n.movie_id, n.frame, n.r, n.c, trunc(list_sort(list(b.v * 100))[5]) AS v FROM near n
+JOIN pixels b ON n.movie_id = b.movie_id AND n.frame = b.frame AND n.r2 = b.r AND n.c2 = b.c GROUP BY ALL
+"""
+)
 def median3x3(spark: SparkSession, d: str) -> DataFrame:
     return _pixel_rows(images.medianed(views.channel(spark, d)), "v")
 
 
 def _slab_sql(f: str) -> str:
-    return f"WITH {views.PIXELS}, movies AS (SELECT movie_id, count(DISTINCT frame) AS n FROM pixels GROUP BY movie_id), slab AS (SELECT movie_id, CASE WHEN n % 2 = 1 THEN n // 2 ELSE n // 2 - 1 END AS centre FROM movies) SELECT p.movie_id, r, c, round({f}(v), 9) AS v FROM pixels p JOIN slab s ON p.movie_id = s.movie_id AND frame >= centre - centre // 2 AND frame < centre + centre // 2 GROUP BY ALL"
+    return f"""WITH {views.PIXELS}, movies AS (SELECT movie_id, count(DISTINCT frame) AS n FROM pixels GROUP BY movie_id), slab AS (SELECT movie_id, CASE
+WHEN n % 2 = 1 THEN n // 2 ELSE n // 2 - 1 END AS centre FROM movies) SELECT p.movie_id, r, c, round({f}(v), 9) AS v FROM pixels p
+JOIN slab s ON p.movie_id = s.movie_id AND frame >= centre - centre // 2 AND frame < centre + centre // 2 GROUP BY ALL"""
 
 
 def _slab(kind: str) -> Query:
@@ -200,7 +254,15 @@ for _kind, _f in (("max", "max"), ("min", "min"), ("average", "avg")):
     ORACLE_SQL[f"slab_{_f}"] = _slab_sql(_f)
 
 
-@query(f"WITH {views.PIXELS}, taps AS (SELECT o, exp(-0.5 * o * o) / (SELECT sum(exp(-0.5 * o * o)) FROM range(-4, 5) t(o)) AS w FROM range(-4, 5) t(o)), near AS (SELECT p.movie_id, p.frame, p.r, p.c, greatest(least(p.r + a.o, 7), 0) AS r2, greatest(least(p.c + b.o, 7), 0) AS c2, a.w * b.w AS w FROM pixels p, taps a, taps b) SELECT n.movie_id, n.frame, n.r, n.c, round(sum(n.w * b.v), 6) AS v FROM near n JOIN pixels b ON n.movie_id = b.movie_id AND n.frame = b.frame AND n.r2 = b.r AND n.c2 = b.c GROUP BY ALL")
+@query(
+    f"""
+WITH {views.PIXELS}, taps AS (SELECT o, exp(-0.5 * o * o) / (SELECT sum(exp(-0.5 * o * o)) FROM range(-4, 5) t(o)) AS w
+FROM range(-4, 5) t(o)),
+near AS (SELECT p.movie_id, p.frame, p.r, p.c, greatest(least(p.r + a.o, 7), 0) AS r2, greatest(least(p.c + b.o, 7), 0) AS c2, a.w * b.w AS w
+FROM pixels p, taps a, taps b) SELECT n.movie_id, n.frame, n.r, n.c, round(sum(n.w * b.v), 6) AS v FROM near n JOIN pixels b
+ON n.movie_id = b.movie_id AND n.frame = b.frame AND n.r2 = b.r AND n.c2 = b.c GROUP BY ALL
+"""
+)
 def gaussian_small(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_pixel_rows(images.blurred(views.planes(spark, d), 1.0), "v"), "v")
 
@@ -210,7 +272,12 @@ def normalise_max(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_pixel_rows(images.normalised(views.planes(spark, d)), "v"), "v")
 
 
-@query(f"WITH {views.PIXELS} SELECT movie_id, frame, CAST(label AS BIGINT) AS label, round(CASE WHEN max(abs(v)) > 0 THEN avg(v) END, 6) AS signal FROM pixels WHERE label <> 0 GROUP BY ALL")
+@query(
+    f"""
+WITH {views.PIXELS} SELECT movie_id, frame, CAST(label AS BIGINT) AS label, round(CASE WHEN max(abs(v)) > 0 THEN avg(v) END, 6) AS signal
+FROM pixels WHERE label <> 0 GROUP BY ALL
+"""
+)
 def masked_mean(spark: SparkSession, d: str) -> DataFrame:
     at = images.pixels(views.labels(spark, d), "label").join(images.pixels(views.planes(spark, d), "v").drop("width"), [*PLANE, "r", "c"])
     found = at.filter("label <> 0").groupBy(*PLANE, "label").agg(measure.masked_mean(F.col("v")).alias("signal"))
@@ -221,7 +288,15 @@ def _mean_sql(v: str, name: str) -> str:
     return f"round(CASE WHEN max(abs({v})) > 0 THEN avg({v}) END, 6) AS {name}"
 
 
-@query(f"WITH {views.PIXELS} SELECT p.movie_id, p.frame, CAST(l.label AS BIGINT) AS label, {_mean_sql('p.v * 100', 'signal')}, {_mean_sql('floor(p.v * 100)', 'bkg_corr')}, round(CASE WHEN count(m.v) = 0 THEN 1 WHEN max(abs(m.v)) > 0 THEN avg(m.v) END, 6) AS int_corr FROM pixels p JOIN pixels l ON p.movie_id = l.movie_id AND p.frame = l.frame AND l.r = p.r // 2 * 2 AND l.c = p.c // 2 * 2 LEFT JOIN pixels m ON m.movie_id = p.movie_id AND m.frame = 0 AND m.r = p.r AND m.c = p.c WHERE l.label <> 0 GROUP BY ALL")
+@query(
+    f"""
+WITH {views.PIXELS}
+SELECT p.movie_id, p.frame, CAST(l.label AS BIGINT) AS label, {_mean_sql('p.v * 100', 'signal')}, {_mean_sql('floor(p.v * 100)', 'bkg_corr')}, round(CASE
+WHEN count(m.v) = 0 THEN 1 WHEN max(abs(m.v)) > 0 THEN avg(m.v) END, 6) AS int_corr FROM pixels p JOIN pixels l
+ON p.movie_id = l.movie_id AND p.frame = l.frame AND l.r = p.r // 2 * 2 AND l.c = p.c // 2 * 2 LEFT JOIN pixels m
+ON m.movie_id = p.movie_id AND m.frame = 0 AND m.r = p.r AND m.c = p.c WHERE l.label <> 0 GROUP BY ALL
+"""
+)
 def corrected_measure(spark: SparkSession, d: str) -> DataFrame:
     background = views.channel(spark, d).withColumn("pixels", F.transform("pixels", lambda v: F.floor(v).cast("double")))
     intensity = views.planes(spark, d).filter("frame = 0")
@@ -229,13 +304,26 @@ def corrected_measure(spark: SparkSession, d: str) -> DataFrame:
     return rounded(found.withColumn("label", F.col("label").cast("long")), "signal", "bkg_corr", "int_corr")
 
 
-@query(f"WITH {views.REGIONS} SELECT g.movie_id, g.frame, CAST(g.label AS BIGINT) AS label, g.x, g.y, CAST(CASE WHEN p.v > 0.05 THEN 101 WHEN p.v > -0.05 THEN 100 ELSE 2 END AS BIGINT) AS semantic_raw FROM regions g JOIN pixels p ON g.movie_id = p.movie_id AND g.frame = p.frame AND g.x = p.r AND g.y = p.c")
+@query(
+    f"""
+WITH {views.REGIONS} SELECT g.movie_id, g.frame, CAST(g.label AS BIGINT) AS label, g.x, g.y, CAST(CASE WHEN p.v > 0.05 THEN 101
+WHEN p.v > -0.05 THEN 100 ELSE 2 END AS BIGINT) AS semantic_raw FROM regions g JOIN pixels p
+ON g.movie_id = p.movie_id AND g.frame = p.frame AND g.x = p.r AND g.y = p.c
+"""
+)
 def semantic_lookup(spark: SparkSession, d: str) -> DataFrame:
     found = regions.state_at_centre(regions.region_table(views.labels(spark, d)), views.states(spark, d))
     return found.select(*PLANE, *longs("label", "x", "y"), "semantic_raw")
 
 
-@query(f"WITH {views.REGIONS} SELECT a.movie_id, a.frame, CAST(a.label AS BIGINT) AS label, CAST(b.label AS BIGINT) AS next_label, CAST((a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS BIGINT) AS d2 FROM regions a JOIN regions b ON a.movie_id = b.movie_id AND b.frame = a.frame + 1 AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= {RADIUS * RADIUS}")
+@query(
+    f"""
+WITH {views.REGIONS}
+SELECT a.movie_id, a.frame, CAST(a.label AS BIGINT) AS label, CAST(b.label AS BIGINT) AS next_label, CAST((a.x - b.x) ** 2 + (a.y - b.y) ** 2 AS BIGINT) AS d2
+FROM regions a JOIN regions b
+ON a.movie_id = b.movie_id AND b.frame = a.frame + 1 AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= {RADIUS * RADIUS}
+"""
+)
 def link_candidates(spark: SparkSession, d: str) -> DataFrame:
     found = linking.candidates(regions.region_table(views.labels(spark, d)), RADIUS)
     return found.select(*PLANE, *longs("label", "next_label"), "d2")
@@ -264,7 +352,9 @@ def link_regions(spark: SparkSession, d: str) -> DataFrame:
 # Dose response -----------------------------------------------------------------------------------------------------
 
 Q = f"{views.DOSE}, q AS (SELECT round_even(quantile_cont(dose, 0.025), 0) AS low, round_even(quantile_cont(dose, 0.85), 0) AS high FROM dose)"
-BINS = f"{Q}, edges AS (SELECT i AS bin, 0.5 * low + i * 2.5 AS lft, 0.5 * low + (i + 1) * 2.5 AS rgt FROM q, range(0, 1000) t(i) WHERE 0.5 * low + (i + 1) * 2.5 < 1.5 * high), binned AS (SELECT bin, dose, response, code FROM dose JOIN edges ON dose > lft AND dose <= rgt)"
+BINS = f"""{Q}, edges AS (SELECT i AS bin, 0.5 * low + i * 2.5 AS lft, 0.5 * low + (i + 1) * 2.5 AS rgt FROM q, range(0, 1000) t(i)
+WHERE 0.5 * low + (i + 1) * 2.5 < 1.5 * high), binned AS (SELECT bin, dose, response, code FROM dose JOIN edges
+ON dose > lft AND dose <= rgt)"""
 
 
 @query(f"WITH {Q} SELECT low, high FROM q")
@@ -296,24 +386,46 @@ def bin_sizes(spark: SparkSession, d: str) -> DataFrame:
     return dose.bin_sizes(binned, len(dose.edges(low, high)) - 1)
 
 
-@query(f"WITH {BINS} SELECT bin, round(stddev_samp(dose) / sqrt(count(*)), 6) AS dose, round(stddev_samp(response) / sqrt(count(*)), 6) AS response FROM binned GROUP BY bin HAVING count(*) > 1")
+@query(
+    f"""
+WITH {BINS} SELECT bin, round(stddev_samp(dose) / sqrt(count(*)), 6) AS dose, round(stddev_samp(response) / sqrt(count(*)), 6) AS response
+FROM binned GROUP BY bin HAVING count(*) > 1
+"""
+)
 def bin_stderrs(spark: SparkSession, d: str) -> DataFrame:
     return rounded(dose.bin_stderrs(_binned(spark, d)[0]), "dose", "response")
 
 
-@query(f"WITH {views.DOSE} SELECT round(dose - (SELECT min(dose) FROM dose), 6) AS dose, count(*) AS n, round(sum(response), 6) AS response FROM dose GROUP BY 1")
+@query(
+    f"""
+WITH {views.DOSE} SELECT round(dose - (SELECT min(dose) FROM dose), 6) AS dose, count(*) AS n, round(sum(response), 6) AS response FROM dose
+GROUP BY 1
+"""
+)
 def min_subtract(spark: SparkSession, d: str) -> DataFrame:
     shifted = rounded(dose.subtract_minimum(dose.complete(views.dose(spark, d)), "dose"), "dose")
     return rounded(shifted.groupBy("dose").agg(F.count("*").alias("n"), F.sum("response").alias("response")), "response")
 
 
-@query(f"WITH {views.DOSE} SELECT DISTINCT dose, round({CURVE[0]} + ({CURVE[1]} - {CURVE[0]}) * dose ** {CURVE[2]} / (dose ** {CURVE[2]} + {CURVE[3]}::DOUBLE ** {CURVE[2]}), 6) AS y FROM dose")
+@query(
+    f"""
+WITH {views.DOSE}
+SELECT DISTINCT dose, round({CURVE[0]} + ({CURVE[1]} - {CURVE[0]}) * dose ** {CURVE[2]} / (dose ** {CURVE[2]} + {CURVE[3]}::DOUBLE ** {CURVE[2]}), 6) AS y
+FROM dose
+"""
+)
 def hill_curve(spark: SparkSession, d: str) -> DataFrame:
     xy = dose.complete(views.dose(spark, d)).select("dose").distinct()
     return rounded(xy.withColumn("y", hill.hill(F.col("dose"), *map(F.lit, CURVE))), "y")
 
 
-@query("SELECT code, 4.0::DOUBLE AS min_duration, CASE code WHEN 'A' THEN 20.0 WHEN 'N' THEN 30.0 ELSE 40.0 END::DOUBLE AS max_duration, 3.0::DOUBLE AS hill_exponent, 18.0::DOUBLE AS ec50, 'converged' AS status FROM (SELECT DISTINCT l_returnflag AS code FROM lineitem)")
+@query(
+    """
+SELECT code, 4.0::DOUBLE AS min_duration, CASE code WHEN 'A' THEN 20.0 WHEN 'N' THEN 30.0
+ELSE 40.0 END::DOUBLE AS max_duration, 3.0::DOUBLE AS hill_exponent, 18.0::DOUBLE AS ec50, 'converged' AS status
+FROM (SELECT DISTINCT l_returnflag AS code FROM lineitem)
+"""
+)
 def hill_fit(spark: SparkSession, d: str) -> DataFrame:
     """Responses on known curves give the curves' parameters."""
     xy = views.exact_dose(spark, d).select("dose", hill.hill(F.col("dose"), F.lit(4.0), F.col("high"), F.lit(3.0), F.lit(18.0)).alias("response"), "code")
@@ -342,32 +454,58 @@ def wellmap(spark: SparkSession, d: str) -> DataFrame:
 STUB_SQL, POSITION_SQL = "[A-H]([1-9]|[0][1-9]|[1][0-2])_s(\\d{2}|\\d{1})", "_(\\w\\d+)_(\\w\\d+)_"
 
 
-@query(f"WITH {views.NAMES} SELECT id, regexp_extract(file, '{STUB_SQL}', 0) AS stub, CASE WHEN regexp_extract(file, '{STUB_SQL}', 0) = '' THEN '' ELSE split_part(file, regexp_extract(file, '{STUB_SQL}', 0), 1) END AS prefix, regexp_extract(file, '{POSITION_SQL}', 2) AS position FROM names")
+@query(
+    f"""
+WITH {views.NAMES} SELECT id, regexp_extract(file, '{STUB_SQL}', 0) AS stub, CASE WHEN regexp_extract(file, '{STUB_SQL}', 0) = '' THEN ''
+ELSE split_part(file, regexp_extract(file, '{STUB_SQL}', 0), 1) END AS prefix, regexp_extract(file, '{POSITION_SQL}', 2) AS position
+FROM names
+"""
+)
 def name_parse(spark: SparkSession, d: str) -> DataFrame:
     file = F.col("file")
     return views.names(spark, d).select("id", names.stub(file).alias("stub"), names.prefix(file).alias("prefix"), names.position(file).alias("position"))
 
 
-@query(f"WITH {views.NAMES} SELECT id, CASE WHEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') = 'phs' THEN 'phase' WHEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') <> '' THEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') END AS channel, CASE WHEN regexp_extract(image, 'background|intensity') <> '' AND regexp_extract(image, 'GFP|Texas Red|Cy5|phs') <> '' THEN concat(regexp_extract(image, 'GFP|Texas Red|Cy5|phs'), '_', regexp_extract(image, 'background|intensity'), '_map') END AS correction_map, CASE WHEN regexp_extract(image, 'instance|semantic') <> '' AND ends_with(image, '.tif') THEN regexp_extract(image, 'instance|semantic') END AS role FROM names")
+@query(
+    f"""
+WITH {views.NAMES} SELECT id, CASE WHEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') = 'phs' THEN 'phase'
+WHEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') <> '' THEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') END AS channel, CASE
+WHEN regexp_extract(image, 'background|intensity') <> '' AND regexp_extract(image, 'GFP|Texas Red|Cy5|phs') <> '' THEN concat(regexp_extract(image, 'GFP|Texas Red|Cy5|phs'), '_', regexp_extract(image, 'background|intensity'), '_map') END AS correction_map, CASE
+WHEN regexp_extract(image, 'instance|semantic') <> '' AND ends_with(image, '.tif') THEN regexp_extract(image, 'instance|semantic') END AS role
+FROM names
+"""
+)
 def channel_classify(spark: SparkSession, d: str) -> DataFrame:
     image = F.col("image")
     return views.names(spark, d).select("id", names.channel(image).alias("channel"), names.correction_map(image).alias("correction_map"), names.mask_role(image).alias("role"))
 
 
-@query(f"WITH {views.NAMES}, listed AS (SELECT DISTINCT well FROM names WHERE id % 50 = 0) SELECT n.id, l.well, regexp_extract(n.file, '{POSITION_SQL}', 2) AS position, '/data' AS storage_location FROM names n JOIN listed l ON contains(n.folder, '_' || l.well || '_') AND ends_with(n.folder, '_inference')")
+@query(
+    f"""
+WITH {views.NAMES}, listed AS (SELECT DISTINCT well FROM names WHERE id % 50 = 0)
+SELECT n.id, l.well, regexp_extract(n.file, '{POSITION_SQL}', 2) AS position, '/data' AS storage_location FROM names n JOIN listed l
+ON contains(n.folder, '_' || l.well || '_') AND ends_with(n.folder, '_inference')
+"""
+)
 def well_folders(spark: SparkSession, d: str) -> DataFrame:
     rows = views.names(spark, d)
     return wells.compile_summaries(rows.select("id", "folder", "file"), rows.filter("id % 50 = 0").select("well"), "/data").select("id", "well", "position", "storage_location")
 
 
-@query(f"WITH {STATS} SELECT movie_id, particle, mitosis, CASE WHEN movie_id <> 0 THEN \"GFP\" END AS \"GFP\", CASE WHEN movie_id = 0 THEN cell_area END AS cell_area FROM summary")
+@query(
+    f"""
+WITH {STATS} SELECT movie_id, particle, mitosis, CASE WHEN movie_id <> 0 THEN "GFP" END AS "GFP", CASE
+WHEN movie_id = 0 THEN cell_area END AS cell_area FROM summary
+"""
+)
 def compile_union(spark: SparkSession, d: str) -> DataFrame:
     rows = _summary(spark, d)
     first, others = rows.filter("movie_id = 0").select(*TRACK, "mitosis", "cell_area"), rows.filter("movie_id <> 0").select(*TRACK, "mitosis", "GFP")
     return wells.union_all(spark, [first, others], "movie_id long, particle long, mitosis double, cell_area double, GFP double")
 
 
-EVENTS_SQL = f"{STATS}, kept AS (SELECT movie_id, particle, mito_start, mitosis * 10 AS mitosis FROM summary WHERE mito_start > 0 AND mito_start + mitosis < 60)"
+EVENTS_SQL = f"""{STATS}, kept AS (SELECT movie_id, particle, mito_start, mitosis * 10 AS mitosis FROM summary
+WHERE mito_start > 0 AND mito_start + mitosis < 60)"""
 
 
 @query(f"WITH {EVENTS_SQL} SELECT * FROM kept")
@@ -375,7 +513,13 @@ def event_filter(spark: SparkSession, d: str) -> DataFrame:
     return wells.event_filter(_summary(spark, d).select(*TRACK, "mito_start", "mitosis"), 60, 10)
 
 
-@query(f"WITH {EVENTS_SQL}, {views.WELLMAP}, named AS (SELECT k.*, ['small', 'ring', 'bolt', 'nut'][particle % 4 + 1] AS well FROM kept k) SELECT n.movie_id, n.particle, n.mito_start, n.mitosis, n.well, concat(f.celltype, '_', f.transfection, '_', f.drug) AS code FROM named n JOIN firsts f ON n.well = f.well")
+@query(
+    f"""
+WITH {EVENTS_SQL}, {views.WELLMAP}, named AS (SELECT k.*, ['small', 'ring', 'bolt', 'nut'][particle % 4 + 1] AS well FROM kept k)
+SELECT n.movie_id, n.particle, n.mito_start, n.mitosis, n.well, concat(f.celltype, '_', f.transfection, '_', f.drug) AS code FROM named n
+JOIN firsts f ON n.well = f.well
+"""
+)
 def experiment_import(spark: SparkSession, d: str) -> DataFrame:
     names_ = F.array(*[F.lit(w) for w in ("small", "ring", "bolt", "nut")])
     rows = _summary(spark, d).select(*TRACK, "mito_start", "mitosis", F.element_at(names_, (F.col("particle") % 4 + 1).cast("int")).alias("well"))
@@ -383,6 +527,11 @@ def experiment_import(spark: SparkSession, d: str) -> DataFrame:
     return wells.import_experiment(groups, rows, 60, 10).select(*TRACK, "mito_start", "mitosis", "well", "code")
 
 
-@query("SELECT * FROM (VALUES ('hela', 250::BIGINT, 4000::BIGINT, 20::BIGINT, 1::BIGINT, 10::BIGINT, 'vanilla'), ('ht1080', 250, 9000, 30, 1, 10, 'predictive'), ('u2os', 250, 9500, 30, 1, 10, 'predictive'), ('rpe1', 250, 9500, 30, 1, 10, 'predictive')) AS t(cell_type, min_size, max_size, radius, memory, min_length, mode)")
+@query(
+    """
+SELECT *
+FROM (VALUES ('hela', 250::BIGINT, 4000::BIGINT, 20::BIGINT, 1::BIGINT, 10::BIGINT, 'vanilla'), ('ht1080', 250, 9000, 30, 1, 10, 'predictive'), ('u2os', 250, 9500, 30, 1, 10, 'predictive'), ('rpe1', 250, 9500, 30, 1, 10, 'predictive')) AS t(cell_type, min_size, max_size, radius, memory, min_length, mode)
+"""
+)
 def cell_params(spark: SparkSession, d: str) -> DataFrame:
     return params.as_table(spark).select("cell_type", *longs("min_size", "max_size", "radius", "memory", "min_length"), "mode")
