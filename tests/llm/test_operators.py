@@ -62,7 +62,10 @@ def test_toxicity_learns_and_holds_out(spark):
         texts.append(". ".join(sentences))
         toxic.append(int(bad))
     table = docs(spark, texts + [None, "", "w " * 30_000], label=1)
-    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)] + [(999_999, 1, 1), (5, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame(
+        [(i, 1, t) for i, t in enumerate(toxic)] + [(999_999, 1, 1), (5, 1, None), (None, 1, 1)],
+        "doc_id long, quality int, toxic int",
+    )
     got = {x.doc_id: x for x in toxicity.held_out_scores(table, labels).collect()}
     held = [i for i in range(400) if got[i].held_out]
     assert {i for i in got if got[i].held_out} == {i for i in range(403) if zlib.crc32(str(i).encode()) % 4 == 2}
@@ -280,7 +283,9 @@ def test_language_sample_is_even(spark):
     table = docs(spark, ["text"] * 400, langs={i: "rare" if i in (7, 300) else "de" if i % 4 == 0 else "en" for i in range(400)})
     picked = common.bounded_sample(table.union(table), "doc_id", 10, "lang").collect()
     assert Counter(x.lang for x in picked) == {"en": 10, "de": 10, "rare": 2} and len({x.doc_id for x in picked}) == 22
-    rows = common.labelled_texts(table.union(table), spark.createDataFrame([(7, "rare"), (9, "en"), (9999, "en")], "doc_id long, lang string")).collect()
+    rows = common.labelled_texts(
+        table.union(table), spark.createDataFrame([(7, "rare"), (9, "en"), (9999, "en")], "doc_id long, lang string"),
+    ).collect()
     assert sorted((x.doc_id, x.lang, x.text) for x in rows) == [(7, "rare", "text"), (9, "en", "text")]
 
 
@@ -310,7 +315,9 @@ def test_ann(spark):
         hits += len({own[k][0] for k in own} & set(best.tolist()))
     assert hits >= 0.95 * 150
     few = spark.createDataFrame([(0, [1.0, 0.0]), (100, [0.0, 1.0]), (7, [0.0, 1.0])], "vec_id long, embedding array<float>")
-    assert sorted((x.query_id, x["rank"], x.vec_id) for x in ann.nearest(few, F.col("vec_id") % 100 == 0).collect()) == [(0, 1, 7), (0, 2, 100), (100, 1, 7), (100, 2, 0)]
+    assert sorted(
+        (x.query_id, x["rank"], x.vec_id) for x in ann.nearest(few, F.col("vec_id") % 100 == 0).collect()
+    ) == [(0, 1, 7), (0, 2, 100), (100, 1, 7), (100, 2, 0)]
     assert ann.nearest(few.filter("false"), F.lit(True)).count() == 0
 
 
@@ -361,7 +368,10 @@ def brute_taken(rows, weights=(1, 2, 3), most=3, packet=mixing.PACKET_WORDS):
         sizes[source] += size
     goal, sent, at = mix_targets(sizes, weights, most), [], Counter()
     for turn in range(most):
-        for i, doc, source, size in sorted(rows, key=lambda x: (hashlib.md5(f"mix:{'' if x[1] is None else x[1]}".encode()).hexdigest(), x[1] is not None, x[1] or 0, x[3])):
+        for i, doc, source, size in sorted(
+            rows,
+            key=lambda x: (hashlib.md5(f"mix:{'' if x[1] is None else x[1]}".encode()).hexdigest(), x[1] is not None, x[1] or 0, x[3]),
+        ):
             for begin in range(0, size, packet or max(size, 1)):
                 n = min(packet or size, size - begin)
                 at[source] += n
@@ -406,7 +416,9 @@ def test_mixing(spark):
 
     kept = mixing.apply_mix(table)
     assert kept.columns == table.columns
-    times, whole = Counter(x.doc_id for x in kept.collect()), brute_taken([(x.doc_id, x.doc_id, sources[x.doc_id], x.size) for x in rows], packet=None)
+    times, whole = Counter(x.doc_id for x in kept.collect()), brute_taken(
+        [(x.doc_id, x.doc_id, sources[x.doc_id], x.size) for x in rows], packet=None,
+    )
     assert {i: times[i] * n for i, n in ((x.doc_id, x.size) for x in rows) if n} == {x.doc_id: whole[x.doc_id] for x in rows if x.size}
     assert mixing.apply_mix(table.filter("false")).count() == 0
 
@@ -461,7 +473,9 @@ def brute_components(fps, budget=2):
 def test_trie_links_everything(budget):
     r = np.random.default_rng(budget)
     base = r.integers(0, 2**63, 60, dtype=np.uint64)
-    flips = base[r.integers(60, size=300)] ^ (np.uint64(1) << r.integers(0, 64, 300, dtype=np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 300, dtype=np.uint64))
+    flips = base[r.integers(60, size=300)] ^ (
+        np.uint64(1) << r.integers(0, 64, 300, dtype=np.uint64)
+    ) ^ (np.uint64(1) << r.integers(0, 64, 300, dtype=np.uint64))
     keys = np.unique(np.concatenate([base, flips]))
     i, j = simhash.trie_links(keys, np.zeros(1, np.int64), 0, budget, limit=100, small=20)
     joined = brute_components({k: int(v) for k, v in enumerate(keys)}, budget)
@@ -493,7 +507,9 @@ def test_many_close_fingerprints(spark):
     r = np.random.default_rng(1)
     centre = int(r.integers(2**62))
     fps = {i: centre ^ sum(1 << int(b) for b in r.choice(12, int(r.integers(0, 4)), replace=False)) for i in range(400)}
-    classes = spark.createDataFrame([(f if f < 2**63 else f - 2**64, min(i for i in fps if fps[i] == f)) for f in set(fps.values())], "fp long, rep long")
+    classes = spark.createDataFrame(
+        [(f if f < 2**63 else f - 2**64, min(i for i in fps if fps[i] == f)) for f in set(fps.values())], "fp long, rep long",
+    )
     got = {x.node: x.component for x in simhash.components(simhash.links(classes)).collect()}
     reps = {min(i for i in fps if fps[i] == f): f for f in set(fps.values())}
     want = brute_components(reps)
@@ -647,7 +663,12 @@ def test_entropy_windows():
 def brute_base(text):
     spans = []
     for k, (pattern, ok) in enumerate([
-        (re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 6),
+        (
+            re.compile(
+                r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+            ),
+            lambda m: len(m[2]) >= 6,
+        ),
         (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24),
     ]):
         spans += [(m.start(), k, m.end()) for m in pattern.finditer(text or "") if ok(m)]
@@ -707,7 +728,10 @@ def test_decision_list_is_what_spark_evaluates(spark):
     good = [". ".join(" ".join(f"w{r.integers(9000)}" for _ in range(12)) for _ in range(10)) for _ in range(120)]
     junk = [" ".join(f"w{r.integers(9000)}###" for _ in range(90)) for _ in range(60)]
     table = docs(spark, good + junk + EDGE[:5], kept="x", n_words="y")
-    labels = spark.createDataFrame([(i, int(i < 120), 0) for i in range(180)] + [(9999, 0, 0), (None, 0, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame(
+        [(i, int(i < 120), 0) for i in range(180)] + [(9999, 0, 0), (None, 0, 0), (3, None, 0)],
+        "doc_id long, quality int, toxic int",
+    )
     rules = quality.fit(table, labels)
     assert 1 <= len(rules.rules) <= 2 and "reject if" in str(rules)
     got = {x.doc_id: x for x in quality.judge(table, labels).collect()}
@@ -743,7 +767,11 @@ def test_rare_junk_is_found_beside_noise():
 
 # 10: urls --------------------------------------------------------------------------------------------------------------
 
-URLS = ["http://A.Example.NET/en/1?x#y", "https://example.com/de/", "https://badexample.com/de/", "http://x.org/fr/", "http://x.org/FR/", "http://m.casino-win.example.com", "http://casino-win.example.net/en/", "nothing", "", None, "http://h.net", "http://h.net/a://b/c", "x://[::1]:80/p?q", "http://É.net/", "http://a.net?x=/", "://free-bets.example.org#a"]
+URLS = [
+    "http://A.Example.NET/en/1?x#y", "https://example.com/de/", "https://badexample.com/de/", "http://x.org/fr/",
+    "http://x.org/FR/", "http://m.casino-win.example.com", "http://casino-win.example.net/en/", "nothing", "", None,
+    "http://h.net", "http://h.net/a://b/c", "x://[::1]:80/p?q", "http://É.net/", "http://a.net?x=/", "://free-bets.example.org#a",
+]
 
 
 def brute_url(url):
@@ -756,13 +784,18 @@ def brute_url(url):
     fits = [(len(h + p), h + p, kind) for kind, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     if fits:
         return host, path, max(fits)[1], max(fits)[2]
-    listed = any("-" in label and set(label.split("-")) & set(url_filter.SPAM_WORDS) and re.fullmatch("[a-z0-9]+(-[a-z0-9]+)+", label) for label in host.split("."))
+    listed = any(
+        "-" in label and set(label.split("-")) & set(url_filter.SPAM_WORDS) and re.fullmatch("[a-z0-9]+(-[a-z0-9]+)+", label) for label in host.split(".")
+    )
     return host, path, None, "block" if listed else "allow"
 
 
 @pytest.mark.parametrize("shard_bytes", [url_filter.SHARD_BYTES, 1])
 def test_urls(spark, shard_bytes):
-    table = spark.createDataFrame([(i, u, "h") for i, u in enumerate([*URLS, "http://casino-win.example.com/" + "x" * 50_000])], "page_id long, url string, host string")
+    table = spark.createDataFrame(
+        [(i, u, "h") for i, u in enumerate([*URLS, "http://casino-win.example.com/" + "x" * 50_000])],
+        "page_id long, url string, host string",
+    )
     for rows in (table, table.union(table)):
         got = [(x.page_id, (x.host, x.path, x.rule, x.verdict)) for x in url_filter.judge(rows, shard_bytes=shard_bytes).collect()]
         assert sorted(got, key=str) == sorted(((x.page_id, brute_url(x.url)) for x in rows.collect()), key=str)
@@ -821,13 +854,19 @@ def test_registered_query(spark, real, name):
         for q in (i for i in vectors if i % 100 == 0):
             best = sorted((float(np.sqrt(((v - vectors[q]) ** 2).sum())), i) for i, v in vectors.items() if i != q)[:10]
             own = sorted((x["rank"], x.vec_id, x.score) for x in rows if x.query_id == q)
-            assert [x[:2] for x in own] == [(k, i) for k, (_, i) in enumerate(best, 1)] and np.allclose([x[2] for x in own], [d for d, _ in best], rtol=1e-12)
+            assert [x[:2] for x in own] == [(k, i) for k, (_, i) in enumerate(best, 1)] and np.allclose(
+                [x[2] for x in own], [d for d, _ in best], rtol=1e-12,
+            )
     if name == "op7_simhash":
         fps = {i: brute_fingerprint(x.text) for i, x in given.items()}
         assert {i: x.fingerprint for i, x in by_id.items()} == {i: f"{f:016x}" for i, f in fps.items()}
         assert {i: x.component_id for i, x in by_id.items()} == brute_components(fps)
     if name == "op8_secrets":
-        assert all((x.n_assign, x.n_access, x.n_hex) == tuple(sum(k == kind for _, k, _ in brute_base(given[x.doc_id].text)) for kind in range(3)) for x in rows)
+        assert all(
+            (x.n_assign, x.n_access, x.n_hex) == tuple(
+                sum(k == kind for _, k, _ in brute_base(given[x.doc_id].text)) for kind in range(3)
+            ) for x in rows
+        )
     if name == "op9_quality":
         quality_of = {x.doc_id: x.quality for x in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
         for x in rows:

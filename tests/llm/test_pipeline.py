@@ -61,4 +61,6 @@ def test_stages(spark, tmp_path):
     assert check_pieces([], {}) == (0, 0)
 
     whole = corpus_pipeline.run(spark, DATA)
-    assert Counter((x.doc_id, x.doc_tokens) for x in whole.filter("start = 0").collect()) == Counter((x.doc_id, x.doc_tokens) for x in packed if x.start == 0)
+    assert Counter(
+        (x.doc_id, x.doc_tokens) for x in whole.filter("start = 0").collect()
+    ) == Counter((x.doc_id, x.doc_tokens) for x in packed if x.start == 0)

@@ -28,13 +28,24 @@ def piecewise(texts):
     return [x.tolist() for x in np.split(ids, ends[:-1])] if len(ends) else []
 
 
-@pytest.mark.parametrize("texts", [[], [None], [""], [" "], ["a"], [" a", "a "], ["a  b", "a b", "a\n b", "a \nb"], ["x " * 5000 + "end", None, "", "don't stop <|endoftext|> now"]])
+@pytest.mark.parametrize(
+    "texts",
+    [
+        [], [None], [""], [" "], ["a"], [" a", "a "], ["a  b", "a b", "a\n b", "a \nb"],
+        ["x " * 5000 + "end", None, "", "don't stop <|endoftext|> now"],
+    ],
+)
 def test_cases(texts):
     assert piecewise(texts) == whole(texts)
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.lists(st.tuples(st.sampled_from(WORDS), st.sampled_from(SPACES)), max_size=12).map(lambda x: "".join(w + s for w, s in x)), max_size=6))
+@given(
+    st.lists(
+        st.lists(st.tuples(st.sampled_from(WORDS), st.sampled_from(SPACES)), max_size=12).map(lambda x: "".join(w + s for w, s in x)),
+        max_size=6,
+    )
+)
 def test_mixed_spaces(texts):
     assert piecewise(texts) == whole(texts)
 

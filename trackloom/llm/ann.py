@@ -209,10 +209,15 @@ def usable(vector: Column, size: int) -> Column:
     return vector.isNotNull() & (F.size(vector) == size) & ~F.coalesce(bad, F.lit(True)) & F.exists(vector, lambda x: x != 0)
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 10, shard_nodes: int = SHARD_NODES, query_block: int = QUERY_BLOCK, search_width: int = SEARCH_WIDTH) -> DataFrame:
+def nearest(
+    vectors: DataFrame, queries: Column, k: int = 10, shard_nodes: int = SHARD_NODES, query_block: int = QUERY_BLOCK,
+    search_width: int = SEARCH_WIDTH,
+) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row of `vectors` (vec_id, embedding) for which the
     condition `queries` on vec_id holds, the row itself left out."""
-    found = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).filter("vec_id is not null and size(v) > 0")
+    found = vectors.select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"),
+    ).filter("vec_id is not null and size(v) > 0")
     size = found.select(F.size("v").alias("n")).groupBy("n").count().orderBy(F.desc("count"), "n").first()
     good = found.filter(usable(F.col("v"), size["n"] if size else 0)).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).distinct()
     # A class of equal vectors keeps its k + 1 smallest ids: a query may be one of them. Ranks are cut before the shuffle.
@@ -221,15 +226,25 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, shard_nodes: int =
     asked = written(good.filter(queries).select("vec_id", "v", F.xxhash64("vec_id", "v").alias("query")), "ann-queries")
     shards, blocks = max(1, -(-nodes.count() // shard_nodes)), max(1, -(-asked.count() // query_block))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
-    graphs = written(dealt.groupBy("shard").applyInPandas(_pack_shard, "shard int, dim int, kind string, vectors binary, ids binary, id_ends binary, layers array<binary>, widths array<int>"), "ann-graphs")
-
-    visits = asked.withColumn("block", F.pmod("query", F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    graphs = written(
+        dealt.groupBy("shard").applyInPandas(
+            _pack_shard,
+            "shard int, dim int, kind string, vectors binary, ids binary, id_ends binary, layers array<binary>, widths array<int>",
+        ),
+        "ann-graphs",
+    )
+
+    visits = asked.withColumn("block", F.pmod("query", F.lit(blocks)).cast("int")).withColumn(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))),
+    )
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def visit(_: tuple, graph: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         return _search_shard(graph, asked, k, search_width)
 
-    hits = held.groupBy("shard", "block").cogroup(visits.groupBy("shard", "block")).applyInPandas(visit, "query long, query_id long, vec_id long, score double")
+    hits = held.groupBy("shard", "block").cogroup(visits.groupBy("shard", "block")).applyInPandas(
+        visit, "query long, query_id long, vec_id long, score double",
+    )
     order = Window.partitionBy("query_id", "query").orderBy("score", "vec_id")
     return hits.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

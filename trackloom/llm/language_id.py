@@ -160,7 +160,10 @@ def windows_of(raw: bytes, n: int) -> list[bytes]:
     return [raw[i : i + WINDOW] for i in at.tolist() if raw]
 
 
-def train(windows: list[bytes], labels: list[str], hidden: int = 8, steps: int = 500, batch: int = 192, rate: float = 0.02, seed: int = 5) -> Network | None:
+def train(
+    windows: list[bytes], labels: list[str], hidden: int = 8, steps: int = 500, batch: int = 192, rate: float = 0.02,
+    seed: int = 5,
+) -> Network | None:
     """The network of labelled windows; each step takes as many of every language."""
     languages = sorted(set(labels))
     if not languages:
@@ -192,16 +195,23 @@ def train(windows: list[bytes], labels: list[str], hidden: int = 8, steps: int =
 
 
 def fit(docs: DataFrame, usable: Column | None = None, max_labelled: int = 2000, max_windows: int = 16_384, **how) -> Network | None:
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).filter("doc_id is not null and lang is not null")
+    known = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
+    ).filter("doc_id is not null and lang is not null")
     picked = written(bounded_sample(known if usable is None else known.filter(usable), "doc_id", max_labelled, "lang"), "language-sample")
     per_text = max(1, max_windows // max(1, picked.count()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [windows_of((t or "").encode(), per_text) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), pa.array(found, pa.list_(pa.binary()))], names=["doc_id", "lang", "windows"])
-
-    rows = labelled_texts(docs, picked).select("doc_id", "lang", "text").mapInArrow(cut, "doc_id long, lang string, windows array<binary>").toPandas().sort_values("doc_id")
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("lang"), pa.array(found, pa.list_(pa.binary()))],
+                names=["doc_id", "lang", "windows"],
+            )
+
+    rows = labelled_texts(docs, picked).select("doc_id", "lang", "text").mapInArrow(
+        cut, "doc_id long, lang string, windows array<binary>",
+    ).toPandas().sort_values("doc_id")
     pairs = [(bytes(w), lang) for lang, own in zip(rows["lang"], rows["windows"]) for w in own]
     return train([w for w, _ in pairs], [lang for _, lang in pairs], **how)
 
@@ -224,7 +234,10 @@ def label(docs: DataFrame, net: Network | None) -> DataFrame:
                 score[at], agree[at] = np.clip(pooled[np.arange(len(at)), best], 0, 1), labelled[np.arange(len(at)), best]
                 for i, k in zip(at.tolist(), best.tolist()):
                     lang[i] = net.languages[k]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang), pa.array(score), pa.array([len(t) for t in raw], pa.int64()), pa.array(agree)], names=["doc_id", "lang_pred", "score", "n_positions", "n_agreeing"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array(lang), pa.array(score), pa.array([len(t) for t in raw], pa.int64()), pa.array(agree)],
+                names=["doc_id", "lang_pred", "score", "n_positions", "n_agreeing"],
+            )
 
     return ids_and_texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, n_positions long, n_agreeing long")
 
@@ -233,4 +246,7 @@ def held_out_labels(docs: DataFrame, folds: int = 5, fold: int = 0, max_labelled
     """doc_id, held_out, lang_pred, score, ...: learned without the held-out fold of doc_ids, applied to all."""
     net = fit(docs, crc_bucket(F.col("doc_id"), folds) != fold, max_labelled)
     out = label(docs, net)
-    return out.select("doc_id", F.coalesce(crc_bucket(F.col("doc_id"), folds) == fold, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_positions", "n_agreeing")
+    return out.select(
+        "doc_id", F.coalesce(crc_bucket(F.col("doc_id"), folds) == fold, F.lit(False)).alias("held_out"), "lang_pred", "score",
+        "n_positions", "n_agreeing",
+    )

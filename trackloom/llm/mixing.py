@@ -71,7 +71,10 @@ def _same(a: str, b: str) -> Column:
 def sized(rows: DataFrame) -> DataFrame:
     """rows (rid, doc_id, source, text) -> rid, doc_id, source, size, key: what the queues need; key is the shuffled
     order."""
-    return rows.select("rid", F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), words(F.col("text")).alias("size"), F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"))
+    return rows.select(
+        "rid", F.col("doc_id").alias("doc_id"), F.col("source").alias("source"), words(F.col("text")).alias("size"),
+        F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
+    )
 
 
 def _ranged(df: DataFrame, n_rows: int, order: list[Column | str], tag: str) -> DataFrame:
@@ -90,7 +93,9 @@ def queued(base: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataF
     held = written(ranged.groupBy("source", "range").agg(F.sum("size").alias("held")), "mix-sums")
     goal = targets(held.groupBy("source").agg(F.sum("held").alias("source_size")), weights, max_repeats)
     places = held.withColumn("range_start", F.coalesce(F.sum("held").over(_before("source").orderBy("range")), F.lit(0)))
-    places = places.join(goal.withColumnRenamed("source", "of"), _same("source", "of")).select("of", F.col("range").alias("of_range"), "range_start", "source_size", "target")
+    places = places.join(goal.withColumnRenamed("source", "of"), _same("source", "of")).select(
+        "of", F.col("range").alias("of_range"), "range_start", "source_size", "target",
+    )
     inside = ranged.withColumn("inside", F.coalesce(F.sum("size").over(_before("range", "source").orderBy("key", "doc_id", "size", "rid")), F.lit(0)))
     placed = inside.join(places, (F.col("range") == F.col("of_range")) & _same("source", "of"))
     return placed.select("rid", "doc_id", "source", "size", "source_size", "target", (F.col("range_start") + F.col("inside")).alias("start"))
@@ -120,7 +125,10 @@ def packets(queue: DataFrame, max_repeats: int, packet_words: int | None) -> tup
     else:
         at = passes.select("*", F.explode(F.sequence(F.lit(0), F.floor((size - 1) / packet_words).cast("int"))).alias("place"))
         end = F.least(size, (F.col("place") + 1) * packet_words)
-        cut = at.select("rid", "doc_id", "source", "target", "begin", "pass", "place", (end - F.col("place") * packet_words).alias("words"), end.alias("end"))
+        cut = at.select(
+            "rid", "doc_id", "source", "target", "begin", "pass", "place", (end - F.col("place") * packet_words).alias("words"),
+            end.alias("end"),
+        )
     cut = cut.withColumn("finish", (F.col("begin") + F.col("end")) / F.col("target")).filter(F.col("finish") <= latest).drop("begin", "end", "target")
     cut = written(cut, "mix-packets")
     return _ranged(cut, cut.count(), ["finish", "doc_id", "pass", "place", "rid"], "mix-stream"), budget
@@ -131,8 +139,12 @@ def stream(sent: DataFrame, budget: int) -> DataFrame:
     the packet in which the budget ends is cut there."""
     sums = sent.groupBy(F.col("range").alias("r")).agg(F.sum("words").alias("held"))
     sums = sums.select("r", F.coalesce(F.sum("held").over(_before().orderBy("r")), F.lit(0)).alias("range_start"))
-    inside = sent.withColumn("inside", F.coalesce(F.sum("words").over(_before("range").orderBy("finish", "doc_id", "pass", "place", "rid")), F.lit(0)))
-    placed = inside.join(sums, F.col("range") == F.col("r")).withColumn("mixed_before", F.col("range_start") + F.col("inside")).filter(F.col("mixed_before") < budget)
+    inside = sent.withColumn(
+        "inside", F.coalesce(F.sum("words").over(_before("range").orderBy("finish", "doc_id", "pass", "place", "rid")), F.lit(0)),
+    )
+    placed = inside.join(sums, F.col("range") == F.col("r")).withColumn(
+        "mixed_before", F.col("range_start") + F.col("inside"),
+    ).filter(F.col("mixed_before") < budget)
     return placed.withColumn("words", F.least("words", budget - F.col("mixed_before"))).drop("r", "range_start", "inside", "rid")
 
 
@@ -157,7 +169,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int
     queue = written(queued(written(sized(_numbered(docs)), "mix-sizes"), weights, max_repeats), "mix-queued")
     sent, budget = packets(queue, max_repeats, packet_words)
     found = queue.join(taken(sent, budget).withColumnRenamed("rid", "t"), F.col("rid") == F.col("t"), "left")
-    return stream(sent, budget), found.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return stream(sent, budget), found.select(
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+    )
 
 
 def apply_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:

@@ -107,7 +107,9 @@ class Packer:
         for sequence_id, size, pieces in windows:
             offset = 0
             for length, _, doc_id, start, doc_tokens, ids in pieces:
-                self.rows.append((doc_id, start, length, zlib.crc32(ids.astype("<u4").tobytes()), doc_tokens, sequence_id, offset, size, self.next_step, ids))
+                self.rows.append(
+                    (doc_id, start, length, zlib.crc32(ids.astype("<u4").tobytes()), doc_tokens, sequence_id, offset, size, self.next_step, ids)
+                )
                 offset += length
         self.next_step += bool(windows)
 
@@ -123,7 +125,10 @@ class Packer:
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 0, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS, group_docs: int = 2048, with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, end_id: int = 0, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS,
+    group_docs: int = 2048, with_ids: bool = False,
+) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window (its size),
     step_group and, if asked, ids."""
 

@@ -159,7 +159,10 @@ def _covers(rule: tuple[Condition, ...], x: pd.DataFrame) -> np.ndarray:
     return held
 
 
-def learn(x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions: int = 4, thresholds: int = 48, precision: float = 0.95, chance: float = 1e-3, seed: int = 7) -> DecisionList:
+def learn(
+    x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions: int = 4, thresholds: int = 48, precision: float = 0.95,
+    chance: float = 1e-3, seed: int = 7,
+) -> DecisionList:
     """Sequential covering over statistics x (a column each) and labels `bad`; columns are tried in their order. A rule
     must reach the precision, and on the pruning part be right so often that documents drawn at random would be with a
     probability under `chance`."""
@@ -191,7 +194,9 @@ def learn(x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions:
 
 def _by_chance(right: int, covered: int, share: float) -> float:
     """How probably `right` or more of the covered documents are rejected ones if each is with the share's probability."""
-    return sum(math.comb(covered, k) * share**k * (1 - share) ** (covered - k) for k in range(right, covered + 1)) if covered < 1000 else float(right <= share * covered)
+    return sum(
+        math.comb(covered, k) * share**k * (1 - share) ** (covered - k) for k in range(right, covered + 1)
+    ) if covered < 1000 else float(right <= share * covered)
 
 
 def _grow(x: pd.DataFrame, y: np.ndarray, names: list[str], max_conditions: int, thresholds: int) -> tuple[Condition, ...]:
@@ -238,12 +243,16 @@ def _prune(rule: tuple[Condition, ...], x: pd.DataFrame, y: np.ndarray) -> tuple
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DecisionList:
     """The list learned from labelled documents that pass the base rules."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("quality__")).filter("doc_id is not null and quality__ is not null")
+    known = labels.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("quality__"),
+    ).filter("doc_id is not null and quality__ is not null")
     ids = F.broadcast(bounded_sample(known, "doc_id", max_labelled))  # at most max_labelled ids
     picked = known.join(ids, "doc_id").groupBy("doc_id").agg(F.min("quality__").alias("quality__"))
     rows = labelled_texts(docs, picked).select("quality__", "text")
     rows = with_stats(rows, ["quality__"]).filter(~base_failed())
-    found = rows.select("quality__", *[c.alias(n) for n, c in features().items()]).toPandas().sort_values(["quality__", *BASE], kind="stable", ignore_index=True)
+    found = rows.select(
+        "quality__", *[c.alias(n) for n, c in features().items()],
+    ).toPandas().sort_values(["quality__", *BASE], kind="stable", ignore_index=True)
     bad = found.pop("quality__").to_numpy() == 0
     return learn(found, bad) if bad.any() and not bad.all() else DecisionList()
 
@@ -252,7 +261,10 @@ def judge(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Dat
     """doc_id, the base statistics, base_failed, kept."""
     rules = fit(docs, labels, max_labelled)
     judged = with_stats(ids_and_texts(docs), ["doc_id"])
-    return judged.select("doc_id", *[F.col(f"stats__.{n}").alias(n) for n in BASE], base_failed().alias("base_failed"), (~base_failed() & rules.kept(features())).alias("kept"))
+    return judged.select(
+        "doc_id", *[F.col(f"stats__.{n}").alias(n) for n in BASE], base_failed().alias("base_failed"),
+        (~base_failed() & rules.kept(features())).alias("kept"),
+    )
 
 
 def keep(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> DataFrame:

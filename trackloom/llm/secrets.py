@@ -39,7 +39,10 @@ HEX, HEX_LENGTH = re.compile(r"[0-9a-f]+"), 24
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
 #: (characters of the class, entropy in bits that a window of 20 must reach); the first class that has them all counts.
-CLASSES = (("hex", frozenset("0123456789abcdefABCDEF"), 3.0), ("base36", frozenset("0123456789abcdefghijklmnopqrstuvwxyz"), 3.4), ("base64", None, 3.7))
+CLASSES = (
+    ("hex", frozenset("0123456789abcdefABCDEF"), 3.0), ("base36", frozenset("0123456789abcdefghijklmnopqrstuvwxyz"), 3.4),
+    ("base64", None, 3.7),
+)
 #: Parts that match any of these are no secrets.
 ALLOWED = (re.compile(r"[0-9_=/+-]+\Z"), re.compile(r"(.)\1*\Z"))
 #: Letters only, of one case and of both: words, names and paths seldom reach this entropy.
@@ -135,9 +138,17 @@ def scan(docs: DataFrame) -> DataFrame:
             found = [find(t) if t else [] for t in b.column("text").to_pylist()]
             count = [[sum(k == kind for _, k, _ in spans) for spans in found] for kind in range(4)]
             sha = [hashlib.sha256(joined([s for s in spans if s[1] < 3]).encode()).hexdigest() for spans in found]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(count[k], pa.int64()) for k in range(3)), pa.array(sha), pa.array([joined(s) for s in found]), pa.array(count[3], pa.int64())], names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy"])
-
-    return ids_and_texts(docs).mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("doc_id"), *(pa.array(count[k], pa.int64()) for k in range(3)), pa.array(sha),
+                    pa.array([joined(s) for s in found]), pa.array(count[3], pa.int64()),
+                ],
+                names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_entropy"],
+            )
+
+    return ids_and_texts(docs).mapInArrow(
+        run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long",
+    )
 
 
 def blanked(text: str | None, mark: str) -> str | None:

@@ -92,7 +92,10 @@ def _reorder(fps: np.ndarray, order: list[int]) -> np.ndarray:
     return out
 
 
-def trie_links(keys: np.ndarray, begin: np.ndarray, top: int, budget: int, counted: int = BITS, nodes: np.ndarray | None = None, verify: Callable | None = None, limit: int = 1 << 17, small: int = 1 << 12, forest_only: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def trie_links(
+    keys: np.ndarray, begin: np.ndarray, top: int, budget: int, counted: int = BITS, nodes: np.ndarray | None = None,
+    verify: Callable | None = None, limit: int = 1 << 17, small: int = 1 << 12, forest_only: bool = True,
+) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs of a spanning forest of the links within `budget` inside each group of rows. Groups start at `begin`;
     a group's keys are sorted, distinct and agree on their first `top` bits. Only the first `counted` bits count as
     differing; `verify` may refuse pairs. Rows with one number in `nodes` are one node of the forest. Without
@@ -151,7 +154,10 @@ def trie_links(keys: np.ndarray, begin: np.ndarray, top: int, budget: int, count
         own = (a0 == b0) & (a1 == b1)  # a node with itself: its children with themselves and with each other
         more = err + (depth < counted)
         selves, others = [], []
-        for c0, c1, d0, d1, e, ok in ((a0, a_mid, b0, b_mid, err, True), (a_mid, a1, b_mid, b1, err, True), (a0, a_mid, b_mid, b1, more, True), (a_mid, a1, b0, b_mid, more, ~own)):
+        for c0, c1, d0, d1, e, ok in (
+            (a0, a_mid, b0, b_mid, err, True), (a_mid, a1, b_mid, b1, err, True), (a0, a_mid, b_mid, b1, more, True),
+            (a_mid, a1, b0, b_mid, more, ~own),
+        ):
             same = (c0 == d0) & (c1 == d1)
             ok = ok & (c1 > c0) & (d1 > d0) & (e <= budget)
             selves.append(tuple(x[ok & same & (c1 - c0 > 1)] for x in (depth + 1, c0, c1, d0, d1, e)))
@@ -199,7 +205,13 @@ def links(classes: DataFrame, budget: int = 2) -> DataFrame:
             fps = b.column("fp").to_numpy().view(np.uint64)
             for k, (top, order) in enumerate(made):
                 key = _reorder(fps, order)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), k, np.int32)), pa.array((key >> np.uint64(BITS - top)).view(np.int64)), pa.array(key.view(np.int64)), b.column("rep")], names=["layout", "top", "key", "rep"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(fps), k, np.int32)), pa.array((key >> np.uint64(BITS - top)).view(np.int64)),
+                        pa.array(key.view(np.int64)), b.column("rep"),
+                    ],
+                    names=["layout", "top", "key", "rep"],
+                )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["layout", "top"]):
@@ -276,7 +288,9 @@ def near_groups(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame
 def _of_class(found: DataFrame, classes: DataFrame, reached: DataFrame, key: str) -> DataFrame:
     """found (doc_id, key) with component_id, by way of classes (key, rep, n) and reached (node, component). Keys with a
     thousandth of the rows or more, at most a thousand, are broadcast; the others are joined by a shuffle."""
-    named = classes.join(reached, F.col("rep") == F.col("node"), "left").select(F.col(key).alias("of"), "n", F.coalesce("component", "rep").alias("component_id"))
+    named = classes.join(reached, F.col("rep") == F.col("node"), "left").select(
+        F.col(key).alias("of"), "n", F.coalesce("component", "rep").alias("component_id"),
+    )
     rows = classes.agg(F.sum("n")).first()[0] or 0
     often = F.broadcast(named.filter(F.col("n") >= max(1000, rows / 1000)))
     match = F.col(key) == F.col("of")
@@ -383,7 +397,10 @@ def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only
                 wide = _wide(b.column("wide"))
                 own = [pa.array(w) for w in np.ascontiguousarray(wide[:, : 8 * words]).view(">u8").astype(np.uint64).view(np.int64).T.copy()]
                 for k, tops_ in enumerate(layout_tops(wide, top, layouts)):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.int64(k) << np.int64(top) | tops_), b.column("rep"), b.column("node"), *own], names=["place", "rep", "node", *columns])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.int64(k) << np.int64(top) | tops_), b.column("rep"), b.column("node"), *own],
+                        names=["place", "rep", "node", *columns],
+                    )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ["place"]):
@@ -393,7 +410,10 @@ def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only
             place, rep, node, bits = place[order], rep[order], node[order], bits[order]
             # Equal keys of a group are told apart by bits that don't count.
             keys = (bits[:, 0] & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(place), dtype=np.uint64)
-            i, j = trie_links(keys, starts(place), 0, most_key, KEY_BITS, np.unique(node, return_inverse=True)[1], lambda i, j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most, forest_only=forest_only)
+            i, j = trie_links(
+                keys, starts(place), 0, most_key, KEY_BITS, np.unique(node, return_inverse=True)[1], lambda i,
+                j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most, forest_only=forest_only,
+            )
             ends = [np.unique(rep[np.concatenate([i, j])])] if ends_only else [np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]
             yield pa.RecordBatch.from_arrays([*map(pa.array, ends)], names=["met"] if ends_only else ["a", "b"])
 
@@ -408,7 +428,10 @@ def _shingle_sets(docs: DataFrame, reps: DataFrame, shingle: int) -> DataFrame:
         for b in slices(batches, "text", 4 << 20):
             sets = [shingle_hashes(t, shingle).view(np.int64) for t in b.column("text").to_pylist()]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))], names=["rep", "hashes"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))],
+                names=["rep", "hashes"],
+            )
 
     texts = ids_and_texts(docs).join(reps.hint("shuffle_hash"), F.col("doc_id") == F.col("met"), "left_semi").distinct()
     return written(texts.mapInArrow(run, "rep long, hashes array<long>"), "simhash-sets")
@@ -432,7 +455,10 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 8 << 20):
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([wide_fingerprint(t, shingle) for t in b.column("text").to_pylist()], pa.binary())], names=["doc_id", "wide"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([wide_fingerprint(t, shingle) for t in b.column("text").to_pylist()], pa.binary())],
+                names=["doc_id", "wide"],
+            )
 
     found = written(ids_and_texts(docs).mapInArrow(run, "doc_id long, wide binary"), "simhash-wide")
     classes = written(found.groupBy("wide").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "simhash-wide-classes")

@@ -69,7 +69,9 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def to_file(doc_ids: np.ndarray, counts: np.ndarray, ranks: np.ndarray) -> bytes:
     control, data = pack(ranks)
-    return b"".join([HEAD.pack(MAGIC, len(doc_ids), len(ranks), len(data)), doc_ids.astype("<i8").tobytes(), counts.astype("<u4").tobytes(), control, data])
+    return b"".join(
+        [HEAD.pack(MAGIC, len(doc_ids), len(ranks), len(data)), doc_ids.astype("<i8").tobytes(), counts.astype("<u4").tobytes(), control, data]
+    )
 
 
 def from_file(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,7 +96,13 @@ def tokenised(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
             ids, ends = encoder.encode(b.column("text"))
             own = [x.astype("<u2" if x.max(initial=0) < 1 << 16 else "<u4") for x in np.split(ids, ends[:-1])]
             raw = [(b"2" if x.itemsize == 2 else b"4") + x.tobytes() for x in own]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) for x in own], pa.int64()), pa.array([squeeze.compress(x) for x in raw], pa.binary()), pa.array([zlib.crc32(x) for x in raw], pa.int64())], names=["doc_id", "n", "ids", "tie"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("doc_id"), pa.array([len(x) for x in own], pa.int64()),
+                    pa.array([squeeze.compress(x) for x in raw], pa.binary()), pa.array([zlib.crc32(x) for x in raw], pa.int64()),
+                ],
+                names=["doc_id", "n", "ids", "tie"],
+            )
 
     return ids_and_texts(docs).mapInArrow(run, "doc_id long, n long, ids binary, tie long")
 
@@ -138,7 +146,10 @@ def write(docs: DataFrame, path: str, end_id: int = 0) -> tuple[DataFrame, DataF
 
         def done() -> pa.RecordBatch:
             payload = to_file(np.array(doc_ids, np.int64), np.array([len(x) for x in own]), shared.value[np.concatenate(own)])
-            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([held], pa.int64()), pa.array([payload], pa.binary())], names=["shard", "block", "n_ids", "payload"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([held], pa.int64()), pa.array([payload], pa.binary())],
+                names=["shard", "block", "n_ids", "payload"],
+            )
 
         for b in batches:
             shard = b.column("shard")[0].as_py() if b.num_rows else shard
@@ -153,7 +164,9 @@ def write(docs: DataFrame, path: str, end_id: int = 0) -> tuple[DataFrame, DataF
             yield done()
 
     order = ["doc_id", "n", "tie", "row"]  # the row keeps ranges even where rows repeat
-    ranged = ids.repartitionByRange(1 + total // SHARD_IDS, *order).sortWithinPartitions(*order).select("doc_id", "ids", F.spark_partition_id().alias("shard"))
+    ranged = ids.repartitionByRange(1 + total // SHARD_IDS, *order).sortWithinPartitions(*order).select(
+        "doc_id", "ids", F.spark_partition_id().alias("shard"),
+    )
     return written(ranged.mapInArrow(code, "shard int, block int, n_ids long, payload binary"), "token-blocks"), vocabulary
 
 
@@ -162,10 +175,16 @@ def read(blocks: DataFrame, vocabulary: DataFrame, with_ids: bool = False) -> Da
     spark = blocks.sparkSession
     by_rank = spark.sparkContext.broadcast(vocabulary.toPandas().sort_values("rank")["id"].to_numpy(np.uint32))
     shards = blocks.groupBy(F.col("shard").alias("s")).agg(F.sum("n_ids").alias("held"))
-    shards = shards.select("s", F.coalesce(F.sum("held").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    shards = shards.select(
+        "s",
+        F.coalesce(F.sum("held").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+    )
     inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     heads = blocks.select("shard", "block", "n_ids").withColumn("inside", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
-    heads = heads.join(shards, F.col("shard") == F.col("s")).select(F.col("shard").alias("of_shard"), F.col("block").alias("of_block"), (F.col("before") + F.col("inside")).alias("block_start"))
+    heads = heads.join(shards, F.col("shard") == F.col("s")).select(
+        F.col("shard").alias("of_shard"), F.col("block").alias("of_block"),
+        (F.col("before") + F.col("inside")).alias("block_start"),
+    )
     fields = "doc_id long, n_tokens long, ids_crc32 long, offset long, shard int, block int" + ", ids array<int>" * with_ids
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

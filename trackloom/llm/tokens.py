@@ -103,7 +103,10 @@ class Encoder:
             whole |= True if " " in content else pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         if whole.any():
             at, rest = np.flatnonzero(whole), np.flatnonzero(~whole)
-            return self._merge(len(texts), (at, self._encode_whole(texts.take(pa.array(at)).to_pylist())), (rest, self.encode(texts.take(pa.array(rest)))))
+            return self._merge(
+                len(texts), (at, self._encode_whole(texts.take(pa.array(at)).to_pylist())),
+                (rest, self.encode(texts.take(pa.array(rest)))),
+            )
         lists = pc.split_pattern(texts, " ")
         ends = np.cumsum(lists.value_lengths().to_numpy())
         firsts = np.concatenate([[0], ends[:-1]])
@@ -116,7 +119,10 @@ class Encoder:
             at = np.flatnonzero(unsafe[codes])
             bad = np.unique(np.searchsorted(ends, at, side="right"))
             good = np.setdiff1d(np.arange(len(texts)), bad)
-            return self._merge(len(texts), (good, self.encode(texts.take(pa.array(good)))), (bad, self._encode_lists([_SAFE.split(t) for t in texts.take(pa.array(bad)).to_pylist()])))
+            return self._merge(
+                len(texts), (good, self.encode(texts.take(pa.array(good)))),
+                (bad, self._encode_lists([_SAFE.split(t) for t in texts.take(pa.array(bad)).to_pylist()])),
+            )
         return self._gather(codes, pieces, firsts, ends)
 
     def _encode_whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -121,9 +121,14 @@ def chosen_features(sample: DataFrame, n_pos: int, n_neg: int, max_features: int
             for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 seen[toxic].update({f for w in set(WORD.findall(text.lower())) for f in word_features(w)})
         names = list(seen[0] | seen[1])
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([seen[k][n] for n in names], pa.int64()) for k in (1, 0))], names=["feature", "pos", "neg"])
-
-    found = sample.mapInArrow(count, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), *(pa.array([seen[k][n] for n in names], pa.int64()) for k in (1, 0))],
+            names=["feature", "pos", "neg"],
+        )
+
+    found = sample.mapInArrow(count, "feature string, pos long, neg long").groupBy("feature").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+    )
     pos, neg = F.col("pos"), F.col("neg")
     often = (pos >= 3) & ((pos + 0.1) / (n_pos + 1) >= 4 * (neg + 0.1) / (n_neg + 1))
     rated = found.filter(often).withColumn("gain", gain(pos, neg, n_pos, n_neg)).filter("gain >= 12").orderBy(F.desc("gain"), "feature").limit(max_features)
@@ -150,12 +155,18 @@ def described(sample: DataFrame, features: list[str]) -> DataFrame:
                     n += bool(s) and not found
                 plain.append(n)
                 kept.append(own)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("toxic"), pa.array(plain, pa.int64()), pa.array(kept, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "toxic", "plain", "sentences"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("toxic"), pa.array(plain, pa.int64()), pa.array(kept, pa.list_(pa.list_(pa.int32())))],
+                names=["doc_id", "toxic", "plain", "sentences"],
+            )
 
     return sample.mapInArrow(run, "doc_id long, toxic int, plain long, sentences array<array<int>>")
 
 
-def train(features: list[str], y: np.ndarray, plain: np.ndarray, sentences: list[list[np.ndarray]], rounds: int = 600, rate: float = 0.1, l2: float = 1e-6) -> Model:
+def train(
+    features: list[str], y: np.ndarray, plain: np.ndarray, sentences: list[list[np.ndarray]], rounds: int = 600,
+    rate: float = 0.1, l2: float = 1e-6,
+) -> Model:
     """Maximum likelihood of the noisy-or by Adam on all documents at once. While training it has a leak, one more
     chance per document whatever its sentences: labels that no sentence explains are laid to it and not to the bias,
     which would add up over long documents."""
@@ -184,7 +195,9 @@ def train(features: list[str], y: np.ndarray, plain: np.ndarray, sentences: list
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_labelled: int = 6000, max_features: int = 5000) -> Model:
     """The model of labelled documents; `usable` is a condition on doc_id that says which may be learned from."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
+    known = labels.select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic"),
+    ).filter("doc_id is not null and toxic is not null")
     known = known if usable is None else known.filter(usable)
     ids = F.broadcast(bounded_sample(known, "doc_id", max_labelled))  # at most max_labelled ids
     picked = known.join(ids, "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -209,7 +222,13 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
             texts = b.column("text").to_pylist()
             scores = [model.score(t) for t in texts]
             spots = [[dict(zip(("start", "end", "p"), x)) for x in model.locate(t, threshold)] if s >= threshold else [] for t, s in zip(texts, scores)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(spots, pa.list_(spot))], names=["doc_id", "score", "predicted", "offending"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column("doc_id"), pa.array(scores, pa.float64()),
+                    pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(spots, pa.list_(spot)),
+                ],
+                names=["doc_id", "score", "predicted", "offending"],
+            )
 
     return ids_and_texts(docs).mapInArrow(run, "doc_id long, score double, predicted int, offending array<struct<start: int, end: int, p: double>>")
 
@@ -217,4 +236,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 def held_out_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, max_labelled: int = 6000) -> DataFrame:
     """doc_id, held_out, score, predicted, n_offending: learned without the held-out fold of doc_ids, applied to all."""
     model = fit(docs, labels, crc_bucket(F.col("doc_id"), folds) != fold, max_labelled)
-    return score(docs, model).select("doc_id", F.coalesce(crc_bucket(F.col("doc_id"), folds) == fold, F.lit(False)).alias("held_out"), "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
+    return score(docs, model).select(
+        "doc_id", F.coalesce(crc_bucket(F.col("doc_id"), folds) == fold, F.lit(False)).alias("held_out"), "score", "predicted",
+        F.size("offending").cast("long").alias("n_offending"),
+    )

@@ -52,7 +52,9 @@ def with_host_path(pages: DataFrame) -> DataFrame:
     rest = F.when(at > 0, F.substring(F.col("url"), at + 3, F.length("url"))).otherwise("")
     host = F.regexp_extract(F.col("rest"), "^[^/?#]*", 0)
     path = F.regexp_extract(F.substring(F.col("rest"), F.length("host0") + 1, F.length("rest")), "^[^?#]*", 0)
-    return pages.select("page_id", F.coalesce(rest, F.lit("")).alias("rest")).withColumn("host0", host).select("page_id", F.translate("host0", UPPER, LOWER).alias("host"), path.alias("path"))
+    return pages.select("page_id", F.coalesce(rest, F.lit("")).alias("rest")).withColumn("host0", host).select(
+        "page_id", F.translate("host0", UPPER, LOWER).alias("host"), path.alias("path"),
+    )
 
 
 def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, Column]:
@@ -138,13 +140,18 @@ def build(keys: DataFrame, shards: int = 1, false_positive_rate: float = 0.02) -
         while True:
             k = len(levels)
             so_far = spark.sparkContext.broadcast(list(levels))
-            left = hashed.mapInArrow(lambda b, so_far=so_far, shard=shard: _survivors(b, so_far.value, shard, shards), "h1 long, h2 long, listed boolean")
+            left = hashed.mapInArrow(
+                lambda b, so_far=so_far, shard=shard: _survivors(b, so_far.value, shard, shards),
+                "h1 long, h2 long, listed boolean",
+            )
             mine = left.filter(F.col("listed") == F.lit(k % 2 == 0))
             n = mine.count()
             if not n:
                 break
             m, n_hashes = _level_size(n, k, false_positive_rate)
-            words = mine.mapInArrow(lambda b, k=k, m=m, c=n_hashes: _bit_words(b, k, c, m), "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word"))
+            words = mine.mapInArrow(
+                lambda b, k=k, m=m, c=n_hashes: _bit_words(b, k, c, m), "at long, word long",
+            ).groupBy("at").agg(F.bit_or("word").alias("word"))
             bits = np.zeros(m // 64, np.uint64)
             for row in words.toLocalIterator():
                 bits[row["at"]] = np.uint64(row["word"] & 0xFFFFFFFFFFFFFFFF)
@@ -177,7 +184,9 @@ def _bit_words(batches: Iterator[pa.RecordBatch], level: int, n_hashes: int, m:
 def universe(hosts: DataFrame, listed: DataFrame) -> DataFrame:
     """(key, listed): every host of the corpus and its parents, once."""
     seen = hosts.select("host").distinct().select(F.explode(domains(F.col("host"))).alias("key")).distinct()
-    return seen.join(listed.select(F.col("host").alias("key"), F.lit(True).alias("in_list")).distinct(), "key", "left").select("key", F.coalesce("in_list", F.lit(False)).alias("listed"))
+    return seen.join(
+        listed.select(F.col("host").alias("key"), F.lit(True).alias("in_list")).distinct(), "key", "left",
+    ).select("key", F.coalesce("in_list", F.lit(False)).alias("listed"))
 
 
 def judge(pages: DataFrame, listed: DataFrame | None = None, rules: tuple = RULES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -194,9 +203,15 @@ def judge(pages: DataFrame, listed: DataFrame | None = None, rules: tuple = RULE
             judged = written(judged, "url-judged")
         shared = spark.sparkContext.broadcast(cascade)
         hashed = judged.select("*", *[F.transform(domains(F.col("host")), h).alias(n) for n, h in zip(("h1", "h2"), HASHES)])
-        judged = hashed.mapInArrow(lambda b, shared=shared, shard=shard: _ask(b, shared.value, shard, shards), "page_id long, host string, path string, listed boolean")
+        judged = hashed.mapInArrow(
+            lambda b, shared=shared, shard=shard: _ask(b, shared.value, shard, shards),
+            "page_id long, host string, path string, listed boolean",
+        )
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return judged.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed")
+    return judged.select(
+        "page_id", "host", "path", name.alias("rule"),
+        F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow")).alias("verdict"), "listed",
+    )
 
 
 def _ask(batches: Iterator[pa.RecordBatch], cascade: Cascade, shard: int, shards: int) -> Iterator[pa.RecordBatch]:
@@ -208,7 +223,10 @@ def _ask(batches: Iterator[pa.RecordBatch], cascade: Cascade, shard: int, shards
         hits = np.concatenate([[0], np.cumsum(hit)])
         ends = np.cumsum(b.column("h1").value_lengths().to_numpy())
         any_hit = np.diff(hits[np.concatenate([[0], ends])]) > 0
-        yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("host"), b.column("path"), pa.array(any_hit | b.column("listed").to_numpy(zero_copy_only=False))], names=["page_id", "host", "path", "listed"])
+        yield pa.RecordBatch.from_arrays(
+            [b.column("page_id"), b.column("host"), b.column("path"), pa.array(any_hit | b.column("listed").to_numpy(zero_copy_only=False))],
+            names=["page_id", "host", "path", "listed"],
+        )
 
 
 def _oracle() -> str:
