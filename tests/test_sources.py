@@ -84,7 +84,9 @@ def rewritten(plane, compression=1, predictor=1, tile=None, large=False):
     head = struct.pack("<2sHHHQ", b"II", 43, 8, 0, 0) if large else b"II*\0" + bytes(4)
     at = [len(head) + sum(map(len, blocks[:k])) for k in range(len(blocks) + 1)]
     tags = [(256, [w]), (257, [h]), (258, [plane.dtype.itemsize * 8]), (259, [compression]), (277, [1]), (317, [predictor]), (339, [1])]
-    tags += [(322, [tw]), (323, [th]), (324, at[:-1]), (325, [len(b) for b in blocks])] if tile else [(273, at[:-1]), (278, [h]), (279, [len(b) for b in blocks])]
+    tags += [
+        (322, [tw]), (323, [th]), (324, at[:-1]), (325, [len(b) for b in blocks]),
+    ] if tile else [(273, at[:-1]), (278, [h]), (279, [len(b) for b in blocks])]
     kind, one, many, inline = (16, "Q", "<HHQ", 8) if large else (4, "I", "<HHI", 4)
     extra, entries = b"", b""
     for tag, values in sorted(tags):
@@ -97,7 +99,13 @@ def rewritten(plane, compression=1, predictor=1, tile=None, large=False):
     return head + b"".join(blocks) + extra + struct.pack("<Q" if large else "<H", len(tags)) + entries + struct.pack("<" + one, 0)
 
 
-@pytest.mark.parametrize("how", [{}, {"compression": 5}, {"compression": 32773}, {"predictor": 2}, {"compression": 5, "predictor": 2}, {"tile": (16, 32)}, {"tile": (16, 16), "compression": 5}, {"large": True}, {"large": True, "tile": (32, 16)}])
+@pytest.mark.parametrize(
+    "how",
+    [
+        {}, {"compression": 5}, {"compression": 32773}, {"predictor": 2}, {"compression": 5, "predictor": 2}, {"tile": (16, 32)},
+        {"tile": (16, 16), "compression": 5}, {"large": True}, {"large": True, "tile": (32, 16)},
+    ],
+)
 @pytest.mark.parametrize("kind", ["uint8", "uint16"])
 def test_tiff_codings(how, kind):
     for plane in (np.arange(40 * 50).reshape(40, 50) // 7 % 200, np.random.default_rng(0).integers(0, 200, (120, 90)), np.zeros((30, 30), int)):
@@ -121,15 +129,25 @@ def test_large_stacks(spark, tmp_path):
 
 
 def test_workbook(spark, tmp_path):
-    df = spark.createDataFrame([("a", 2, None, None), ("a", 1, "a & <b>", 2.5), ("b", 3, "x", float("nan"))], "movie string, particle long, `Area std.` string, mitosis double")
+    df = spark.createDataFrame(
+        [("a", 2, None, None), ("a", 1, "a & <b>", 2.5), ("b", 3, "x", float("nan"))],
+        "movie string, particle long, `Area std.` string, mitosis double",
+    )
     name = F.concat(F.lit("exp_A01_s1_inference/"), F.col("movie"), F.lit("_A01_s1_summary.xlsx")).alias("file")
     notes = params.key_values(spark, params.CellParams()).select(F.lit("exp_A01_s1_inference/a_A01_s1_summary.xlsx").alias("file"), "*")
-    sheets.write_workbooks(str(tmp_path), {"Summary": df.select(name, "particle", "`Area std.`", "mitosis"), "parameters": notes}, {"Summary": ["particle"]})
+    sheets.write_workbooks(
+        str(tmp_path), {"Summary": df.select(name, "particle", "`Area std.`", "mitosis"), "parameters": notes},
+        {"Summary": ["particle"]},
+    )
     folder = tmp_path / "exp_A01_s1_inference"
     assert sorted(os.listdir(folder)) == ["a_A01_s1_summary.xlsx", "b_A01_s1_summary.xlsx"]
     content = (folder / "a_A01_s1_summary.xlsx").read_bytes()
-    assert sheets.rows_of(content) == [{"particle": 1.0, "Area std.": "a & <b>", "mitosis": 2.5}, {"particle": 2.0, "Area std.": None, "mitosis": None}]
-    assert {"name": "memory", "value": "1"} in sheets.rows_of(content, "parameters") and sheets.rows_of((folder / "b_A01_s1_summary.xlsx").read_bytes(), "parameters") == []
+    assert sheets.rows_of(content) == [
+        {"particle": 1.0, "Area std.": "a & <b>", "mitosis": 2.5}, {"particle": 2.0, "Area std.": None, "mitosis": None},
+    ]
+    assert {"name": "memory", "value": "1"} in sheets.rows_of(content, "parameters") and sheets.rows_of(
+        (folder / "b_A01_s1_summary.xlsx").read_bytes(), "parameters",
+    ) == []
     got = sheets.read_workbooks(spark, str(tmp_path), "particle long, mitosis double, GFP double").orderBy("particle").collect()
     assert [tuple(r) for r in got] == [("exp_A01_s1_inference", f"{m}_A01_s1_summary.xlsx", n, v, None) for m, n, v in (("a", 1, 2.5), ("a", 2, None), ("b", 3, None))]
 
@@ -144,7 +162,11 @@ def test_workbook_has_a_limit(monkeypatch):
 
 
 def test_discovery(spark, tmp_path):
-    for f in ("exp_A02_s1_inference/exp_A02_s1_instance.tif", "exp_A02_s1_inference/exp_A02_s1_semantic.tif", "exp_A02_s1_GFP.tif", "exp_A02_s1_GFP.tiff", "exp_A02_s1_phs.tif", "Texas Red_background_map.tif", "GFP_intensity.tif", "notes.txt", "exp_B03_s2_inference/exp_B03_s2_instance.tif"):
+    for f in (
+        "exp_A02_s1_inference/exp_A02_s1_instance.tif", "exp_A02_s1_inference/exp_A02_s1_semantic.tif", "exp_A02_s1_GFP.tif",
+        "exp_A02_s1_GFP.tiff", "exp_A02_s1_phs.tif", "Texas Red_background_map.tif", "GFP_intensity.tif", "notes.txt",
+        "exp_B03_s2_inference/exp_B03_s2_instance.tif",
+    ):
         os.makedirs((tmp_path / f).parent, exist_ok=True)
         (tmp_path / f).write_bytes(b"x")  # empty files have no rows
     found = discovery.files(spark, str(tmp_path))
@@ -166,9 +188,14 @@ def test_movie_from_files(spark, tmp_path):
     channel = np.repeat(np.repeat(labels * 10.0 + np.arange(n)[:, None, None], 2, 1), 2, 2)
 
     def rows(stack, name):
-        return pd.DataFrame({"file": name, "frame": range(n), "height": stack.shape[1], "width": stack.shape[2], "pixels": [[float(v) for v in p.reshape(-1)] for p in stack]})
-
-    for name, stack, kind in (("m_A01_s1_instance.tif", labels, "int32"), ("m_A01_s1_semantic.tif", states, "uint8"), ("m_A01_s1_GFP.tif", channel, "float32")):
+        return pd.DataFrame(
+            {"file": name, "frame": range(n), "height": stack.shape[1], "width": stack.shape[2], "pixels": [[float(v) for v in p.reshape(-1)] for p in stack]}
+        )
+
+    for name, stack, kind in (
+        ("m_A01_s1_instance.tif", labels, "int32"), ("m_A01_s1_semantic.tif", states, "uint8"),
+        ("m_A01_s1_GFP.tif", channel, "float32"),
+    ):
         tiff.write_stacks(spark.createDataFrame(rows(stack, name)), str(tmp_path), kind)
     assert sorted(os.listdir(tmp_path)) == ["m_A01_s1_GFP.tif", "m_A01_s1_instance.tif", "m_A01_s1_semantic.tif"]
     planes = tiff.read_stacks(spark, str(tmp_path)).withColumn("movie_id", F.lit("A01_s1")).cache()
@@ -222,10 +249,15 @@ def test_from_a_folder_to_an_experiment_table(spark, tmp_path, read):
     run = folder.analyse(spark, str(tmp_path), read=read or large)
     assert {(r.movie_id, r.stub) for r in run.movies.collect()} == {("exp_A01_s1", "A01_s1"), ("exp_B02_s1", "B02_s1")}
     rows = run.tracks.collect()
-    assert len(rows) == 2 * n and all(r["GFP"] == (103.0 if "B02" in r.movie_id else 100.0) and r["GFP_bkg_corr"] == 8.0 + r.frame and r["GFP_int_corr"] == pytest.approx(1.0) for r in rows)
+    assert len(rows) == 2 * n and all(
+        r["GFP"] == (103.0 if "B02" in r.movie_id else 100.0) and r["GFP_bkg_corr"] == 8.0 + r.frame and r["GFP_int_corr"] == pytest.approx(1.0) for r in rows
+    )
     run.save(str(tmp_path))
     assert {f for _, _, names in os.walk(tmp_path) for f in names if f.endswith("xlsx")} == {f"exp_{w}_s1_{k}.xlsx" for w in ("A01", "B02") for k in ("tracks", "analysis", "summary")}
-    wellmap = spark.createDataFrame([(1, "HeLa", "t", "low", "A01"), (2, "HeLa", "t", "high", "B02, C03")], "nth long, celltype string, transfection string, drug string, well_ids string")
+    wellmap = spark.createDataFrame(
+        [(1, "HeLa", "t", "low", "A01"), (2, "HeLa", "t", "high", "B02, C03")],
+        "nth long, celltype string, transfection string, drug string, well_ids string",
+    )
     table = {r.code: r for r in folder.experiment_table(spark, str(tmp_path), wellmap, n, 10, "nth").collect()}
     assert set(table) == {"HeLa_t_low", "HeLa_t_high"}
     assert {(r.well, r.mito_start, r.mitosis, r["GFP"], r["Cy5"]) for r in table.values()} == {("A01", 2, 50.0, 100.0, None), ("B02", 2, 50.0, 103.0, None)}

@@ -69,7 +69,9 @@ def test_histogram(spark):
 def test_summary_without_channels_and_with(spark):
     rows = smoothing.smooth(tracks(spark, ["I" * 10, "IIIMMMMIII"]))
     assert summarize.summary(rows).columns == ["movie_id", "particle", "track_length", "max_displacement", "mito_start", "cell_area", "mitosis"]
-    with_gfp = rows.withColumn("GFP", F.when(F.col("frame") == 4, None).otherwise(F.col("frame").cast("double"))).withColumn("GFP_bkg_corr", F.lit(0.0)).withColumn("GFP_int_corr", F.lit(0.0))
+    with_gfp = rows.withColumn(
+        "GFP", F.when(F.col("frame") == 4, None).otherwise(F.col("frame").cast("double")),
+    ).withColumn("GFP_bkg_corr", F.lit(0.0)).withColumn("GFP_int_corr", F.lit(0.0))
     (r,) = summarize.summary(with_gfp).collect()
     assert r["GFP"] == pytest.approx((3 + 5 + 6) / 3) and r["GFP_bkg_corr"] == 0 and r["GFP_int_corr"] == 1
     assert r["GFP_area_mean"] == pytest.approx(300 + (3 + 4 + 5 + 6) / 4)
@@ -77,7 +79,10 @@ def test_summary_without_channels_and_with(spark):
 
 def plane(spark, pixels, movie=0, frame=0):
     a = np.asarray(pixels)
-    return spark.createDataFrame([(movie, frame, *a.shape, [float(v) for v in a.reshape(-1)])], "movie_id long, frame long, height int, width int, pixels array<double>")
+    return spark.createDataFrame(
+        [(movie, frame, *a.shape, [float(v) for v in a.reshape(-1)])],
+        "movie_id long, frame long, height int, width int, pixels array<double>",
+    )
 
 
 def test_touching_labels_erode_towards_the_lower(spark):
@@ -226,7 +231,10 @@ def test_link_isolates_a_movie(spark):
 
 
 def test_wellmap(spark):
-    rows = [("HeLa", "plasmidA", "DMSO", "A01,A02"), ("HeLa", "plasmidA", "DMSO", "B01"), ("U2OS", "p", "d", " A01; A02  B03"), ("U2OS", "p", "e", None), ("U2OS", "p", "f", ""), ("U2OS", "p", None, "C01"), ("HeLa", "plasmidA", "DMSO", "A02")]
+    rows = [
+        ("HeLa", "plasmidA", "DMSO", "A01,A02"), ("HeLa", "plasmidA", "DMSO", "B01"), ("U2OS", "p", "d", " A01; A02  B03"),
+        ("U2OS", "p", "e", None), ("U2OS", "p", "f", ""), ("U2OS", "p", None, "C01"), ("HeLa", "plasmidA", "DMSO", "A02"),
+    ]
     table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i long, celltype string, transfection string, drug string, well_ids string")
     got = {tuple(r[:3]): r["wells"] for r in wells.wellmap(table, "i").collect()}
     assert got == {("HeLa", "plasmidA", "DMSO"): ["A01", "A02", "B01"], ("U2OS", "p", "d"): ["A01", "A02", "B03"], ("U2OS", "p", "e"): [], ("U2OS", "p", "f"): []}
@@ -237,8 +245,14 @@ def test_wellmap(spark):
 
 
 def test_import(spark):
-    groups = spark.createDataFrame([("c", "t", "d", ["A01_s1", "B01"]), ("c", "t", "e", ["A01_s1"]), ("c", "t", "f", [])], "celltype string, transfection string, drug string, wells array<string>")
-    rows = spark.createDataFrame([("x_A01_s1_inference", "x_A01_s1_summary.xlsx", s, m) for s, m in ((0, 3.0), (5, 4.0), (5, 5.0))] + [("x_B02_s1_inference", "f", 1, 1.0), ("x_A01_s1_other", "f", 1, 1.0)], "folder string, file string, mito_start long, mitosis double")
+    groups = spark.createDataFrame(
+        [("c", "t", "d", ["A01_s1", "B01"]), ("c", "t", "e", ["A01_s1"]), ("c", "t", "f", [])],
+        "celltype string, transfection string, drug string, wells array<string>",
+    )
+    rows = spark.createDataFrame(
+        [("x_A01_s1_inference", "x_A01_s1_summary.xlsx", s, m) for s, m in ((0, 3.0), (5, 4.0), (5, 5.0))] + [("x_B02_s1_inference", "f", 1, 1.0), ("x_A01_s1_other", "f", 1, 1.0)],
+        "folder string, file string, mito_start long, mitosis double",
+    )
     found = wells.compile_summaries(rows, groups.select(F.explode("wells").alias("well")), "/root")
     assert found.count() == 3 and {r.position for r in found.collect()} == {"s1"}
     got = wells.import_experiment(groups, found, 10, 10.0)
@@ -269,7 +283,10 @@ def test_degenerate_fits(spark):
     rows = [(c, float(x), 2.0 if c == "flat" else 1 + x / (x + 9.0)) for c in ("flat", "curve") for x in range(1, 60)]
     got = {r.code: r for r in dose.fit(spark.createDataFrame(rows, "code string, dose double, response double"), ["code"]).collect()}
     assert got["curve"].status == "converged" and got["flat"].status
-    curve = dose.fitted_curve(dose.fit(spark.createDataFrame(rows, "code string, dose double, response double").filter("code = 'curve'"), ["code"]), 60, ["code"])
+    curve = dose.fitted_curve(
+        dose.fit(spark.createDataFrame(rows, "code string, dose double, response double").filter("code = 'curve'"), ["code"]), 60,
+        ["code"],
+    )
     assert curve.count() == 60
 
 
@@ -288,7 +305,9 @@ def test_params():
 def test_percentiles_equal_numpy(spark, error):
     """With and without brackets, for groups of many ties, of few rows, and of one."""
     r = np.random.default_rng(0)
-    rows = [("many", float(v)) for v in r.normal(size=6000)] + [("ties", float(v)) for v in r.integers(0, 5, 5000)] + [("few", 3.0), ("few", 4.0), ("one", 7.0), ("none", None), (None, 1.0)]
+    rows = [("many", float(v)) for v in r.normal(size=6000)] + [("ties", float(v)) for v in r.integers(0, 5, 5000)] + [
+        ("few", 3.0), ("few", 4.0), ("one", 7.0), ("none", None), (None, 1.0),
+    ]
     table = spark.createDataFrame(rows, "g string, x double")
     fractions = (0.0, 0.025, 0.5, 0.85, 1.0)
     got = {x.g: x.q for x in quantiles.percentiles(table, ["g"], "x", fractions, error).collect()}

@@ -64,7 +64,10 @@ def bin_sizes(binned: DataFrame, n_bins: int) -> DataFrame:
 def bin_stderrs(binned: DataFrame) -> DataFrame:
     """bin and the standard errors of both columns; bins of one row are left out."""
     n = F.count("*")
-    return binned.filter("bin is not null").groupBy("bin").agg((F.stddev_samp("dose") / F.sqrt(n)).alias("dose"), (F.stddev_samp("response") / F.sqrt(n)).alias("response"), n.alias("n")).filter("n > 1").drop("n")
+    return binned.filter("bin is not null").groupBy("bin").agg(
+        (F.stddev_samp("dose") / F.sqrt(n)).alias("dose"), (F.stddev_samp("response") / F.sqrt(n)).alias("response"),
+        n.alias("n"),
+    ).filter("n > 1").drop("n")
 
 
 def subtract_minimum(xy: DataFrame, column: str) -> DataFrame:
@@ -83,7 +86,10 @@ def fit(xy: DataFrame, by: list[str], fractions: tuple[float, ...] = QUANTILES,
     near = F.ceil((F.col("dose") - begin) / size) - 1
     exact = F.when(F.col("dose") <= begin + near * size, near - 1).when(F.col("dose") > begin + (near + 1) * size, near + 1).otherwise(near)
     binned = joined.withColumn("bin", exact).filter((F.col("bin") >= 0) & (F.col("bin") < n_edges - 1))
-    means = binned.groupBy(*by, "bin").agg(F.avg("dose").alias("dose"), F.avg("response").alias("response"), F.first("low").alias("low"), F.first("high").alias("high"))
+    means = binned.groupBy(*by, "bin").agg(
+        F.avg("dose").alias("dose"), F.avg("response").alias("response"), F.first("low").alias("low"),
+        F.first("high").alias("high"),
+    )
     kinds = dict(xy.dtypes)
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
@@ -105,4 +111,6 @@ def plot_limit(xy: DataFrame, fraction: float = 0.99) -> DataFrame:
 def fitted_curve(fits: DataFrame, upper: float, by: list[str]) -> DataFrame:
     """x = 0, 1, ... under `upper` and the fitted curve there, for plots."""
     x = F.explode(F.sequence(F.lit(0), F.lit(max(0, math.ceil(upper) - 1))))
-    return fits.select("*", x.alias("x")).withColumn("x", F.col("x").cast("double")).withColumn("y", hill.hill(F.col("x"), *map(F.col, hill.PARAMETERS))).select(*by, "x", "y")
+    return fits.select("*", x.alias("x")).withColumn("x", F.col("x").cast("double")).withColumn(
+        "y", hill.hill(F.col("x"), *map(F.col, hill.PARAMETERS)),
+    ).select(*by, "x", "y")

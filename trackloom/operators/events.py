@@ -25,7 +25,9 @@ def with_runs(rows: DataFrame, min_width: int = 3) -> DataFrame:
     placed = placed.withColumn("island", F.col("pos") - F.row_number().over(same))
     placed = placed.withColumn("width", F.count("*").over(Window.partitionBy(*TRACK, "semantic_smoothed", "island")))
     before = F.lag("semantic_smoothed").over(Window.partitionBy(*TRACK).orderBy("frame"))
-    return placed.withColumn("counted", F.coalesce((F.col("semantic_smoothed") > 0) & (before == 0), F.lit(False)) & (F.col("width") >= min_width)).drop("island")
+    return placed.withColumn(
+        "counted", F.coalesce((F.col("semantic_smoothed") > 0) & (before == 0), F.lit(False)) & (F.col("width") >= min_width),
+    ).drop("island")
 
 
 def runs(rows: DataFrame, min_width: int = 3) -> DataFrame:

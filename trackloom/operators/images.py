@@ -73,13 +73,17 @@ def _on_planes(planes: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], to
                 pixels = row.column("pixels").flatten().to_numpy(zero_copy_only=False)
                 if len(pixels) == h * w:
                     out = kernel(pixels.reshape(h, w))
-                    row = row.set_column(names.index("height"), "height", pa.array([out.shape[0]], pa.int32())).set_column(names.index("width"), "width", pa.array([out.shape[1]], pa.int32()))
+                    row = row.set_column(
+                        names.index("height"), "height", pa.array([out.shape[0]], pa.int32()),
+                    ).set_column(names.index("width"), "width", pa.array([out.shape[1]], pa.int32()))
                     row = row.set_column(names.index("pixels"), "pixels", pa.array([out.reshape(-1).astype(to.to_pandas_dtype())], pa.list_(to)))
                 rows.append(row)
             if rows:
                 yield pa.concat_batches(rows)
 
-    typed = planes.withColumns({"height": F.col("height").cast("int"), "width": F.col("width").cast("int"), "pixels": F.col("pixels").cast(f"array<{spark_type}>")})
+    typed = planes.withColumns(
+        {"height": F.col("height").cast("int"), "width": F.col("width").cast("int"), "pixels": F.col("pixels").cast(f"array<{spark_type}>")}
+    )
     return typed.mapInArrow(run, typed.schema)
 
 
@@ -113,7 +117,9 @@ def normalised(planes: DataFrame) -> DataFrame:
 def pixels(planes: DataFrame, name: str = "v") -> DataFrame:
     """A row per pixel: r, c and its value."""
     rows = planes.select(*[c for c in planes.columns if c not in ("pixels", "height", "width")], "width", F.posexplode("pixels").alias("at", name))
-    return rows.withColumn("r", F.floor(F.col("at") / F.col("width")).cast("int")).withColumn("c", (F.col("at") % F.col("width")).cast("int")).drop("at", "width")
+    return rows.withColumn(
+        "r", F.floor(F.col("at") / F.col("width")).cast("int"),
+    ).withColumn("c", (F.col("at") % F.col("width")).cast("int")).drop("at", "width")
 
 
 def central_slab(planes: DataFrame) -> DataFrame:
@@ -198,7 +204,10 @@ def projection(planes: DataFrame, kind: str) -> DataFrame:
     size = F.col("height_") * F.col("width_")
     every = planes.groupBy("movie_id").agg(F.max("height").cast("int").alias("height_"), F.max("width").cast("int").alias("width_"))
     joined = every.join(found, "movie_id", "left")
-    return joined.select("movie_id", F.col("height_").alias("height"), F.col("width_").alias("width"), F.coalesce("pixels", F.array_repeat(F.lit(None).cast("double"), size.cast("int"))).alias("pixels"))
+    return joined.select(
+        "movie_id", F.col("height_").alias("height"), F.col("width_").alias("width"),
+        F.coalesce("pixels", F.array_repeat(F.lit(None).cast("double"), size.cast("int"))).alias("pixels"),
+    )
 
 
 def intensity_map(planes: DataFrame, sigma: float = 45.0) -> DataFrame:

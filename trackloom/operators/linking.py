@@ -12,7 +12,10 @@ from trackloom.params import CellParams, mode_or_default
 
 def options(p: CellParams, mode: str | None = None, radius: float | None = None, memory: int | None = None) -> Options:
     """Linking options of a cell type, with anything given here instead."""
-    return Options(p.max_pixel_movement if radius is None else radius, p.memory if memory is None else memory, mode_or_default(mode, p), adaptive_step=p.adaptive_step, adaptive_stop=p.adaptive_stop, span=p.predict_span)
+    return Options(
+        p.max_pixel_movement if radius is None else radius, p.memory if memory is None else memory, mode_or_default(mode, p),
+        adaptive_step=p.adaptive_step, adaptive_stop=p.adaptive_stop, span=p.predict_span,
+    )
 
 
 def link(detections: DataFrame, o: Options) -> DataFrame:
@@ -32,7 +35,9 @@ def link(detections: DataFrame, o: Options) -> DataFrame:
             ids, error = [None] * len(movie), f"movie {movie['movie_id'].iloc[0]}: {e}"
         return movie[["movie_id", "frame", "label"]].assign(particle=pd.array(ids, "Int64"), link_error=error)
 
-    linked = detections.select(*key, "x", "y").groupBy("movie_id").applyInPandas(one, f"movie_id {kind['movie_id']}, frame {kind['frame']}, label {kind['label']}, particle long, link_error string")
+    linked = detections.select(*key, "x", "y").groupBy("movie_id").applyInPandas(
+        one, f"movie_id {kind['movie_id']}, frame {kind['frame']}, label {kind['label']}, particle long, link_error string",
+    )
     joined = detections.join(linked, key)
     return joined.select(*key, "x", "y", *[F.col(f"`{c}`") for c in rest], "particle", "link_error")
 
@@ -49,7 +54,12 @@ def candidates(regions: DataFrame, radius: int) -> DataFrame:
     cell = lambda c: F.floor(F.col(c) / radius)
     now = regions.select("movie_id", "frame", "label", "x", "y", cell("x").alias("cx"), cell("y").alias("cy"))
     near = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    reach = now.select("movie_id", (F.col("frame") + 1).alias("frame"), "label", "x", "y", "cx", "cy", F.explode(near).alias("o")).select("movie_id", "frame", "label", F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("cx") + F.col("o.a")).alias("cx"), (F.col("cy") + F.col("o.b")).alias("cy"))
+    reach = now.select("movie_id", (F.col("frame") + 1).alias("frame"), "label", "x", "y", "cx", "cy", F.explode(near).alias("o")).select(
+        "movie_id", "frame", "label", F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("cx") + F.col("o.a")).alias("cx"),
+        (F.col("cy") + F.col("o.b")).alias("cy"),
+    )
     pairs = reach.join(now.withColumnRenamed("label", "next_label"), ["movie_id", "frame", "cx", "cy"])
     d2 = F.pow(F.col("x") - F.col("x0"), F.lit(2)) + F.pow(F.col("y") - F.col("y0"), F.lit(2))
-    return pairs.withColumn("d2", d2).filter(F.col("d2") <= radius * radius).select("movie_id", (F.col("frame") - 1).alias("frame"), "label", "next_label", F.col("d2").cast("long").alias("d2"))
+    return pairs.withColumn("d2", d2).filter(F.col("d2") <= radius * radius).select(
+        "movie_id", (F.col("frame") - 1).alias("frame"), "label", "next_label", F.col("d2").cast("long").alias("d2"),
+    )

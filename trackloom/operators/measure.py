@@ -27,13 +27,18 @@ def _means(labels: np.ndarray, values: np.ndarray) -> np.ndarray:
         return np.where(any_, total / count, np.nan)
 
 
-def signals(labels: DataFrame, channel: DataFrame, background: DataFrame | None = None, intensity: DataFrame | None = None, scale: int = 2) -> DataFrame:
+def signals(
+    labels: DataFrame, channel: DataFrame, background: DataFrame | None = None, intensity: DataFrame | None = None,
+    scale: int = 2,
+) -> DataFrame:
     """movie_id, frame, label, signal, bkg_corr, int_corr: means of a channel under each label.
 
     A channel pixel (R, C) belongs to the label at (R // scale, C // scale); nothing is magnified. background has a
     plane per frame, intensity one per movie; maps without a movie_id are for all movies, so that such an intensity map
     is one plane. Without a movie's map its factor is 0 or 1. One pass over each plane serves all of its labels."""
-    joined = labels.select(*PLANE, F.col("width").alias("label_width"), F.col("pixels").cast("array<int>").alias("labels")).join(channel.select(*PLANE, "width", F.col("pixels").cast("array<double>").alias("values")), PLANE)
+    joined = labels.select(
+        *PLANE, F.col("width").alias("label_width"), F.col("pixels").cast("array<int>").alias("labels"),
+    ).join(channel.select(*PLANE, "width", F.col("pixels").cast("array<double>").alias("values")), PLANE)
     for maps, name, keys in ((background, "background", PLANE), (intensity, "intensity", ["movie_id"])):
         if maps is None:
             joined = joined.withColumn(name, F.lit(None).cast("array<double>"))
@@ -55,7 +60,9 @@ def signals(labels: DataFrame, channel: DataFrame, background: DataFrame | None
                 yield pd.DataFrame({"movie_id": row.movie_id, "frame": row.frame, "label": found, **columns})
 
     kind = dict(joined.dtypes)
-    measured = joined.select(*PLANE, "label_width", "labels", "width", "values", "background", "intensity").mapInPandas(run, f"movie_id {kind['movie_id']}, frame {kind['frame']}, label int, signal double, bkg_corr double, int_corr double")
+    measured = joined.select(*PLANE, "label_width", "labels", "width", "values", "background", "intensity").mapInPandas(
+        run, f"movie_id {kind['movie_id']}, frame {kind['frame']}, label int, signal double, bkg_corr double, int_corr double",
+    )
     return measured.select(*PLANE, "label", *[F.nullif(F.col(c), F.lit(float("nan"))).alias(c) for c in ("signal", "bkg_corr", "int_corr")])
 
 
@@ -72,6 +79,11 @@ def chosen(tracks: DataFrame, ids: int | list[int] | None = None) -> DataFrame:
 
 def with_channel(tracks: DataFrame, measured: DataFrame, channel: str) -> DataFrame:
     """tracks with the channel's three columns: unmeasured rows have a null signal, background 0 and illumination 1."""
-    names = measured.select(*PLANE, "label", F.col("signal").alias(channel), F.col("bkg_corr").alias("b__"), F.col("int_corr").alias("i__"), F.lit(True).alias("m__"))
+    names = measured.select(
+        *PLANE, "label", F.col("signal").alias(channel), F.col("bkg_corr").alias("b__"), F.col("int_corr").alias("i__"),
+        F.lit(True).alias("m__"),
+    )
     joined = tracks.join(names, [*PLANE, "label"], "left")
-    return joined.withColumn(f"{channel}_bkg_corr", F.when(F.col("m__"), F.col("b__")).otherwise(0.0)).withColumn(f"{channel}_int_corr", F.when(F.col("m__"), F.col("i__")).otherwise(1.0)).drop("b__", "i__", "m__")
+    return joined.withColumn(
+        f"{channel}_bkg_corr", F.when(F.col("m__"), F.col("b__")).otherwise(0.0),
+    ).withColumn(f"{channel}_int_corr", F.when(F.col("m__"), F.col("i__")).otherwise(1.0)).drop("b__", "i__", "m__")

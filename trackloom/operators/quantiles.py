@@ -20,13 +20,18 @@ def percentiles(rows: DataFrame, by: list[str], column: str, fractions: tuple[fl
     values = rows.select(*by, v.alias("v__")).filter("v__ is not null")
     accuracy, v = int(2 / error), F.col("v__")
     at = lambda shift: F.array(*[F.lit(min(1.0, max(0.0, f + shift))) for f in fractions])
-    bounds = values.groupBy(*by).agg(F.count("*").alias("n__"), F.percentile_approx(v, at(-2 * error), accuracy).alias("low__"), F.percentile_approx(v, at(2 * error), accuracy).alias("high__"))
+    bounds = values.groupBy(*by).agg(
+        F.count("*").alias("n__"), F.percentile_approx(v, at(-2 * error), accuracy).alias("low__"),
+        F.percentile_approx(v, at(2 * error), accuracy).alias("high__"),
+    )
     small = F.col("n__") < 10 / error
     edge = lambda name, all_: F.transform(name, lambda x: F.when(small, F.lit(all_)).otherwise(x)).alias(name)
     bounds = bounds.filter("n__ > 0").select(*by, "n__", edge("low__", float("-inf")), edge("high__", float("inf")))
     bracketed = values.join(bounds, by) if by else values.join(F.broadcast(bounds))  # one row if there are no groups
     ks = range(len(fractions))
-    below = bracketed.groupBy(*by).agg(F.array(*[F.count(F.when(v < F.col("low__")[k], 1)) for k in ks]).alias("below__"), F.first("n__").alias("n__"))
+    below = bracketed.groupBy(*by).agg(
+        F.array(*[F.count(F.when(v < F.col("low__")[k], 1)) for k in ks]).alias("below__"), F.first("n__").alias("n__"),
+    )
     inside = F.filter(F.array(*map(F.lit, ks)), lambda k: (v >= F.get("low__", k)) & (v <= F.get("high__", k)))
     counted = bracketed.select(*by, "v__", F.explode(inside).alias("k__")).groupBy(*by, "k__", "v__").agg(F.count("*").alias("c__"))
     counted = counted.withColumn("to__", F.sum("c__").over(Window.partitionBy(*by, "k__").orderBy("v__")))
@@ -34,6 +39,10 @@ def percentiles(rows: DataFrame, by: list[str], column: str, fractions: tuple[fl
     rank = F.element_at(F.array(*map(F.lit, map(float, fractions))), F.col("k__") + 1) * (F.col("n__") - 1)
     end = F.get("below__", F.col("k__")) + F.col("to__")
     value = lambda r: F.max(F.when((r >= end - F.col("c__")) & (r < end), v))
-    found = ranked.withColumn("rank__", rank).groupBy(*by, "k__").agg(F.first("rank__").alias("rank__"), value(F.floor("rank__")).alias("a__"), value(F.ceil("rank__")).alias("b__"))
+    found = ranked.withColumn("rank__", rank).groupBy(*by, "k__").agg(
+        F.first("rank__").alias("rank__"), value(F.floor("rank__")).alias("a__"), value(F.ceil("rank__")).alias("b__"),
+    )
     q = F.col("a__") + (F.col("b__") - F.col("a__")) * (F.col("rank__") - F.floor("rank__"))
-    return found.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("k__", q.alias("q")))), lambda x: x["q"]).alias("q")).filter("size(q) > 0")
+    return found.groupBy(*by).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("k__", q.alias("q")))), lambda x: x["q"]).alias("q")
+    ).filter("size(q) > 0")

@@ -21,7 +21,10 @@ def region_table(labels: DataFrame) -> DataFrame:
     half, apart = (F.col("vr") + F.col("vc")) / 2, F.sqrt(F.pow((F.col("vr") - F.col("vc")) / 2, F.lit(2)) + F.pow("vrc", F.lit(2)))
     large, small = half + apart, F.greatest(half - apart, F.lit(0.0))
     eccentricity = F.when(large > 0, F.sqrt(F.greatest(1 - small / large, F.lit(0.0)))).otherwise(0.0)
-    return sums.select(*PLANE, "label", F.col("mr").cast("int").alias("x"), F.col("mc").cast("int").alias("y"), "area", eccentricity.alias("eccentricity"), *[F.col(f"`bbox-{i}`") for i in range(4)])
+    return sums.select(
+        *PLANE, "label", F.col("mr").cast("int").alias("x"), F.col("mc").cast("int").alias("y"), "area",
+        eccentricity.alias("eccentricity"), *[F.col(f"`bbox-{i}`") for i in range(4)],
+    )
 
 
 def area_filter(regions: DataFrame, min_size: float, max_size: float) -> DataFrame:
@@ -33,4 +36,6 @@ def state_at_centre(regions: DataFrame, states: DataFrame) -> DataFrame:
     """Adds semantic_raw: the state plane's value at (x, y) of the same movie and frame."""
     planes = states.select(*PLANE, "width", F.col("pixels").alias("states"))
     found = regions.join(planes, PLANE)
-    return found.withColumn("semantic_raw", F.try_element_at("states", (F.col("x") * F.col("width") + F.col("y") + 1).cast("int")).cast("long")).drop("states", "width")
+    return found.withColumn(
+        "semantic_raw", F.try_element_at("states", (F.col("x") * F.col("width") + F.col("y") + 1).cast("int")).cast("long"),
+    ).drop("states", "width")

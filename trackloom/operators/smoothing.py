@@ -50,10 +50,15 @@ def _halo(rows: DataFrame, size: int) -> DataFrame:
             gap = gap + F.coalesce(away("length", k).over(by_id), F.lit(0))
     places = lengths.select("movie_id", "particle", F.array(*near).alias("near"))
     own = Window.partitionBy("movie_id", "particle")
-    ranked = rows.withColumn("from_start", F.row_number().over(own.orderBy("frame"))).withColumn("from_end", F.row_number().over(own.orderBy(F.desc("frame"))))
+    ranked = rows.withColumn("from_start", F.row_number().over(own.orderBy("frame"))).withColumn(
+        "from_end", F.row_number().over(own.orderBy(F.desc("frame"))),
+    )
     ranked = ranked.join(places, ["movie_id", "particle"])
     mine = F.array(F.struct(F.col("particle").alias("track"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("gap")))
-    held = F.filter("near", lambda p: p["track"].isNotNull() & (p["gap"] + F.when(p["side"] > 0, F.col("from_start")).otherwise(F.col("from_end")) <= size))
+    held = F.filter(
+        "near",
+        lambda p: p["track"].isNotNull() & (p["gap"] + F.when(p["side"] > 0, F.col("from_start")).otherwise(F.col("from_end")) <= size),
+    )
     return ranked.select("*", F.inline(F.concat(mine, held))).drop("from_start", "from_end", "near", "gap")
 
 
@@ -73,7 +78,9 @@ def smooth(tracks: DataFrame, scope: str = "global", min_track_length: int = 10)
     else:
         # The rows that stay have track = particle; under that name their partitioning serves what follows.
         found = _filtered(_halo(rows, 3), ["movie_id", "track"], ["side", "frame"]).filter("side = 0")
-        found = found.drop("particle", "side").withColumnRenamed("track", "particle").select(*[F.col(f"`{c}`") for c in rows.columns], "semantic", "semantic_smoothed")
+        found = found.drop("particle", "side").withColumnRenamed("track", "particle").select(
+            *[F.col(f"`{c}`") for c in rows.columns], "semantic", "semantic_smoothed",
+        )
     return flag(found.drop("recoded", "dilated"))
 
 

@@ -28,14 +28,20 @@ def channel_stats(rows: DataFrame) -> list[Column]:
     deviation."""
     out = []
     for c in channels_of(rows):
-        for source, name, std, fallback in ((c, c, f"{c}_std", 0.0), (f"{c}_bkg_corr", f"{c}_bkg_corr", f"{c}_bkg_corr_std", 0.0), (f"{c}_int_corr", f"{c}_int_corr", f"{c}_int_corr_std", 1.0), ("area", f"{c}_area_mean", f"{c}_area_std", 1.0)):
+        for source, name, std, fallback in (
+            (c, c, f"{c}_std", 0.0), (f"{c}_bkg_corr", f"{c}_bkg_corr", f"{c}_bkg_corr_std", 0.0),
+            (f"{c}_int_corr", f"{c}_int_corr", f"{c}_int_corr_std", 1.0), ("area", f"{c}_area_mean", f"{c}_area_std", 1.0),
+        ):
             mean, deviation = _stats(F.nullif(F.col(f"`{source}`").cast("double"), F.lit(float("nan"))), fallback)
             out += [mean.alias(name), deviation.alias(std)]
     return out
 
 
 def _stats_of(rows: DataFrame) -> list[Column]:
-    return [F.count("*").alias("track_length"), F.max("displacement").alias("max_displacement"), F.avg("area").alias("cell_area"), F.stddev_samp("area").alias("area_std"), *channel_stats(rows)]
+    return [
+        F.count("*").alias("track_length"), F.max("displacement").alias("max_displacement"), F.avg("area").alias("cell_area"),
+        F.stddev_samp("area").alias("area_std"), *channel_stats(rows),
+    ]
 
 
 def track_stats(rows: DataFrame) -> DataFrame:
@@ -48,7 +54,10 @@ def summary(rows: DataFrame, min_width: int = 3) -> DataFrame:
     come from one aggregation over the tracks."""
     found = events.with_runs(events.displacement(rows.filter("mitotic = 1")), min_width)
     at_event = lambda v: F.max(F.when(F.col("counted"), v))
-    single = found.groupBy(*TRACK).agg(F.count(F.when(F.col("counted"), 1)).alias("n"), at_event(F.col("pos") - 1).alias("mito_start"), at_event(F.col("width").cast("double")).alias("mitosis"), *_stats_of(rows)).filter("n = 1")
+    single = found.groupBy(*TRACK).agg(
+        F.count(F.when(F.col("counted"), 1)).alias("n"), at_event(F.col("pos") - 1).alias("mito_start"),
+        at_event(F.col("width").cast("double")).alias("mitosis"), *_stats_of(rows),
+    ).filter("n = 1")
     first = [*TRACK, "track_length", "max_displacement", "mito_start", "cell_area", "mitosis"]
     return single.select(*first, *[F.col(f"`{n}`") for n in single.columns if n not in (*first, "n", "area_std")])
 

@@ -27,7 +27,9 @@ def wellmap(table: DataFrame, order: str, wells: str = "well_ids") -> DataFrame:
         raise KeyError(f"required columns not found: {', '.join(missing)}")
     is_array = dict(table.dtypes)[wells].startswith("array")
     parsed = table.dropna(subset=GROUP).select(*GROUP, F.col(order).alias("rank__"), parse_wells(F.col(wells), is_array).alias("w__"))
-    first = parsed.select(*GROUP, "rank__", F.posexplode_outer("w__").alias("at__", "well")).groupBy(*GROUP, "well").agg(F.min(F.struct("rank__", "at__")).alias("first__"))
+    first = parsed.select(
+        *GROUP, "rank__", F.posexplode_outer("w__").alias("at__", "well"),
+    ).groupBy(*GROUP, "well").agg(F.min(F.struct("rank__", "at__")).alias("first__"))
     listed = first.groupBy(*GROUP).agg(F.sort_array(F.collect_list(F.when(F.col("well").isNotNull(), F.struct("first__", "well")))).alias("l__"))
     return listed.select(*GROUP, F.transform("l__", lambda s: s["well"]).alias("wells"))
 
@@ -46,7 +48,9 @@ def well_parts(folder: Column) -> Column:
     these is an equi join, where `contains` would pair all wells with all folders."""
     tokens = F.split(folder, "_")
     inner = F.sequence(F.lit(1), F.size(tokens) - 2)
-    runs = F.flatten(F.transform(inner, lambda i: F.transform(F.sequence(i, F.size(tokens) - 2), lambda j: F.array_join(F.slice(tokens, i + 1, j - i + 1), "_"))))
+    runs = F.flatten(
+        F.transform(inner, lambda i: F.transform(F.sequence(i, F.size(tokens) - 2), lambda j: F.array_join(F.slice(tokens, i + 1, j - i + 1), "_")))
+    )
     return F.when((F.size(tokens) > 2) & folder.endswith("_inference"), F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 

@@ -56,7 +56,10 @@ def for_cell_type(cell_type: str = "hela") -> CellParams:
 def as_table(spark: SparkSession) -> DataFrame:
     """A row per cell type."""
     rows = [for_cell_type(c) for c in _OVERRIDES]
-    return spark.createDataFrame([(p.cell_type, p.min_cell_size, p.max_cell_size, p.max_pixel_movement, p.memory, p.min_track_length, p.track_mode) for p in rows], "cell_type string, min_size int, max_size int, radius int, memory int, min_length int, mode string")
+    return spark.createDataFrame(
+        [(p.cell_type, p.min_cell_size, p.max_cell_size, p.max_pixel_movement, p.memory, p.min_track_length, p.track_mode) for p in rows],
+        "cell_type string, min_size int, max_size int, radius int, memory int, min_length int, mode string",
+    )
 
 
 def key_values(spark: SparkSession, p: CellParams) -> DataFrame:

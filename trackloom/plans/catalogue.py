@@ -145,8 +145,15 @@ def _stat_sql(source: str, name: str, std: str, fallback: int) -> str:
     return f'round(CASE WHEN {zero} THEN {fallback} ELSE avg({inside}) END, 6) AS "{name}", round(CASE WHEN {zero} THEN 0 ELSE stddev_pop({inside}) END, 6) AS "{std}"'
 
 
-CHANNEL_SQL = ", ".join(_stat_sql(*x) for c in params.CHANNELS for x in ((c, c, f"{c}_std", 0), (f"{c}_bkg_corr", f"{c}_bkg_corr", f"{c}_bkg_corr_std", 0), (f"{c}_int_corr", f"{c}_int_corr", f"{c}_int_corr_std", 1), ("area", f"{c}_area_mean", f"{c}_area_std", 1)))
-CHANNEL_NAMES = [f"{c}{s}" for c in params.CHANNELS for s in ("", "_std", "_bkg_corr", "_bkg_corr_std", "_int_corr", "_int_corr_std", "_area_mean", "_area_std")]
+CHANNEL_SQL = ", ".join(
+    _stat_sql(*x) for c in params.CHANNELS for x in (
+        (c, c, f"{c}_std", 0), (f"{c}_bkg_corr", f"{c}_bkg_corr", f"{c}_bkg_corr_std", 0),
+        (f"{c}_int_corr", f"{c}_int_corr", f"{c}_int_corr_std", 1), ("area", f"{c}_area_mean", f"{c}_area_std", 1),
+    )
+)
+CHANNEL_NAMES = [
+    f"{c}{s}" for c in params.CHANNELS for s in ("", "_std", "_bkg_corr", "_bkg_corr_std", "_int_corr", "_int_corr_std", "_area_mean", "_area_std")
+]
 STATS = f"""{views.RUNS}, moved AS (SELECT *, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS step FROM smooth WHERE mitotic = 1 WINDOW
 w AS (PARTITION BY movie_id, particle ORDER BY frame)),
 stats AS (SELECT movie_id, particle, count(*) AS track_length, round(max(step), 6) AS max_displacement, round(avg(area), 6) AS cell_area, round(stddev_samp(area), 6) AS area_std, {CHANNEL_SQL}
@@ -196,7 +203,10 @@ SELECT movie_id, frame, label, x, y, area, round(eccentricity, 6) AS eccentricit
 )
 def region_props(spark: SparkSession, d: str) -> DataFrame:
     found = regions.region_table(views.labels(spark, d))
-    return rounded(found, "eccentricity").select(*PLANE, "label", *longs("x", "y"), "area", "eccentricity", *[F.col(f"`bbox-{i}`").cast("long").alias(f"bbox-{i}") for i in range(4)])
+    return rounded(found, "eccentricity").select(
+        *PLANE, "label", *longs("x", "y"), "area", "eccentricity",
+        *[F.col(f"`bbox-{i}`").cast("long").alias(f"bbox-{i}") for i in range(4)],
+    )
 
 
 def _pixel_rows(df: DataFrame, name: str, kind: str = "double") -> DataFrame:
@@ -246,7 +256,9 @@ JOIN slab s ON p.movie_id = s.movie_id AND frame >= centre - centre // 2 AND fra
 
 
 def _slab(kind: str) -> Query:
-    return lambda spark, d: rounded(images.pixels(images.projection(views.planes(spark, d), kind)).select("movie_id", *longs("r", "c"), "v"), "v", digits=9)
+    return lambda spark, d: rounded(
+        images.pixels(images.projection(views.planes(spark, d), kind)).select("movie_id", *longs("r", "c"), "v"), "v", digits=9,
+    )
 
 
 for _kind, _f in (("max", "max"), ("min", "min"), ("average", "avg")):
@@ -428,9 +440,14 @@ FROM (SELECT DISTINCT l_returnflag AS code FROM lineitem)
 )
 def hill_fit(spark: SparkSession, d: str) -> DataFrame:
     """Responses on known curves give the curves' parameters."""
-    xy = views.exact_dose(spark, d).select("dose", hill.hill(F.col("dose"), F.lit(4.0), F.col("high"), F.lit(3.0), F.lit(18.0)).alias("response"), "code")
+    xy = views.exact_dose(spark, d).select(
+        "dose", hill.hill(F.col("dose"), F.lit(4.0), F.col("high"), F.lit(3.0), F.lit(18.0)).alias("response"), "code",
+    )
     found = dose.fit(dose.complete(xy), ["code"])
-    return rounded(found, *hill.PARAMETERS, digits=3).select("code", *[F.col(a).alias(b) for a, b in zip(hill.PARAMETERS, ("min_duration", "max_duration", "hill_exponent", "ec50"))], "status")
+    return rounded(found, *hill.PARAMETERS, digits=3).select(
+        "code", *[F.col(a).alias(b) for a, b in zip(hill.PARAMETERS, ("min_duration", "max_duration", "hill_exponent", "ec50"))],
+        "status",
+    )
 
 
 @query()
@@ -448,7 +465,9 @@ def plot_limit(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {views.WELLMAP} SELECT * FROM wellmap")
 def wellmap(spark: SparkSession, d: str) -> DataFrame:
-    return wells.wellmap(views.wellmap(spark, d), order="p_partkey").select(*wells.GROUP, F.array_join("wells", ",").alias("wells"), F.size("wells").cast("long").alias("n_wells"))
+    return wells.wellmap(views.wellmap(spark, d), order="p_partkey").select(
+        *wells.GROUP, F.array_join("wells", ",").alias("wells"), F.size("wells").cast("long").alias("n_wells"),
+    )
 
 
 STUB_SQL, POSITION_SQL = "[A-H]([1-9]|[0][1-9]|[1][0-2])_s(\\d{2}|\\d{1})", "_(\\w\\d+)_(\\w\\d+)_"
@@ -463,7 +482,9 @@ FROM names
 )
 def name_parse(spark: SparkSession, d: str) -> DataFrame:
     file = F.col("file")
-    return views.names(spark, d).select("id", names.stub(file).alias("stub"), names.prefix(file).alias("prefix"), names.position(file).alias("position"))
+    return views.names(spark, d).select(
+        "id", names.stub(file).alias("stub"), names.prefix(file).alias("prefix"), names.position(file).alias("position"),
+    )
 
 
 @query(
@@ -477,7 +498,10 @@ FROM names
 )
 def channel_classify(spark: SparkSession, d: str) -> DataFrame:
     image = F.col("image")
-    return views.names(spark, d).select("id", names.channel(image).alias("channel"), names.correction_map(image).alias("correction_map"), names.mask_role(image).alias("role"))
+    return views.names(spark, d).select(
+        "id", names.channel(image).alias("channel"), names.correction_map(image).alias("correction_map"),
+        names.mask_role(image).alias("role"),
+    )
 
 
 @query(
@@ -489,7 +513,9 @@ ON contains(n.folder, '_' || l.well || '_') AND ends_with(n.folder, '_inference'
 )
 def well_folders(spark: SparkSession, d: str) -> DataFrame:
     rows = views.names(spark, d)
-    return wells.compile_summaries(rows.select("id", "folder", "file"), rows.filter("id % 50 = 0").select("well"), "/data").select("id", "well", "position", "storage_location")
+    return wells.compile_summaries(
+        rows.select("id", "folder", "file"), rows.filter("id % 50 = 0").select("well"), "/data",
+    ).select("id", "well", "position", "storage_location")
 
 
 @query(

@@ -12,7 +12,10 @@ from trackloom.params import CellParams
 from trackloom.sources import sheets
 
 
-def track(labels: DataFrame, states: DataFrame, p: CellParams, mode: str | None = None, radius: float | None = None, memory: int | None = None, scope: str = "global") -> DataFrame:
+def track(
+    labels: DataFrame, states: DataFrame, p: CellParams, mode: str | None = None, radius: float | None = None,
+    memory: int | None = None, scope: str = "global",
+) -> DataFrame:
     """Label and state planes -> tracks: regions of fit size are linked, short tracks go, states are read at the
     centres and smoothed. Regions come from the labels as they are; erosion is for measuring alone."""
     found = regions.area_filter(regions.region_table(labels), p.min_cell_size, p.max_cell_size)
@@ -21,7 +24,10 @@ def track(labels: DataFrame, states: DataFrame, p: CellParams, mode: str | None
     return smoothing.smooth(regions.state_at_centre(kept, states), scope, p.min_track_length)
 
 
-def measure_channel(tracks: DataFrame, labels: DataFrame, channel: DataFrame, name: str, p: CellParams, background: DataFrame | None = None, intensity: DataFrame | None = None, ids: int | list[int] | None = None) -> DataFrame:
+def measure_channel(
+    tracks: DataFrame, labels: DataFrame, channel: DataFrame, name: str, p: CellParams, background: DataFrame | None = None,
+    intensity: DataFrame | None = None, ids: int | list[int] | None = None,
+) -> DataFrame:
     """tracks with the channel's signal and factors under eroded masks, for mitotic tracks or the given ones."""
     rows = measure.chosen(tracks, ids).select("movie_id", "frame", "label").distinct()
     wanted = labels.join(rows.select("movie_id", "frame").distinct(), images.PLANE, "left_semi")
@@ -40,7 +46,9 @@ def summary(tracks: DataFrame, p: CellParams) -> DataFrame:
 
 def display_frames(tracks: DataFrame) -> DataFrame:
     """What a viewer needs of tracks: particle, frame, x, y, ordered."""
-    return tracks.select("movie_id", "particle", "frame", "x", "y", F.col("semantic_smoothed").alias("state")).orderBy("movie_id", "particle", "frame")
+    return tracks.select(
+        "movie_id", "particle", "frame", "x", "y", F.col("semantic_smoothed").alias("state"),
+    ).orderBy("movie_id", "particle", "frame")
 
 
 def save_tracks(tracks: DataFrame, folder: str) -> None:
@@ -60,7 +68,10 @@ def save_summary(tracks: DataFrame, files: DataFrame, p: CellParams, folder: str
     beside the histogram of events)."""
     quality = summarize.quality_sheet(*summarize.quality(tracks, p.min_mitotic_frames))
     parts = {"Summary": summary(tracks, p), "file_data": key_values(files), "parameters": _parameters(files, p), "quality": quality}
-    sheets.write_workbooks(folder, {k: _file(v, "summary") for k, v in parts.items()}, {"Summary": ["particle"], "parameters": ["name"], "quality": ["row"]})
+    sheets.write_workbooks(
+        folder, {k: _file(v, "summary") for k, v in parts.items()},
+        {"Summary": ["particle"], "parameters": ["name"], "quality": ["row"]},
+    )
 
 
 def _file(rows: DataFrame, kind: str) -> DataFrame:

@@ -39,12 +39,18 @@ class Run:
         experiment.save_summary(named, files, self.p, root)
 
 
-def analyse(spark: SparkSession, root: str, cell_type: str = "hela", mode: str | None = None, radius: float | None = None, memory: int | None = None, channels: tuple[str, ...] = CHANNELS, read: Reader = tiff.read_stacks) -> Run:
+def analyse(
+    spark: SparkSession, root: str, cell_type: str = "hela", mode: str | None = None, radius: float | None = None,
+    memory: int | None = None, channels: tuple[str, ...] = CHANNELS, read: Reader = tiff.read_stacks,
+) -> Run:
     """Every movie below root: an _inference folder with instance and semantic masks, channel images of the same stub,
     and the correction maps that apply to all movies. Channels without images are not measured."""
     p = params.for_cell_type(cell_type)
     found = discovery.files(spark, root)
-    movies = discovery.movies(found).select(F.concat("prefix", "stub").alias("movie_id"), "stub", "prefix", "instance", "semantic", F.regexp_replace("instance", "/[^/]*$", "").alias("home"))
+    movies = discovery.movies(found).select(
+        F.concat("prefix", "stub").alias("movie_id"), "stub", "prefix", "instance", "semantic",
+        F.regexp_replace("instance", "/[^/]*$", "").alias("home"),
+    )
 
     def planes(pattern: str, files: DataFrame) -> DataFrame:
         return read(spark, root, pattern).join(files, "path").drop("path")
@@ -55,7 +61,9 @@ def analyse(spark: SparkSession, root: str, cell_type: str = "hela", mode: str |
     for channel in channels:
         files = discovery.channels(found).filter(F.col("channel") == channel).join(movies.select("movie_id", "stub"), "stub").select("movie_id", "path")
         if not files.isEmpty():
-            background, intensity = (read(spark, maps[m], "*").drop("path") if (m := f"{channel}_{kind}_map") in maps else None for kind in ("background", "intensity"))
+            background, intensity = (
+                read(spark, maps[m], "*").drop("path") if (m := f"{channel}_{kind}_map") in maps else None for kind in ("background", "intensity")
+            )
             intensity = intensity.drop("frame") if intensity is not None else None
             tracks = experiment.measure_channel(tracks, labels, planes(f"*{channel}*.{{tif,tiff}}", files), channel, p, background, intensity)
     return Run(movies, tracks, p)
@@ -78,10 +86,17 @@ def create_correction_maps(spark: SparkSession, sources: dict[str, str], p: Cell
     return kept
 
 
-def experiment_table(spark: SparkSession, root: str, wellmap: DataFrame, expt_length: int, delta_t: float, order: str, channels: tuple[str, ...] = CHANNELS) -> DataFrame:
+def experiment_table(
+    spark: SparkSession, root: str, wellmap: DataFrame, expt_length: int, delta_t: float, order: str,
+    channels: tuple[str, ...] = CHANNELS,
+) -> DataFrame:
     """The filtered rows of all saved summaries below root, with well, position, storage_location and the code of each
     group of the well map that has the well. order: the column that numbers the well map's rows."""
-    more = ", ".join(f"`{c}{s}` double" for c in channels for s in ("", "_std", "_bkg_corr", "_bkg_corr_std", "_int_corr", "_int_corr_std", "_area_mean", "_area_std"))
+    more = ", ".join(
+        f"`{c}{s}` double" for c in channels for s in (
+            "", "_std", "_bkg_corr", "_bkg_corr_std", "_int_corr", "_int_corr_std", "_area_mean", "_area_std",
+        )
+    )
     groups = wells.wellmap(wellmap, order)
     rows = sheets.read_workbooks(spark, root, f"{schemas.SUMMARY}, {more}")
     compiled = wells.compile_summaries(rows, groups.select(F.explode("wells").alias("well")), root)

@@ -64,7 +64,10 @@ SIDE = 8
 
 def planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A plane per vector, ten to a movie; pixels are the components."""
-    return table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("movie_id"), (F.col("vec_id") % 10).alias("frame"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"), F.col("embedding").cast("array<double>").alias("pixels"))
+    return table(spark, sf_dir, "embeddings").select(
+        F.floor(F.col("vec_id") / 10).alias("movie_id"), (F.col("vec_id") % 10).alias("frame"), F.lit(SIDE).alias("height"),
+        F.lit(SIDE).alias("width"), F.col("embedding").cast("array<double>").alias("pixels"),
+    )
 
 
 def channel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +87,9 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
 def small_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels at every other row and column, so that a channel plane has twice their size."""
     at = F.array(*[F.lit(2 * SIDE * r + 2 * c + 1) for r in range(SIDE // 2) for c in range(SIDE // 2)])
-    return labels(spark, sf_dir).withColumn("pixels", F.transform(at, lambda i: F.element_at("pixels", i))).withColumn("height", F.lit(SIDE // 2)).withColumn("width", F.lit(SIDE // 2))
+    return labels(spark, sf_dir).withColumn(
+        "pixels", F.transform(at, lambda i: F.element_at("pixels", i)),
+    ).withColumn("height", F.lit(SIDE // 2)).withColumn("width", F.lit(SIDE // 2))
 
 
 PIXELS = """pixels AS (
@@ -102,14 +107,20 @@ regions AS (SELECT movie_id, frame, label, CAST(trunc(mr) AS BIGINT) AS x, CAST(
 
 
 def dose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(F.col("l_quantity").alias("dose"), (F.col("l_extendedprice") / 1000).alias("response"), F.col("l_returnflag").alias("code"))
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_quantity").alias("dose"), (F.col("l_extendedprice") / 1000).alias("response"),
+        F.col("l_returnflag").alias("code"),
+    )
 
 
 DOSE = "dose AS (SELECT CAST(l_quantity AS DOUBLE) AS dose, l_extendedprice / 1000 AS response, l_returnflag AS code FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL)"
 
 
 def wellmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(F.col("p_brand").alias("celltype"), F.col("p_type").alias("transfection"), F.concat(F.lit("d"), (F.col("p_size") % 3).cast("string")).alias("drug"), F.col("p_name").alias("well_ids"), "p_partkey")
+    return table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("celltype"), F.col("p_type").alias("transfection"),
+        F.concat(F.lit("d"), (F.col("p_size") % 3).cast("string")).alias("drug"), F.col("p_name").alias("well_ids"), "p_partkey",
+    )
 
 
 WELLMAP = r"""wells AS (
@@ -126,9 +137,14 @@ def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     well = F.concat(row, F.lpad((key % 14).cast("string"), 2, "0"))
     site = F.concat(F.lit("s"), (key % 120).cast("string"))
     dated = F.when(key % 7 == 0, F.lit("exp_20240101")).otherwise(F.lit("exp"))
-    kind = F.element_at(F.array(*[F.lit(x) for x in ("GFP", "Texas Red", "Cy5", "phs", "GFP_background", "Cy5_intensity", "instance", "other")]), (F.floor(key / 8) % 8 + 1).cast("int"))
+    kind = F.element_at(
+        F.array(*[F.lit(x) for x in ("GFP", "Texas Red", "Cy5", "phs", "GFP_background", "Cy5_intensity", "instance", "other")]),
+        (F.floor(key / 8) % 8 + 1).cast("int"),
+    )
     return table(spark, sf_dir, "customer").select(
-        key.alias("id"), F.concat_ws("_", dated, well, site, F.lit("summary.xlsx")).alias("file"), F.concat_ws("_", dated, well, site, F.concat(kind, F.when(key % 3 == 0, ".tiff").otherwise(".tif"))).alias("image"),
+        key.alias("id"), F.concat_ws("_", dated, well, site, F.lit("summary.xlsx")).alias("file"), F.concat_ws(
+            "_", dated, well, site, F.concat(kind, F.when(key % 3 == 0, ".tiff").otherwise(".tif")),
+        ).alias("image"),
         F.concat_ws("_", dated, well, site, F.lit("inference")).alias("folder"), well.alias("well"),
     )
 
@@ -144,7 +160,10 @@ def drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six points a plane, 100 apart, that move by a pixel or two from frame to frame and are missing now and then."""
     e = F.col("embedding")
     point = lambda j: F.struct(F.lit(j).alias("label"), (100 * j + 4 * e[j]).alias("x"), (4 * e[j + 8]).alias("y"), (e[j + 16] > 0.1).alias("missing"))
-    points = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("movie_id"), (F.col("vec_id") % 10).alias("frame"), F.inline(F.array(*map(point, range(6)))))
+    points = table(spark, sf_dir, "embeddings").select(
+        F.floor(F.col("vec_id") / 10).alias("movie_id"), (F.col("vec_id") % 10).alias("frame"),
+        F.inline(F.array(*map(point, range(6)))),
+    )
     return points.filter("not missing").drop("missing")
 
 

@@ -19,7 +19,10 @@ def classified(found: DataFrame) -> DataFrame:
     file = F.col("file")
     image = file.endswith(".tif") | file.endswith(".tiff")
     kind = names.correction_map(file)
-    return found.select("*", names.stub(file).alias("stub"), names.prefix(file).alias("prefix"), names.mask_role(file).alias("role"), F.when(image & kind.isNull(), names.channel(file)).alias("channel"), kind.alias("correction_map"))
+    return found.select(
+        "*", names.stub(file).alias("stub"), names.prefix(file).alias("prefix"), names.mask_role(file).alias("role"),
+        F.when(image & kind.isNull(), names.channel(file)).alias("channel"), kind.alias("correction_map"),
+    )
 
 
 def inference_folders(found: DataFrame) -> DataFrame:
@@ -29,7 +32,9 @@ def inference_folders(found: DataFrame) -> DataFrame:
 def movies(found: DataFrame) -> DataFrame:
     """stub, prefix, instance, semantic: the first file by path of each role; movies that lack one are left out."""
     of_role = lambda r: F.min(F.when(F.col("role") == r, F.col("path"))).alias(r)
-    return found.filter(names.is_inference(F.col("folder")) & (F.col("stub") != "")).groupBy("stub", "prefix").agg(of_role("instance"), of_role("semantic")).dropna()
+    return found.filter(
+        names.is_inference(F.col("folder")) & (F.col("stub") != "")
+    ).groupBy("stub", "prefix").agg(of_role("instance"), of_role("semantic")).dropna()
 
 
 def channels(found: DataFrame) -> DataFrame:

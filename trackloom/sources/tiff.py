@@ -164,7 +164,11 @@ def encode(planes: list[np.ndarray], compress: bool = True) -> bytes:
         data_at = len(out)
         out += data + bytes(len(data) % 2)
         kind = next(k for k, v in KINDS.items() if v == plane.dtype.kind)
-        fields = [(WIDTH, 4, plane.shape[1]), (HEIGHT, 4, plane.shape[0]), (BITS, 3, plane.dtype.itemsize * 8), (COMPRESSION, 3, DEFLATE[0] if compress else NO_COMPRESSION), (PHOTOMETRIC, 3, 1), (OFFSETS, 4, data_at), (SAMPLES, 3, 1), (ROWS, 4, plane.shape[0]), (COUNTS, 4, len(data)), (FORMAT, 3, kind)]
+        fields = [
+            (WIDTH, 4, plane.shape[1]), (HEIGHT, 4, plane.shape[0]), (BITS, 3, plane.dtype.itemsize * 8),
+            (COMPRESSION, 3, DEFLATE[0] if compress else NO_COMPRESSION), (PHOTOMETRIC, 3, 1), (OFFSETS, 4, data_at),
+            (SAMPLES, 3, 1), (ROWS, 4, plane.shape[0]), (COUNTS, 4, len(data)), (FORMAT, 3, kind),
+        ]
         struct.pack_into("<I", out, link, len(out))
         out += struct.pack("<H", len(fields)) + b"".join(struct.pack("<HHII", tag, t, 1, v) for tag, t, v in sorted(fields))
         link = len(out)
@@ -181,7 +185,9 @@ def read_stacks(spark: SparkSession, path: str | list[str], pattern: str = "*.{t
             for file, content in zip(rows["path"], rows["content"]):
                 try:
                     for frame, p in enumerate(decode(content)):
-                        yield pd.DataFrame({"path": [file], "frame": [frame], "height": [p.shape[0]], "width": [p.shape[1]], "pixels": [p.astype(np.float64).reshape(-1)]})
+                        yield pd.DataFrame(
+                            {"path": [file], "frame": [frame], "height": [p.shape[0]], "width": [p.shape[1]], "pixels": [p.astype(np.float64).reshape(-1)]}
+                        )
                 except (ValueError, struct.error, zlib.error) as e:
                     raise ValueError(f"{file}: {e}") from e
 
@@ -205,7 +211,9 @@ class _Planes(InputPartition):
 class _TiffReader(DataSourceReader):
     def __init__(self, path: str, planes_per_task: int):
         path = path.removeprefix("file:")
-        self.paths = sorted(f for f in glob.glob(os.path.join(path, "**") if os.path.isdir(path) else path, recursive=True) if f.endswith((".tif", ".tiff")))
+        self.paths = sorted(
+            f for f in glob.glob(os.path.join(path, "**") if os.path.isdir(path) else path, recursive=True) if f.endswith((".tif", ".tiff"))
+        )
         self.planes_per_task = planes_per_task
 
     def partitions(self) -> list[_Planes]:
@@ -275,5 +283,8 @@ class _TiffWriter(FolderWriter):
 def write_stacks(planes: DataFrame, folder: str, dtype: str = "float32") -> None:
     """A file per value of `file`, its planes in order of frame."""
     planes.sparkSession.dataSource.register(TiffStacks)
-    dealt = planes.select("file", F.col("frame").cast("int").alias("frame"), F.col("height").cast("int").alias("height"), F.col("width").cast("int").alias("width"), F.col("pixels").cast("array<double>").alias("pixels"))
+    dealt = planes.select(
+        "file", F.col("frame").cast("int").alias("frame"), F.col("height").cast("int").alias("height"),
+        F.col("width").cast("int").alias("width"), F.col("pixels").cast("array<double>").alias("pixels"),
+    )
     dealt.repartition("file").sortWithinPartitions("file", "frame").write.format("tiff_stack").mode("append").option("dtype", dtype).save(folder)

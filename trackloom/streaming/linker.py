@@ -47,5 +47,8 @@ def link_stream(detections: DataFrame, options: Options, idle_ms: int = 3_600_00
         table = pd.DataFrame(out, columns=["movie_id", "frame", "label", "x", "y", "particle", "link_error"])
         yield table.astype({"movie_id": "int64", "frame": "int64", "label": "int64", "x": float, "y": float, "particle": "Int64"})
 
-    typed = detections.selectExpr("cast(movie_id as long) movie_id", "cast(frame as long) frame", "cast(label as long) label", "cast(x as double) x", "cast(y as double) y")
+    typed = detections.selectExpr(
+        "cast(movie_id as long) movie_id", "cast(frame as long) frame", "cast(label as long) label", "cast(x as double) x",
+        "cast(y as double) y",
+    )
     return typed.groupBy("movie_id").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
