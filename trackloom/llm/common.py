@@ -46,12 +46,14 @@ def run_dir(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, large_rows: bool = False) -> DataFrame:
     """df as a Parquet table in the run's folder, read again: lineage ends there, and lost executors cost no rework
-    before it. Row order is not kept."""
+    before it. Row order is not kept. Rows of half a megabyte or more are large: readers hold a row group of them at
+    once, so these get row groups of 16."""
     spark = df.sparkSession
     path = f"{run_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    how = {"parquet.block.row.count.limit": 16} if large_rows else {}
+    df.write.options(**how).parquet(path)
     _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -167,7 +167,7 @@ def write(docs: DataFrame, path: str, end_id: int = 0) -> tuple[DataFrame, DataF
     ranged = ids.repartitionByRange(1 + total // SHARD_IDS, *order).sortWithinPartitions(*order).select(
         "doc_id", "ids", F.spark_partition_id().alias("shard"),
     )
-    return written(ranged.mapInArrow(code, "shard int, block int, n_ids long, payload binary"), "token-blocks"), vocabulary
+    return written(ranged.mapInArrow(code, "shard int, block int, n_ids long, payload binary"), "token-blocks", large_rows=True), vocabulary
 
 
 def read(blocks: DataFrame, vocabulary: DataFrame, with_ids: bool = False) -> DataFrame:
