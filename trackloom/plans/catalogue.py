@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from trackloom import params
 from trackloom.functions import hill, names
 from trackloom.operators import dose, events, images, linking, measure, regions, smoothing, summarize, wells
-from trackloom.plans import views
+from trackloom.plans import experiment, views
+from trackloom.sources import discovery, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,6 +89,38 @@ def closing_smooth_track(spark: SparkSession, d: str) -> DataFrame:
     return _smoothed(spark, d, "track").select(*TRACK, "frame", "semantic_smoothed")
 
 
+@query(f"WITH {views.SMOOTH} SELECT movie_id, particle, frame, x, y, CAST(semantic_smoothed AS BIGINT) AS state FROM smooth")
+def display_frames(spark: SparkSession, d: str) -> DataFrame:
+    return experiment.display_frames(_smoothed(spark, d))
+
+
+@query(
+    f"""
+WITH {views.SMOOTH}, ids AS (SELECT min(particle) AS first, max(particle) AS last FROM smooth)
+SELECT movie_id, particle, count(*) AS n FROM smooth, ids WHERE particle IN (first, last) GROUP BY ALL
+"""
+)
+def chosen_tracks(spark: SparkSession, d: str) -> DataFrame:
+    rows = _smoothed(spark, d)
+    ids = rows.agg(F.min("particle"), F.max("particle")).first()
+    return measure.chosen(rows, list(ids)).groupBy(*TRACK).agg(F.count("*").alias("n"))
+
+
+@query(
+    f"""
+WITH {views.TRACKS} SELECT movie_id, particle, frame, CASE WHEN frame % 3 = 0 THEN "GFP" END AS signal,
+  CASE WHEN frame % 3 = 0 THEN "GFP_bkg_corr" ELSE 0 END AS bkg_corr, CASE WHEN frame % 3 = 0 THEN "GFP_int_corr" ELSE 1 END AS int_corr FROM tracks
+"""
+)
+def channel_defaults(spark: SparkSession, d: str) -> DataFrame:
+    """A third of the frames are measured."""
+    rows = views.tracks(spark, d)
+    keys = [F.col("movie_id"), F.col("frame"), F.col("particle").alias("label")]
+    measured = rows.filter("frame % 3 = 0").select(*keys, *[F.col(f"GFP{a}").alias(b) for a, b in (("", "signal"), ("_bkg_corr", "bkg_corr"), ("_int_corr", "int_corr"))])
+    found = measure.with_channel(rows.select(*keys, "particle"), measured, "DAPI")
+    return found.select(*TRACK, "frame", F.col("DAPI").alias("signal"), F.col("DAPI_bkg_corr").alias("bkg_corr"), F.col("DAPI_int_corr").alias("int_corr"))
+
+
 @query(f"WITH {views.SMOOTH} SELECT DISTINCT movie_id, particle, CAST(mitotic AS BIGINT) AS mitotic FROM smooth")
 def mitotic_flag(spark: SparkSession, d: str) -> DataFrame:
     return _smoothed(spark, d).groupBy(*TRACK).agg(F.max("mitotic").cast("long").alias("mitotic"))
@@ -279,6 +312,33 @@ def gaussian_small(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_pixel_rows(images.blurred(views.planes(spark, d), 1.0), "v"), "v")
 
 
+@query(
+    f"""
+WITH {views.PIXELS}, {views.BLUR}, down AS (SELECT movie_id, frame, s.c AS r, p.c, sum(s.w * v) AS v FROM pixels p JOIN share s ON p.r = s.c2 GROUP BY ALL)
+SELECT movie_id, frame, r, s.c, round(sum(s.w * v), 6) AS v FROM down d JOIN share s ON d.c = s.c2 GROUP BY ALL
+"""
+)
+def gaussian_large(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(_pixel_rows(images.blurred(views.planes(spark, d), 45.0), "v"), "v")
+
+
+@query(
+    f"""
+WITH {views.PIXELS}, {views.BLUR}, movies AS (SELECT movie_id, count(DISTINCT frame) AS n FROM pixels GROUP BY movie_id HAVING n >= 5),
+slab AS (SELECT movie_id, CASE WHEN n % 2 = 1 THEN n // 2 ELSE n // 2 - 1 END AS centre FROM movies),
+flat AS (SELECT p.movie_id, r, c, avg(v + 1) AS v FROM pixels p JOIN slab s ON p.movie_id = s.movie_id
+  AND frame >= centre - centre // 2 AND frame < centre + centre // 2 GROUP BY ALL),
+down AS (SELECT movie_id, s.c AS r, p.c, sum(s.w * v) AS v FROM flat p JOIN share s ON p.r = s.c2 GROUP BY ALL),
+blurred AS (SELECT movie_id, r, s.c, sum(s.w * v) AS v FROM down d JOIN share s ON d.c = s.c2 GROUP BY ALL)
+SELECT movie_id, r, c, round(v / max(v) OVER (PARTITION BY movie_id), 9) AS v FROM blurred
+"""
+)
+def intensity_map(spark: SparkSession, d: str) -> DataFrame:
+    """Pixels are raised by one, so that they are positive."""
+    raised = views.planes(spark, d).withColumn("pixels", F.transform("pixels", lambda v: v + 1))
+    return rounded(images.pixels(images.intensity_map(raised)).select("movie_id", *longs("r", "c"), "v"), "v", digits=9)
+
+
 @query(f"WITH {views.PIXELS} SELECT movie_id, frame, r, c, round(v / max(v) OVER (PARTITION BY movie_id, frame), 6) AS v FROM pixels")
 def normalise_max(spark: SparkSession, d: str) -> DataFrame:
     return rounded(_pixel_rows(images.normalised(views.planes(spark, d)), "v"), "v")
@@ -450,6 +510,12 @@ def hill_fit(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("SELECT x, round(4 + 16 * x ** 3 / (x ** 3 + 18.0::DOUBLE ** 3), 3) AS y FROM (SELECT i::DOUBLE AS x FROM range(31) t(i))")
+def fitted_curve(spark: SparkSession, d: str) -> DataFrame:
+    fits = spark.createDataFrame([(4.0, 20.0, 3.0, 18.0)], ", ".join(f"{n} double" for n in hill.PARAMETERS))
+    return rounded(dose.fitted_curve(fits, 30.5, []), "y", digits=3)
+
+
 @query()
 def hill_fit_prices(spark: SparkSession, d: str) -> DataFrame:
     return dose.fit(dose.complete(views.dose(spark, d)), ["code"])
@@ -470,6 +536,62 @@ def wellmap(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(f"WITH {views.WELLMAP} SELECT * FROM wellmap")
+def wellmap_lists(spark: SparkSession, d: str) -> DataFrame:
+    found = wells.wellmap(views.wellmap_lists(spark, d), order="p_partkey")
+    return found.select(*wells.GROUP, F.array_join("wells", ",").alias("wells"), F.size("wells").cast("long").alias("n_wells"))
+
+
+@query(
+    """
+SELECT * FROM (VALUES ('cell_type', 'u2os'), ('min_cell_size', '250'), ('max_cell_size', '9500'), ('max_pixel_movement', '30'), ('memory', '1'),
+  ('min_track_length', '10'), ('track_mode', 'predictive'), ('adaptive_step', '0.9'), ('adaptive_stop', '10.0'), ('predict_span', '3'),
+  ('median_frames', '3'), ('closing_frames', '3'), ('erosion_radius', '3'), ('min_mitotic_duration', '30'), ('frame_interval', '10'),
+  ('gaussian_sigma', '45.0')) AS t(name, value)
+"""
+)
+def parameter_sheet(spark: SparkSession, d: str) -> DataFrame:
+    return params.key_values(spark, params.for_cell_type("U2OS"))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS movie_id, unnest(['c_name', 'c_mktsegment']) AS name, unnest([c_name, c_mktsegment]) AS value FROM customer")
+def file_sheet(spark: SparkSession, d: str) -> DataFrame:
+    rows = tables.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("movie_id"), "c_name", "c_mktsegment")
+    return experiment.key_values(rows)
+
+
+@query(f"WITH {views.FILES} SELECT DISTINCT folder FROM files WHERE contains(folder, '_inference')")
+def inference_folders(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.inference_folders(discovery.classified(views.files(spark, d)))
+
+
+@query(
+    f"""
+WITH {views.FILES}, masks AS (SELECT *, split_part(file, stub, 1) AS prefix FROM files WHERE contains(folder, '_inference') AND stub <> '')
+SELECT stub, prefix, min(path) FILTER (WHERE role = 'instance') AS instance, min(path) FILTER (WHERE role = 'semantic') AS semantic FROM masks
+GROUP BY ALL HAVING instance IS NOT NULL AND semantic IS NOT NULL
+"""
+)
+def movie_files(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.movies(discovery.classified(views.files(spark, d)))
+
+
+@query(
+    f"""
+WITH {views.FILES}
+SELECT stub, CASE WHEN ch = 'phs' THEN 'phase' ELSE ch END AS channel, path FROM files WHERE ch <> '' AND map = '' AND stub <> '' AND role = ''
+QUALIFY row_number() OVER (PARTITION BY stub, ch ORDER BY ends_with(path, '.tiff') DESC, path DESC) = 1
+"""
+)
+def channel_files(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.channels(discovery.classified(views.files(spark, d)))
+
+
+@query(f"WITH {views.FILES} SELECT concat(ch, '_', map, '_map') AS correction_map, max(path) AS path FROM files WHERE map <> '' AND ch <> '' GROUP BY ALL")
+def map_files(spark: SparkSession, d: str) -> DataFrame:
+    return discovery.correction_maps(discovery.classified(views.files(spark, d)))
+
+
 STUB_SQL, POSITION_SQL = "[A-H]([1-9]|[0][1-9]|[1][0-2])_s(\\d{2}|\\d{1})", "_(\\w\\d+)_(\\w\\d+)_"
 
 
@@ -553,6 +675,19 @@ def experiment_import(spark: SparkSession, d: str) -> DataFrame:
     return wells.import_experiment(groups, rows, 60, 10).select(*TRACK, "mito_start", "mitosis", "well", "code")
 
 
+@query(
+    f"""
+WITH {EVENTS_SQL}, {views.WELLMAP}, named AS (SELECT ['small', 'ring', 'bolt', 'nut'][particle % 4 + 1] AS well FROM kept),
+rows_ AS (SELECT celltype, transfection, drug, count(*) AS n FROM named n JOIN firsts f ON n.well = f.well GROUP BY ALL)
+SELECT concat(celltype, '_', transfection, '_', drug) AS code, n_wells AS wells, coalesce(n, 0) AS rows,
+  CASE WHEN n IS NULL THEN 'no rows' ELSE 'loaded' END AS status FROM wellmap LEFT JOIN rows_ USING (celltype, transfection, drug)
+"""
+)
+def import_report(spark: SparkSession, d: str) -> DataFrame:
+    groups = wells.wellmap(views.wellmap(spark, d), order="p_partkey")
+    return wells.import_report(groups, experiment_import(spark, d)).withColumn("wells", F.col("wells").cast("long"))
+
+
 @query(
     """
 SELECT *

@@ -182,3 +182,30 @@ def exact_dose(spark: SparkSession, sf_dir: str) -> DataFrame:
     dose_ = 2.5 * (F.floor("l_quantity") % 20 + 1) - 0.5
     high = F.when(F.col("l_returnflag") == "A", 20.0).when(F.col("l_returnflag") == "N", 30.0).otherwise(40.0)
     return table(spark, sf_dir, "lineitem").select(dose_.alias("dose"), high.alias("high"), F.col("l_returnflag").alias("code"))
+
+
+def wellmap_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The well map with its wells as lists, blanks and nulls among them."""
+    wells = F.concat(F.split("well_ids", "[,;\\s]+"), F.array(F.lit(" "), F.lit(None).cast("string")))
+    return wellmap(spark, sf_dir).withColumn("well_ids", F.transform(wells, lambda w: F.concat(F.lit(" "), w, F.lit(" "))))
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path, folder, file of made-up images and masks: every other file lies in an inference folder."""
+    folder = F.when(F.col("id") % 2 == 0, F.col("folder")).otherwise(F.lit("images"))
+    rows = names(spark, sf_dir).select(folder.alias("folder"), F.explode(F.array("image", F.replace("image", F.lit("other"), F.lit("semantic")))).alias("file"))
+    return rows.distinct().select(F.concat_ws("/", F.lit("/data"), "folder", "file").alias("path"), "folder", "file")
+
+
+FILES = (
+    NAMES
+    + """,
+both_ AS (SELECT CASE WHEN id % 2 = 0 THEN folder ELSE 'images' END AS folder, unnest([image, replace(image, 'other', 'semantic')]) AS file FROM names),
+files AS (SELECT DISTINCT concat('/data/', folder, '/', file) AS path, folder, file,
+    regexp_extract(file, '[A-H]([1-9]|[0][1-9]|[1][0-2])_s(\\d{2}|\\d{1})', 0) AS stub, regexp_extract(file, 'GFP|Texas Red|Cy5|phs') AS ch,
+    regexp_extract(file, 'background|intensity') AS map, CASE WHEN ends_with(file, '.tif') THEN regexp_extract(file, 'instance|semantic') ELSE '' END AS role FROM both_)"""
+)
+
+#: Shares of an 8-pixel line's pixel c2 in the blurred pixel c, edges repeated.
+BLUR = """taps AS (SELECT o, exp(-0.5 * (o / 45.0) ** 2) / (SELECT sum(exp(-0.5 * (o / 45.0) ** 2)) FROM range(-180, 181) t(o)) AS w FROM range(-180, 181) t(o)),
+share AS (SELECT c, greatest(least(c + o, 7), 0) AS c2, sum(w) AS w FROM range(8) i(c), taps GROUP BY ALL)"""
