@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,26 +23,44 @@ def options(p: CellParams, mode: str | None = None, radius: float | None = None,
 
 def link(detections: DataFrame, o: Options) -> DataFrame:
     """detections with particle (long) and link_error: a movie that can't be solved keeps its rows, with a null
-    particle and the reason; the other movies are not touched. Movies are independent, so a group is a movie."""
+    particle and the reason; the other movies are not touched. Movies are independent; a task goes through the sorted
+    points of its movies frame by frame and holds one frame and the live particles."""
     kind = dict(detections.dtypes)
     key = ["movie_id", "frame", "label"]
     rest = [c for c in detections.columns if c not in (*key, "x", "y")]
 
-    def one(movie: pd.DataFrame) -> pd.DataFrame:
-        movie = movie.sort_values(["frame", "x", "y", "label"], kind="stable", ignore_index=True)
-        linker, ids, error = Linker(o), [], None
-        try:
-            for frame, points in movie.groupby("frame", sort=True):
-                ids += linker.step(int(frame), list(zip(points["x"].astype(float), points["y"].astype(float))))
-        except OversizeError as e:
-            ids, error = [None] * len(movie), f"movie {movie['movie_id'].iloc[0]}: {e}"
-        return movie[["movie_id", "frame", "label"]].assign(particle=pd.array(ids, "Int64"), link_error=error)
-
-    linked = detections.select(*key, "x", "y").groupBy("movie_id").applyInPandas(
-        one, f"movie_id {kind['movie_id']}, frame {kind['frame']}, label {kind['label']}, particle long, link_error string",
-    )
-    joined = detections.join(linked, key)
-    return joined.select(*key, "x", "y", *[F.col(f"`{c}`") for c in rest], "particle", "link_error")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        movie, linker, error, held = None, Linker(o), None, []
+
+        def linked(frame: pd.DataFrame) -> pd.DataFrame:
+            nonlocal movie, linker, error
+            if (now := frame["movie_id"].iloc[0]) != movie:
+                movie, linker, error = now, Linker(o), None
+            ids = [None] * len(frame)
+            if error is None:
+                try:
+                    ids = linker.step(int(frame["frame"].iloc[0]), list(zip(frame["x"].astype(float), frame["y"].astype(float))))
+                except OversizeError as e:
+                    error = f"movie {now}: {e}"
+            return frame[key].assign(particle=pd.array(ids, "Int64"), link_error=error)
+
+        for batch in batches:
+            rows = pd.concat([*held, batch], ignore_index=True)
+            cuts = np.flatnonzero((rows["movie_id"].shift() != rows["movie_id"]) | (rows["frame"].shift() != rows["frame"])).tolist()
+            frames = [rows.iloc[i:j] for i, j in zip(cuts, [*cuts[1:], len(rows)])]
+            if len(frames) > 1:
+                yield pd.concat([linked(f) for f in frames[:-1]], ignore_index=True)
+            held = frames[-1:]
+        if held:
+            yield linked(held[0])
+
+    in_order = detections.select(*key, "x", "y").repartition("movie_id").sortWithinPartitions("movie_id", "frame", "x", "y", "label")
+    fields = f"movie_id {kind['movie_id']}, frame {kind['frame']}, label {kind['label']}, particle long, link_error string"
+    found = in_order.mapInPandas(run, fields)
+    # Frames before the one that can't be solved have been given out already.
+    found = found.withColumn("link_error", F.max("link_error").over(Window.partitionBy("movie_id")))
+    found = found.withColumn("particle", F.when(F.col("link_error").isNull(), F.col("particle")))
+    return detections.join(found, key).select(*key, "x", "y", *[F.col(f"`{c}`") for c in rest], "particle", "link_error")
 
 
 def stub_filter(tracks: DataFrame, min_length: int = 10) -> DataFrame:

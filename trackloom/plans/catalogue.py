@@ -116,9 +116,14 @@ def channel_defaults(spark: SparkSession, d: str) -> DataFrame:
     """A third of the frames are measured."""
     rows = views.tracks(spark, d)
     keys = [F.col("movie_id"), F.col("frame"), F.col("particle").alias("label")]
-    measured = rows.filter("frame % 3 = 0").select(*keys, *[F.col(f"GFP{a}").alias(b) for a, b in (("", "signal"), ("_bkg_corr", "bkg_corr"), ("_int_corr", "int_corr"))])
+    measured = rows.filter("frame % 3 = 0").select(
+        *keys, *[F.col(f"GFP{a}").alias(b) for a, b in (("", "signal"), ("_bkg_corr", "bkg_corr"), ("_int_corr", "int_corr"))],
+    )
     found = measure.with_channel(rows.select(*keys, "particle"), measured, "DAPI")
-    return found.select(*TRACK, "frame", F.col("DAPI").alias("signal"), F.col("DAPI_bkg_corr").alias("bkg_corr"), F.col("DAPI_int_corr").alias("int_corr"))
+    return found.select(
+        *TRACK, "frame", F.col("DAPI").alias("signal"), F.col("DAPI_bkg_corr").alias("bkg_corr"),
+        F.col("DAPI_int_corr").alias("int_corr"),
+    )
 
 
 @query(f"WITH {views.SMOOTH} SELECT DISTINCT movie_id, particle, CAST(mitotic AS BIGINT) AS mitotic FROM smooth")
@@ -554,7 +559,9 @@ def parameter_sheet(spark: SparkSession, d: str) -> DataFrame:
     return params.key_values(spark, params.for_cell_type("U2OS"))
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS movie_id, unnest(['c_name', 'c_mktsegment']) AS name, unnest([c_name, c_mktsegment]) AS value FROM customer")
+@query(
+    "SELECT CAST(c_custkey AS VARCHAR) AS movie_id, unnest(['c_name', 'c_mktsegment']) AS name, unnest([c_name, c_mktsegment]) AS value FROM customer"
+)
 def file_sheet(spark: SparkSession, d: str) -> DataFrame:
     rows = tables.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("movie_id"), "c_name", "c_mktsegment")
     return experiment.key_values(rows)
@@ -587,12 +594,14 @@ def channel_files(spark: SparkSession, d: str) -> DataFrame:
     return discovery.channels(discovery.classified(views.files(spark, d)))
 
 
-@query(f"WITH {views.FILES} SELECT concat(ch, '_', map, '_map') AS correction_map, max(path) AS path FROM files WHERE map <> '' AND ch <> '' GROUP BY ALL")
+@query(
+    f"WITH {views.FILES} SELECT concat(ch, '_', map, '_map') AS correction_map, max(path) AS path FROM files WHERE map <> '' AND ch <> '' GROUP BY ALL"
+)
 def map_files(spark: SparkSession, d: str) -> DataFrame:
     return discovery.correction_maps(discovery.classified(views.files(spark, d)))
 
 
-STUB_SQL, POSITION_SQL = "[A-H]([1-9]|[0][1-9]|[1][0-2])_s(\\d{2}|\\d{1})", "_(\\w\\d+)_(\\w\\d+)_"
+STUB_SQL, POSITION_SQL, CHANNEL_SQL_, MAP_SQL, ROLE_SQL = names.STUB, names.POSITION, names.CHANNEL, names.MAP_KIND, names.MASK_ROLE
 
 
 @query(
@@ -611,10 +620,10 @@ def name_parse(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""
-WITH {views.NAMES} SELECT id, CASE WHEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') = 'phs' THEN 'phase'
-WHEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') <> '' THEN regexp_extract(image, 'GFP|Texas Red|Cy5|phs') END AS channel, CASE
-WHEN regexp_extract(image, 'background|intensity') <> '' AND regexp_extract(image, 'GFP|Texas Red|Cy5|phs') <> '' THEN concat(regexp_extract(image, 'GFP|Texas Red|Cy5|phs'), '_', regexp_extract(image, 'background|intensity'), '_map') END AS correction_map, CASE
-WHEN regexp_extract(image, 'instance|semantic') <> '' AND ends_with(image, '.tif') THEN regexp_extract(image, 'instance|semantic') END AS role
+WITH {views.NAMES} SELECT id, CASE WHEN regexp_extract(image, '{CHANNEL_SQL_}') = 'phs' THEN 'phase'
+WHEN regexp_extract(image, '{CHANNEL_SQL_}') <> '' THEN regexp_extract(image, '{CHANNEL_SQL_}') END AS channel, CASE
+WHEN regexp_extract(image, '{MAP_SQL}') <> '' AND regexp_extract(image, '{CHANNEL_SQL_}') <> '' THEN concat(regexp_extract(image, '{CHANNEL_SQL_}'), '_', regexp_extract(image, '{MAP_SQL}'), '_map') END AS correction_map, CASE
+WHEN regexp_extract(image, '{ROLE_SQL}') <> '' AND ends_with(image, '.tif') THEN regexp_extract(image, '{ROLE_SQL}') END AS role
 FROM names
 """
 )

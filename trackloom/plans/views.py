@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trackloom.functions.names import CHANNEL, MAP_KIND, MASK_ROLE, STUB
 from trackloom.sources.tables import table
 
 
@@ -193,17 +194,19 @@ def wellmap_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """path, folder, file of made-up images and masks: every other file lies in an inference folder."""
     folder = F.when(F.col("id") % 2 == 0, F.col("folder")).otherwise(F.lit("images"))
-    rows = names(spark, sf_dir).select(folder.alias("folder"), F.explode(F.array("image", F.replace("image", F.lit("other"), F.lit("semantic")))).alias("file"))
+    rows = names(spark, sf_dir).select(
+        folder.alias("folder"), F.explode(F.array("image", F.replace("image", F.lit("other"), F.lit("semantic")))).alias("file"),
+    )
     return rows.distinct().select(F.concat_ws("/", F.lit("/data"), "folder", "file").alias("path"), "folder", "file")
 
 
 FILES = (
     NAMES
-    + """,
+    + f""",
 both_ AS (SELECT CASE WHEN id % 2 = 0 THEN folder ELSE 'images' END AS folder, unnest([image, replace(image, 'other', 'semantic')]) AS file FROM names),
 files AS (SELECT DISTINCT concat('/data/', folder, '/', file) AS path, folder, file,
-    regexp_extract(file, '[A-H]([1-9]|[0][1-9]|[1][0-2])_s(\\d{2}|\\d{1})', 0) AS stub, regexp_extract(file, 'GFP|Texas Red|Cy5|phs') AS ch,
-    regexp_extract(file, 'background|intensity') AS map, CASE WHEN ends_with(file, '.tif') THEN regexp_extract(file, 'instance|semantic') ELSE '' END AS role FROM both_)"""
+    regexp_extract(file, '{STUB}', 0) AS stub, regexp_extract(file, '{CHANNEL}') AS ch,
+    regexp_extract(file, '{MAP_KIND}') AS map, CASE WHEN ends_with(file, '.tif') THEN regexp_extract(file, '{MASK_ROLE}') ELSE '' END AS role FROM both_)"""
 )
 
 #: Shares of an 8-pixel line's pixel c2 in the blurred pixel c, edges repeated.
