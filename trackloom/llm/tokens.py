@@ -21,8 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that a worker's known pieces may take, and what a piece takes besides its characters and ids.
-CACHE_BYTES, PIECE_BYTES = 64 << 20, 160
+CACHE_BYTES, PIECE_BYTES = 48 << 20, 160
 JOINED = 512
+AT_ONCE = 16
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _encoders: dict[str, Encoder] = {}
 
@@ -61,14 +62,18 @@ class Encoder:
         return _encoders[key]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Few texts go to the library at a time: what it returns takes many times the ids' bytes."""
+        found: list[list[int]] = []
+        for i in range(0, len(texts), AT_ONCE):
+            found += [e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + AT_ONCE], add_special_tokens=False)]
+        return found
 
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, how many each piece has) of pieces that each stand behind a space."""
         groups = [pieces[i : i + JOINED] for i in range(0, len(pieces), JOINED)]
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for group, found in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
-            own = np.array(found, np.uint32)
+        for group in groups:
+            own = np.array(self._ids([" " + " ".join(group)])[0], np.uint32)
             ends = np.cumsum([len(p.encode()) + 1 for p in group])
             sums = np.cumsum(self.token_bytes[own])
             last = np.searchsorted(sums, ends)
@@ -111,6 +116,7 @@ class Encoder:
         ends = np.cumsum(lists.value_lengths().to_numpy())
         firsts = np.concatenate([[0], ends[:-1]])
         coded = lists.flatten().dictionary_encode()
+        del lists
         codes, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         # An empty piece, or one that begins or ends with white space, means a space that is no safe boundary.
         size = pc.binary_length(coded.dictionary).to_numpy()
@@ -157,7 +163,8 @@ class Encoder:
         rest, rest_sizes = self._pieces([pieces[i] for i in missing])
         where[missing] = n_known + np.arange(len(missing))
         opening = self._ids([pieces[i] for i in codes[firsts]])
-        piece_of = where[codes]
+        piece_of = where[codes].astype(np.int32)
+        del where, codes, pieces
         piece_of[firsts] = n_known + len(missing) + np.arange(len(firsts))
         # The end id is a piece of its own behind each text's last.
         last = n_known + len(missing) + len(firsts)
@@ -168,8 +175,12 @@ class Encoder:
         flat = np.concatenate([self.flat[:used], rest, np.array([i for x in extra for i in x], np.uint32)])
         stops = np.concatenate([self.ends[:n_known], used + np.cumsum(sizes)])
         starts = np.concatenate([[0], stops[:-1]])
-        lengths = (stops - starts)[piece_of]
-        out_ends = np.cumsum(lengths)
-        at = np.repeat(starts[piece_of] - (out_ends - lengths), lengths)
-        at += np.arange(len(at))
+        # Where each piece's ids begin in `flat`, less where they begin in the result; a slice's ids fit 32 bits.
+        lengths = (stops - starts).astype(np.int32)[piece_of]
+        out_ends = np.cumsum(lengths, dtype=np.int64)
+        shift = starts[piece_of] - out_ends + lengths
+        del piece_of
+        at = np.repeat(shift.astype(np.int32), lengths)
+        del shift, lengths
+        at += np.arange(len(at), dtype=np.int32)
         return flat[at], out_ends[ends + np.arange(len(ends))]
