@@ -240,8 +240,9 @@ def test_wellmap(spark):
     assert got == {("HeLa", "plasmidA", "DMSO"): ["A01", "A02", "B01"], ("U2OS", "p", "d"): ["A01", "A02", "B03"], ("U2OS", "p", "e"): [], ("U2OS", "p", "f"): []}
     listed = table.withColumn("well_ids", F.when(F.col("i") < 2, F.array(F.lit(" A01 "), F.lit(""), F.col("well_ids"))))
     assert {r["drug"]: r["wells"] for r in wells.wellmap(listed, "i").collect()}["DMSO"] == ["A01", "A01,A02", "B01"]
-    with pytest.raises(KeyError):
-        wells.wellmap(table.drop("drug"))
+    for lacking in ("drug", "i"):
+        with pytest.raises(KeyError):
+            wells.wellmap(table.drop(lacking), "i")
 
 
 def test_import(spark):
