@@ -566,7 +566,7 @@ def test_candidates_per_row_stay(monkeypatch):
     assert simhash.tops(32_000, 0.8)[0] == simhash.tops(4_000, 0.8)[0] + 3
 
 
-@pytest.mark.parametrize("most", [1, 7, 1000])
+@pytest.mark.parametrize("most", [1, 60, 100_000])
 def test_whole_groups(most):
     import pyarrow as pa
 
@@ -574,7 +574,7 @@ def test_whole_groups(most):
     got = list(simhash.whole_groups(iter(pa.table({"p": place}).to_batches(max_chunksize=13)), ["p"], most))
     assert [x for t in got for x in t.column("p").to_pylist()] == place
     seen = [set(t.column("p").to_pylist()) for t in got]
-    assert all(not a & b for a, b in itertools.combinations(seen, 2)) and (most == 1000 or len(got) > 5)
+    assert all(not a & b for a, b in itertools.combinations(seen, 2)) and (len(got) == 1 if most == 100_000 else len(got) > 5)
     assert not list(simhash.whole_groups(iter([]), ["p"]))
 
 

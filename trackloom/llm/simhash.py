@@ -94,12 +94,11 @@ def _reorder(fps: np.ndarray, order: list[int]) -> np.ndarray:
 
 def trie_links(
     keys: np.ndarray, begin: np.ndarray, top: int, budget: int, counted: int = BITS, nodes: np.ndarray | None = None,
-    verify: Callable | None = None, limit: int = 1 << 17, small: int = 1 << 12, forest_only: bool = True,
+    verify: Callable | None = None, limit: int = 1 << 17, small: int = 1 << 12,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs of a spanning forest of the links within `budget` inside each group of rows. Groups start at `begin`;
     a group's keys are sorted, distinct and agree on their first `top` bits. Only the first `counted` bits count as
-    differing; `verify` may refuse pairs. Rows with one number in `nodes` are one node of the forest. Without
-    `forest_only` all links between different nodes are found.
+    differing; `verify` may refuse pairs. Rows with one number in `nodes` are one node of the forest.
 
     Node pairs are traversed together, at most `limit` at once, and while there are more than `small`, trie nodes with
     themselves go before trie nodes with each other. Besides pairs over the budget, pairs whose leaves are all in one
@@ -132,11 +131,7 @@ def trie_links(
             if verify is not None and len(i):
                 near = verify(i, j)
                 i, j = i[near], j[near]
-            if not forest_only:
-                forest[0].append(i)
-                forest[1].append(j)
-                i = i[:0]
-            for x, y in zip(i.tolist(), j.tolist()) if forest_only else ():
+            for x, y in zip(i.tolist(), j.tolist()):
                 x_root, y_root = _root(parent, nodes[x]), _root(parent, nodes[y])
                 if x_root != y_root:
                     parent[max(x_root, y_root)] = min(x_root, y_root)
@@ -167,8 +162,6 @@ def trie_links(
             joined = tuple(np.concatenate(x) for x in zip(*parts))
             if len(joined[0]):
                 stack.append(joined)
-    if not forest_only:
-        return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in forest)
     return np.array(forest[0], np.int64), np.array(forest[1], np.int64)
 
 
@@ -228,23 +221,24 @@ def links(classes: DataFrame, budget: int = 2) -> DataFrame:
     return sent.repartition("layout", "top").sortWithinPartitions("layout", "top").mapInArrow(join, "a long, b long").distinct()
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 1 << 18) -> Iterator[pa.Table]:
-    """Rows that come sorted by keys, whole groups of about `most` rows at a time; only a larger group is held whole."""
-    held, n, full = [], 0, most
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 16 << 20) -> Iterator[pa.Table]:
+    """Rows that come sorted by keys, whole groups of about `most` bytes at a time; only a larger group is held whole."""
+    held, size, full = [], 0, most
     for b in batches:
         held.append(b)
-        n += b.num_rows
-        if n < full:
+        size += b.nbytes
+        if size < full:
             continue
         rows = pa.Table.from_batches(held)
         columns = [rows.column(k).to_numpy() for k in keys]
         new = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns]))
         if cut := int(new[-1]) + 1 if len(new) else 0:
             yield rows.slice(0, cut)
-            held, n, full = rows.slice(cut).to_batches(), n - cut, most
+            held, full = rows.slice(cut).to_batches(), most
+            size = sum(x.nbytes for x in held)
         else:
-            full = 2 * n
-    if n:
+            full = 2 * size
+    if held:
         yield pa.Table.from_batches(held)
 
 
@@ -382,13 +376,14 @@ def _wide(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only: bool = True, ends_only: bool = False) -> DataFrame:
+def _layout_links(classes: DataFrame, words: int, similarity: float, ends_only: bool = False) -> DataFrame:
     """(a, b): forests of the links of classes (rep, node, wide) that some layout brings together and that differ in no
-    more of the first `words` words than the similarity lets expect, or all such links between different nodes. Rows
-    travel with those words. With ends_only, (met): the classes that have such a link."""
+    more of the first `words` words than the similarity lets expect. Rows travel with those words. If classes have
+    `hashes`, their sets of shingles, these travel too and a link's sets must be as similar as asked. With ends_only,
+    (met): the classes that have a link."""
     top, layouts = tops(classes.count(), similarity)
     most, most_key = (most_differing(similarity, n, DEVIATIONS) for n in (BITS * words, KEY_BITS))
-    columns = [f"w{i}" for i in range(words)]
+    columns, exact = [f"w{i}" for i in range(words)], ["hashes"] * ("hashes" in classes.columns)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -396,10 +391,11 @@ def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only
                 b = whole.slice(at, 2048)
                 wide = _wide(b.column("wide"))
                 own = [pa.array(w) for w in np.ascontiguousarray(wide[:, : 8 * words]).view(">u8").astype(np.uint64).view(np.int64).T.copy()]
+                own += [b.column(c) for c in exact]
                 for k, tops_ in enumerate(layout_tops(wide, top, layouts)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.int64(k) << np.int64(top) | tops_), b.column("rep"), b.column("node"), *own],
-                        names=["place", "rep", "node", *columns],
+                        names=["place", "rep", "node", *columns, *exact],
                     )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -408,16 +404,26 @@ def _layout_links(classes: DataFrame, words: int, similarity: float, forest_only
             bits = np.stack([rows.column(n).to_numpy() for n in columns], axis=1).view(np.uint64)
             order = np.lexsort((rep, bits[:, 0], place))
             place, rep, node, bits = place[order], rep[order], node[order], bits[order]
-            # Equal keys of a group are told apart by bits that don't count.
+            sets = rows.column("hashes").combine_chunks() if exact else None
+
+            def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+                found = np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most
+                for k in np.flatnonzero(found).tolist() if exact else ():
+                    x, y = (sets[int(order[at[k]])].values.to_numpy() for at in (i, j))
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    found[k] = both and both / (len(x) + len(y) - both) >= similarity
+                return found
+
+            # Equal keys of a group are told apart by bits that don't count. Few pairs at a time are compared by sets, so
+            # that those which can add no link are left out.
             keys = (bits[:, 0] & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(place), dtype=np.uint64)
-            i, j = trie_links(
-                keys, starts(place), 0, most_key, KEY_BITS, np.unique(node, return_inverse=True)[1], lambda i,
-                j: np.bitwise_count(bits[i] ^ bits[j]).sum(1) <= most, forest_only=forest_only,
-            )
+            few = {"limit": 1 << 11, "small": 1 << 9} if exact else {}
+            i, j = trie_links(keys, starts(place), 0, most_key, KEY_BITS, np.unique(node, return_inverse=True)[1], near, **few)
             ends = [np.unique(rep[np.concatenate([i, j])])] if ends_only else [np.minimum(rep[i], rep[j]), np.maximum(rep[i], rep[j])]
             yield pa.RecordBatch.from_arrays([*map(pa.array, ends)], names=["met"] if ends_only else ["a", "b"])
 
-    sent = classes.select("rep", "node", "wide").mapInArrow(send, "place long, rep long, node long, " + ", ".join(f"{c} long" for c in columns))
+    fields = ["place long", "rep long", "node long", *(f"{c} long" for c in columns), *(f"{c} array<long>" for c in exact)]
+    sent = classes.select("rep", "node", "wide", *exact).mapInArrow(send, ", ".join(fields))
     return sent.repartition("place").sortWithinPartitions("place").mapInArrow(join, "met long" if ends_only else "a long, b long").distinct()
 
 
@@ -478,9 +484,9 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     open_ = written(apart.select(F.explode(F.array("a_node", "b_node")).alias("open")).distinct(), "simhash-open")
     if not open_.isEmpty():
         inside = of.join(open_, F.col("node") == F.col("open"), "left_semi")
-        again = written(nodes.drop("node").join(inside, F.col("rep") == F.col("met")).select("rep", "node", "wide"), "simhash-again")
-        more = _layout_links(again, WIDE_WORDS, similarity, forest_only=False).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        late = _confirmed(written(more, "simhash-more"), sets, similarity).filter("near").select("a", "b")
+        again = nodes.drop("node").join(inside, F.col("rep") == F.col("met")).select("rep", "node", "wide")
+        again = again.join(sets.select(F.col("rep").alias("of_rep"), "hashes"), F.col("rep") == F.col("of_rep")).drop("of_rep")
+        late = written(_layout_links(written(again, "simhash-again"), WIDE_WORDS, similarity), "simhash-late")
         if not late.isEmpty():
             reached = components(edges.union(late))
     return _of_class(found, classes, reached, "wide").select("doc_id", "component_id")
