@@ -161,16 +161,17 @@ def _covers(rule: tuple[Condition, ...], x: pd.DataFrame) -> np.ndarray:
 
 def learn(
     x: pd.DataFrame, bad: np.ndarray, max_rules: int = 12, max_conditions: int = 4, thresholds: int = 48, precision: float = 0.95,
-    chance: float = 1e-3, seed: int = 7,
+    chance: float = 0.01, seed: int = 7,
 ) -> DecisionList:
     """Sequential covering over statistics x (a column each) and labels `bad`; columns are tried in their order. A rule
     must reach the precision, and on the pruning part be right so often that documents drawn at random would be with a
-    probability under `chance`."""
+    probability under `chance`, for the n-th rule tried an n-th of it; or on both parts together under a ten-thousandth
+    of that, which some documents can show."""
     rules: list[tuple[Condition, ...]] = []
     order = np.random.default_rng(seed).permutation(len(x))
     grow_rows, prune_rows = order[: len(order) * 2 // 3], order[len(order) * 2 // 3 :]
     names = list(x.columns)
-    for _ in range(2 * max_rules):
+    for attempt in range(1, 2 * max_rules + 1):
         if len(rules) == max_rules or bad[grow_rows].sum() < 3 or bad[grow_rows].all():
             break
         gx, px = x.iloc[grow_rows], x.iloc[prune_rows]
@@ -180,7 +181,9 @@ def learn(
             break
         g, p = _covers(rule, gx), _covers(rule, px)
         right = [int(bad[rows][c].sum()) for rows, c in ((grow_rows, g), (prune_rows, p))]
-        sure = _by_chance(right[1], int(p.sum()), bad[prune_rows].mean() if len(prune_rows) else 1.0) < chance
+        share = [bad[rows].mean() if len(rows) else 1.0 for rows in (prune_rows, np.concatenate([grow_rows, prune_rows]))]
+        sure = _by_chance(right[1], int(p.sum()), share[0]) < chance / attempt
+        sure |= right[1] > 0 and _by_chance(sum(right), int(g.sum() + p.sum()), share[1]) < 1e-4 * chance / attempt
         if sure and sum(right) >= precision * (g.sum() + p.sum()) and right[1] >= (precision - 0.1) * p.sum():
             rules.append(rule)
             grow_rows, prune_rows = grow_rows[~g], prune_rows[~p]
