@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackloom.llm import ann, hard_negatives, language_id, mixing, packing, quality, secrets, simhash, token_ids, tokens, toxicity, url_filter, whitening
+from trackloom.llm import ann, hard_negatives, language_id, minhash, mixing, packing, quality, secrets, simhash, token_ids, tokens, toxicity, url_filter, whitening
 from trackloom.sources.tables import table
 
 
@@ -56,6 +56,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.turned_labels(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0)
 
@@ -72,10 +76,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
     "op11_whitening": op11_whitening,
+    "op12_minhash": op12_minhash,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE_SQL: dict[str, str] = {
     "op6_mixing": mixing.ORACLE_SQL,
     "op10_url_filter": url_filter.ORACLE_SQL,
+    "op12_minhash": minhash.ORACLE_SQL,
     "op13_hard_negatives": hard_negatives.ORACLE_SQL,
 }
