@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from trackloom import params, schemas
 from trackloom.functions.linker import Options
-from trackloom.operators import linking
-from trackloom.plans import experiment, folder
-from trackloom.sources import discovery, sheets, tiff
+from trackloom.operators import images, linking, measure, regions
+from trackloom.plans import experiment, folder, stacks
+from trackloom.sources import discovery, files, sheets, tiff
 from trackloom.streaming import linker
 
 
@@ -165,18 +165,160 @@ def test_discovery(spark, tmp_path):
     for f in (
         "exp_A02_s1_inference/exp_A02_s1_instance.tif", "exp_A02_s1_inference/exp_A02_s1_semantic.tif", "exp_A02_s1_GFP.tif",
         "exp_A02_s1_GFP.tiff", "exp_A02_s1_phs.tif", "Texas Red_background_map.tif", "GFP_intensity.tif", "notes.txt",
-        "exp_B03_s2_inference/exp_B03_s2_instance.tif",
+        "exp_B03_s2_inference/exp_B03_s2_instance.tif", "exp_A02_s12_Cy5.tif", "other/exp_A02_s1_Cy5.tif",
     ):
         os.makedirs((tmp_path / f).parent, exist_ok=True)
         (tmp_path / f).write_bytes(b"x")  # empty files have no rows
     found = discovery.files(spark, str(tmp_path))
     assert {r.folder for r in discovery.inference_folders(found).collect()} == {"exp_A02_s1_inference", "exp_B03_s2_inference"}
-    (movie,) = discovery.movies(found).collect()
-    assert (movie.stub, movie.prefix) == ("A02_s1", "exp_") and movie.instance.endswith("instance.tif")
-    assert {(r.channel, r.path.rsplit("/", 1)[1]) for r in discovery.channels(found).collect()} == {("GFP", "exp_A02_s1_GFP.tiff"), ("phase", "exp_A02_s1_phs.tif")}
+    movies = discovery.movies(found)
+    (movie,) = movies.collect()
+    assert (movie.stub, movie.prefix) == ("A02_s1", "exp_") and movie.instance.endswith("instance.tif") and movie.movie_id == f"{movie.home}/exp_A02_s1"
+    assert {(r.channel, r.path.rsplit("/", 1)[1]) for r in discovery.channels(found, movies).collect()} == {("GFP", "exp_A02_s1_GFP.tiff"), ("phase", "exp_A02_s1_phs.tif")}
     assert {r.correction_map for r in discovery.correction_maps(found).collect()} == {"Texas Red_background_map", "GFP_intensity_map"}
 
 
+def cells(n=12, size=50, shift=0, mitotic=range(3, 8)):
+    """Planes of one cell that moves down, and its states."""
+    labels, states = np.zeros((n, size, size), np.int32), np.zeros((n, size, size), np.uint8)
+    for f in range(n):
+        labels[f, 4 + f : 22 + f, 4 + shift : 22 + shift] = 1
+        states[f, 4 + f : 22 + f, 4 + shift : 22 + shift] = 101 if f in mitotic else 1
+    return labels, states
+
+
+def put(folder, name, labels, states, **channels):
+    """A movie's files: masks in an inference folder, images beside it."""
+    home = folder / f"{name}_inference"
+    home.mkdir(parents=True)
+    (home / f"{name}_instance.tif").write_bytes(tiff.encode(list(labels)))
+    (home / f"{name}_semantic.tif").write_bytes(tiff.encode(list(states)))
+    for channel, stack in channels.items():
+        (folder / f"{name}_{channel}.tif").write_bytes(tiff.encode(list(stack)))
+
+
+def flat(labels, value):
+    return np.full((len(labels), 2 * labels.shape[1], 2 * labels.shape[2]), value, np.float32)
+
+
+@pytest.mark.parametrize("read", [None, tiff.read_stacks])
+def test_equal_names_in_two_experiments(spark, tmp_path, read):
+    """Each movie is measured on the images of its own experiment, and of its own site."""
+    for e, value, shift in (("e1", 100.0, 0), ("e2", 200.0, 5)):
+        labels, states = cells(shift=shift)
+        put(tmp_path / e, "exp_A2_s1", labels, states, GFP=flat(labels, value))
+        (tmp_path / e / "exp_A2_s12_GFP.tif").write_bytes(tiff.encode(list(flat(labels, 7.0))))
+    (tmp_path / "e2" / "exp_A2_s12_Cy5.tif").write_bytes(tiff.encode(list(flat(labels, 9.0))))
+    run = folder.analyse(spark, str(tmp_path), read=read)
+    assert sorted(r.movie_id.split("/")[-3:] for r in run.movies.collect()) == [[e, "exp_A2_s1_inference", "exp_A2_s1"] for e in ("e1", "e2")]
+    assert "Cy5" not in run.tracks.columns
+    rows = run.tracks.collect()
+    assert len(rows) == 24 and all(r["GFP"] == (100.0 if "/e1/" in r.movie_id else 200.0) and r.y == (12 if "/e1/" in r.movie_id else 17) for r in rows)
+    run.save(str(tmp_path))
+    assert sorted(os.path.relpath(os.path.join(d, f), tmp_path) for d, _, names in os.walk(tmp_path) for f in names if f.endswith("xlsx")) == [f"{e}/exp_A2_s1_inference/exp_A2_s1_{k}.xlsx" for e in ("e1", "e2") for k in ("analysis", "summary", "tracks")]
+
+
+def test_only_needed_planes_are_read(spark, tmp_path):
+    """Pixels of frames without a mitotic track are broken, and only rows of paths and offsets are shuffled."""
+    labels, states = cells(14)
+    other = np.zeros_like(labels)
+    put(tmp_path, "m_A01_s1", np.concatenate([labels, other]), np.concatenate([states, other.astype(np.uint8)]), GFP=np.concatenate([flat(labels, 5.0)] * 2))
+    path = tmp_path / "m_A01_s1_GFP.tif"
+    content = bytearray(path.read_bytes())
+    read = lambda at, n: bytes(content[at : at + n])
+    for at in list(tiff.directories(read))[14:]:
+        offset, size = (tiff._fields(read, at, "<", False)[t][0] for t in (tiff.OFFSETS, tiff.COUNTS))
+        content[offset : offset + size] = bytes(size)
+    path.write_bytes(content)
+    run = folder.analyse(spark, str(tmp_path))
+    assert [r["GFP"] for r in run.tracks.collect()] == [5.0] * 14
+    with pytest.raises(Exception, match="m_A01_s1_GFP.tif"):
+        tiff.read_stacks(spark, str(path)).collect()
+    p = params.for_cell_type("hela")
+    files = {n: stacks.index(spark.createDataFrame([("m", str(f))], "movie_id string, path string"), n) for n, f in (("labels", tmp_path / "m_A01_s1_inference/m_A01_s1_instance.tif"), ("channel", path))}
+    wanted = spark.createDataFrame([("m", 3, 1)], "movie_id string, frame int, label int")
+    found = stacks.signals(files["labels"], files["channel"], p, wanted)
+    (row,) = found.collect()
+    assert (row.frame, row.label, row.signal, row.bkg_corr, row.int_corr) == (3, 1, 5.0, 0.0, 1.0)
+    assert "pixels" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_paired_planes_equal_joined_planes(spark, tmp_path):
+    r = np.random.default_rng(3)
+    labels = r.integers(0, 4, (5, 30, 30)).astype(np.int32) * (r.random((5, 1, 1)) < 0.9)
+    states = r.integers(0, 102, (4, 30, 30)).astype(np.uint8)  # one frame has no states
+    channel, background = r.normal(50, 9, (5, 60, 60)).astype(np.float32), r.integers(0, 9, (5, 60, 60)).astype(np.int16)
+    for name, stack in (("l", labels), ("s", states), ("c", channel), ("b", background), ("i", channel[:1] / 99)):
+        (tmp_path / f"{name}.tif").write_bytes(tiff.encode(list(stack)))
+    path = {n: str(tmp_path / f"{n}.tif") for n in "lscbi"}
+    one = lambda n: spark.createDataFrame([("m", path[n])], "movie_id string, path string")
+    planes = {n: tiff.read_planes(tiff.plane_index(one(n))) for n in "lscbi"}
+    movies = spark.createDataFrame([("m", path["l"], path["s"])], "movie_id string, instance string, semantic string")
+    rows = lambda df: sorted(tuple(repr(x[c]) for c in sorted(df.columns)) for x in df.collect())
+    joined = regions.region_table(planes["l"]).join(regions.state_at_centre(regions.region_table(planes["l"]), planes["s"]).select("movie_id", "frame", "label", "semantic_raw"), ["movie_id", "frame", "label"], "left")
+    got = stacks.regions_with_state(movies)
+    assert rows(got) == rows(joined.select(got.columns)) and got.filter("semantic_raw is null").count() > 0
+    p = params.for_cell_type("hela")
+    wanted = spark.createDataFrame([("m", f) for f in range(5)], "movie_id string, frame int")
+    at = tiff.plane_index(one("i")).first()
+    background = tiff.plane_index(one("b").select("path")).select("frame", F.col("path").alias("background_path"), F.col("offset").alias("background_offset"))
+    got = stacks.signals(stacks.index(one("l"), "labels"), stacks.index(one("c"), "channel"), p, wanted, background, (at["path"], at["offset"]))
+    want = measure.signals(images.eroded(planes["l"], p.erosion_radius), planes["c"], planes["b"], planes["i"].drop("frame"))
+    assert rows(got) == rows(want.select(got.columns)) and got.count() > 0
+
+
+def test_tiles_of_a_plane_are_one_plane(spark):
+    """Moments of tiles add up; far rows and columns cost no precision."""
+    plane = np.random.default_rng(1).integers(0, 5, (40, 60))
+    tile = lambda t, l: ("m", 0, t, l, 30, plane[t : t + 20, l : l + 30].reshape(-1).tolist())  # noqa: E731, E741
+    tiles = spark.createDataFrame([tile(t, l) for t in (0, 20) for l in (0, 30)], "movie_id string, frame int, top int, left int, width int, pixels array<int>")
+    whole = spark.createDataFrame([("m", 0, 60, plane.reshape(-1).tolist())], "movie_id string, frame int, width int, pixels array<int>")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(regions.region_table(tiles)) == rows(regions.region_table(whole)) and regions.region_table(whole).count() == 4
+    far = regions.region_table(tiles.withColumn("top", F.col("top") + 3_000_000).withColumn("left", F.col("left") + 3_000_000))
+    assert [r.eccentricity for r in far.orderBy("label").collect()] == [r.eccentricity for r in regions.region_table(whole).orderBy("label").collect()]
+
+
+def test_filters_on_an_index(spark, tmp_path):
+    """Planes that are filtered out aren't read; pixels come in the type asked for."""
+    stack = [np.full((3, 4), i, np.uint16) for i in range(7)]
+    (tmp_path / "a.tif").write_bytes(tiff.encode(stack))
+    content = bytearray(tiff.encode(stack))
+    read = lambda at, n: bytes(content[at : at + n])
+    for at in list(tiff.directories(read))[3:]:
+        content[tiff._fields(read, at, "<", False)[tiff.OFFSETS][0]] = 0  # no deflate data any more
+    (tmp_path / "b.tif").write_bytes(content)
+    index = tiff.plane_index(spark.createDataFrame([(k, str(tmp_path / f"{k}.tif")) for k in "ab"], "movie_id string, path string"))
+    assert index.count() == 14
+    table = tiff.read_planes(index.filter("frame < 3 or movie_id = 'a'"), "smallint")
+    assert dict(table.dtypes)["pixels"] == "array<smallint>"
+    assert sorted((r.movie_id, r.frame, r.pixels[0]) for r in table.collect()) == [("a", i, i) for i in range(7)] + [("b", i, i) for i in range(3)]
+    with pytest.raises(Exception, match="b.tif"):
+        tiff.read_planes(index).collect()
+    assert dict(tiff.read_large_stacks(spark, str(tmp_path / "a.tif"), pixels="smallint").dtypes)["pixels"] == "array<smallint>"
+
+
+def test_files_by_uri(tmp_path):
+    """The writer goes through the store's interface; a task that fails leaves nothing, nor does a job."""
+    root = f"file:{tmp_path}/deep"
+
+    class Writer(files.FolderWriter):
+        write = None
+
+    writer = Writer(root)
+    first, again = writer.save("a/x.bin", b"one"), writer.save("a/x.bin", b"two")
+    assert not (tmp_path / "deep/a/x.bin").exists() and len(os.listdir(tmp_path / "deep/a")) == 2
+    writer.commit([writer.message([again]), None])
+    assert os.listdir(tmp_path / "deep/a") == ["x.bin"] and (tmp_path / "deep/a/x.bin").read_bytes() == b"two" and not os.path.exists(first[0].removeprefix("file:"))
+    writer.abort([writer.message([writer.save("a/y.bin", b"y")]), None])
+    with pytest.raises(TypeError):
+        writer.save("a/z.bin", "no bytes")
+    assert os.listdir(tmp_path / "deep/a") == ["x.bin"] and files.listed(root, (".bin",)) == [(f"{tmp_path}/deep/a/x.bin", 3)]
+    with files.opened(f"{root}/a/x.bin") as f:
+        f.seek(1)
+        assert f.read(2) == b"wo"
+
+
 def test_movie_from_files(spark, tmp_path):
     """Two cells of 18 x 18 pixels drift for 14 frames; one is mitotic in frames 4 to 8."""
     n, size = 14, 60
@@ -223,20 +365,13 @@ def test_movie_from_files(spark, tmp_path):
     assert sheets.read_workbooks(spark, str(book), "particle long, GFP double", "*analysis.xlsx").count() == 2 * n
 
 
-@pytest.mark.parametrize("read", [tiff.read_stacks, None])
+@pytest.mark.parametrize("read", [tiff.read_stacks, None, "large"])
 def test_from_a_folder_to_an_experiment_table(spark, tmp_path, read):
     """Two movies with a channel and maps below a root folder -> workbooks beside the masks -> one labelled table."""
     n, size = 12, 50
     for well, shift in (("A01", 0), ("B02", 3)):
-        labels, states = np.zeros((n, size, size), np.int32), np.ones((n, size, size), np.uint8)
-        for f in range(n):
-            labels[f, 4 + f : 22 + f, 4 + shift : 22 + shift] = 1
-            states[f, 4 + f : 22 + f, 4 + shift : 22 + shift] = 101 if 3 <= f <= 7 else 1
-        home = tmp_path / f"exp_{well}_s1_inference"
-        home.mkdir()
-        (home / f"exp_{well}_s1_instance.tif").write_bytes(tiff.encode(list(labels)))
-        (home / f"exp_{well}_s1_semantic.tif").write_bytes(tiff.encode(list(states)))
-        (tmp_path / f"exp_{well}_s1_GFP.tif").write_bytes(tiff.encode([np.full((2 * size, 2 * size), 100.0 + shift, np.float32)] * n))
+        labels, states = cells(n, size, shift)
+        put(tmp_path, f"exp_{well}_s1", labels, states, GFP=flat(labels, 100.0 + shift))
     blank = [np.full((2 * size, 2 * size), 8 + i, np.uint16) for i in range(n)]
     (tmp_path / "blank_GFP.tif").write_bytes(tiff.encode(blank))
     p = params.for_cell_type("hela")
@@ -246,8 +381,8 @@ def test_from_a_folder_to_an_experiment_table(spark, tmp_path, read):
         folder.create_correction_maps(spark, {"other": "x.tif"}, p)
 
     large = lambda spark, path, pattern: tiff.read_large_stacks(spark, path).filter(F.col("path").rlike(".*" if pattern == "*" else pattern.strip("*").split("*")[0])).withColumn("path", F.concat(F.lit("file:"), "path"))
-    run = folder.analyse(spark, str(tmp_path), read=read or large)
-    assert {(r.movie_id, r.stub) for r in run.movies.collect()} == {("exp_A01_s1", "A01_s1"), ("exp_B02_s1", "B02_s1")}
+    run = folder.analyse(spark, str(tmp_path), read=large if read == "large" else read)
+    assert {(r.movie_id.split("/")[-1], r.stub) for r in run.movies.collect()} == {("exp_A01_s1", "A01_s1"), ("exp_B02_s1", "B02_s1")}
     rows = run.tracks.collect()
     assert len(rows) == 2 * n and all(
         r["GFP"] == (103.0 if "B02" in r.movie_id else 100.0) and r["GFP_bkg_corr"] == 8.0 + r.frame and r["GFP_int_corr"] == pytest.approx(1.0) for r in rows

@@ -18,6 +18,11 @@ def stub(name: Column) -> Column:
     return F.regexp_extract(name, STUB, 0)
 
 
+def stubs(name: Column) -> Column:
+    """Every well-and-site in the name that an underscore follows."""
+    return F.regexp_extract_all(name, F.lit(f"({STUB})_"), F.lit(1))
+
+
 def prefix(name: Column) -> Column:
     """What stands before the stub; '' without one."""
     found = stub(name)

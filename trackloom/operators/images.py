@@ -36,16 +36,32 @@ def median3x3(plane: np.ndarray) -> np.ndarray:
 
 
 def gaussian(plane: np.ndarray, sigma: float, truncate: float = 4.0) -> np.ndarray:
-    """Separable blur, edges repeated, cut at `truncate` sigmas."""
+    """Separable blur, edges repeated, cut at `truncate` sigmas: a product of spectra along each axis, so that its cost
+    doesn't follow sigma."""
     reach = int(truncate * sigma + 0.5)
     taps = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     taps /= taps.sum()
     out = plane.astype(np.float64)
-    for axis in (0, 1):
-        pad = [(0, 0), (0, 0)]
-        pad[axis] = (reach, reach)
-        out = np.apply_along_axis(np.convolve, axis, np.pad(out, pad, mode="edge"), taps, "valid")
-    return out
+    for _ in range(2):
+        padded = np.pad(out, ((0, 0), (reach, reach)), mode="edge")
+        size = _smooth_size(padded.shape[1])
+        spectrum = np.fft.rfft(padded, size) * np.fft.rfft(taps, size)
+        # What wraps around falls on the first 2 * reach places only.
+        out = np.fft.irfft(spectrum, size)[:, 2 * reach : 2 * reach + out.shape[1]].T
+    return np.ascontiguousarray(out)
+
+
+def _smooth_size(n: int) -> int:
+    """The least product of powers of 2, 3 and 5 from n on: lengths that transform fast."""
+    best = 1 << max(0, n - 1).bit_length()
+    five = 1
+    while five < best:
+        three = five
+        while three < best:
+            two = three << max(0, -(-n // three) - 1).bit_length()
+            best, three = min(best, two), three * 3
+        five *= 5
+    return best
 
 
 def block_max(plane: np.ndarray) -> np.ndarray:
@@ -60,6 +76,12 @@ def zoom2(plane: np.ndarray) -> np.ndarray:
     return plane.repeat(2, axis=0).repeat(2, axis=1)
 
 
+def lists(batch: pa.RecordBatch, column: str) -> Iterator[np.ndarray | None]:
+    """Each row's list of numbers, without a copy and in its own type where no value is null; None for a null list."""
+    for value in batch.column(batch.schema.get_field_index(column)):
+        yield value.values.to_numpy(zero_copy_only=False) if value.is_valid else None
+
+
 def _on_planes(planes: DataFrame, kernel: Callable[[np.ndarray], np.ndarray], to: pa.DataType, spark_type: str) -> DataFrame:
     """kernel on the pixels of every row; other columns stay. No shuffle."""
     names = planes.columns

@@ -96,14 +96,15 @@ def display_frames(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""
-WITH {views.SMOOTH}, ids AS (SELECT min(particle) AS first, max(particle) AS last FROM smooth)
-SELECT movie_id, particle, count(*) AS n FROM smooth, ids WHERE particle IN (first, last) GROUP BY ALL
+WITH {views.SMOOTH}, ids AS (SELECT movie_id, min(particle) AS first, max(particle) AS last FROM smooth GROUP BY movie_id)
+SELECT movie_id, particle, count(*) AS n FROM smooth JOIN ids USING (movie_id) WHERE particle IN (first, last) GROUP BY ALL
 """
 )
 def chosen_tracks(spark: SparkSession, d: str) -> DataFrame:
+    """The first and the last track of each movie."""
     rows = _smoothed(spark, d)
-    ids = rows.agg(F.min("particle"), F.max("particle")).first()
-    return measure.chosen(rows, list(ids)).groupBy(*TRACK).agg(F.count("*").alias("n"))
+    ends = rows.groupBy("movie_id").agg(F.array(F.min("particle"), F.max("particle")).alias("ends"))
+    return measure.chosen(rows, ends.select("movie_id", F.explode("ends").alias("particle"))).groupBy(*TRACK).agg(F.count("*").alias("n"))
 
 
 @query(
@@ -356,9 +357,8 @@ FROM pixels WHERE label <> 0 GROUP BY ALL
 """
 )
 def masked_mean(spark: SparkSession, d: str) -> DataFrame:
-    at = images.pixels(views.labels(spark, d), "label").join(images.pixels(views.planes(spark, d), "v").drop("width"), [*PLANE, "r", "c"])
-    found = at.filter("label <> 0").groupBy(*PLANE, "label").agg(measure.masked_mean(F.col("v")).alias("signal"))
-    return rounded(found.withColumn("label", F.col("label").cast("long")), "signal")
+    found = measure.signals(views.labels(spark, d), views.planes(spark, d), scale=1)
+    return rounded(found.select(*PLANE, F.col("label").cast("long").alias("label"), "signal"), "signal")
 
 
 def _mean_sql(v: str, name: str) -> str:
@@ -567,18 +567,12 @@ def file_sheet(spark: SparkSession, d: str) -> DataFrame:
     return experiment.key_values(rows)
 
 
-@query(f"WITH {views.FILES} SELECT DISTINCT folder FROM files WHERE contains(folder, '_inference')")
+@query(f"WITH {views.FILES} SELECT DISTINCT home, folder FROM files WHERE contains(folder, '_inference')")
 def inference_folders(spark: SparkSession, d: str) -> DataFrame:
     return discovery.inference_folders(discovery.classified(views.files(spark, d)))
 
 
-@query(
-    f"""
-WITH {views.FILES}, masks AS (SELECT *, split_part(file, stub, 1) AS prefix FROM files WHERE contains(folder, '_inference') AND stub <> '')
-SELECT stub, prefix, min(path) FILTER (WHERE role = 'instance') AS instance, min(path) FILTER (WHERE role = 'semantic') AS semantic FROM masks
-GROUP BY ALL HAVING instance IS NOT NULL AND semantic IS NOT NULL
-"""
-)
+@query(f"WITH {views.FILES} SELECT * FROM movies")
 def movie_files(spark: SparkSession, d: str) -> DataFrame:
     return discovery.movies(discovery.classified(views.files(spark, d)))
 
@@ -586,12 +580,14 @@ def movie_files(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""
 WITH {views.FILES}
-SELECT stub, CASE WHEN ch = 'phs' THEN 'phase' ELSE ch END AS channel, path FROM files WHERE ch <> '' AND map = '' AND stub <> '' AND role = ''
-QUALIFY row_number() OVER (PARTITION BY stub, ch ORDER BY ends_with(path, '.tiff') DESC, path DESC) = 1
+SELECT movie_id, CASE WHEN ch = 'phs' THEN 'phase' ELSE ch END AS channel, path FROM movies m JOIN files f
+ON f.home = m.data_dir AND contains(f.file, m.stub || '_') WHERE ch <> '' AND map = '' AND role = ''
+QUALIFY row_number() OVER (PARTITION BY movie_id, ch ORDER BY ends_with(path, '.tiff') DESC, path DESC) = 1
 """
 )
 def channel_files(spark: SparkSession, d: str) -> DataFrame:
-    return discovery.channels(discovery.classified(views.files(spark, d)))
+    found = discovery.classified(views.files(spark, d))
+    return discovery.channels(found, discovery.movies(found))
 
 
 @query(

@@ -12,21 +12,33 @@ from trackloom.params import CellParams
 from trackloom.sources import sheets
 
 
+def regions_with_state(labels: DataFrame, states: DataFrame) -> DataFrame:
+    """The region table with the state at each region's centre. Regions come from the labels as they are; erosion is for
+    measuring alone."""
+    return regions.state_at_centre(regions.region_table(labels), states)
+
+
 def track(
     labels: DataFrame, states: DataFrame, p: CellParams, mode: str | None = None, radius: float | None = None,
     memory: int | None = None, scope: str = "global",
 ) -> DataFrame:
-    """Label and state planes -> tracks: regions of fit size are linked, short tracks go, states are read at the
-    centres and smoothed. Regions come from the labels as they are; erosion is for measuring alone."""
-    found = regions.area_filter(regions.region_table(labels), p.min_cell_size, p.max_cell_size)
-    linked = linking.link(found, linking.options(p, mode, radius, memory)).filter("particle is not null").drop("link_error")
-    kept = linking.stub_filter(linked, p.min_track_length)
-    return smoothing.smooth(regions.state_at_centre(kept, states), scope, p.min_track_length)
+    """Label and state planes -> tracks."""
+    return track_regions(regions_with_state(labels, states), p, mode, radius, memory, scope)
+
+
+def track_regions(
+    found: DataFrame, p: CellParams, mode: str | None = None, radius: float | None = None, memory: int | None = None,
+    scope: str = "global",
+) -> DataFrame:
+    """Regions with states -> tracks: regions of fit size are linked, short tracks go, states are smoothed."""
+    fit = regions.area_filter(found, p.min_cell_size, p.max_cell_size)
+    linked = linking.link(fit, linking.options(p, mode, radius, memory)).filter("particle is not null").drop("link_error")
+    return smoothing.smooth(linking.stub_filter(linked, p.min_track_length), scope, p.min_track_length)
 
 
 def measure_channel(
     tracks: DataFrame, labels: DataFrame, channel: DataFrame, name: str, p: CellParams, background: DataFrame | None = None,
-    intensity: DataFrame | None = None, ids: int | list[int] | None = None,
+    intensity: DataFrame | None = None, ids: int | list[int] | DataFrame | None = None,
 ) -> DataFrame:
     """tracks with the channel's signal and factors under eroded masks, for mitotic tracks or the given ones."""
     rows = measure.chosen(tracks, ids).select("movie_id", "frame", "label").distinct()

@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackloom import params, schemas
-from trackloom.operators import images, wells
+from trackloom.operators import images, measure, wells
 from trackloom.params import CHANNELS, CellParams
-from trackloom.plans import experiment
+from trackloom.plans import experiment, stacks
 from trackloom.sources import discovery, sheets, tiff
 
 Reader = Callable[[SparkSession, str, str], DataFrame]
@@ -22,8 +22,8 @@ Reader = Callable[[SparkSession, str, str], DataFrame]
 
 @dataclass
 class Run:
-    """movies: movie_id, stub, prefix, instance, semantic, home (the folder of the masks); tracks: all movies' rows with
-    the measured channels."""
+    """movies: movie_id (the path of the masks' folder with prefix and stub), stub, prefix, instance, semantic, home (the
+    folder of the masks), data_dir (that of the images); tracks: all movies' rows with the measured channels, kept."""
 
     movies: DataFrame
     tracks: DataFrame
@@ -31,42 +31,70 @@ class Run:
 
     def save(self, root: str) -> None:
         """Tracks, analysis and summary workbooks of every movie, in the folder of its masks."""
-        at_home = self.movies.select("movie_id", F.concat("home", F.lit("/"), "movie_id").alias("named"))
-        named = self.tracks.join(at_home, "movie_id").withColumn("movie_id", F.col("named")).drop("named")
-        files = self.movies.select(F.concat("home", F.lit("/"), "movie_id").alias("movie_id"), "instance", "semantic")
-        experiment.save_tracks(named, root)
-        experiment.save_analysis(named, files, self.p, root)
-        experiment.save_summary(named, files, self.p, root)
+        files = self.movies.select("movie_id", "instance", "semantic")
+        experiment.save_tracks(self.tracks, root)
+        experiment.save_analysis(self.tracks, files, self.p, root)
+        experiment.save_summary(self.tracks, files, self.p, root)
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    """rows, computed once: written to the folder in spark.checkpoint.dir where the session names one, else held in memory
+    and on the executors' disks."""
+    named = rows.sparkSession.conf.get("spark.checkpoint.dir", None) or rows.sparkSession.sparkContext.getCheckpointDir()
+    return rows.checkpoint() if named else rows.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def analyse(
     spark: SparkSession, root: str, cell_type: str = "hela", mode: str | None = None, radius: float | None = None,
-    memory: int | None = None, channels: tuple[str, ...] = CHANNELS, read: Reader = tiff.read_stacks,
+    memory: int | None = None, channels: tuple[str, ...] = CHANNELS, read: Reader | None = None,
 ) -> Run:
-    """Every movie below root: an _inference folder with instance and semantic masks, channel images of the same stub,
-    and the correction maps that apply to all movies. Channels without images are not measured."""
+    """Every movie below root: an _inference folder with instance and semantic masks, channel images of the same stub in the
+    folder above it, and the correction maps that apply to all movies. Channels without images are not measured; of those
+    that have some, only planes that hold a mitotic track are read.
+
+    Tasks open files at the offsets of the planes they need (`files.opened`). For a store that only Spark's readers open,
+    `read` reads whole stacks (`tiff.read_stacks`)."""
     p = params.for_cell_type(cell_type)
     found = discovery.files(spark, root)
-    movies = discovery.movies(found).select(
-        F.concat("prefix", "stub").alias("movie_id"), "stub", "prefix", "instance", "semantic",
-        F.regexp_replace("instance", "/[^/]*$", "").alias("home"),
-    )
-
-    def planes(pattern: str, files: DataFrame) -> DataFrame:
-        return read(spark, root, pattern).join(files, "path").drop("path")
-
-    labels, states = (planes(f"*{role}*.tif", movies.select("movie_id", F.col(role).alias("path"))) for role in ("instance", "semantic"))
-    tracks = experiment.track(labels, states, p, mode, radius, memory).persist(StorageLevel.MEMORY_AND_DISK)
+    movies = discovery.movies(found).persist()
+    if read is None:
+        regions = stacks.regions_with_state(movies)
+    else:
+        labels, states = (_planes(read, spark, root, f"*{role}*.tif", movies.select("movie_id", F.col(role).alias("path"))) for role in ("instance", "semantic"))
+        regions = experiment.regions_with_state(labels, states)
+    tracks = kept(experiment.track_regions(regions, p, mode, radius, memory))
+    images_of = discovery.channels(found, movies).persist()
     maps = {r["correction_map"]: r["path"] for r in discovery.correction_maps(found).collect()}  # two a channel at most
+    wanted = measure.chosen(tracks).select("movie_id", "frame", "label").distinct().persist()
     for channel in channels:
-        files = discovery.channels(found).filter(F.col("channel") == channel).join(movies.select("movie_id", "stub"), "stub").select("movie_id", "path")
-        if not files.isEmpty():
-            background, intensity = (
-                read(spark, maps[m], "*").drop("path") if (m := f"{channel}_{kind}_map") in maps else None for kind in ("background", "intensity")
-            )
+        files = images_of.filter(F.col("channel") == channel).select("movie_id", "path")
+        if files.isEmpty():
+            continue
+        of_channel = {k: maps.get(f"{channel}_{k}_map") for k in ("background", "intensity")}
+        if read is None:
+            measured = _signals(spark, movies, files, p, wanted, of_channel)
+        else:
+            background, intensity = (read(spark, path, "*").drop("path") if path else None for path in of_channel.values())
             intensity = intensity.drop("frame") if intensity is not None else None
-            tracks = experiment.measure_channel(tracks, labels, planes(f"*{channel}*.{{tif,tiff}}", files), channel, p, background, intensity)
-    return Run(movies, tracks, p)
+            measured = measure.signals(images.eroded(labels, p.erosion_radius), _planes(read, spark, root, f"*{channel}*.{{tif,tiff}}", files), background, intensity)
+        tracks = measure.with_channel(tracks, measured.join(wanted, ["movie_id", "frame", "label"], "left_semi"), channel)
+    return Run(movies, kept(tracks), p)
+
+
+def _planes(read: Reader, spark: SparkSession, root: str, pattern: str, files: DataFrame) -> DataFrame:
+    return read(spark, root, pattern).join(files, "path").drop("path")
+
+
+def _signals(spark: SparkSession, movies: DataFrame, files: DataFrame, p: CellParams, wanted: DataFrame, maps: dict[str, str | None]) -> DataFrame:
+    """Signals of the wanted regions' planes, by offsets. A map is one file for all movies: its planes' places are few."""
+    places = {k: tiff.plane_index(spark.createDataFrame([(path,)], "path string")) if path else None for k, path in maps.items()}
+    background = places["background"]
+    if background is not None:
+        background = background.select("frame", F.col("path").alias("background_path"), F.col("offset").alias("background_offset"))
+    intensity = places["intensity"].orderBy("frame").first() if places["intensity"] is not None else None
+    labels = stacks.index(movies.select("movie_id", F.col("instance").alias("path")), "labels")
+    plane = (intensity["path"], intensity["offset"]) if intensity is not None else None
+    return stacks.signals(labels, stacks.index(files, "channel"), p, wanted, background, plane)
 
 
 def create_correction_maps(spark: SparkSession, sources: dict[str, str], p: CellParams) -> list[str]:
@@ -78,7 +106,8 @@ def create_correction_maps(spark: SparkSession, sources: dict[str, str], p: Cell
         if kind is None:
             raise ValueError(f"{key!r} names neither an intensity nor a background map")
         folder, stem = os.path.dirname(path), os.path.splitext(os.path.basename(path))[0]
-        planes = tiff.read_stacks(spark, path).withColumn("movie_id", F.lit(stem)).drop("path")
+        file = spark.createDataFrame([(stem, path)], "movie_id string, path string")
+        planes = tiff.read_planes(stacks.spread(tiff.plane_index(file)))
         made = images.intensity_map(planes, p.gaussian_sigma).withColumn("frame", F.lit(0)) if kind == "intensity" else images.medianed(planes)
         file = f"{stem}_{kind}_map.tif"
         tiff.write_stacks(made.withColumn("file", F.lit(file)), folder, "float16" if kind == "intensity" else "int16")

@@ -192,21 +192,33 @@ def wellmap_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """path, folder, file of made-up images and masks: every other file lies in an inference folder."""
-    folder = F.when(F.col("id") % 2 == 0, F.col("folder")).otherwise(F.lit("images"))
-    rows = names(spark, sf_dir).select(
-        folder.alias("folder"), F.explode(F.array("image", F.replace("image", F.lit("other"), F.lit("semantic")))).alias("file"),
+    """path, home, file of made-up masks and images. Each name lies in two of three experiments, masks in an inference folder
+    there (every fourth has no semantic mask), images beside it; sites of three digits are cut short by the stub."""
+    made = names(spark, sf_dir).withColumn("e", F.explode(F.array(*map(F.lit, range(3))))).filter("(id + e) % 3 <> 0")
+    above, stem = F.concat(F.lit("/data/e"), F.col("e").cast("string")), F.replace("file", F.lit("_summary.xlsx"))
+    masks = F.concat_ws("/", above, "folder")
+    file = lambda home, name: F.struct(home.alias("home"), name.alias("file"))
+    listed = F.array(
+        file(masks, F.concat(stem, F.lit("_instance.tif"))), file(masks, F.when(F.col("id") % 4 > 0, F.concat(stem, F.lit("_semantic.tif")))),
+        file(above, F.col("image")), file(above, F.concat(F.lit("A01_s1_"), F.col("image"))),
     )
-    return rows.distinct().select(F.concat_ws("/", F.lit("/data"), "folder", "file").alias("path"), "folder", "file")
+    rows = made.select(F.inline(listed)).filter("file is not null").distinct()
+    return rows.select(F.concat_ws("/", "home", "file").alias("path"), "home", "file")
 
 
 FILES = (
     NAMES
     + f""",
-both_ AS (SELECT CASE WHEN id % 2 = 0 THEN folder ELSE 'images' END AS folder, unnest([image, replace(image, 'other', 'semantic')]) AS file FROM names),
-files AS (SELECT DISTINCT concat('/data/', folder, '/', file) AS path, folder, file,
-    regexp_extract(file, '{STUB}', 0) AS stub, regexp_extract(file, '{CHANNEL}') AS ch,
-    regexp_extract(file, '{MAP_KIND}') AS map, CASE WHEN ends_with(file, '.tif') THEN regexp_extract(file, '{MASK_ROLE}') ELSE '' END AS role FROM both_)"""
+made_ AS (SELECT *, '/data/e' || e AS above, replace(file, '_summary.xlsx', '') AS stem FROM names, range(3) t(e) WHERE (id + e) % 3 <> 0),
+listed_ AS (SELECT above || '/' || folder AS home, stem || '_instance.tif' AS file FROM made_
+  UNION SELECT above || '/' || folder, stem || '_semantic.tif' FROM made_ WHERE id % 4 > 0
+  UNION SELECT above, image FROM made_ UNION SELECT above, 'A01_s1_' || image FROM made_),
+files AS (SELECT concat(home, '/', file) AS path, home, split_part(home, '/', -1) AS folder, file, regexp_extract(file, '{CHANNEL}') AS ch,
+    regexp_extract(file, '{MAP_KIND}') AS map, CASE WHEN ends_with(file, '.tif') THEN regexp_extract(file, '{MASK_ROLE}') ELSE '' END AS role FROM listed_),
+pairs_ AS (SELECT home, min(file) FILTER (WHERE role = 'instance') AS i, min(file) FILTER (WHERE role = 'semantic') AS s FROM files WHERE contains(folder, '_inference') GROUP BY home),
+movies AS (SELECT concat(home, '/', split_part(i, regexp_extract(s, '{STUB}', 0), 1), regexp_extract(s, '{STUB}', 0)) AS movie_id, regexp_extract(s, '{STUB}', 0) AS stub,
+    split_part(i, regexp_extract(s, '{STUB}', 0), 1) AS prefix, concat(home, '/', i) AS instance, concat(home, '/', s) AS semantic, home, regexp_replace(home, '/[^/]*$', '') AS data_dir
+  FROM pairs_ WHERE i IS NOT NULL AND s IS NOT NULL AND regexp_extract(s, '{STUB}', 0) <> '')"""
 )
 
 #: Shares of an 8-pixel line's pixel c2 in the blurred pixel c, edges repeated.

@@ -1,49 +1,68 @@
-"""What lies under an experiment's root folder: a row per file, classified by name."""
+"""What lies under an experiment's root folder: a row per file, classified by name. A movie is an inference folder's pair
+of masks; its images lie in the folder above, whatever other experiments below the root are called."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackloom.functions import names
 
 
+def parent(path: Column) -> Column:
+    """The folder of a path, by its whole name."""
+    return F.regexp_replace(path, "/[^/]*$", "")
+
+
 def files(spark: SparkSession, root: str) -> DataFrame:
-    """path, folder, file, and what the names say: stub, prefix, role (instance, semantic), channel, correction_map."""
+    """path, home (its folder's path), folder (that folder's name), file, and what the names say: stub, prefix, role
+    (instance, semantic), channel, correction_map."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    parts = F.split("path", "/")
-    return classified(found.select("path", F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("file")))
+    return classified(found.select("path", parent(F.col("path")).alias("home"), F.element_at(F.split("path", "/"), -1).alias("file")))
 
 
 def classified(found: DataFrame) -> DataFrame:
+    """found: path, home, file."""
     file = F.col("file")
     image = file.endswith(".tif") | file.endswith(".tiff")
     kind = names.correction_map(file)
     return found.select(
-        "*", names.stub(file).alias("stub"), names.prefix(file).alias("prefix"), names.mask_role(file).alias("role"),
-        F.when(image & kind.isNull(), names.channel(file)).alias("channel"), kind.alias("correction_map"),
+        "path", "home", F.element_at(F.split("home", "/"), -1).alias("folder"), "file", names.stub(file).alias("stub"), names.prefix(file).alias("prefix"),
+        names.mask_role(file).alias("role"), F.when(image & kind.isNull(), names.channel(file)).alias("channel"), kind.alias("correction_map"),
     )
 
 
 def inference_folders(found: DataFrame) -> DataFrame:
-    return found.filter(names.is_inference(F.col("folder"))).select("folder").distinct()
+    """home, folder: each folder with results once."""
+    return found.filter(names.is_inference(F.col("folder"))).select("home", "folder").distinct()
 
 
 def movies(found: DataFrame) -> DataFrame:
-    """stub, prefix, instance, semantic: the first file by path of each role; movies that lack one are left out."""
-    of_role = lambda r: F.min(F.when(F.col("role") == r, F.col("path"))).alias(r)
-    return found.filter(
-        names.is_inference(F.col("folder")) & (F.col("stub") != "")
-    ).groupBy("stub", "prefix").agg(of_role("instance"), of_role("semantic")).dropna()
+    """movie_id, stub, prefix, instance, semantic, home, data_dir: a movie for each inference folder that has both masks,
+    the first file by path of each role. The semantic mask's name says well and site, what the instance mask's name holds
+    before them is the prefix. movie_id is the folder's path with prefix and stub; images are looked for in data_dir, the
+    folder above."""
+    of_role = lambda r: F.min(F.when(F.col("role") == r, F.struct("path", "file"))).alias(r)
+    pairs = found.filter(names.is_inference(F.col("folder"))).groupBy("home").agg(of_role("instance"), of_role("semantic")).dropna()
+    named = pairs.withColumn("stub", names.stub(F.col("semantic.file"))).filter("stub <> ''")
+    prefix = F.split_part(F.col("instance.file"), F.col("stub"), F.lit(1))
+    return named.select(
+        F.concat("home", F.lit("/"), prefix, "stub").alias("movie_id"), "stub", prefix.alias("prefix"), F.col("instance.path").alias("instance"),
+        F.col("semantic.path").alias("semantic"), "home", parent(F.col("home")).alias("data_dir"),
+    )
 
 
-def channels(found: DataFrame) -> DataFrame:
-    """stub, channel, path: the last image by path of each channel, .tiff after .tif."""
-    last = Window.partitionBy("stub", "channel").orderBy(F.desc(F.col("path").endswith(".tiff")), F.desc("path"))
-    images = found.filter((F.col("channel").isNotNull()) & (F.col("stub") != "") & F.col("role").isNull())
-    return images.withColumn("n", F.row_number().over(last)).filter("n = 1").select("stub", "channel", "path")
+def channels(found: DataFrame, of: DataFrame) -> DataFrame:
+    """movie_id, channel, path: for each of the movies `of` and each channel the last image by path, .tiff after .tif, in the
+    movie's data_dir whose name holds the movie's stub and an underscore: A2_s123 isn't A2_s12."""
+    images = found.filter(F.col("channel").isNotNull() & F.col("role").isNull()).select(
+        F.col("home").alias("lies_in"), "channel", "path", F.explode(F.array_distinct(names.stubs(F.col("file")))).alias("of_stub"),
+    )
+    last = F.max_by("path", F.struct(F.col("path").endswith(".tiff"), F.col("path")))
+    met = of.join(images, (F.col("data_dir") == F.col("lies_in")) & (F.col("stub") == F.col("of_stub")))
+    return met.groupBy("movie_id", "channel").agg(last.alias("path"))
 
 
 def correction_maps(found: DataFrame) -> DataFrame:
-    """correction_map, path: the last by path of each."""
+    """correction_map, path: the last by path of each. Maps apply to all movies below the root."""
     return found.filter("correction_map is not null").groupBy("correction_map").agg(F.max("path").alias("path"))

@@ -1,8 +1,11 @@
 """TIFF stacks: a row per plane in, a file per stack out.
 
 `read_stacks` goes through Spark's binaryFile source, so any store that Spark reads will do; a file is one task's work
-and at most 2 GB. `read_large_stacks` goes through a Python data source for folders that all executors mount: the driver
-follows each file's chain of planes, tasks get some planes each and read only these, so a file may have any size.
+and at most 2 GB. The other ways open files at offsets, in stores that tasks can open (`files.opened`), so a file may have
+any size: `plane_index` follows each file's chain of planes in a task and gives a small row per plane, which is filtered,
+joined and dealt like any other before `read_planes` (or `plans.stacks`) reads the planes that are left; the data source
+`tiff_stack` deals ranges of all planes to tasks. It doesn't take filters: Spark 4.1 keeps those that a Python source has
+taken for later reads of the same relation, so filters belong on an index. Planes leave as Arrow batches.
 
 Understood are classic and large files, strips and tiles, no compression, deflate, LZW and PackBits, horizontal
 differences, whole numbers of 8 to 64 bits and floats of 16 to 64, one sample per pixel, any number of planes. Anything
@@ -11,8 +14,6 @@ else is an error that names what is missing.
 
 from __future__ import annotations
 
-import glob
-import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -20,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-from trackloom.sources.files import FolderWriter
+from trackloom.sources.files import FolderWriter, listed, opened
 
 #: Fixed values of the format: tag numbers, bytes and codes of field types, array kinds of sample formats, compressions.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, OFFSETS, SAMPLES, ROWS, COUNTS, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS, FORMAT = 256, 257, 258, 259, 262, 273, 277, 278, 279, 317, 322, 323, 324, 325, 339
@@ -194,43 +196,135 @@ def read_stacks(spark: SparkSession, path: str | list[str], pattern: str = "*.{t
     return files.select("path", "content").mapInPandas(run, PLANES)
 
 
-def read_large_stacks(spark: SparkSession, path: str, planes_per_task: int = 16) -> DataFrame:
-    """path, frame, height, width, pixels of the files that `path`, a folder, a file or a glob that all executors see,
-    names; tasks read planes_per_task planes each."""
+#: Files whose chains of planes a task follows.
+FILES_PER_TASK = 8
+
+
+def plane_index(files: DataFrame) -> DataFrame:
+    """files (path and other columns) with a row for each plane: frame, and offset, where the plane's fields are. Only the
+    chain of planes is read, some bytes a plane, FILES_PER_TASK files a task."""
+    names, files = files.columns, files.persist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, path in enumerate(b.column("path").to_pylist()):
+                with opened(path) as f, _naming(path):
+                    offsets = list(directories(_from(f)))
+                row = [pa.repeat(b.column(c)[i], len(offsets)) for c in names]
+                yield pa.RecordBatch.from_arrays([*row, pa.array(range(len(offsets)), pa.int32()), pa.array(offsets, pa.int64())], names=[*names, "frame", "offset"])
+
+    dealt = files.repartition(max(1, -(-files.count() // FILES_PER_TASK)), "path")
+    return dealt.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in files.dtypes), "frame int, offset long"]))
+
+
+class _naming:
+    """Says in an error which file it is about."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __enter__(self) -> None:
+        pass
+
+    def __exit__(self, kind, e, _) -> None:
+        if isinstance(e, (ValueError, struct.error, zlib.error)):
+            raise ValueError(f"{self.path}: {e}") from e
+
+
+class PlaneReader:
+    """Planes by path and offset; keeps the file that was read last open."""
+
+    def __init__(self):
+        self.path, self.file = None, None
+
+    def plane(self, path: str, offset: int) -> np.ndarray:
+        if path != self.path:
+            self.close()
+            self.path, self.file = path, opened(path)
+        with _naming(path):
+            order, large, _ = _header(_from(self.file))
+            return plane(_from(self.file), offset, order, large)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+        self.path = self.file = None
+
+    def __enter__(self) -> PlaneReader:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def as_list(plane: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    """A list of the plane's pixels."""
+    values = pa.array(np.ascontiguousarray(plane, plane.dtype.newbyteorder("=")).reshape(-1))
+    return pa.ListArray.from_arrays(pa.array([0, plane.size], pa.int32()), values.cast(kind))
+
+
+#: Spark's names of pixels' types.
+PIXELS = {"double": pa.float64(), "float": pa.float32(), "int": pa.int32(), "smallint": pa.int16(), "bigint": pa.int64()}
+
+
+def read_planes(index: DataFrame, pixels: str = "double") -> DataFrame:
+    """index (path, offset and other columns) with height, width and pixels in place of path and offset."""
+    names = [c for c in index.columns if c not in ("path", "offset")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with PlaneReader() as reader:
+            for b in batches:
+                for i, (path, offset) in enumerate(zip(b.column("path").to_pylist(), b.column("offset").to_pylist())):
+                    p = reader.plane(path, offset)
+                    size = [pa.array([n], pa.int32()) for n in p.shape]
+                    yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, 1) for c in names), *size, as_list(p, PIXELS[pixels])], names=[*names, "height", "width", "pixels"])
+
+    kinds = dict(index.dtypes)
+    return index.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in names), f"height int, width int, pixels array<{pixels}>"]))
+
+
+def read_large_stacks(spark: SparkSession, path: str, planes_per_task: int = 16, pixels: str = "double") -> DataFrame:
+    """path, frame, height, width, pixels of the files that `path`, a folder, a file or a glob that tasks can open, names;
+    tasks read about planes_per_task planes each (judged by the files' sizes and their first plane)."""
     spark.dataSource.register(TiffStacks)
-    return spark.read.format("tiff_stack").option("planes_per_task", planes_per_task).load(path)
+    return spark.read.format("tiff_stack").option("planes_per_task", planes_per_task).option("pixels", pixels).load(path)
 
 
 @dataclass
 class _Planes(InputPartition):
+    """The planes of one of `parts` equal parts of a file."""
+
     path: str
-    first: int
-    offsets: tuple[int, ...]
+    part: int
+    parts: int
 
 
 class _TiffReader(DataSourceReader):
-    def __init__(self, path: str, planes_per_task: int):
-        path = path.removeprefix("file:")
-        self.paths = sorted(
-            f for f in glob.glob(os.path.join(path, "**") if os.path.isdir(path) else path, recursive=True) if f.endswith((".tif", ".tiff"))
-        )
-        self.planes_per_task = planes_per_task
+    def __init__(self, path: str, planes_per_task: int, pixels: str):
+        self.path, self.planes_per_task, self.pixels = path, planes_per_task, pixels
 
     def partitions(self) -> list[_Planes]:
+        """Names and sizes are all that is looked at here, and each file's first plane's fields."""
         found = []
-        for path in self.paths:
-            with open(path, "rb") as f:
-                offsets = tuple(directories(_from(f)))
-            found += [_Planes(path, i, offsets[i : i + self.planes_per_task]) for i in range(0, len(offsets), self.planes_per_task)]
+        for path, size in listed(self.path, (".tif", ".tiff")):
+            with opened(path) as f, _naming(path):
+                chain = directories(_from(f))
+                first, second = next(chain, None), next(chain, None)
+            about = 1 if second is None else max(1, size // max(1, abs(second - first)))
+            parts = -(-about // self.planes_per_task)
+            found += [_Planes(path, k, parts) for k in range(parts)]
         return found
 
-    def read(self, partition: _Planes) -> Iterator[tuple]:
-        with open(partition.path, "rb") as f:
+    def read(self, partition: _Planes) -> Iterator[pa.RecordBatch]:
+        with opened(partition.path) as f, _naming(partition.path):
             read = _from(f)
             order, large, _ = _header(read)
-            for i, at in enumerate(partition.offsets):
-                p = plane(read, at, order, large)
-                yield partition.path, partition.first + i, p.shape[0], p.shape[1], p.astype(np.float64).reshape(-1).tolist()
+            offsets = list(directories(read))
+            begin, end = (len(offsets) * k // partition.parts for k in (partition.part, partition.part + 1))
+            for frame in range(begin, end):
+                p = plane(read, offsets[frame], order, large)
+                row = [pa.array([partition.path]), *(pa.array([n], pa.int32()) for n in (frame, *p.shape)), as_list(p, PIXELS[self.pixels])]
+                yield pa.RecordBatch.from_arrays(row, names=["path", "frame", "height", "width", "pixels"])
 
 
 def _from(f) -> Read:
@@ -244,17 +338,18 @@ def _from(f) -> Read:
 class TiffStacks(DataSource):
     """spark.read.format("tiff_stack").load(path), and df.write.format("tiff_stack").mode("append").save(folder) of rows
     (file, frame, height, width, pixels) with all rows of a file in one partition (see `write_stacks`). Folders must be
-    ones that all executors share. Option dtype: the pixels' numpy type."""
+    ones that tasks can open (`files.opened`). Options: pixels, Spark's type of the pixels read; dtype, the numpy type of
+    those written."""
 
     @classmethod
     def name(cls) -> str:
         return "tiff_stack"
 
     def schema(self) -> str:
-        return PLANES
+        return PLANES.replace("array<double>", f"array<{self.options.get('pixels', 'double')}>")
 
     def reader(self, schema) -> DataSourceReader:
-        return _TiffReader(self.options["path"], int(self.options.get("planes_per_task", 16)))
+        return _TiffReader(self.options["path"], int(self.options.get("planes_per_task", 16)), self.options.get("pixels", "double"))
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
         return _TiffWriter(self.options["path"], self.options.get("dtype", "float32"))
