@@ -8,8 +8,10 @@ matrix product a batch, which for shards of this size costs less than searching
 these a node keeps neighbours by the diversity rule, as do nodes that get links back. Searches go down the layers for
 many queries at once: one step opens the nearest unopened nodes of all of them.
 
-A shard has up to SHARD_NODES nodes, so that the number of visits, queries times shards, stays far below queries times
-vectors. The graphs are written to the shared folder as flat arrays, a row per shard. Queries come in blocks of bounded
+A shard has up to SHARD_NODES nodes, fewer if their vectors hold over SHARD_BYTES, so that the number of visits, queries
+times shards, stays far below queries times vectors. Its graph sees vectors in single precision, less the shard's median in
+each dimension and divided by their usual size, both in double precision first: distances keep their order wherever the
+vectors lie. The graphs are written to the shared folder as flat arrays, a row per shard. Queries come in blocks of bounded
 size, each block visits each shard, and the nearest of all shards are ranked by exact distances in double precision.
 
 Defined results: vectors that are null, zero, of another length than most, or that hold a null or a non-finite
@@ -33,7 +35,9 @@ from pyspark.sql import functions as F
 
 from trackloom.llm.common import written
 
-SHARD_NODES = 1 << 15
+SHARD_NODES, SHARD_BYTES = 1 << 15, 32 << 20
+#: Times the usual size beyond which components count as that far.
+FARTHEST = 1e15
 QUERY_BLOCK = 1 << 16
 LINKS = 16
 BUILD_WIDTH = 48
@@ -224,12 +228,13 @@ def nearest(
     ranked = good.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).filter(F.col("r") <= k + 1)
     nodes = written(ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann-nodes")
     asked = written(good.filter(queries).select("vec_id", "v", F.xxhash64("vec_id", "v").alias("query")), "ann-queries")
-    shards, blocks = max(1, -(-nodes.count() // shard_nodes)), max(1, -(-asked.count() // query_block))
+    nodes_each = max(1, min(shard_nodes, SHARD_BYTES // (8 * max(1, size["n"] if size else 1))))
+    shards, blocks = max(1, -(-nodes.count() // nodes_each)), max(1, -(-asked.count() // query_block))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
     graphs = written(
         dealt.groupBy("shard").applyInPandas(
             _pack_shard,
-            "shard int, dim int, kind string, vectors binary, ids binary, id_ends binary, layers array<binary>, widths array<int>",
+            "shard int, dim int, kind string, centre binary, scale double, vectors binary, ids binary, id_ends binary, layers array<binary>, widths array<int>",
         ),
         "ann-graphs",
     )
@@ -252,18 +257,25 @@ def nearest(
 def _pack_shard(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.assign(first=[int(i[0]) for i in rows["ids"]]).sort_values("first")
     exact = np.stack(rows["v"].to_list()).astype(np.float64)
-    single = exact.astype(np.float32)
-    graph, order = build(single)
-    if (single == exact).all():  # the components were floats: half the bytes, nothing lost
-        exact = single
+    centre = np.median(exact, axis=0)
+    scale = float(np.median(np.abs(exact - centre).max(axis=1))) or 1.0
+    graph, order = build(_placed(exact, centre, scale))
+    if (exact.astype(np.float32) == exact).all():  # the components were floats: half the bytes, nothing lost
+        exact = exact.astype(np.float32)
     ids = [np.asarray(rows["ids"].iloc[i], np.int64) for i in order]
     return pd.DataFrame({
-        "shard": rows["shard"].iloc[:1].to_list(), "dim": [exact.shape[1]], "kind": [exact.dtype.str], "vectors": [exact[order].tobytes()],
+        "shard": rows["shard"].iloc[:1].to_list(), "dim": [exact.shape[1]], "kind": [exact.dtype.str], "centre": [centre.tobytes()], "scale": [scale], "vectors": [exact[order].tobytes()],
         "ids": [np.concatenate(ids).astype("<i8").tobytes()], "id_ends": [np.cumsum([len(i) for i in ids]).astype("<i8").tobytes()],
         "layers": [[x.astype("<i4").tobytes() for x in graph.layers]], "widths": [[x.shape[1] for x in graph.layers]],
     })
 
 
+def _placed(vectors: np.ndarray, centre: np.ndarray, scale: float) -> np.ndarray:
+    """The vectors as the graph sees them."""
+    with np.errstate(over="ignore"):
+        return np.clip((vectors.astype(np.float64) - centre) / scale, -FARTHEST, FARTHEST).astype(np.float32)
+
+
 def _search_shard(row: pd.DataFrame, asked: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
     """query, query_id, vec_id, score: of each query the k nearest found, ids of equal vectors each."""
     none = pd.DataFrame({"query": np.zeros(0, np.int64), "query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
@@ -273,12 +285,13 @@ def _search_shard(row: pd.DataFrame, asked: pd.DataFrame, k: int, width: int) ->
     exact = np.frombuffer(g["vectors"], g["kind"]).reshape(-1, int(g["dim"]))
     ids, ends = np.frombuffer(g["ids"], "<i8"), np.frombuffer(g["id_ends"], "<i8")
     sizes = np.diff(ends, prepend=0)
-    graph = Graph(np.ascontiguousarray(exact, np.float32), [np.frombuffer(x, "<i4").reshape(-1, w) for x, w in zip(g["layers"], g["widths"])])
+    centre, scale = np.frombuffer(g["centre"]), float(g["scale"])
+    graph = Graph(_placed(exact, centre, scale), [np.frombuffer(x, "<i4").reshape(-1, w) for x, w in zip(g["layers"], g["widths"])])
     out = [none]
     for at in range(0, len(asked), SIDE_BY_SIDE):
         part = asked.iloc[at : at + SIDE_BY_SIDE]
         q, own = np.stack(part["v"].to_list()).astype(np.float64), part["vec_id"].to_numpy(np.int64)
-        nodes, _ = graph.search(q.astype(np.float32), max(width, k + 1))
+        nodes, _ = graph.search(_placed(q, centre, scale), max(width, k + 1))
         of, column = np.nonzero(nodes >= 0)
         node = nodes[of, column]
         far = np.sqrt(((exact[node].astype(np.float64) - q[of]) ** 2).sum(1))

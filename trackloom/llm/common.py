@@ -87,21 +87,25 @@ def crc_bucket(doc_id: Column, n: int) -> Column:
 
 
 def bounded_sample(df: DataFrame, key: str, n: int, by: str | None = None, most_values: int = 256) -> DataFrame:
-    """(key, by): at most n keys with their least `by`, those with the smallest hash of the key (ties by the key
-    itself): the same on every run. With `by`, at most n for each of its most_values most frequent values. Counts say
-    first which hashes can be among them, so no task meets many more than n rows of a value, and only those are grouped."""
+    """(key, by): at most n distinct keys with their least `by`, those with the smallest hash of the key (ties by the key
+    itself): the same on every run, however often a key repeats. With `by`, an equal part of n, one key at least, for each
+    of its most_values most frequent values, of which at most n are kept. Counts of distinct keys say first which hashes
+    can be among them, so no task meets many more rows of a value than it keeps."""
     digest = F.md5(F.col(key).cast("string"))
     hashed = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(16.0**8)
+    share = lambda of, rows: (1.5 * of + 6 * of**0.5 + 30) / max(1, rows) + 1e-6  # noqa: E731  fewer than `of` hashes below it: never
     if by is None:
-        near = df.filter(hashed < 1.5 * n / max(1, df.count()) + 1e-6).select(key).distinct()
-        return near.orderBy(digest, F.col(key)).limit(n)
-    counts = df.groupBy(by).count().orderBy(F.desc("count"), by).limit(most_values).collect()
+        keys = df.select(key).distinct()
+        return keys.filter(hashed < share(n, keys.count())).orderBy(digest, F.col(key)).limit(n)
+    keys = df.groupBy(key).agg(F.min(by).alias(by))
+    counts = keys.groupBy(by).count().orderBy(F.desc("count"), by).limit(min(n, most_values)).collect()
     if not counts:
         return df.select(key, by).limit(0)
-    shares = F.create_map(*[F.lit(x) for r in counts for x in (r[0], 1.5 * n / r[1] + 1e-6)])
-    near = df.filter(hashed < F.element_at(shares, F.col(by))).groupBy(key).agg(F.min(by).alias(by))
+    each = max(1, n // len(counts))
+    shares = F.create_map(*[F.lit(x) for r in counts for x in (r[0], share(each, r[1]))])
+    near = keys.filter(hashed < F.element_at(shares, F.col(by)))
     ranked = near.withColumn("nth__", F.row_number().over(Window.partitionBy(by).orderBy(digest, F.col(key))))
-    return ranked.filter(F.col("nth__") <= n).drop("nth__")
+    return ranked.filter(F.col("nth__") <= each).drop("nth__")
 
 
 def labelled_texts(docs: DataFrame, picked: DataFrame) -> DataFrame:

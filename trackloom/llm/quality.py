@@ -196,10 +196,16 @@ def learn(
 
 
 def _by_chance(right: int, covered: int, share: float) -> float:
-    """How probably `right` or more of the covered documents are rejected ones if each is with the share's probability."""
-    return sum(
-        math.comb(covered, k) * share**k * (1 - share) ** (covered - k) for k in range(right, covered + 1)
-    ) if covered < 1000 else float(right <= share * covered)
+    """How probably `right` or more of the covered documents are rejected ones if each is with the share's probability: the
+    binomial tail, its terms as logarithms, so that it is the same sum at every size."""
+    if right <= 0 or share >= 1:
+        return 1.0
+    if share <= 0 or right > covered:
+        return 0.0
+    k = np.arange(right, covered + 1)
+    of = np.array([math.lgamma(i + 1) for i in range(covered + 1)])
+    terms = of[covered] - of[k] - of[covered - k] + k * math.log(share) + (covered - k) * math.log1p(-share)
+    return float(min(1.0, np.exp(terms - terms.max()).sum() * math.exp(terms.max())))
 
 
 def _grow(x: pd.DataFrame, y: np.ndarray, names: list[str], max_conditions: int, thresholds: int) -> tuple[Condition, ...]:

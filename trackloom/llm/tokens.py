@@ -2,8 +2,8 @@
 
 A space between two characters that are no white space always begins a new pre-token, so the pieces between such spaces
 can be encoded apart and their ids joined: the ids equal those of the whole text. Words repeat, so a worker encodes a
-piece once for a slice of documents, and keeps the pieces seen first for later slices (up to CACHE_BYTES). New pieces
-are encoded many in one string, each behind its space; as a token stands for a fixed number of bytes, running sums of
+piece once for a slice of documents, and keeps pieces that it meets in a second slice for later ones (up to CACHE_BYTES);
+a table of hashes says what was met before, so that words met once don't take the room. New pieces are encoded many in one string, each behind its space; as a token stands for a fixed number of bytes, running sums of
 bytes say which ids are whose.
 
 The library cuts texts at the tokenizer's added tokens (such as its end-of-text mark) before anything else. A text that
@@ -21,7 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes that a worker's known pieces may take, and what a piece takes besides its characters and ids.
-CACHE_BYTES, PIECE_BYTES = 48 << 20, 160
+CACHE_BYTES, PIECE_BYTES = 40 << 20, 190
+#: Hashes that a worker can tell apart of the pieces it has met.
+MET = 1 << 22
 JOINED = 512
 AT_ONCE = 16
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -50,6 +52,7 @@ class Encoder:
             self.token_bytes[i] = len(token)
         self.known: dict[str, int] = {}
         self.known_bytes = 0
+        self.met = np.zeros(MET, bool)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 14, np.int64)
 
@@ -153,9 +156,12 @@ class Encoder:
         where = np.fromiter(map(known.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
         missing = np.flatnonzero(where < 0)
         room = max(0, CACHE_BYTES - self.known_bytes)
-        sizes = np.cumsum([PIECE_BYTES + 2 * len(pieces[i]) for i in missing]) if room else np.zeros(0)
+        at = np.fromiter((hash(pieces[i]) for i in missing.tolist()), np.int64, len(missing)) & (MET - 1)
+        again, new = missing[self.met[at]], missing[~self.met[at]]
+        self.met[at] = True
+        sizes = np.cumsum([PIECE_BYTES + 2 * len(pieces[i]) for i in again]) if room else np.zeros(0)
         if fit := int(np.searchsorted(sizes, room, "right")):
-            learn, missing = missing[:fit], missing[fit:]
+            learn, missing = again[:fit], np.concatenate([again[fit:], new])
             self._learn([pieces[i] for i in learn])
             self.known_bytes += int(sizes[fit - 1])
             where[learn] = np.arange(len(known) - len(learn), len(known))
