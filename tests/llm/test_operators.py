@@ -281,7 +281,7 @@ def test_language_network_byte_by_byte():
 
 def test_language_sample_is_even(spark):
     table = docs(spark, ["text"] * 400, langs={i: "rare" if i in (7, 300) else "de" if i % 4 == 0 else "en" for i in range(400)})
-    picked = common.bounded_sample(table.union(table), "doc_id", 10, "lang").collect()
+    picked = common.bounded_sample(table.union(table), "doc_id", 30, "lang").collect()
     assert Counter(x.lang for x in picked) == {"en": 10, "de": 10, "rare": 2} and len({x.doc_id for x in picked}) == 22
     rows = common.labelled_texts(
         table.union(table), spark.createDataFrame([(7, "rare"), (9, "en"), (9999, "en")], "doc_id long, lang string"),
@@ -804,8 +804,10 @@ def test_urls(spark, shard_bytes):
 
 @pytest.mark.parametrize("shards", [1, 3])
 def test_cascade_is_exact(spark, shards):
-    keys = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 10 == 0).alias("listed"))
-    rows = url_filter._hashes(keys).collect()
+    hosts = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("host"), (F.col("id") % 10 == 0).alias("listed"))
+    keys = url_filter.universe(hosts, hosts.filter("listed")).cache()
+    rows = keys.collect()
+    assert len(rows) == 4000
     h1, h2 = (np.array([x[n] for x in rows], np.int64).view(np.uint64) for n in ("h1", "h2"))
     want = np.array([x.listed for x in rows])
     cascades = list(url_filter.build(keys, shards))

@@ -7,8 +7,9 @@ Kinds, leftmost and non-overlapping each:
   entropy runs of 20 or more of [A-Za-z0-9+/_=-] in which a window of 20 characters reaches the Shannon entropy its
           character class asks for. Counts are kept from window to window: one character enters, one leaves, and the
           entropy changes by their two terms. Spans of the other kinds, and segments between '/' or '=' that name a
-          placeholder, are cut out of a run; each part of 20 or more that stays is scanned by itself. Letters only, as
-          in words and paths, must reach a higher entropy.
+          placeholder, are cut out of a run, and so are plain segments (words, camel case, numbers, a word or unit with
+          a number) at the ends of what is left, or everywhere if they make up half of it, as in paths, dates and
+          identifiers; each part of 20 or more that stays is scanned by itself. Letters only must reach a higher entropy.
 
 Offsets count code points, ends are exclusive. Defined results: a null or empty text has no spans (base_sha256 is that
 of the empty string); very long texts are scanned whole; spans that begin together are ordered as the kinds above; null
@@ -49,6 +50,9 @@ ALLOWED = (re.compile(r"[0-9_=/+-]+\Z"), re.compile(r"(.)\1*\Z"))
 LETTERS, ONE_CASE, BOTH_CASES = re.compile(r"[A-Za-z_=/+-]+\Z"), 3.9, 4.0
 #: Segments with such a word are placeholders.
 SEGMENT, PLACEHOLDER = re.compile(r"[^/=]+"), re.compile(r"example|sample|placeholder|changeme|dummy", re.IGNORECASE)
+#: Between separators. Words and numbers are plain, and so are numbers with a word or unit before, behind or between them.
+TOKEN = re.compile(r"[A-Za-z0-9]+")
+PLAIN = re.compile(r"[0-9]+\Z|(?=.{2,19}\Z)(?:[A-Z]?[a-z]{2,18}|[A-Z]{2,18}){1,4}\Z|[A-Za-z]\Z|(?:[A-Z]?[a-z]{1,12}|[A-Z]{1,6})[0-9]{1,4}\Z|[0-9]{1,8}(?:[a-z]{1,4}|[A-Z]{1,3})(?:[0-9]{1,6}[A-Za-z]?)?\Z")
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]  # one enters before one leaves
 
 
@@ -84,16 +88,33 @@ def is_random(s: str) -> bool:
 
 
 def parts(run: str, cuts: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """What the cuts (sorted) and the placeholder segments leave of a run, if it fills a window."""
+    """What the cuts (sorted), the placeholder segments and the plain ones leave of a run, if it fills a window."""
     if PLACEHOLDER.search(run):
         cuts = sorted(cuts + [m.span() for m in SEGMENT.finditer(run) if PLACEHOLDER.search(m[0])])
     begin = 0
     for s, e in [*cuts, (len(run), len(run))]:
         if s - begin >= WINDOW:
-            yield begin, s
+            yield from _unplain(run, begin, s)
         begin = max(begin, e)
 
 
+def _unplain(run: str, begin: int, end: int) -> Iterator[tuple[int, int]]:
+    """The stretches of run[begin:end] between plain segments, or from the first segment to the last that isn't plain."""
+    found = [(m.start(), m.end(), PLAIN.match(m[0]) is not None) for m in TOKEN.finditer(run, begin, end)]
+    plain = sum(e - s for s, e, p in found if p)
+    stretches: list[tuple[int, int]] = []
+    open_ = False
+    for s, e, p in found:
+        if not p:
+            stretches[-1:] = [(stretches[-1][0], e)] if open_ else [*stretches[-1:], (s, e)]
+        open_ = not p
+    if not plain:
+        stretches = [(begin, end)]
+    elif stretches and 2 * plain < sum(e - s for s, e, _ in found):
+        stretches = [(begin if not found[0][2] else stretches[0][0], end if not found[-1][2] else stretches[-1][1])]
+    yield from ((s, e) for s, e in stretches if e - s >= WINDOW)
+
+
 def find(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of every span, sorted."""
     spans = []

@@ -6,14 +6,15 @@ in, and so on until a level has none left. A key is listed if the first level th
 (levels from 1), or if it passes them all and their number is odd. For every key of the universe this is exact, and a
 row needs no join.
 
-The universe is every host of the corpus and all its parent domains, distinct. The filters are built by Spark: bit
-positions per key, or-ed into words by groupBy. Their size follows the listed keys that occur in the corpus, under two
+The universe is every host of the corpus and all its parent domains, distinct. A key is two 64-bit hashes, each chained over
+the host's labels from the last to the first, so that a host gives all its parents' keys in one pass over its bytes, however
+many labels it has. The filters are built by Spark: bit positions per key, or-ed into words by groupBy. Their size follows the listed keys that occur in the corpus, under two
 bytes each over all levels. Keys are dealt by hash to as many shards as keep a shard's cascade under `shard_bytes`; the
 cascades are built and broadcast one after the other, each in a pass over the rows that asks it for its own keys. So a
 broadcast is bounded, rows are never shuffled, and a host that a third of all rows share is no hot key.
 
 Defined results: a null url, or one without "://", has an empty host and path, fits no rule and is not listed; very long
-urls are read whole; of rules of one length that fit the first given wins; repeated rows are each judged; an empty table
+urls, and hosts of very many labels, are read whole; a null page_id stays null; of rules of one length that fit the first given wins; repeated rows are each judged; an empty table
 gives an empty result; other columns, whatever their names, are ignored.
 """
 
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,10 +69,44 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, C
     return name, verdict
 
 
-def domains(host: Column) -> Column:
-    """The host and its parents: a.b.c -> [a.b.c, b.c, c]."""
-    labels = F.split(host, r"\.")
-    return F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
+def domain_keys(host: str) -> list[tuple[int, int]]:
+    """The keys of a host's top domain, of the domains below it, and of the host itself last."""
+    out, h1, h2 = [], *SEEDS
+    for label in reversed(host.encode().split(b".")):
+        h1, h2 = xxhash.xxh64_intdigest(label, h1), xxhash.xxh64_intdigest(label, h2)
+        out.append((h1, h2))
+    return out
+
+
+#: Where the two chains of hashes begin.
+SEEDS = (42, 7)
+
+
+def _keys_of(hosts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(h1, h2, how many keys each host has) of hosts, each different one hashed once."""
+    coded = hosts.dictionary_encode()
+    found = [domain_keys(h) for h in coded.dictionary.to_pylist()]
+    sizes = np.array([len(f) for f in found], np.int64)
+    flat = np.array([k for f in found for k in f], np.uint64).reshape(-1, 2)
+    of = coded.indices.to_numpy()
+    n, begin = sizes[of], (np.cumsum(sizes) - sizes)[of]
+    at = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+    return flat[at, 0], flat[at, 1], n
+
+
+def hashed_domains(hosts: DataFrame, whole: bool = False) -> DataFrame:
+    """h1, h2: the keys of the hosts and their parents, or of the hosts alone if `whole`; repeated ones may be left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                h1, h2, n = _keys_of(b.column("host").slice(at, 4096))
+                if whole:
+                    h1, h2 = (h[np.cumsum(n) - 1] for h in (h1, h2))
+                keys = np.unique(np.stack([h1, h2], axis=1), axis=0) if len(h1) else np.zeros((0, 2), np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(keys[:, i]).view(np.int64)) for i in (0, 1)], names=["h1", "h2"])
+
+    return hosts.select("host").filter("host is not null").mapInArrow(run, "h1 long, h2 long")
 
 
 class Cascade:
@@ -106,14 +142,6 @@ def _position(h1: np.ndarray, h2: np.ndarray, level: int, j: int, m: int) -> np.
     return ((mixed >> np.uint64(16)) % np.uint64(m)).astype(np.int64)
 
 
-#: Two independent hashes of a key.
-HASHES = (lambda key: F.xxhash64(key), lambda key: F.xxhash64(key, F.lit(7)))
-
-
-def _hashes(keys: DataFrame) -> DataFrame:
-    return keys.select("*", *[h(F.col("key")).alias(n) for n, h in zip(("h1", "h2"), HASHES)])
-
-
 def _level_size(n: int, level: int, false_positive_rate: float) -> tuple[int, int]:
     """(bits, hashes) of a level of n keys; all levels but the first pass half of the others on."""
     rate = false_positive_rate if level == 0 else 0.5
@@ -131,10 +159,9 @@ def holds(cascades: list[Cascade], h1: np.ndarray, h2: np.ndarray) -> np.ndarray
 
 
 def build(keys: DataFrame, shards: int = 1, false_positive_rate: float = 0.02) -> Iterator[Cascade]:
-    """The cascades over `keys` (key, listed), the distinct keys of the universe, shard by shard. Each level is one pass
+    """The cascades over `keys` (h1, h2, listed), the distinct keys of the universe, shard by shard. Each level is one pass
     over the shard's keys that passed all levels before it; only its bit words come to the driver."""
-    spark = keys.sparkSession
-    hashed = written(_hashes(keys).select("h1", "h2", "listed"), "url-keys")
+    spark, hashed = keys.sparkSession, keys.select("h1", "h2", "listed")
     for shard in range(shards):
         levels: list[tuple[int, int, np.ndarray]] = []
         while True:
@@ -182,11 +209,11 @@ def _bit_words(batches: Iterator[pa.RecordBatch], level: int, n_hashes: int, m:
 
 
 def universe(hosts: DataFrame, listed: DataFrame) -> DataFrame:
-    """(key, listed): every host of the corpus and its parents, once."""
-    seen = hosts.select("host").distinct().select(F.explode(domains(F.col("host"))).alias("key")).distinct()
+    """(h1, h2, listed): every host of the corpus and its parents, once."""
+    seen = hashed_domains(hosts.select("host").distinct()).distinct()
     return seen.join(
-        listed.select(F.col("host").alias("key"), F.lit(True).alias("in_list")).distinct(), "key", "left",
-    ).select("key", F.coalesce("in_list", F.lit(False)).alias("listed"))
+        hashed_domains(listed, whole=True).distinct().withColumn("in_list", F.lit(True)), ["h1", "h2"], "left",
+    ).select("h1", "h2", F.coalesce("in_list", F.lit(False)).alias("listed"))
 
 
 def judge(pages: DataFrame, listed: DataFrame | None = None, rules: tuple = RULES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -202,8 +229,7 @@ def judge(pages: DataFrame, listed: DataFrame | None = None, rules: tuple = RULE
         if shard:  # a broadcast at a time
             judged = written(judged, "url-judged")
         shared = spark.sparkContext.broadcast(cascade)
-        hashed = judged.select("*", *[F.transform(domains(F.col("host")), h).alias(n) for n, h in zip(("h1", "h2"), HASHES)])
-        judged = hashed.mapInArrow(
+        judged = judged.mapInArrow(
             lambda b, shared=shared, shard=shard: _ask(b, shared.value, shard, shards),
             "page_id long, host string, path string, listed boolean",
         )
@@ -215,18 +241,19 @@ def judge(pages: DataFrame, listed: DataFrame | None = None, rules: tuple = RULE
 
 
 def _ask(batches: Iterator[pa.RecordBatch], cascade: Cascade, shard: int, shards: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        h1, h2 = (b.column(n).flatten().to_numpy().view(np.uint64) for n in ("h1", "h2"))
-        own = np.flatnonzero(h1 % np.uint64(shards) == shard)
-        hit = np.zeros(len(h1), np.int64)
-        hit[own] = cascade.holds(h1[own], h2[own])
-        hits = np.concatenate([[0], np.cumsum(hit)])
-        ends = np.cumsum(b.column("h1").value_lengths().to_numpy())
-        any_hit = np.diff(hits[np.concatenate([[0], ends])]) > 0
-        yield pa.RecordBatch.from_arrays(
-            [b.column("page_id"), b.column("host"), b.column("path"), pa.array(any_hit | b.column("listed").to_numpy(zero_copy_only=False))],
-            names=["page_id", "host", "path", "listed"],
-        )
+    for whole in batches:
+        for at in range(0, whole.num_rows, 4096):
+            b = whole.slice(at, 4096)
+            h1, h2, n = _keys_of(b.column("host"))
+            own = np.flatnonzero(h1 % np.uint64(shards) == shard)
+            hit = np.zeros(len(h1), np.int64)
+            hit[own] = cascade.holds(h1[own], h2[own])
+            hits, ends = np.concatenate([[0], np.cumsum(hit)]), np.cumsum(n)
+            any_hit = hits[ends] > hits[ends - n]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("page_id"), b.column("host"), b.column("path"), pa.array(any_hit | b.column("listed").to_numpy(zero_copy_only=False))],
+                names=["page_id", "host", "path", "listed"],
+            )
 
 
 def _oracle() -> str:
