@@ -22,9 +22,13 @@ def complete(xy: DataFrame) -> DataFrame:
     return xy.select(dose.alias("dose"), response.alias("response"), *[F.col(f"`{c}`") for c in xy.columns[2:]]).dropna("any")
 
 
+def rounded_quantiles(xy: DataFrame, fractions: tuple[float, ...] = QUANTILES) -> DataFrame:
+    """q: doses at the fractions, by linear interpolation, rounded half to even; one row, or none without doses."""
+    return percentiles(xy, [], "dose", fractions).select(F.transform("q", lambda q: F.bround(q, 0)).alias("q"))
+
+
 def quantiles(xy: DataFrame, fractions: tuple[float, ...] = QUANTILES) -> tuple[float, ...]:
-    """Doses at the fractions, by linear interpolation, rounded half to even: one row of an aggregate."""
-    row = percentiles(xy, [], "dose", fractions).select(F.transform("q", lambda q: F.bround(q, 0)).alias("q")).first()
+    row = rounded_quantiles(xy, fractions).first()
     return tuple(row["q"]) if row else ()
 
 

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rank error of the bracket as a share of a group's rows.
-ERROR = 1e-5
+ERROR = 1e-4
 
 
 def percentiles(rows: DataFrame, by: list[str], column: str, fractions: tuple[float, ...], error: float = ERROR) -> DataFrame:
     """by, q: array of the exact percentiles of `column` at the fractions, by linear interpolation between ranks.
 
-    Sketches bracket each percentile between two values that lie a few errors of rank around it; a second pass counts
-    the rows below each bracket, and of the rows inside, a share of some errors, equal values are one row with their
-    number. Ranks are read off their running counts. Groups of fewer than 10 / error rows are their own bracket. Nulls
-    don't count; groups without values are left out, so an empty table gives an empty result."""
+    Two passes over the rows. Sketches bracket each percentile between two values that lie a few errors of rank around it.
+    Then, for each fraction, the rows below its bracket are one row with their number, and of the rows inside, a share of
+    some errors, equal values are one; running counts of these give the ranks. Groups of fewer than 10 / error rows are
+    their own bracket. Nulls don't count; groups without values are left out, so an empty table gives an empty result."""
     v = F.col(column).cast("double")
     values = rows.select(*by, v.alias("v__")).filter("v__ is not null")
     accuracy, v = int(2 / error), F.col("v__")
@@ -28,18 +28,14 @@ def percentiles(rows: DataFrame, by: list[str], column: str, fractions: tuple[fl
     edge = lambda name, all_: F.transform(name, lambda x: F.when(small, F.lit(all_)).otherwise(x)).alias(name)
     bounds = bounds.filter("n__ > 0").select(*by, "n__", edge("low__", float("-inf")), edge("high__", float("inf")))
     bracketed = values.join(bounds, by) if by else values.join(F.broadcast(bounds))  # one row if there are no groups
-    ks = range(len(fractions))
-    below = bracketed.groupBy(*by).agg(
-        F.array(*[F.count(F.when(v < F.col("low__")[k], 1)) for k in ks]).alias("below__"), F.first("n__").alias("n__"),
-    )
-    inside = F.filter(F.array(*map(F.lit, ks)), lambda k: (v >= F.get("low__", k)) & (v <= F.get("high__", k)))
-    counted = bracketed.select(*by, "v__", F.explode(inside).alias("k__")).groupBy(*by, "k__", "v__").agg(F.count("*").alias("c__"))
-    counted = counted.withColumn("to__", F.sum("c__").over(Window.partitionBy(*by, "k__").orderBy("v__")))
-    ranked = counted.join(below, by) if by else counted.join(F.broadcast(below))
+    # A null value stands for all rows below the bracket.
+    place = lambda k: F.struct(F.lit(k).alias("k__"), F.when(v >= F.col("low__")[k], v).alias("w__"), (v <= F.col("high__")[k]).alias("in__"))
+    placed = bracketed.select(*by, "n__", F.inline(F.array(*map(place, range(len(fractions)))))).filter("in__")
+    counted = placed.groupBy(*by, "k__", "w__").agg(F.count("*").alias("c__"), F.first("n__").alias("n__"))
+    counted = counted.withColumn("end__", F.sum("c__").over(Window.partitionBy(*by, "k__").orderBy(F.col("w__").asc_nulls_first())))
     rank = F.element_at(F.array(*map(F.lit, map(float, fractions))), F.col("k__") + 1) * (F.col("n__") - 1)
-    end = F.get("below__", F.col("k__")) + F.col("to__")
-    value = lambda r: F.max(F.when((r >= end - F.col("c__")) & (r < end), v))
-    found = ranked.withColumn("rank__", rank).groupBy(*by, "k__").agg(
+    value = lambda r: F.max(F.when((r >= F.col("end__") - F.col("c__")) & (r < F.col("end__")), F.col("w__")))
+    found = counted.withColumn("rank__", rank).groupBy(*by, "k__").agg(
         F.first("rank__").alias("rank__"), value(F.floor("rank__")).alias("a__"), value(F.ceil("rank__")).alias("b__"),
     )
     q = F.col("a__") + (F.col("b__") - F.col("a__")) * (F.col("rank__") - F.floor("rank__"))

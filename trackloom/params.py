@@ -45,6 +45,8 @@ _OVERRIDES: dict[str, dict] = {
     "rpe1": {"max_cell_size": 9500, "max_pixel_movement": 30, "track_mode": "predictive"},
 }
 
+CELL_TYPES = tuple(_OVERRIDES)
+
 
 def for_cell_type(cell_type: str = "hela") -> CellParams:
     """Parameters of a known cell type; anything else is an error, never HeLa's values in silence."""

@@ -436,7 +436,8 @@ ON dose > lft AND dose <= rgt)"""
 
 @query(f"WITH {Q} SELECT low, high FROM q")
 def dose_quantiles(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([dose.quantiles(dose.complete(views.dose(spark, d)))], "low double, high double")
+    q = dose.rounded_quantiles(dose.complete(views.dose(spark, d)))
+    return q.select(F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
 
 
 def _binned(spark: SparkSession, d: str) -> tuple[DataFrame, float, float]:
@@ -496,6 +497,13 @@ def hill_curve(spark: SparkSession, d: str) -> DataFrame:
     return rounded(xy.withColumn("y", hill.hill(F.col("dose"), *map(F.lit, CURVE))), "y")
 
 
+def _exact_fit(spark: SparkSession, d: str) -> DataFrame:
+    xy = views.exact_dose(spark, d).select(
+        "dose", hill.hill(F.col("dose"), F.lit(4.0), F.col("high"), F.lit(3.0), F.lit(18.0)).alias("response"), "code",
+    )
+    return dose.fit(dose.complete(xy), ["code"])
+
+
 @query(
     """
 SELECT code, 4.0::DOUBLE AS min_duration, CASE code WHEN 'A' THEN 20.0 WHEN 'N' THEN 30.0
@@ -505,20 +513,21 @@ FROM (SELECT DISTINCT l_returnflag AS code FROM lineitem)
 )
 def hill_fit(spark: SparkSession, d: str) -> DataFrame:
     """Responses on known curves give the curves' parameters."""
-    xy = views.exact_dose(spark, d).select(
-        "dose", hill.hill(F.col("dose"), F.lit(4.0), F.col("high"), F.lit(3.0), F.lit(18.0)).alias("response"), "code",
-    )
-    found = dose.fit(dose.complete(xy), ["code"])
-    return rounded(found, *hill.PARAMETERS, digits=3).select(
+    return rounded(_exact_fit(spark, d), *hill.PARAMETERS, digits=3).select(
         "code", *[F.col(a).alias(b) for a, b in zip(hill.PARAMETERS, ("min_duration", "max_duration", "hill_exponent", "ec50"))],
         "status",
     )
 
 
-@query("SELECT x, round(4 + 16 * x ** 3 / (x ** 3 + 18.0::DOUBLE ** 3), 3) AS y FROM (SELECT i::DOUBLE AS x FROM range(31) t(i))")
+@query(
+    """
+WITH codes AS (SELECT DISTINCT l_returnflag AS code, CASE l_returnflag WHEN 'A' THEN 20.0 WHEN 'N' THEN 30.0 ELSE 40.0 END::DOUBLE AS high FROM lineitem)
+SELECT code, x, round(4 + (high - 4) * x ** 3 / (x ** 3 + 18.0::DOUBLE ** 3), 2) AS y FROM codes, (SELECT i::DOUBLE AS x FROM range(31) t(i))
+"""
+)
 def fitted_curve(spark: SparkSession, d: str) -> DataFrame:
-    fits = spark.createDataFrame([(4.0, 20.0, 3.0, 18.0)], ", ".join(f"{n} double" for n in hill.PARAMETERS))
-    return rounded(dose.fitted_curve(fits, 30.5, []), "y", digits=3)
+    """The curves that are fitted to each code's doses."""
+    return rounded(dose.fitted_curve(_exact_fit(spark, d), 30.5, ["code"]), "y", digits=2)
 
 
 @query()
@@ -548,15 +557,16 @@ def wellmap_lists(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """
-SELECT * FROM (VALUES ('cell_type', 'u2os'), ('min_cell_size', '250'), ('max_cell_size', '9500'), ('max_pixel_movement', '30'), ('memory', '1'),
+    f"""
+WITH {views.FILES} SELECT movie_id, name, value FROM movies, (VALUES ('cell_type', 'u2os'), ('min_cell_size', '250'), ('max_cell_size', '9500'), ('max_pixel_movement', '30'), ('memory', '1'),
   ('min_track_length', '10'), ('track_mode', 'predictive'), ('adaptive_step', '0.9'), ('adaptive_stop', '10.0'), ('predict_span', '3'),
   ('median_frames', '3'), ('closing_frames', '3'), ('erosion_radius', '3'), ('min_mitotic_duration', '30'), ('frame_interval', '10'),
   ('gaussian_sigma', '45.0')) AS t(name, value)
 """
 )
 def parameter_sheet(spark: SparkSession, d: str) -> DataFrame:
-    return params.key_values(spark, params.for_cell_type("U2OS"))
+    """The parameters that each movie's workbooks come from."""
+    return experiment.parameters(discovery.movies(discovery.classified(views.files(spark, d))), params.for_cell_type("U2OS"))
 
 
 @query(
@@ -694,10 +704,20 @@ def import_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """
-SELECT *
-FROM (VALUES ('hela', 250::BIGINT, 4000::BIGINT, 20::BIGINT, 1::BIGINT, 10::BIGINT, 'vanilla'), ('ht1080', 250, 9000, 30, 1, 10, 'predictive'), ('u2os', 250, 9500, 30, 1, 10, 'predictive'), ('rpe1', 250, 9500, 30, 1, 10, 'predictive')) AS t(cell_type, min_size, max_size, radius, memory, min_length, mode)
+    f"""
+WITH {views.TRACKS}, types AS (SELECT *
+FROM (VALUES ('hela', 250::BIGINT, 4000::BIGINT, 20::BIGINT, 1::BIGINT, 10::BIGINT, 'vanilla'), ('ht1080', 250, 9000, 30, 1, 10, 'predictive'), ('u2os', 250, 9500, 30, 1, 10, 'predictive'), ('rpe1', 250, 9500, 30, 1, 10, 'predictive')) AS t(cell_type, min_size, max_size, radius, memory, min_length, mode)),
+fit AS (SELECT cell_type, min_length, movie_id, particle, count(*) AS n FROM tracks JOIN types ON area > min_size AND area < max_size GROUP BY ALL),
+kept AS (SELECT cell_type, sum(n) AS regions, count(*) FILTER (WHERE n >= min_length) AS tracks FROM fit GROUP BY cell_type)
+SELECT t.*, CAST(coalesce(regions, 0) AS BIGINT) AS regions, coalesce(tracks, 0) AS tracks FROM types t LEFT JOIN kept USING (cell_type)
 """
 )
 def cell_params(spark: SparkSession, d: str) -> DataFrame:
-    return params.as_table(spark).select("cell_type", *longs("min_size", "max_size", "radius", "memory", "min_length"), "mode")
+    """Each cell type's parameters, with the regions of fit size and the tracks of fit length that they leave."""
+    types = [params.for_cell_type(t) for t in params.CELL_TYPES]
+    limits = F.array(*[F.struct(F.lit(t).alias("cell_type"), F.lit(p.min_cell_size).alias("low"), F.lit(p.max_cell_size).alias("high")) for t, p in zip(params.CELL_TYPES, types)])
+    rows = views.tracks(spark, d).select(*TRACK, "area", F.inline(limits)).filter("area > low and area < high")
+    fit = rows.groupBy("cell_type", *TRACK).agg(F.count("*").alias("n"))
+    known = params.as_table(spark).select("cell_type", *longs("min_size", "max_size", "radius", "memory", "min_length"), "mode")
+    kept = fit.join(F.broadcast(known), "cell_type").groupBy("cell_type").agg(F.sum("n").alias("regions"), F.count(F.when(F.col("n") >= F.col("min_length"), 1)).alias("tracks"))
+    return known.join(F.broadcast(kept), "cell_type", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("regions", "tracks")})  # a row per cell type

@@ -71,7 +71,7 @@ def save_tracks(tracks: DataFrame, folder: str) -> None:
 def save_analysis(tracks: DataFrame, files: DataFrame, p: CellParams, folder: str) -> None:
     """`<movie_id>_analysis.xlsx` for each movie: measured tracks with the files (a row for each movie_id) and parameters
     they come from."""
-    parts = {"cell_data": tracks, "file_data": key_values(files), "parameters": _parameters(files, p)}
+    parts = {"cell_data": tracks, "file_data": key_values(files), "parameters": parameters(files, p)}
     sheets.write_workbooks(folder, {k: _file(v, "analysis") for k, v in parts.items()}, {"cell_data": ["particle", "frame"], "parameters": ["name"]})
 
 
@@ -79,7 +79,7 @@ def save_summary(tracks: DataFrame, files: DataFrame, p: CellParams, folder: str
     """`<movie_id>_summary.xlsx` for each movie: summary, files, parameters, and the quality sheet (areas' deviation
     beside the histogram of events)."""
     quality = summarize.quality_sheet(*summarize.quality(tracks, p.min_mitotic_frames))
-    parts = {"Summary": summary(tracks, p), "file_data": key_values(files), "parameters": _parameters(files, p), "quality": quality}
+    parts = {"Summary": summary(tracks, p), "file_data": key_values(files), "parameters": parameters(files, p), "quality": quality}
     sheets.write_workbooks(
         folder, {k: _file(v, "summary") for k, v in parts.items()},
         {"Summary": ["particle"], "parameters": ["name"], "quality": ["row"]},
@@ -91,7 +91,8 @@ def _file(rows: DataFrame, kind: str) -> DataFrame:
     return rows.withColumn("file", F.concat(F.col("movie_id").cast("string"), F.lit(f"_{kind}.xlsx"))).drop("movie_id")
 
 
-def _parameters(files: DataFrame, p: CellParams) -> DataFrame:
+def parameters(files: DataFrame, p: CellParams) -> DataFrame:
+    """movie_id, name, value: the parameters once for each movie."""
     return files.select("movie_id").distinct().join(F.broadcast(params.key_values(files.sparkSession, p)))  # some dozen rows
 
 
