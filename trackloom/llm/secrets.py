@@ -52,7 +52,7 @@ LETTERS, ONE_CASE, BOTH_CASES = re.compile(r"[A-Za-z_=/+-]+\Z"), 3.9, 4.0
 SEGMENT, PLACEHOLDER = re.compile(r"[^/=]+"), re.compile(r"example|sample|placeholder|changeme|dummy", re.IGNORECASE)
 #: Between separators. Words and numbers are plain, and so are numbers with a word or unit before, behind or between them.
 TOKEN = re.compile(r"[A-Za-z0-9]+")
-PLAIN = re.compile(r"[0-9]+\Z|(?=.{2,19}\Z)(?:[A-Z]?[a-z]{2,18}|[A-Z]{2,18}){1,4}\Z|[A-Za-z]\Z|(?:[A-Z]?[a-z]{1,12}|[A-Z]{1,6})[0-9]{1,4}\Z|[0-9]{1,8}(?:[a-z]{1,4}|[A-Z]{1,3})(?:[0-9]{1,6}[A-Za-z]?)?\Z")
+PLAIN = re.compile(r"[0-9]+\Z|[A-Z]?[a-z]{1,18}(?:[A-Z][a-z]{1,18})*\Z|[A-Z]{1,19}\Z|(?:[A-Z]?[a-z]{1,12}|[A-Z]{1,6})[0-9]{1,4}\Z|[0-9]{1,8}(?:[a-z]{1,4}|[A-Z]{1,3})(?:[0-9]{1,6}[A-Za-z]?)?\Z")
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]  # one enters before one leaves
 
 
