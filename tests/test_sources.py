@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import os
 import struct
 import time
+import tracemalloc
+import zipfile
+from datetime import datetime
 
 import numpy as np
 import pandas as pd
@@ -152,6 +156,39 @@ def test_workbook(spark, tmp_path):
     assert [tuple(r) for r in got] == [("exp_A01_s1_inference", f"{m}_A01_s1_summary.xlsx", n, v, None) for m, n, v in (("a", 1, 2.5), ("a", 2, None), ("b", 3, None))]
 
 
+def test_typed_cells(spark, tmp_path):
+    """Booleans, dates of built-in and own formats, shared texts, errors and cells without names, as other programs write them."""
+    book = sheets.Workbook([("s", ["flag", "day", "time", "text", "number", "error"])])
+    book.add(0, [True, None, None, None, 1.5, None])
+    rows = '<row><c t="b"><v>0</v></c><c s="1"><v>45000</v></c><c s="2"><v>1.5</v></c><c t="s"><v>1</v></c><c s="3"><v>7</v></c><c t="e"><v>#N/A</v></c></row>'
+    styles = f'<styleSheet xmlns="{sheets.MAIN}"><numFmts><numFmt numFmtId="164" formatCode="hh:mm"/><numFmt numFmtId="165" formatCode="0.0&quot;days&quot;"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/></cellXfs></styleSheet>'
+    shared = f'<sst xmlns="{sheets.MAIN}"><si><t>no</t></si><si><r><t>ye</t></r><r><t>s</t></r></si></sst>'
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(book.content())) as z, zipfile.ZipFile(out, "w") as new:
+        for name in z.namelist():
+            new.writestr(name, z.read(name).replace(b"</sheetData>", rows.encode() + b"</sheetData>"))
+        new.writestr("xl/styles.xml", styles)
+        new.writestr("xl/sharedStrings.xml", shared)
+    first, second = sheets.rows_of(out.getvalue())
+    assert first == {"flag": True, "day": None, "time": None, "text": None, "number": 1.5, "error": None}
+    assert second == {"flag": False, "day": datetime(2023, 3, 15), "time": datetime(1899, 12, 31, 12), "text": "yes", "number": 7.0, "error": "#N/A"}
+    (tmp_path / "x_summary.xlsx").write_bytes(out.getvalue())
+    got = sheets.read_workbooks(spark, str(tmp_path), "flag boolean, day date, time timestamp_ntz, text string, number int, error double, more double").collect()
+    assert [tuple(r)[2:] for r in got] == [(True, None, None, None, 1, None, None), (False, datetime(2023, 3, 15).date(), datetime(1899, 12, 31, 12), "yes", 7, None, None)]
+
+
+def test_a_sheet_is_read_as_a_stream():
+    book = sheets.Workbook([("s", [f"c{i}" for i in range(12)])])
+    for i in range(60_000):
+        book.add(0, [i + k / 7 for k in range(12)])
+    content = book.content()
+    tracemalloc.start()
+    n = sum(1 for row in sheets.stream_rows(content) if row["c11"] is not None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 60_000 and peak < 8 << 20
+
+
 def test_workbook_has_a_limit(monkeypatch):
     monkeypatch.setattr(sheets, "MAX_ROWS", 2)
     book = sheets.Workbook([("s", ["a"])])

@@ -14,7 +14,8 @@ from trackloom import params
 from trackloom.functions import hill
 from trackloom.functions import linker as linker_module
 from trackloom.functions.linker import Linker, Options, OversizeError
-from trackloom.operators import dose, events, images, linking, measure, quantiles, regions, smoothing, summarize, wells
+from trackloom.operators import components, dose, events, images, linking, measure, quantiles, regions, smoothing, summarize, wells
+from trackloom.plans import views
 
 
 def tracks(spark, traces, movie=0):
@@ -230,6 +231,88 @@ def test_link_isolates_a_movie(spark):
     assert linking.link(rows.filter("false"), Options(3)).count() == 0
 
 
+@pytest.mark.parametrize("mode", ["vanilla", "adaptive"])
+@pytest.mark.parametrize("memory", [0, 1, 2])
+def test_parts_equal_whole_movies(spark, mode, memory):
+    """Crowded movies of other lengths, gaps and ties; one of them can't be solved in vanilla mode. Ids are the same, too."""
+    r = np.random.default_rng(memory)
+    rows = []
+    for movie in range(4):
+        at = r.integers(0, 90, (25, 2)).astype(float)
+        for f in range(45):
+            at += r.integers(-2, 3, at.shape)
+            rows += [(movie, 3 + f, k, float(x), float(y), "kept") for k, (x, y) in enumerate(at) if r.random() < 0.85]
+    rows += [(9, f, k, float(k), 0.0, "kept") for f in (20, 21) for k in range(40)] + [(9, 0, 0, 500.0, 500.0, "kept")]
+    table = spark.createDataFrame(rows, "movie_id long, frame long, label int, x double, y double, more string")
+    o = Options(5, memory=memory, mode=mode, adaptive_stop=0.5)
+    whole, split = (linking.link(table, o, split=s) for s in (False, True))
+    assert whole.columns == split.columns == [*table.columns, "particle", "link_error"]
+    whole, split = (sorted(map(tuple, df.collect()), key=repr) for df in (whole, split))
+    assert whole == split and len(whole) == len(rows)
+    assert any(x[-1] for x in whole) == (mode == "vanilla") and len({x[-2] for x in whole if x[0] == 0}) > 25
+
+
+def test_parts_are_independent(spark):
+    """A part is what possible links join over all blocks of frames, and no more."""
+    near = [("m", f, 0, 3.0 * f, 0.0) for f in range(100)] + [("m", f, 1, 3.0 * f, 50.0) for f in range(0, 100, 3)] + [("n", f, 0, 0.0, 0.0) for f in (0, 2, 5, 20, 22)]
+    table = spark.createDataFrame(near, "movie_id string, frame long, label long, x double, y double")
+    found = {}
+    for x in components.parts(table, 6.0, 1, frames=4).collect():
+        found.setdefault((x.movie_id, x.part), set()).add((x.frame, x.label))
+    assert sorted(map(len, found.values())) == sorted([100, *[1] * 34, 2, 1, 2])
+    i, j = components.near_pairs(*(np.array(c) for c in ([0, 0, 1, 2, 3], [0.0, 5.0, 4.0, 0.0, 0.0], [0.0, 0.0, 0.0, 3.0, 0.0])), 5.0, 2)
+    assert sorted(zip(i.tolist(), j.tolist())) == [(0, 2), (0, 3), (1, 2), (2, 3), (2, 4), (3, 4)]
+
+
+def test_near_pairs_equal_all_pairs():
+    r = np.random.default_rng(0)
+    f, x, y = r.integers(-3, 6, 300), r.uniform(-40, 40, 300), r.normal(0, 1e4, 300).round(-3)
+    i, j = components.near_pairs(f, x, y, 7.0, 2)
+    want = {(a, b) for a in range(300) for b in range(300) if 1 <= f[b] - f[a] <= 2 and (x[a] - x[b]) ** 2 + (y[a] - y[b]) ** 2 <= 49}
+    assert len(i) == len(want) and set(zip(i.tolist(), j.tolist())) == want
+    assert components.roots(5, np.array([3, 4]), np.array([4, 1])).tolist() == [0, 1, 2, 1, 1]
+
+
+def test_star_components(spark):
+    edges = [("a", i, i + 1) for i in range(60)] + [("b", 7, 3), ("b", 3, 9), ("b", 5, 5), ("b", 20, 21)]
+    found = components.star_components(spark.createDataFrame(edges, "k string, u long, v long"), ["k"])
+    assert {(x.k, x.node, x.component) for x in found.collect()} == {("a", i, 0) for i in range(61)} | {("b", 3, 3), ("b", 7, 3), ("b", 9, 3), ("b", 20, 20), ("b", 21, 20)}
+    assert components.star_components(spark.createDataFrame([], "k string, u long, v long"), ["k"]).count() == 0
+
+
+def test_views_tell_the_modes_apart(spark):
+    """On each mode's own view vanilla links other tracks."""
+    d = "/root/testdata/sf0.001"
+    p = params.for_cell_type("hela")
+    for view, mode in ((views.jump, "adaptive"), (views.march, "predictive")):
+        own, vanilla = (sorted((x.movie_id, x.frame, x.label, x.particle) for x in linking.link(view(spark, d), linking.options(p, m)).collect()) for m in (mode, "vanilla"))
+        assert own != vanilla and len(own) == len(vanilla)
+
+
+def test_chosen_tracks_of_many_movies(spark):
+    rows = spark.createDataFrame([(m, p, m) for m in (0, 1) for p in (0, 1, 2)], "movie_id long, particle long, mitotic int")
+    assert measure.chosen(rows).count() == 3
+    pairs = spark.createDataFrame([(0, 2), (1, 0)], "movie_id long, particle long")
+    assert sorted(tuple(r)[:2] for r in measure.chosen(rows, pairs).collect()) == [(0, 2), (1, 0)]
+    one = rows.filter("movie_id = 1")
+    assert measure.chosen(one, 2).count() == 1 and measure.chosen(one, [0, 1]).count() == 2
+    for ids, table in ((7, one), ([0, 9], one), (1, rows), (spark.createDataFrame([(5, 0)], "movie_id long, particle long"), rows)):
+        with pytest.raises(ValueError):
+            measure.chosen(table, ids)
+
+
+def test_blur_equals_a_plain_sum():
+    r = np.random.default_rng(0)
+    for shape, sigma in (((1, 1), 2.0), ((7, 30), 1.3), ((50, 41), 6.0)):
+        plane, reach = r.normal(size=shape), int(4 * sigma + 0.5)
+        taps = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+        taps /= taps.sum()
+        padded = np.pad(plane, reach, mode="edge")
+        want = np.array([[taps @ padded[i : i + 2 * reach + 1, j : j + 2 * reach + 1] @ taps for j in range(shape[1])] for i in range(shape[0])])
+        assert np.allclose(images.gaussian(plane, sigma), want, atol=1e-12)
+    assert [images._smooth_size(n) for n in (1, 2, 7, 11, 97, 2408)] == [1, 2, 8, 12, 100, 2430]
+
+
 def test_wellmap(spark):
     rows = [
         ("HeLa", "plasmidA", "DMSO", "A01,A02"), ("HeLa", "plasmidA", "DMSO", "B01"), ("U2OS", "p", "d", " A01; A02  B03"),

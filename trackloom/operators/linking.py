@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.functions.linker import Linker, Options, OversizeError
+from trackloom.operators.components import parts
 from trackloom.params import CellParams, mode_or_default
+from trackloom.sources.tables import kept
 
 
 def options(p: CellParams, mode: str | None = None, radius: float | None = None, memory: int | None = None) -> Options:
@@ -21,46 +23,94 @@ def options(p: CellParams, mode: str | None = None, radius: float | None = None,
     )
 
 
-def link(detections: DataFrame, o: Options) -> DataFrame:
+#: Detections that a task may hold as one movie.
+WHOLE_MOVIE = 1 << 20
+
+
+def link(detections: DataFrame, o: Options, split: bool | None = None) -> DataFrame:
     """detections with particle (long) and link_error: a movie that can't be solved keeps its rows, with a null
-    particle and the reason; the other movies are not touched. Movies are independent; a task goes through the sorted
-    points of its movies frame by frame and holds one frame and the live particles."""
-    kind = dict(detections.dtypes)
-    key = ["movie_id", "frame", "label"]
-    rest = [c for c in detections.columns if c not in (*key, "x", "y")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        movie, linker, error, held = None, Linker(o), None, []
-
-        def linked(frame: pd.DataFrame) -> pd.DataFrame:
-            nonlocal movie, linker, error
-            if (now := frame["movie_id"].iloc[0]) != movie:
-                movie, linker, error = now, Linker(o), None
-            ids = [None] * len(frame)
-            if error is None:
-                try:
-                    ids = linker.step(int(frame["frame"].iloc[0]), list(zip(frame["x"].astype(float), frame["y"].astype(float))))
-                except OversizeError as e:
-                    error = f"movie {now}: {e}"
-            return frame[key].assign(particle=pd.array(ids, "Int64"), link_error=error)
-
-        for batch in batches:
-            rows = pd.concat([*held, batch], ignore_index=True)
-            cuts = np.flatnonzero((rows["movie_id"].shift() != rows["movie_id"]) | (rows["frame"].shift() != rows["frame"])).tolist()
-            frames = [rows.iloc[i:j] for i, j in zip(cuts, [*cuts[1:], len(rows)])]
-            if len(frames) > 1:
-                yield pd.concat([linked(f) for f in frames[:-1]], ignore_index=True)
-            held = frames[-1:]
+    particle and the reason; the other movies are not touched. Particles count up by first frame, in a frame by x, y, label.
+
+    Movies are independent, and so are the parts of a movie that no chain of possible links joins, unless positions are
+    predicted, which takes velocities from any neighbour. With `split` each part is linked by itself (`components.parts`),
+    without it each movie; by default movies are split if one has over WHOLE_MOVIE detections, which are counted for that.
+    Either way a task goes through sorted points frame by frame and holds one movie or part; all columns go with them."""
+    if o.mode == "predictive":
+        split = False
+    if split is None:
+        most = detections.groupBy("movie_id").count().agg(F.max("count")).first()[0] or 0
+        split = most > WHOLE_MOVIE
+    if not split:
+        none = F.lit(None).cast("struct<frame: bigint, label: bigint>")
+        return _linked(detections.withColumn("part__", none), o).drop("part__", "born__", "failed__")
+    detections = kept(detections)
+    found = parts(detections.select("movie_id", "frame", "label", "x", "y"), o.radius, o.memory).withColumnRenamed("part", "part__")
+    rows = kept(_linked(detections.join(found, ["movie_id", "frame", "label"]), o))
+    first = (F.col("frame") == F.col("born__.frame")) & (F.col("label") == F.col("born__.label"))
+    births = rows.filter(first & F.col("link_error").isNull()).select("movie_id", "frame", "label", "x", "y")
+    before = Window.partitionBy("movie_id").orderBy("frame").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = births.groupBy("movie_id", "frame").agg(F.count("*").alias("n")).withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("movie_id", "frame").orderBy("x", "y", "label")) - 1
+    numbered = births.withColumn("nth", nth).join(offsets, ["movie_id", "frame"]).select(
+        "movie_id", F.struct(F.col("frame").cast("long").alias("frame"), F.col("label").cast("long").alias("label")).alias("born__"), (F.col("offset") + F.col("nth")).alias("id__"),
+    )
+    failed = rows.filter("link_error is not null").groupBy("movie_id").agg(F.min_by("link_error", F.struct("failed__", "link_error")).alias("why__"))
+    joined = rows.join(numbered, ["movie_id", "born__"], "left").join(failed, "movie_id", "left")
+    return joined.select(
+        *[F.col(f"`{c}`") for c in detections.columns], F.when(F.col("why__").isNull(), F.col("id__")).alias("particle"), F.col("why__").alias("link_error"),
+    )
+
+
+def _linked(detections: DataFrame, o: Options) -> DataFrame:
+    """detections (with part__) with particle, numbered within the part, link_error, born__ (frame and label of the particle's
+    first detection) and failed__ (the frame that couldn't be solved)."""
+    names = detections.columns
+    keys = ["movie_id", "part__"]
+    born = pa.struct([("frame", pa.int64()), ("label", pa.int64())])
+
+    def solved(part: pa.Table) -> pa.Table:
+        frame, label, x, y = (part.column(c).to_numpy() for c in ("frame", "label", "x", "y"))
+        linker, ids, error, failed = Linker(o), np.zeros(len(frame), np.int64), None, None
+        cuts = np.flatnonzero(np.diff(frame, prepend=frame[0] - 1))
+        try:
+            for b, e in zip(cuts, [*cuts[1:], len(frame)]):
+                failed = int(frame[b])
+                ids[b:e] = linker.step(failed, list(zip(x[b:e].astype(float).tolist(), y[b:e].astype(float).tolist())))
+        except OversizeError as e:
+            error = f"movie {part.column('movie_id')[0].as_py()}: {e}"
+        gone = np.full(len(frame), error is not None)
+        first = np.unique(ids, return_index=True)[1][ids] if error is None else np.zeros(len(frame), np.int64)
+        births = pa.StructArray.from_arrays([pa.array(v[first].astype(np.int64)) for v in (frame, label)], fields=list(born), mask=pa.array(gone))
+        more = {"particle": pa.array(ids, mask=gone), "link_error": pa.array([error] * len(frame), pa.string()), "born__": births, "failed__": pa.array([failed if error else None] * len(frame), pa.int64())}
+        for name, column in more.items():
+            part = part.append_column(name, column)
+        return part
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            of = [b.column(k).to_pylist() for k in keys]
+            of = list(zip(of[0], (tuple(p.values()) if p else None for p in of[1])))
+            cuts = [i for i in range(len(of)) if of[i] != (of[i - 1] if i else last)]
+            at = 0
+            for cut in [*cuts, len(of)]:
+                if cut > at:
+                    held.append(b.slice(at, cut - at))
+                if cut < len(of) and held:
+                    yield from solved(pa.Table.from_batches(held)).to_batches()
+                    held = []
+                at = cut
+            last = of[-1]
         if held:
-            yield linked(held[0])
-
-    in_order = detections.select(*key, "x", "y").repartition("movie_id").sortWithinPartitions("movie_id", "frame", "x", "y", "label")
-    fields = f"movie_id {kind['movie_id']}, frame {kind['frame']}, label {kind['label']}, particle long, link_error string"
-    found = in_order.mapInPandas(run, fields)
-    # Frames before the one that can't be solved have been given out already.
-    found = found.withColumn("link_error", F.max("link_error").over(Window.partitionBy("movie_id")))
-    found = found.withColumn("particle", F.when(F.col("link_error").isNull(), F.col("particle")))
-    return detections.join(found, key).select(*key, "x", "y", *[F.col(f"`{c}`") for c in rest], "particle", "link_error")
+            yield from solved(pa.Table.from_batches(held)).to_batches()
+
+    in_order = detections.repartition(*keys).sortWithinPartitions(*keys, "frame", "x", "y", "label")
+    kinds = dict(detections.dtypes)
+    fields = ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "particle long, link_error string, born__ struct<frame: bigint, label: bigint>, failed__ long"])
+    return in_order.mapInArrow(run, fields)
 
 
 def stub_filter(tracks: DataFrame, min_length: int = 10) -> DataFrame:

@@ -419,6 +419,29 @@ for _mode in params.MODES:
     ORACLE_SQL[f"link_{_mode}"] = f"WITH {views.DRIFT} SELECT * FROM linked"
 
 
+def _links(detections: DataFrame, mode: str, split: bool | None = None) -> DataFrame:
+    found = linking.link(detections, linking.options(params.for_cell_type("hela"), mode), split)
+    return found.select(*PLANE, F.col("label").cast("long").alias("label"), "particle")
+
+
+@query(f"WITH {views.JUMP} SELECT * FROM jumped")
+def link_adaptive_jump(spark: SparkSession, d: str) -> DataFrame:
+    """The radius shrinks until the crowd comes apart, and a jump that vanilla links is too far."""
+    return _links(views.jump(spark, d), "adaptive")
+
+
+@query(f"WITH {views.MARCH} SELECT * FROM marched")
+def link_predictive_march(spark: SparkSession, d: str) -> DataFrame:
+    """Points are followed by their velocity where the nearest one is another's."""
+    return _links(views.march(spark, d), "predictive")
+
+
+@query(f"WITH {views.DRIFT} SELECT * FROM linked")
+def link_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Independent parts of each movie linked by themselves, as a movie too large for a task is."""
+    return _links(views.drift(spark, d), "vanilla", split=True)
+
+
 @query()
 def link_regions(spark: SparkSession, d: str) -> DataFrame:
     """Crowded regions: the links of tests against all permutations, on a table."""

@@ -7,7 +7,6 @@ import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +15,7 @@ from trackloom.operators import images, measure, wells
 from trackloom.params import CHANNELS, CellParams
 from trackloom.plans import experiment, stacks
 from trackloom.sources import discovery, sheets, tiff
+from trackloom.sources.tables import kept
 
 Reader = Callable[[SparkSession, str, str], DataFrame]
 
@@ -37,13 +37,6 @@ class Run:
         experiment.save_summary(self.tracks, files, self.p, root)
 
 
-def kept(rows: DataFrame) -> DataFrame:
-    """rows, computed once: written to the folder in spark.checkpoint.dir where the session names one, else held in memory
-    and on the executors' disks."""
-    named = rows.sparkSession.conf.get("spark.checkpoint.dir", None) or rows.sparkSession.sparkContext.getCheckpointDir()
-    return rows.checkpoint() if named else rows.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def analyse(
     spark: SparkSession, root: str, cell_type: str = "hela", mode: str | None = None, radius: float | None = None,
     memory: int | None = None, channels: tuple[str, ...] = CHANNELS, read: Reader | None = None,
@@ -62,7 +55,7 @@ def analyse(
     else:
         labels, states = (_planes(read, spark, root, f"*{role}*.tif", movies.select("movie_id", F.col(role).alias("path"))) for role in ("instance", "semantic"))
         regions = experiment.regions_with_state(labels, states)
-    tracks = kept(experiment.track_regions(regions, p, mode, radius, memory))
+    tracks = kept(experiment.track_regions(kept(regions), p, mode, radius, memory))
     images_of = discovery.channels(found, movies).persist()
     maps = {r["correction_map"]: r["path"] for r in discovery.correction_maps(found).collect()}  # two a channel at most
     wanted = measure.chosen(tracks).select("movie_id", "frame", "label").distinct().persist()

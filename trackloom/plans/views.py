@@ -178,6 +178,34 @@ born AS (SELECT movie_id, label, run, row_number() OVER (PARTITION BY movie_id O
 linked AS (SELECT movie_id, frame, CAST(label AS BIGINT) AS label, particle FROM runs_ JOIN born USING (movie_id, label, run))"""
 
 
+def jump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """25 points a plane on a grid 16 apart, which tremble along y; the last one jumps by 17 before the sixth frame."""
+    e = F.col("embedding")
+    away = lambda j: F.when((F.lit(j) == 24) & (F.col("vec_id") % 10 >= 5), 17.0).otherwise(0.0)
+    point = lambda j: F.struct(F.lit(j).alias("label"), (16.0 * (j // 5) + away(j)).alias("x"), (16.0 * (j % 5) + e[j]).alias("y"))
+    return table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("movie_id"), (F.col("vec_id") % 10).alias("frame"), F.inline(F.array(*map(point, range(25)))))
+
+
+#: Too many points are within the radius of each other; under the radius that tells them apart, the jump is too far.
+JUMP = """jumped AS (SELECT vec_id // 10 AS movie_id, vec_id % 10 AS frame, j AS label, CASE WHEN j = 24 AND vec_id % 10 >= 5 THEN 25 ELSE j END AS particle
+  FROM embeddings, range(25) t(j))"""
+
+#: Where a row of points stands in each frame: it speeds up to 15 a frame.
+MARCH_STEPS = [0, 5, 15, 30, 45, 60, 75, 90, 105, 120]
+
+
+def march(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six points 25 apart in a row that marches on along x, so that a point comes nearer to where its follower was than to
+    where it was itself."""
+    frame = (F.col("vec_id") % 10).cast("int")
+    at = F.element_at(F.array(*[F.lit(float(s)) for s in MARCH_STEPS]), frame + 1)
+    point = lambda j: F.struct(F.lit(j).alias("label"), (25.0 * j + at + F.col("embedding")[j]).alias("x"), F.col("embedding")[j + 8].cast("double").alias("y"))
+    return table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 10).alias("movie_id"), frame.cast("long").alias("frame"), F.inline(F.array(*map(point, range(6)))))
+
+
+MARCH = "marched AS (SELECT vec_id // 10 AS movie_id, vec_id % 10 AS frame, j AS label, j AS particle FROM embeddings, range(6) t(j))"
+
+
 def exact_dose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Responses on a Hill curve for each code, with one dose to a bin: the fit must give its parameters back."""
     dose_ = 2.5 * (F.floor("l_quantity") % 20 + 1) - 0.5

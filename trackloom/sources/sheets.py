@@ -8,11 +8,13 @@ import json
 import re
 import zipfile
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 from functools import reduce
+from itertools import islice
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -37,7 +39,9 @@ def _column(i: int) -> str:
 def _cell(value: object, at: str) -> str:
     if value is None or value != value:
         return ""
-    if isinstance(value, bool) or not isinstance(value, (int, float)):
+    if isinstance(value, bool):
+        return f'<c r="{at}" t="b"><v>{int(value)}</v></c>'
+    if not isinstance(value, (int, float)):
         return f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
     return f'<c r="{at}"><v>{value!r}</v></c>'
 
@@ -94,32 +98,90 @@ class Workbook:
         return self.buffer.getvalue()
 
 
+#: Fixed values of the format: numbers of built-in date and time formats; letters that make a custom format one.
+DATE_FORMATS = frozenset([*range(14, 23), 45, 46, 47])
+DATE_LETTERS = re.compile(r"[ymdhs]", re.IGNORECASE)
+_NO_CODE = re.compile(r'"[^"]*"|\[[^\]]*\]|\\.')
+
+
 def rows_of(content: bytes, sheet: str | None = None) -> list[dict]:
-    """Rows of a sheet (the first by default) as dicts by its header."""
-    tag = lambda n: f"{{{MAIN}}}{n}"
+    return list(stream_rows(content, sheet))
+
+
+def stream_rows(content: bytes, sheet: str | None = None) -> Iterator[dict]:
+    """Rows of a sheet (the first by default) as dicts by its header, one after the other: of the sheet's XML a row is held.
+    Cells are numbers, texts, booleans, or datetimes where a number has a date's format; errors are texts."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         links = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        sheets = {s.get("name"): links[s.get(f"{{{REL}}}id")] for s in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(tag("sheet"))}
-        shared = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(t.text or "" for t in s.iter(tag("t"))) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(tag("si"))]
+        book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+        sheets = {s.get("name"): links[s.get(f"{{{REL}}}id")] for s in book.iter(_tag("sheet"))}
+        shared = ["".join(t.text or "" for t in s.iter(_tag("t"))) for s in _elements(z, "xl/sharedStrings.xml", "si")]
+        dates = _date_styles(z)
+        begin = datetime(1904, 1, 1) if any(p.get("date1904") in ("1", "true") for p in book.iter(_tag("workbookPr"))) else datetime(1899, 12, 30)
         target = sheets[sheet] if sheet else next(iter(sheets.values()))
-        table = []
-        for row in ElementTree.fromstring(z.read("xl/" + target.removeprefix("/xl/"))).iter(tag("row")):
+        header: dict[int, str] | None = None
+        for row in _elements(z, "xl/" + target.removeprefix("/xl/"), "row"):
             cells = {}
-            for c in row.iter(tag("c")):
-                at = 0
-                for letter in re.match("[A-Z]+", c.get("r"))[0]:
-                    at = at * 26 + ord(letter) - 64
-                v = c.find(tag("v"))
+            for nth, c in enumerate(row.iter(_tag("c"))):
+                v, at = c.find(_tag("v")), _place(c.get("r"), nth)
                 if c.get("t") == "inlineStr":
-                    cells[at - 1] = "".join(t.text or "" for t in c.iter(tag("t")))
-                elif v is not None:
-                    cells[at - 1] = shared[int(v.text)] if c.get("t") == "s" else v.text if c.get("t") in ("str", "b", "e") else float(v.text)
-            table.append(cells)
-    if not table:
-        return []
-    return [{name: row.get(at) for at, name in table[0].items()} for row in table[1:]]
+                    cells[at] = "".join(t.text or "" for t in c.iter(_tag("t")))
+                elif v is not None and v.text is not None:
+                    cells[at] = _value(v.text, c.get("t"), shared, begin if int(c.get("s") or 0) in dates else None)
+            if header is None:
+                header = cells
+            else:
+                yield {name: cells.get(at) for at, name in header.items()}
+
+
+def _tag(name: str) -> str:
+    return f"{{{MAIN}}}{name}"
+
+
+def _elements(z: zipfile.ZipFile, part: str, name: str) -> Iterator[ElementTree.Element]:
+    """The elements of a name in a part, if it is there, each dropped when the next is read."""
+    if part not in z.namelist():
+        return
+    with z.open(part) as f:
+        above: list[ElementTree.Element] = []
+        for event, e in ElementTree.iterparse(f, ("start", "end")):
+            if event == "start":
+                above.append(e)
+                continue
+            above.pop()
+            if e.tag == _tag(name):
+                yield e
+                above[-1].clear()
+
+
+def _place(name: str | None, nth: int) -> int:
+    """The column of a cell's name, or else its number in the row."""
+    at = 0
+    for letter in re.match("[A-Z]*", name or "")[0]:
+        at = at * 26 + ord(letter) - 64
+    return at - 1 if at else nth
+
+
+def _value(text: str, kind: str | None, shared: list[str], begin: datetime | None) -> object:
+    if kind == "s":
+        return shared[int(text)]
+    if kind == "b":
+        return text.strip() in ("1", "true")
+    if kind == "d":
+        return datetime.fromisoformat(text)
+    if kind in ("str", "e"):
+        return text
+    return begin + timedelta(days=float(text)) if begin is not None else float(text)
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Numbers of the cell styles whose format is one of dates or times."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    styles = ElementTree.fromstring(z.read("xl/styles.xml"))
+    custom = {int(f.get("numFmtId")) for f in styles.iter(_tag("numFmt")) if DATE_LETTERS.search(_NO_CODE.sub("", f.get("formatCode") or ""))}
+    known = DATE_FORMATS | custom
+    return {i for of in styles.iter(_tag("cellXfs")) for i, x in enumerate(of.iter(_tag("xf"))) if int(x.get("numFmtId") or 0) in known}
 
 
 class Workbooks(DataSource):
@@ -166,19 +228,48 @@ def write_workbooks(folder: str, sheets: dict[str, DataFrame], order: dict[str,
     rows.repartition("file").sortWithinPartitions("file", "sheet", "nth").write.format("workbook").mode("append").option("sheets", json.dumps(heads)).save(folder)
 
 
+#: Rows that leave a task together.
+ROWS_AT_ONCE = 4096
+
+
 def read_workbooks(spark: SparkSession, path: str | list[str], schema: str, pattern: str = "*_summary.xlsx", sheet: str | None = None) -> DataFrame:
-    """Rows of every matching workbook below `path`, with folder and file; columns of `schema` that a sheet lacks are null."""
+    """Rows of every matching workbook below `path`, with folder and file; columns of `schema` that a sheet lacks are null.
+    Texts, booleans and times come as they are and other columns as numbers; what a cell holds instead is null."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
     parts = F.split("path", "/")
     files = files.select(F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("file"), "content")
-    empty = spark.createDataFrame([], schema)
-    names = empty.columns
+    wanted = spark.createDataFrame([], schema).dtypes
+    kinds = {n: t if t in _CELLS else "double" for n, t in wanted}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for folder, file, content in zip(*(b.column(c) for c in ("folder", "file", "content"))):
+                rows = stream_rows(content.as_py(), sheet)
+                while some := list(islice(rows, ROWS_AT_ONCE)):
+                    columns = [pa.array([_CELLS[t][1](r.get(n)) for r in some], _CELLS[t][0]) for n, t in kinds.items()]
+                    yield pa.RecordBatch.from_arrays([pa.repeat(folder, len(some)), pa.repeat(file, len(some)), *columns], names=["folder", "file", *kinds])
+
+    loose = ", ".join(["folder string", "file string", *(f"`{n}` {t}" for n, t in kinds.items())])
+    return files.mapInArrow(run, loose).select("folder", "file", *[F.col(f"`{n}`").cast(t).alias(n) for n, t in wanted])
+
+
+def _number(v: object) -> float | None:
+    if isinstance(v, str):
+        try:
+            return float(v)
+        except ValueError:
+            return None
+    return float(v) if isinstance(v, (int, float)) else None
+
+
+def _text(v: object) -> str | None:
+    if isinstance(v, float) and v.is_integer() and abs(v) < 1e15:
+        return str(int(v))
+    return None if v is None else str(v)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for folder, file, content in rows.itertuples(index=False):
-                found = pd.DataFrame(rows_of(content, sheet)).reindex(columns=names)
-                yield found.assign(folder=folder, file=file)[["folder", "file", *names]].astype(object).where(lambda x: x.notna(), None)
 
-    loose = ", ".join(["folder string", "file string", *(f"`{n}` {'string' if t == 'string' else 'double'}" for n, t in empty.dtypes)])
-    return files.mapInPandas(run, loose).select("folder", "file", *[F.col(f"`{n}`").cast(t).alias(n) for n, t in empty.dtypes])
+#: By Spark's type: Arrow's, and what a cell gives.
+_CELLS = {
+    "double": (pa.float64(), _number), "string": (pa.string(), _text), "boolean": (pa.bool_(), lambda v: v if isinstance(v, bool) else None),
+    "timestamp_ntz": (pa.timestamp("us"), lambda v: v if isinstance(v, datetime) else None), "date": (pa.date32(), lambda v: v.date() if isinstance(v, datetime) else None),
+}
