@@ -6,10 +6,14 @@ import numpy as np
 import pytest
 
 from tests.test_tracks import brute, smoothed
+from trackloom.operators import smoothing
 
 
+@pytest.mark.parametrize("ids_at_once", [smoothing.IDS_AT_ONCE, 5, 1])
 @pytest.mark.parametrize("seed", [None, 1, 2])
-def test_short_tracks(spark, seed):
+def test_short_tracks(spark, seed, ids_at_once, monkeypatch):
+    """Also where ranges of ids hold fewer tracks than an extension needs."""
+    monkeypatch.setattr(smoothing, "IDS_AT_ONCE", ids_at_once)
     traces = ["MIMMIM", "I", "MMIMII"]
     if seed:
         r = np.random.default_rng(seed)

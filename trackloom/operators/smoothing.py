@@ -36,29 +36,44 @@ def _filtered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return rows.withColumn("semantic_smoothed", F.min("dilated").over(near))
 
 
+#: Particle ids that a task orders together.
+IDS_AT_ONCE = 4096
+
+
+def _neighbours(lengths: DataFrame, size: int) -> DataFrame:
+    """movie_id, particle, before, after: the `size` tracks before and after each in its movie, nearest first, as (track,
+    length). Tracks are ordered in ranges of ids; of each range only its first and last tracks are ordered by movie."""
+    at = F.struct(F.col("particle").alias("track"), "length")
+    ranged = lengths.withColumn("range", F.floor(F.col("particle") / IDS_AT_ONCE))
+    by_id = Window.partitionBy("movie_id", "range").orderBy("particle")
+    seen = lambda away: F.filter(F.array(*[away(at, k).over(by_id) for k in range(1, size + 1)]), lambda x: x.isNotNull())
+    inside = ranged.select("movie_id", "particle", "range", seen(F.lag).alias("before"), seen(F.lead).alias("after"))
+    ends = ranged.groupBy("movie_id", "range").agg(F.array_sort(F.collect_list(at)).alias("all"))
+    ends = ends.select("movie_id", "range", F.slice("all", 1, size).alias("first"), F.slice(F.reverse("all"), 1, size).alias("last"))
+    by_range = Window.partitionBy("movie_id").orderBy("range")
+    none = F.array().cast("array<struct<track: bigint, length: bigint>>")
+    reached = lambda away, end: F.slice(F.concat(*[F.coalesce(away(end, k).over(by_range), none) for k in range(1, size + 1)]), 1, size)
+    ends = ends.select("movie_id", "range", reached(F.lag, "last").alias("earlier"), reached(F.lead, "first").alias("later"))
+    both = inside.join(ends, ["movie_id", "range"])
+    return both.select("movie_id", "particle", *[F.slice(F.concat(a, b), 1, size).alias(a) for a, b in (("before", "earlier"), ("after", "later"))])
+
+
 def _halo(rows: DataFrame, size: int) -> DataFrame:
     """Each row under its own track, and near a track's ends also under those of the `size` tracks before and after whose
     extension it is in; `side` says how many tracks away it stands. Every track has a row, so no extension is longer."""
-    lengths = rows.groupBy("movie_id", "particle").agg(F.count("*").alias("length"))
-    by_id = Window.partitionBy("movie_id").orderBy("particle")
+    lengths = rows.groupBy("movie_id", F.col("particle").cast("long").alias("particle")).agg(F.count("*").alias("length"))
     # gap: how many rows stand between this track and the one k tracks away.
-    near, steps = [], range(1, size + 1)
-    for away, step in ((F.lag, 1), (F.lead, -1)):
-        gap = F.lit(0)
-        for k in steps:
-            near.append(F.struct(away("particle", k).over(by_id).alias("track"), F.lit(step * k).alias("side"), gap.cast("long").alias("gap")))
-            gap = gap + F.coalesce(away("length", k).over(by_id), F.lit(0))
-    places = lengths.select("movie_id", "particle", F.array(*near).alias("near"))
+    gap = lambda tracks, k: F.aggregate(F.slice(tracks, 1, k), F.lit(0).cast("long"), lambda total, t: total + t["length"])
+    placed = lambda tracks, step: F.transform(tracks, lambda t, k: F.struct(t["track"].alias("track"), ((k + 1) * step).alias("side"), gap(tracks, k).alias("gap")))
+    near = F.concat(placed(F.col("before"), 1), placed(F.col("after"), -1))
+    places = _neighbours(lengths, size).select("movie_id", "particle", near.alias("near"))
     own = Window.partitionBy("movie_id", "particle")
     ranked = rows.withColumn("from_start", F.row_number().over(own.orderBy("frame"))).withColumn(
         "from_end", F.row_number().over(own.orderBy(F.desc("frame"))),
     )
     ranked = ranked.join(places, ["movie_id", "particle"])
-    mine = F.array(F.struct(F.col("particle").alias("track"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("gap")))
-    held = F.filter(
-        "near",
-        lambda p: p["track"].isNotNull() & (p["gap"] + F.when(p["side"] > 0, F.col("from_start")).otherwise(F.col("from_end")) <= size),
-    )
+    mine = F.array(F.struct(F.col("particle").cast("long").alias("track"), F.lit(0).alias("side"), F.lit(0).cast("long").alias("gap")))
+    held = F.filter("near", lambda p: p["gap"] + F.when(p["side"] > 0, F.col("from_start")).otherwise(F.col("from_end")) <= size)
     return ranked.select("*", F.inline(F.concat(mine, held))).drop("from_start", "from_end", "near", "gap")
 
 
