@@ -435,10 +435,23 @@ def test_from_a_folder_to_an_experiment_table(spark, tmp_path, read):
     assert {(r.well, r.mito_start, r.mitosis, r["GFP"], r["Cy5"]) for r in table.values()} == {("A01", 2, 50.0, 100.0, None), ("B02", 2, 50.0, 103.0, None)}
 
 
-def test_streaming_linker_equals_batch(spark, tmp_path):
-    """All frames leave, the last one too once nothing more comes; late rows say so."""
+@pytest.fixture
+def state_store(spark):
+    spark.conf.set(linker.STORE_CONF, f"org.apache.spark.sql.execution.streaming.state.{linker.STORE}")
+    yield
+    spark.conf.unset(linker.STORE_CONF)
+
+
+def test_streaming_needs_its_store(spark):
+    with pytest.raises(ValueError, match=linker.STORE):
+        linker.link_stream(spark.range(1).selectExpr("id movie_id", "id frame", "id label", "id x", "id y"), Options(20))
+
+
+@pytest.mark.parametrize("mode", ["vanilla", "predictive"])
+def test_streaming_linker_equals_batch(spark, tmp_path, state_store, mode):
+    """All frames leave, the last one too once nothing more comes; late rows say so; points may be missing for a frame."""
     r = np.random.default_rng(0)
-    rows = [(m, f, i, float(100 * i + r.uniform(-5, 5)), float(m)) for m in range(3) for f in range(8) for i in range(4)]
+    rows = [(m, f, i, float(100 * i + 3 * f + r.uniform(-5, 5)), float(m)) for m in range(3) for f in range(8) for i in range(4) if r.random() < 0.8 or f in (0, 7)]
     schema = "movie_id long, frame long, label long, x double, y double"
     batches = [rows[: len(rows) // 2], rows[len(rows) // 2 :], [(0, 2, 9, 1.0, 1.0)]]
     source = tmp_path / "in"
@@ -446,14 +459,16 @@ def test_streaming_linker_equals_batch(spark, tmp_path):
         spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(str(source))
         if i == 0:
             stream = spark.readStream.schema(schema).parquet(str(source))
-            linked = linker.link_stream(stream, Options(20), idle_ms=8000)
-            query = linked.writeStream.format("memory").queryName("linked").option("checkpointLocation", str(tmp_path / "state")).start()
+            linked = linker.link_stream(stream, Options(20, mode=mode), idle_ms=15_000)
+            query = linked.writeStream.format("memory").queryName(f"linked_{mode}").option("checkpointLocation", str(tmp_path / "state")).start()
         while query.lastProgress is None or query.recentProgress[-1].batchId < 0 or sum(p.numInputRows for p in query.recentProgress) < sum(map(len, batches[: i + 1])):
+            assert query.isActive, query.exception()
             time.sleep(0.2)
-    batch = {(x.movie_id, x.frame, x.label): x.particle for x in linking.link(spark.createDataFrame(rows, schema), Options(20)).collect()}
-    until = time.time() + 60
-    while (n := spark.table("linked").filter("link_error is null").count()) < len(rows) and time.time() < until:
+    batch = {(x.movie_id, x.frame, x.label): x.particle for x in linking.link(spark.createDataFrame(rows, schema), Options(20, mode=mode)).collect()}
+    out, until = spark.table(f"linked_{mode}"), time.time() + 120
+    while (n := out.filter("link_error is null").count()) < len(rows) and time.time() < until:
+        assert query.isActive, query.exception()
         time.sleep(0.5)
     query.stop()
-    assert n == len(rows) and {(x.movie_id, x.frame, x.label): x.particle for x in spark.table("linked").filter("link_error is null").collect()} == batch
-    assert [x.link_error for x in spark.table("linked").filter("link_error is not null").collect()] == ["late"]
+    assert n == len(rows) and {(x.movie_id, x.frame, x.label): x.particle for x in out.filter("link_error is null").collect()} == batch
+    assert [x.link_error for x in out.filter("link_error is not null").collect()] == ["late"]
