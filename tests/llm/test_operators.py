@@ -550,20 +550,25 @@ def test_crowd_stays_cheap():
     assert 2900 < len(i) < 3000 and sum(asked) < 100 * 3000
 
 
-def test_candidates_per_row_stay(monkeypatch):
-    """Layouts follow the number of rows: the pairs that are compared, per row and layout, don't grow with it."""
+def test_candidates_per_row_stay():
+    """Layouts don't follow the number of rows, nor do the rows that one meets: texts with little in common meet in none, and
+    a pair meets in a layout as often as its similarity says."""
+    layouts = simhash.layouts_for(0.8)
+    assert layouts == 8 and (1 - 0.8**simhash.TOP_HASHES) ** layouts <= simhash.MISSED and simhash.layouts_for(0.8, 0.1) < layouts
     r, rates = np.random.default_rng(2), []
-    for n in (4_000, 32_000):
-        wide = r.integers(0, 256, (n, 8 * simhash.WIDE_WORDS), dtype=np.uint8)
-        top, layouts = simhash.tops(n, 0.8)
-        pairs = 0
-        for place in itertools.islice(simhash.layout_tops(wide, top, layouts), 5):
-            size = np.bincount(place).astype(float)
-            pairs += (size * (size - 1) / 2).sum()
-        rates.append(pairs / 5 / n)
-        assert (1 - (1 - simhash.differing(0.8)) ** top) ** layouts <= simhash.MISSED
-    assert rates[0] <= 8 and rates[1] < 1.3 * rates[0]
-    assert simhash.tops(32_000, 0.8)[0] == simhash.tops(4_000, 0.8)[0] + 3
+    common = r.integers(0, 1 << 63, 30).astype(np.uint64)
+    for n in (1_000, 8_000):
+        made = np.stack([simhash.tops(np.concatenate([common, r.integers(0, 1 << 63, 170).astype(np.uint64)]), layouts) for _ in range(n)])
+        size = [np.unique(t, return_counts=True)[1].astype(float) for t in made.T]
+        rates.append(sum((x * (x - 1) / 2).sum() for x in size) / layouts / (n * (n - 1) / 2))
+    assert max(rates) < 0.02  # a similarity of 30 in 370, squared, is 0.007
+    met = []
+    for _ in range(400):
+        both = r.integers(0, 1 << 63, 160).astype(np.uint64)
+        one, other = (simhash.tops(np.concatenate([both, r.integers(0, 1 << 63, 20).astype(np.uint64)]), 50) for _ in range(2))
+        met.append((one == other).mean())
+    assert abs(np.mean(met) - 0.8**2) < 0.02
+    assert len(set(simhash.tops(common, 50).tolist())) == 50 and not simhash.tops(common[:0], 3).any()
 
 
 @pytest.mark.parametrize("most", [1, 60, 100_000])
@@ -595,12 +600,9 @@ def test_recall_by_similarity(spark):
     above = [linked[k] for k, s in kind.items() if s >= 0.8]
     edge = [linked[k] for k, s in kind.items() if 0.8 <= s < 0.85]
     assert len(above) > 100 and np.mean(above) >= 0.99 and len(edge) > 20 and np.mean(edge) >= 0.97
-    # The layouts of a large table bring nearly all such pairs together, too.
-    top, layouts = simhash.tops(200_000, 0.8)
-    close = [k for k, s in kind.items() if 0.8 <= s]
-    sides = [np.stack([np.frombuffer(simhash.wide_fingerprint(texts[2 * k + side], 5), np.uint8) for k in close]) for side in (0, 1)]
-    together = np.logical_or.reduce([x == y for x, y in zip(*(simhash.layout_tops(s, top, layouts) for s in sides))])
-    assert top == 14 and together.mean() >= 0.99
+    close, layouts = [k for k, s in kind.items() if 0.8 <= s], simhash.layouts_for(0.8)
+    sides = [np.stack([simhash.tops(simhash.shingle_hashes(texts[2 * k + side], 5), layouts) for k in close]) for side in (0, 1)]
+    assert (sides[0] == sides[1]).any(axis=1).mean() >= 0.99
 
 
 def test_components_must_end(spark):

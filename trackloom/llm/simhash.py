@@ -297,19 +297,20 @@ def hex16(fp: Column) -> Column:
 
 
 # Near copies by similarity. Texts whose shingle sets have a Jaccard similarity of 0.8 differ in about 15 % of SimHash
-# bits: far beyond a budget that prunes a trie near its root. So a fingerprint of many more bits is taken. In each of a
-# number of layouts, another random choice of its bits is the top under which tries are joined with themselves, and the
-# first bits of the fingerprint, the same in all layouts, are the key below it. The top has about as many bits as rows
-# ask for, so a group has some GROUP_ROWS rows by chance at any size; the fewer layouts hold a pair, the more there are.
-# The bits that travel with a row choose the candidates, with room for chance; a link is a candidate whose sets of
-# shingles are as similar as asked.
+# bits: far beyond a budget that prunes a trie near its root. So a fingerprint of many more bits is taken, and tries are
+# joined with themselves under tops that similar sets share: in each of a few layouts, two minima of the set's shingle
+# hashes, each mixed in another way. Two sets share a minimum as often as their similarity says, so a layout brings a pair
+# at 0.8 together with a chance of 0.64, whatever the number of rows, and texts that have little in common never meet. The
+# first bits of the fingerprint are the key below a top, and the bits that travel with a row choose the candidates, with
+# room for chance; a link is a candidate whose sets of shingles are as similar as asked.
 
 WIDE_WORDS = 12
-#: The first words, which are compared; tops are drawn from the others.
+#: The first words, which are compared in the first pass.
 CHECK_WORDS = 2
-GROUP_ROWS = 16
+#: Minima that make a top.
+TOP_HASHES = 2
 #: Of pairs at the very limit of similarity, the share that no layout may bring together.
-MISSED = 0.005
+MISSED = 0.0005
 DEVIATIONS = 3.5
 KEY_BITS = 32
 
@@ -327,24 +328,47 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     return np.array([digest(s, 42) for s in shingles], np.uint64)
 
 
-def wide_fingerprint(text: str | None, shingle: int, words_out: int = WIDE_WORDS) -> bytes:
-    """words_out 64-bit SimHashes of the set of shingles, each of hashes mixed from XXH64 by another constant."""
-    hashes = shingle_hashes(text, shingle)
+def _mixed(hashes: np.ndarray, first: int, n: int) -> np.ndarray:
+    """(n, hashes): the hashes mixed in n ways, numbered from `first`."""
+    odd = np.array([(2 * k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1) for k in range(first, first + n)], np.uint64)[:, None]
+    mixed = (hashes ^ (hashes >> np.uint64(31)))[None] * odd
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def wide_fingerprint(hashes: np.ndarray, words_out: int = WIDE_WORDS) -> bytes:
+    """words_out 64-bit SimHashes of a set of shingle hashes, each of hashes mixed in another way."""
     if not len(hashes):
         return bytes(8 * words_out)
-    odd = np.array([(2 * k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1) for k in range(words_out)], np.uint64)[:, None]
     set_in = np.zeros((words_out, BITS), np.int64)
     for begin in range(0, len(hashes), 8 * 255):
         part = hashes[begin : begin + 8 * 255]
-        mixed = (part ^ (part >> np.uint64(31)))[None] * odd
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(32)
-        bits = np.unpackbits(mixed.view(np.uint8), axis=1).reshape(words_out, len(part), BITS)
+        bits = np.unpackbits(_mixed(part, 0, words_out).view(np.uint8), axis=1).reshape(words_out, len(part), BITS)
         for at in range(0, len(part), 255):  # so many ones fit a byte
             set_in += np.add.reduce(bits[:, at : at + 255], axis=1, dtype=np.uint8)
     return np.packbits(set_in * 2 > len(hashes), axis=1).tobytes()
 
 
+def layouts_for(similarity: float, missed: float = MISSED) -> int:
+    """Layouts that let no more than `missed` of the pairs at the similarity go without a common top."""
+    return math.ceil(math.log(missed) / math.log1p(-(min(similarity, 0.999) ** TOP_HASHES)))
+
+
+def tops(hashes: np.ndarray, layouts: int) -> np.ndarray:
+    """The set's top in each layout."""
+    if not len(hashes):
+        return np.zeros(layouts, np.uint64)
+    least = np.full(layouts * TOP_HASHES, 2**64 - 1, np.uint64)
+    for begin in range(0, len(hashes), 1 << 13):
+        least = np.minimum(least, _mixed(hashes[begin : begin + (1 << 13)], WIDE_WORDS, len(least)).min(axis=1))
+    with np.errstate(over="ignore"):
+        top = np.arange(1, layouts + 1, dtype=np.uint64)
+        for k in range(TOP_HASHES):
+            top = (top ^ least[k::TOP_HASHES]) * np.uint64(0x9E3779B97F4A7C15)
+            top ^= top >> np.uint64(29)
+    return top
+
+
 def differing(similarity: float) -> float:
     """The share of bits that differ between sets of one size with this Jaccard similarity."""
     return math.acos(2 * similarity / (1 + similarity)) / math.pi
@@ -356,22 +380,6 @@ def most_differing(similarity: float, bits: int, deviations: float) -> int:
     return int(bits * share + deviations * math.sqrt(bits * share * (1 - share)))
 
 
-def tops(rows: int, similarity: float) -> tuple[int, int]:
-    """(bits that must agree, layouts) for so many rows: groups of GROUP_ROWS by chance, and so many layouts that a pair
-    at the limit shares the top of one but for MISSED."""
-    bits = min(40, max(1, math.ceil(math.log2(max(rows, 2) / GROUP_ROWS))))
-    return bits, math.ceil(math.log(MISSED) / math.log1p(-((1 - differing(similarity)) ** bits)))
-
-
-def layout_tops(wide: np.ndarray, top: int, layouts: int) -> Iterator[np.ndarray]:
-    """For each layout the n tops as whole numbers; wide (n, bytes)."""
-    bits = np.unpackbits(wide[:, 8 * CHECK_WORDS :], axis=1)
-    r = np.random.default_rng(11)
-    powers = (1 << np.arange(top - 1, -1, -1)).astype(np.int64)
-    for _ in range(layouts):
-        yield bits[:, r.permutation(bits.shape[1])[:top]].astype(np.int64) @ powers
-
-
 def _wide(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
@@ -381,7 +389,6 @@ def _layout_links(classes: DataFrame, words: int, similarity: float, ends_only:
     more of the first `words` words than the similarity lets expect. Rows travel with those words. If classes have
     `hashes`, their sets of shingles, these travel too and a link's sets must be as similar as asked. With ends_only,
     (met): the classes that have a link."""
-    top, layouts = tops(classes.count(), similarity)
     most, most_key = (most_differing(similarity, n, DEVIATIONS) for n in (BITS * words, KEY_BITS))
     columns, exact = [f"w{i}" for i in range(words)], ["hashes"] * ("hashes" in classes.columns)
 
@@ -392,9 +399,9 @@ def _layout_links(classes: DataFrame, words: int, similarity: float, ends_only:
                 wide = _wide(b.column("wide"))
                 own = [pa.array(w) for w in np.ascontiguousarray(wide[:, : 8 * words]).view(">u8").astype(np.uint64).view(np.int64).T.copy()]
                 own += [b.column(c) for c in exact]
-                for k, tops_ in enumerate(layout_tops(wide, top, layouts)):
+                for place in np.ascontiguousarray(wide[:, 8 * WIDE_WORDS :]).view("<i8").T.copy():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.int64(k) << np.int64(top) | tops_), b.column("rep"), b.column("node"), *own],
+                        [pa.array(place), b.column("rep"), b.column("node"), *own],
                         names=["place", "rep", "node", *columns, *exact],
                     )
 
@@ -452,17 +459,23 @@ def _confirmed(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return written(pairs.groupBy("a", "b").agg(F.max(near).alias("near")), "simhash-confirmed")
 
 
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, missed: float = MISSED) -> DataFrame:
     """doc_id, component_id: a row per document with the smallest doc_id that it reaches by links of texts whose sets of
     shingles have the Jaccard similarity asked, or more. A first pass, with few words to check, finds the documents that
     may have a neighbour; only these carry all their bits through the second, which gives a forest of candidates in each
     group. Candidates are confirmed by the sets. A refused one may have hidden others, so all candidates between groups
-    that refused ones lie between are confirmed too. A link is missed only if no layout meets it."""
+    that refused ones lie between are confirmed too. A link is missed only if no layout meets it: with the chance `missed` at
+    the very limit, less above it."""
+    layouts = layouts_for(similarity, missed)
+
+    def wide(text: str | None) -> bytes:
+        hashes = shingle_hashes(text, shingle)
+        return wide_fingerprint(hashes) + tops(hashes, layouts).astype("<u8").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 8 << 20):
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([wide_fingerprint(t, shingle) for t in b.column("text").to_pylist()], pa.binary())],
+                [b.column("doc_id"), pa.array([wide(t) for t in b.column("text").to_pylist()], pa.binary())],
                 names=["doc_id", "wide"],
             )
 
