@@ -12,7 +12,7 @@ matrix per step.
 Defined results: a null text, or one without a letter (a character for which str.isalpha holds), is `und` with score 0,
 and so is every text if there is no labelled document; null labels are ignored; a doc_id with several labels or texts is
 learned with its least label and text; languages with equal probabilities rank by name; repeated rows are labelled each;
-very long texts are read whole; an empty table gives an empty result; other columns are ignored.
+a row without a doc_id is labelled, held out of nothing and not learned from; very long texts are read whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,8 +14,8 @@ Statistics come from whole texts. Words are runs outside ASCII white space. Rule
 
 Defined results: null text has no words, so fails the base rules; labels that are null or whose document is absent are
 ignored, and a document with several labels counts by its smallest; of rows that share a labelled doc_id the least text
-is learned from; without labels of both kinds no rule is learned; repeated rows are judged each; very long texts are
-read whole; an empty table gives an empty result; `keep` carries all columns, whatever their names.
+is learned from; without labels of both kinds no rule is learned; repeated rows are judged each, rows without a
+doc_id too, which are not learned from; very long texts are read whole; an empty table gives an empty result; `keep` carries all columns, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,8 +11,9 @@ that tell most; with more, the least telling ones count as ordinary words. Scori
 
 Defined results: null or empty text has no sentence and scores 0; labels that are null or whose document is absent are
 ignored, and a document with several labels counts as toxic if any says so; of rows that share a labelled doc_id the
-least text is learned from; without labels of both kinds everything scores 0; repeated rows are scored each; very long texts are read whole; an empty table gives an empty result; other
-columns are ignored.
+least text is learned from; without labels of both kinds everything scores 0; repeated rows are scored each;
+a row without a doc_id is scored, held out of nothing and not learned from; very long texts are read whole; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
