@@ -74,12 +74,15 @@ def signals(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            done = []
             for i, planes in enumerate(zip(*(lists(b, c) for c in ("labels", "values", "background", "intensity")))):
                 if planes[0] is None or planes[1] is None:
                     continue
                 label_width, width = b.column("label_width")[i].as_py(), b.column("width")[i].as_py()
                 shaped = [p.reshape(-1, w) if p is not None else None for p, w in zip(planes, (label_width, width, width, width))]
-                yield with_plane(plane_signals(*shaped, scale), b, i)
+                done.append(with_plane(plane_signals(*shaped, scale), b, i))
+            if done:
+                yield pa.concat_batches(done)
 
     kind = dict(joined.dtypes)
     rows = joined.select(*PLANE, "label_width", "labels", "width", "values", "background", "intensity")

@@ -40,6 +40,7 @@ def partial_moments(labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            done = []
             for i, pixels in enumerate(lists(b, "pixels")):
                 width = b.column("width")[i].as_py()
                 if pixels is None or not width:
@@ -48,7 +49,9 @@ def partial_moments(labels: DataFrame) -> DataFrame:
                 found = moments(pixels.reshape(-1, width), *at)
                 n = len(found["label"])
                 key = [pa.repeat(b.column(k)[i], n) for k in PLANE]
-                yield pa.RecordBatch.from_arrays([*key, *map(pa.array, found.values())], names=[*PLANE, *found])
+                done.append(pa.RecordBatch.from_arrays([*key, *map(pa.array, found.values())], names=[*PLANE, *found]))
+            if done:
+                yield pa.concat_batches(done)
 
     rows = labels.select(*PLANE, "width", "pixels", *(["top", "left"] if tiles else []))
     return rows.mapInArrow(run, f"movie_id {kind['movie_id']}, frame {kind['frame']}, {MOMENTS}")
