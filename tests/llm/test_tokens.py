@@ -57,10 +57,28 @@ def test_added_tokens_are_the_library_s():
 
 
 def test_full_cache(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_BYTES", 3 * tokens.PIECE_BYTES + 2 * len("onetwothree") + 200)
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 3 * tokens.PIECE_BYTES + 3 * len("onetwothree") + tokens.PIECE_BYTES)
     encoder = tokens.Encoder(tokens.default_path())
     texts = [f"one two three four{i} five {i} six" for i in range(50)]
     for _ in range(2):
         ids, ends = encoder.encode(pa.array(texts))
         assert [x.tolist() for x in np.split(ids, ends[:-1])] == whole(texts)
     assert 3 <= len(encoder.known) <= 4 and encoder.known_bytes <= tokens.CACHE_BYTES
+
+
+def test_pieces_with_one_hash_stay_apart(monkeypatch):
+    real = tokens._hashes
+    monkeypatch.setattr(tokens, "_hashes", lambda pieces: (real(pieces)[0] & np.uint64(1 << 63), real(pieces)[1]))
+    encoder = tokens.Encoder(tokens.default_path())
+    texts = [f"one two three {i} {'long' * i} \u00e9t\u00e9{i}" for i in range(40)]
+    for _ in range(3):
+        ids, ends = encoder.encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == whole(texts)
+    assert len(encoder.known) == len(np.unique(encoder.hashes)) == 2
+
+
+def test_hash_reads_the_bytes_of_slices():
+    words = ["", "a", "b", "ab", "eightbyt", "eightbyte", "x" * 31, "x" * 32, "x" * 33, "\u00e9"]
+    found, size = tokens._hashes(pa.array(["gone", *words])[1:])
+    assert size.tolist() == [len(w.encode()) for w in words] and len(set(found.tolist())) == len(words)
+    assert (found == tokens._hashes(pa.array(words))[0]).all()
