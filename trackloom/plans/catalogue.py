@@ -32,8 +32,16 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+#: Means of decimals may lie exactly between two rounded values, where the order of a sum would decide; this moves them off.
+OFF_TIES = 1.000000000001
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in columns})
+    return df.withColumns({c: F.round(F.col(f"`{c}`") * OFF_TIES, digits) for c in columns})
+
+
+def rounded_sql(value: str, digits: int = 6) -> str:
+    return f"round(({value}) * {OFF_TIES!r}::DOUBLE, {digits})"
 
 
 def longs(*columns: str) -> list[Column]:
@@ -154,7 +162,7 @@ def peak_histogram(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""
 WITH {views.SMOOTH}
-SELECT movie_id, particle, count(*) AS track_length, round(avg(area), 6) AS mean_area, round(stddev_samp(area), 6) AS area_std FROM smooth
+SELECT movie_id, particle, count(*) AS track_length, {rounded_sql("avg(area)")} AS mean_area, {rounded_sql("stddev_samp(area)")} AS area_std FROM smooth
 WHERE mitotic = 1 GROUP BY ALL
 """
 )
@@ -181,7 +189,8 @@ def max_displacement(spark: SparkSession, d: str) -> DataFrame:
 
 def _stat_sql(source: str, name: str, std: str, fallback: int) -> str:
     zero, inside = f'max(CASE WHEN "{source}" IS NULL OR "{source}" <> 0 THEN 1 ELSE 0 END) = 0', f'CASE WHEN semantic_smoothed <> 0 THEN "{source}" END'
-    return f'round(CASE WHEN {zero} THEN {fallback} ELSE avg({inside}) END, 6) AS "{name}", round(CASE WHEN {zero} THEN 0 ELSE stddev_pop({inside}) END, 6) AS "{std}"'
+    mean, deviation = (rounded_sql(f"CASE WHEN {zero} THEN {x} ELSE {f}({inside}) END") for x, f in ((fallback, "avg"), (0, "stddev_pop")))
+    return f'{mean} AS "{name}", {deviation} AS "{std}"'
 
 
 CHANNEL_SQL = ", ".join(
@@ -195,7 +204,7 @@ CHANNEL_NAMES = [
 ]
 STATS = f"""{views.RUNS}, moved AS (SELECT *, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS step FROM smooth WHERE mitotic = 1 WINDOW
 w AS (PARTITION BY movie_id, particle ORDER BY frame)),
-stats AS (SELECT movie_id, particle, count(*) AS track_length, round(max(step), 6) AS max_displacement, round(avg(area), 6) AS cell_area, round(stddev_samp(area), 6) AS area_std, {CHANNEL_SQL}
+stats AS (SELECT movie_id, particle, count(*) AS track_length, round(max(step), 6) AS max_displacement, {rounded_sql("avg(area)")} AS cell_area, {rounded_sql("stddev_samp(area)")} AS area_std, {CHANNEL_SQL}
 FROM moved GROUP BY movie_id, particle), single AS (SELECT movie_id, particle, min(mito_start) AS mito_start, min(mitosis) AS mitosis
 FROM runs GROUP BY ALL HAVING count(*) = 1),
 summary AS (SELECT movie_id, particle, track_length, max_displacement, mito_start, cell_area, mitosis, {', '.join(f'"{n}"' for n in CHANNEL_NAMES)}
@@ -352,7 +361,7 @@ def normalise_max(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""
-WITH {views.PIXELS} SELECT movie_id, frame, CAST(label AS BIGINT) AS label, round(CASE WHEN max(abs(v)) > 0 THEN avg(v) END, 6) AS signal
+WITH {views.PIXELS} SELECT movie_id, frame, CAST(label AS BIGINT) AS label, {rounded_sql("CASE WHEN max(abs(v)) > 0 THEN avg(v) END")} AS signal
 FROM pixels WHERE label <> 0 GROUP BY ALL
 """
 )
@@ -362,14 +371,14 @@ def masked_mean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mean_sql(v: str, name: str) -> str:
-    return f"round(CASE WHEN max(abs({v})) > 0 THEN avg({v}) END, 6) AS {name}"
+    return f"{rounded_sql(f'CASE WHEN max(abs({v})) > 0 THEN avg({v}) END')} AS {name}"
 
 
 @query(
     f"""
 WITH {views.PIXELS}
-SELECT p.movie_id, p.frame, CAST(l.label AS BIGINT) AS label, {_mean_sql('p.v * 100', 'signal')}, {_mean_sql('floor(p.v * 100)', 'bkg_corr')}, round(CASE
-WHEN count(m.v) = 0 THEN 1 WHEN max(abs(m.v)) > 0 THEN avg(m.v) END, 6) AS int_corr FROM pixels p JOIN pixels l
+SELECT p.movie_id, p.frame, CAST(l.label AS BIGINT) AS label, {_mean_sql('p.v * 100', 'signal')}, {_mean_sql('floor(p.v * 100)', 'bkg_corr')}, {rounded_sql("CASE WHEN count(m.v) = 0 THEN 1 WHEN max(abs(m.v)) > 0 THEN avg(m.v) END")}
+AS int_corr FROM pixels p JOIN pixels l
 ON p.movie_id = l.movie_id AND p.frame = l.frame AND l.r = p.r // 2 * 2 AND l.c = p.c // 2 * 2 LEFT JOIN pixels m
 ON m.movie_id = p.movie_id AND m.frame = 0 AND m.r = p.r AND m.c = p.c WHERE l.label <> 0 GROUP BY ALL
 """
@@ -476,7 +485,7 @@ def dose_bins(spark: SparkSession, d: str) -> DataFrame:
     return binned.select("dose", "bin").distinct().select("dose", left.alias("lft"), right.alias("rgt"))
 
 
-@query(f"WITH {BINS} SELECT bin, round(avg(dose), 6) AS dose, round(avg(response), 6) AS response FROM binned GROUP BY bin")
+@query(f"WITH {BINS} SELECT bin, {rounded_sql("avg(dose)")} AS dose, {rounded_sql("avg(response)")} AS response FROM binned GROUP BY bin")
 def bin_means(spark: SparkSession, d: str) -> DataFrame:
     return rounded(dose.bin_means(_binned(spark, d)[0]), "dose", "response")
 
@@ -489,7 +498,7 @@ def bin_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""
-WITH {BINS} SELECT bin, round(stddev_samp(dose) / sqrt(count(*)), 6) AS dose, round(stddev_samp(response) / sqrt(count(*)), 6) AS response
+WITH {BINS} SELECT bin, {rounded_sql("stddev_samp(dose) / sqrt(count(*))")} AS dose, {rounded_sql("stddev_samp(response) / sqrt(count(*))")} AS response
 FROM binned GROUP BY bin HAVING count(*) > 1
 """
 )
@@ -499,7 +508,7 @@ def bin_stderrs(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""
-WITH {views.DOSE} SELECT round(dose - (SELECT min(dose) FROM dose), 6) AS dose, count(*) AS n, round(sum(response), 6) AS response FROM dose
+WITH {views.DOSE} SELECT round(dose - (SELECT min(dose) FROM dose), 6) AS dose, count(*) AS n, {rounded_sql("sum(response)")} AS response FROM dose
 GROUP BY 1
 """
 )
