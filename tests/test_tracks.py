@@ -402,6 +402,50 @@ def test_percentiles_equal_numpy(spark, error):
     assert quantiles.percentiles(table.filter("false"), [], "x", fractions).count() == 0
 
 
+def joined_rows(df):
+    """Rows that each join of a collected frame's plan put out."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if "Join" in name:
+            found.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_fits_join_a_row_per_dose(spark):
+    """A code with nearly all rows: its rows must not meet its quantiles one by one in one task."""
+    code = F.when(F.col("id") % 97 == 0, "B").otherwise("A")
+    rows = spark.range(40_000).select((F.col("id") % 50 + 1.0).alias("dose"), (F.col("id") % 7 + 0.5).alias("response"), code.alias("code"))
+    fits = dose.fit(dose.complete(rows), ["code"])
+    assert {r.code for r in fits.collect()} == {"A", "B"}
+    found = joined_rows(fits)
+    assert found and max(found) <= 200
+
+
+def test_values_of_one_group_are_dealt(spark):
+    """Doses that never repeat meet their group's row in many tasks when neither side may be broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        values, groups = spark.range(8000).selectExpr("'A' AS g", "id / 3 AS v"), spark.createDataFrame([("A", 1), ("B", 2)], "g string, n int")
+        got = quantiles.met(values, ["g"], "v", groups)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 8000 and max(sizes) < 4800 and {r.n for r in got.select("n").distinct().collect()} == {1}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_projection_of_many_tasks(spark):
     r = np.random.default_rng(1)
     planes = {(m, f): r.integers(0, 100, 6).astype(float) for m in range(12) for f in range(9)}

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.functions import hill
-from trackloom.operators.quantiles import percentiles
+from trackloom.operators.quantiles import met, percentiles
 
 QUANTILES = (0.025, 0.85)
 BIN_SIZE = 2.5
@@ -80,18 +80,20 @@ def subtract_minimum(xy: DataFrame, column: str) -> DataFrame:
 
 
 def fit(xy: DataFrame, by: list[str], fractions: tuple[float, ...] = QUANTILES, size: float = BIN_SIZE) -> DataFrame:
-    """A row per group: the four parameters and a status. Rows are binned and averaged by Spark; a task fits the means of
-    one group, some dozens. The bins' bounds are each group's own quantiles."""
+    """A row per group: the four parameters and a status. Rows are summed up by dose, binned and averaged by Spark; a task
+    fits the means of one group, some dozens. The bins' bounds are each group's own quantiles."""
     q = percentiles(xy, by, "dose", fractions)
     q = q.select(*by, F.bround(F.col("q")[0], 0).alias("low"), F.bround(F.element_at("q", -1), 0).alias("high"))
-    joined = xy.join(F.broadcast(q) if not by else q, by)
+    doses = xy.groupBy(*by, "dose").agg(F.count("*").alias("n__"), F.sum("response").alias("total__"))
+    joined = met(doses, by, "dose", q)
     begin = F.col("low") * 0.5
     n_edges = F.greatest(F.ceil((F.col("high") * 1.5 - begin) / size), F.lit(0))
     near = F.ceil((F.col("dose") - begin) / size) - 1
     exact = F.when(F.col("dose") <= begin + near * size, near - 1).when(F.col("dose") > begin + (near + 1) * size, near + 1).otherwise(near)
     binned = joined.withColumn("bin", exact).filter((F.col("bin") >= 0) & (F.col("bin") < n_edges - 1))
+    n = F.sum("n__")
     means = binned.groupBy(*by, "bin").agg(
-        F.avg("dose").alias("dose"), F.avg("response").alias("response"), F.first("low").alias("low"),
+        (F.sum(F.col("dose") * F.col("n__")) / n).alias("dose"), (F.sum("total__") / n).alias("response"), F.first("low").alias("low"),
         F.first("high").alias("high"),
     )
     kinds = dict(xy.dtypes)
