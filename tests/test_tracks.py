@@ -15,7 +15,7 @@ from trackloom.functions import hill
 from trackloom.functions import linker as linker_module
 from trackloom.functions.linker import Linker, Options, OversizeError
 from trackloom.operators import components, dose, events, images, linking, measure, quantiles, regions, smoothing, summarize, wells
-from trackloom.plans import views
+from trackloom.plans import catalogue, views
 
 
 def tracks(spark, traces, movie=0):
@@ -431,6 +431,14 @@ def test_fits_join_a_row_per_dose(spark):
     assert found and max(found) <= 200
 
 
+@pytest.mark.parametrize("name", ["hill_fit"])
+def test_fit_queries_join_a_row_per_dose(spark, name):
+    fits = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(fits.collect()) == 3
+    found = joined_rows(fits)
+    assert found and max(found) <= 200  # 50 quantities and 3 codes
+
+
 def test_values_of_one_group_are_dealt(spark):
     """Doses that never repeat meet their group's row in many tasks when neither side may be broadcast."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
