@@ -431,7 +431,7 @@ def test_fits_join_a_row_per_dose(spark):
     assert found and max(found) <= 200
 
 
-@pytest.mark.parametrize("name", ["hill_fit"])
+@pytest.mark.parametrize("name", ["hill_fit", "hill_fit_prices"])
 def test_fit_queries_join_a_row_per_dose(spark, name):
     fits = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert len(fits.collect()) == 3
