@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from trackloom import params, schemas
 from trackloom.functions.linker import Options
 from trackloom.operators import images, linking, measure, regions
-from trackloom.plans import experiment, folder, stacks
+from trackloom.plans import catalogue, experiment, folder, stacks
 from trackloom.sources import discovery, files, sheets, tiff
 from trackloom.streaming import linker
 
@@ -215,6 +215,20 @@ def test_discovery(spark, tmp_path):
     assert {r.correction_map for r in discovery.correction_maps(found).collect()} == {"Texas Red_background_map", "GFP_intensity_map"}
 
 
+def sorted_after_hashing(df):
+    """Whether all that a plan's aggregations sort before they shuffle comes out of a hash aggregation."""
+    lines = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+    sorts = [i for i, line in enumerate(lines) if "SortAggregate" in line and "partial_" in line]
+    inputs = [next(x for x in lines[i + 1 :] if not any(p in x for p in ("Project", "Filter", "Generate"))) for i in sorts]
+    return bool(sorts) and all("HashAggregate" in x for x in inputs)
+
+
+@pytest.mark.parametrize("name", ["movie_files"])
+def test_repeated_names_are_hashed_before_sorts(spark, name):
+    """A name that lies in many rows is one row before a task sorts."""
+    assert sorted_after_hashing(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
+
+
 def cells(n=12, size=50, shift=0, mitotic=range(3, 8)):
     """Planes of one cell that moves down, and its states."""
     labels, states = np.zeros((n, size, size), np.int32), np.zeros((n, size, size), np.uint8)

@@ -32,6 +32,12 @@ def classified(found: DataFrame) -> DataFrame:
     )
 
 
+def _once(found: DataFrame, *columns: str) -> DataFrame:
+    """The columns' different rows, found by hashes in each task. The first or last string of a group is found by sorting
+    all rows of a task, before which Spark drops a plain distinct(); it keeps one whose count is used."""
+    return found.groupBy(*columns).agg(F.count("*").alias("n__")).filter("n__ > 0").drop("n__")
+
+
 def inference_folders(found: DataFrame) -> DataFrame:
     """home, folder: each folder with results once."""
     return found.filter(names.is_inference(F.col("folder"))).select("home", "folder").distinct()
@@ -43,7 +49,8 @@ def movies(found: DataFrame) -> DataFrame:
     before them is the prefix. movie_id is the folder's path with prefix and stub; images are looked for in data_dir, the
     folder above."""
     of_role = lambda r: F.min(F.when(F.col("role") == r, F.struct("path", "file"))).alias(r)
-    pairs = found.filter(names.is_inference(F.col("folder"))).groupBy("home").agg(of_role("instance"), of_role("semantic")).dropna()
+    masks = _once(found.filter(names.is_inference(F.col("folder")) & F.col("role").isNotNull()), "home", "role", "path", "file")
+    pairs = masks.groupBy("home").agg(of_role("instance"), of_role("semantic")).dropna()
     named = pairs.withColumn("stub", names.stub(F.col("semantic.file"))).filter("stub <> ''")
     prefix = F.split_part(F.col("instance.file"), F.col("stub"), F.lit(1))
     return named.select(
