@@ -223,7 +223,7 @@ def sorted_after_hashing(df):
     return bool(sorts) and all("HashAggregate" in x for x in inputs)
 
 
-@pytest.mark.parametrize("name", ["movie_files"])
+@pytest.mark.parametrize("name", ["movie_files", "parameter_sheet"])
 def test_repeated_names_are_hashed_before_sorts(spark, name):
     """A name that lies in many rows is one row before a task sorts."""
     assert sorted_after_hashing(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
