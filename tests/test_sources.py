@@ -15,6 +15,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tests.plans import joined_rows
 from trackloom import params, schemas
 from trackloom.functions.linker import Options
 from trackloom.operators import images, linking, measure, regions
@@ -223,12 +224,23 @@ def sorted_after_hashing(df):
     return bool(sorts) and all("HashAggregate" in x for x in inputs)
 
 
-@pytest.mark.parametrize("name", ["movie_files", "parameter_sheet"])
+@pytest.mark.parametrize("name", ["movie_files", "parameter_sheet", "map_files"])
 def test_repeated_names_are_hashed_before_sorts(spark, name):
     """A name that lies in many rows is one row before a task sorts."""
     assert sorted_after_hashing(catalogue.QUERIES[name](spark, "/root/testdata/sf0.001"))
 
 
+def test_images_are_reduced_before_they_meet_movies(spark):
+    """500 images of one site and channel, and one movie there: the join has a row for each channel."""
+    masks = [("/d/A02_s1_inference", f"A02_s1_{role}.tif") for role in ("instance", "semantic")]
+    images = [("/d", f"{i:03}_A02_s1_GFP.tif") for i in range(500)] + [("/d", "499_A02_s1_Cy5.tif"), ("/d", "000_A02_s1_Cy5.tiff")]
+    rows = [(f"{home}/{file}", home, file) for home, file in masks + images]
+    found = discovery.classified(spark.createDataFrame(rows, "path string, home string, file string"))
+    channels = discovery.channels(found, discovery.movies(found))
+    assert {(r.channel, r.path) for r in channels.collect()} == {("GFP", "/d/499_A02_s1_GFP.tif"), ("Cy5", "/d/000_A02_s1_Cy5.tiff")}
+    assert joined_rows(channels) == [2]
+
+
 def cells(n=12, size=50, shift=0, mitotic=range(3, 8)):
     """Planes of one cell that moves down, and its states."""
     labels, states = np.zeros((n, size, size), np.int32), np.zeros((n, size, size), np.uint8)

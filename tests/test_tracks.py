@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests.plans import joined_rows
 from trackloom import params
 from trackloom.functions import hill
 from trackloom.functions import linker as linker_module
@@ -402,25 +403,6 @@ def test_percentiles_equal_numpy(spark, error):
     assert quantiles.percentiles(table.filter("false"), [], "x", fractions).count() == 0
 
 
-def joined_rows(df):
-    """Rows that each join of a collected frame's plan put out."""
-    found = []
-
-    def walk(node):
-        name = node.nodeName()
-        if name == "AdaptiveSparkPlan":
-            return walk(node.executedPlan())
-        if name.endswith("QueryStage"):
-            return walk(node.plan())
-        if "Join" in name:
-            found.append(node.metrics().apply("numOutputRows").value())
-        for i in range(node.children().size()):
-            walk(node.children().apply(i))
-
-    walk(df._jdf.queryExecution().executedPlan())
-    return found
-
-
 def test_fits_join_a_row_per_dose(spark):
     """A code with nearly all rows: its rows must not meet its quantiles one by one in one task."""
     code = F.when(F.col("id") % 97 == 0, "B").otherwise("A")

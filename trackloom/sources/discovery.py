@@ -61,15 +61,17 @@ def movies(found: DataFrame) -> DataFrame:
 
 def channels(found: DataFrame, of: DataFrame) -> DataFrame:
     """movie_id, channel, path: for each of the movies `of` and each channel the last image by path, .tiff after .tif, in the
-    movie's data_dir whose name holds the movie's stub and an underscore: A2_s123 isn't A2_s12."""
-    images = found.filter(F.col("channel").isNotNull() & F.col("role").isNull()).select(
-        F.col("home").alias("lies_in"), "channel", "path", F.explode(F.array_distinct(names.stubs(F.col("file")))).alias("of_stub"),
-    )
-    last = F.max_by("path", F.struct(F.col("path").endswith(".tiff"), F.col("path")))
-    met = of.join(images, (F.col("data_dir") == F.col("lies_in")) & (F.col("stub") == F.col("of_stub")))
-    return met.groupBy("movie_id", "channel").agg(last.alias("path"))
+    movie's data_dir whose name holds the movie's stub and an underscore: A2_s123 isn't A2_s12. A folder's images are reduced
+    to the last of each stub and channel before they meet movies."""
+    named = found.filter(F.col("channel").isNotNull() & F.col("role").isNull())
+    images = named.select(F.col("home").alias("lies_in"), "channel", "path", F.explode(F.array_distinct(names.stubs(F.col("file")))).alias("of_stub"))
+    last = F.max_by("path", F.struct(F.col("path").endswith(".tiff"), F.col("path"))).alias("path")
+    lasts = _once(images, "lies_in", "of_stub", "channel", "path").groupBy("lies_in", "of_stub", "channel").agg(last)
+    met = of.join(lasts, (F.col("data_dir") == F.col("lies_in")) & (F.col("stub") == F.col("of_stub")))
+    return met.groupBy("movie_id", "channel").agg(last)
 
 
 def correction_maps(found: DataFrame) -> DataFrame:
     """correction_map, path: the last by path of each. Maps apply to all movies below the root."""
-    return found.filter("correction_map is not null").groupBy("correction_map").agg(F.max("path").alias("path"))
+    maps = _once(found.filter("correction_map is not null"), "correction_map", "path")
+    return maps.groupBy("correction_map").agg(F.max("path").alias("path"))
